@@ -112,9 +112,42 @@ team_results_long AS (
 
 FX = "WITH " + _SNAP.strip()
 
-LEAGUE_TABLE = FX + """
-, agg AS (
-  SELECT competition_code, season_id, team_id,
+KEY_DATE = "'%Y-%m-%d'"
+MANIFEST_OF = r"regexp_replace(file_key, '\.json$', '.manifest.json')"
+
+_LATEST_COLS = """
+    match_id, utc_date, status, stage, match_group, matchday, last_updated,
+    competition_id, competition_code_in_payload AS competition_code, competition_name, competition_type,
+    season_id, season_start_date, season_end_date, season_current_matchday,
+    home_team_id, home_team_name, home_team_short_name, home_team_tla, home_team_crest,
+    away_team_id, away_team_name, away_team_short_name, away_team_tla, away_team_crest,
+    winner, duration, ft_home_goals, ft_away_goals, ht_home_goals, ht_away_goals,
+    file_key, competition_code AS competition_code_from_run, date_from, date_to, run_id, dt, loaded_at"""
+
+
+def _latest_sql(where: str = "TRUE") -> str:
+    return f"""SELECT {_LATEST_COLS}
+  FROM v_matches WHERE {where}
+  QUALIFY row_number() OVER (PARTITION BY match_id
+      ORDER BY loaded_at DESC NULLS FIRST, last_updated DESC NULLS FIRST, file_key DESC NULLS FIRST) = 1"""
+
+
+def _teams_sql(src: str) -> str:
+    return f"""SELECT team_id, name, short_name, tla, crest, competition_code, season_id, utc_date AS last_seen_utc_date
+  FROM (
+    SELECT match_id, competition_code, season_id, utc_date, 0 AS side, home_team_id AS team_id,
+           home_team_name AS name, home_team_short_name AS short_name, home_team_tla AS tla, home_team_crest AS crest
+    FROM {src} WHERE home_team_id IS NOT NULL
+    UNION ALL
+    SELECT match_id, competition_code, season_id, utc_date, 1, away_team_id,
+           away_team_name, away_team_short_name, away_team_tla, away_team_crest
+    FROM {src} WHERE away_team_id IS NOT NULL
+  ) sides
+  QUALIFY row_number() OVER (PARTITION BY team_id
+      ORDER BY utc_date DESC NULLS FIRST, match_id DESC NULLS FIRST, side ASC) = 1"""
+
+
+_LEAGUE_AGG = """SELECT competition_code, season_id, team_id,
          max(team_name) AS team_name,
          CAST(count(*) AS BIGINT) AS played,
          CAST(sum(w) AS BIGINT) AS wins,
@@ -126,21 +159,14 @@ LEAGUE_TABLE = FX + """
          CAST(sum(pts) AS BIGINT) AS points,
          max(utc_date) AS as_of_utc
   FROM team_results_long
-  GROUP BY competition_code, season_id, team_id
-)
-SELECT *, CAST(row_number() OVER (PARTITION BY competition_code, season_id
+  GROUP BY competition_code, season_id, team_id"""
+
+_LEAGUE_RANK = """SELECT *, CAST(row_number() OVER (PARTITION BY competition_code, season_id
     ORDER BY points DESC NULLS FIRST, goal_diff DESC NULLS FIRST, goals_for DESC NULLS FIRST,
              team_name ASC NULLS LAST, team_id ASC NULLS LAST) AS BIGINT) AS rank
-FROM agg
-"""
+FROM agg"""
 
-TEAM_FORM = FX + """
-, last5 AS (
-  SELECT * FROM team_results_long
-  QUALIFY row_number() OVER (PARTITION BY competition_code, team_id
-      ORDER BY utc_date DESC NULLS FIRST, match_id DESC NULLS FIRST) <= 5
-)
-SELECT competition_code, team_id,
+_FORM = """SELECT competition_code, team_id,
        max(team_name) AS team_name,
        CAST(count(*) AS BIGINT) AS games_played_last5,
        CAST(sum(CASE WHEN result = 'W' THEN 1 ELSE 0 END) AS BIGINT) AS wins_last5,
@@ -151,10 +177,15 @@ SELECT competition_code, team_id,
        CAST(sum(gf) - sum(ga) AS BIGINT) AS goal_diff_last5,
        CAST(sum(CASE WHEN result = 'W' THEN 3 WHEN result = 'D' THEN 1 ELSE 0 END) AS BIGINT) AS points_last5,
        max(utc_date) AS last_match_utc
-FROM last5
-GROUP BY competition_code, team_id
-"""
+FROM (
+  SELECT * FROM team_results_long
+  QUALIFY row_number() OVER (PARTITION BY competition_code, team_id
+      ORDER BY utc_date DESC NULLS FIRST, match_id DESC NULLS FIRST) <= 5
+) last5
+GROUP BY competition_code, team_id"""
 
+LEAGUE_TABLE = FX + f"\n, agg AS (\n  {_LEAGUE_AGG}\n)\n{_LEAGUE_RANK}\n"
+TEAM_FORM = FX + "\n" + _FORM + "\n"
 MATCHES_FLATTEN = FX + "\nSELECT * FROM v_matches\n"
 MATCHES_LATEST = FX + "\nSELECT * FROM matches_latest\n"
 TEAM_RESULTS_LONG = FX + """
@@ -162,30 +193,276 @@ SELECT match_id, competition_code, season_id, utc_date, side, team_id, team_name
        pts, w, d, l
 FROM team_results_long
 """
+TEAMS_DIM = FX + "\n" + _teams_sql("matches_latest") + "\n"
 
-TEAMS_DIM = FX + """
-, sides AS (
-  SELECT match_id, competition_code, season_id, utc_date, 0 AS side, home_team_id AS team_id,
-         home_team_name AS name, home_team_short_name AS short_name, home_team_tla AS tla, home_team_crest AS crest
-  FROM matches_latest WHERE home_team_id IS NOT NULL
-  UNION ALL
-  SELECT match_id, competition_code, season_id, utc_date, 1, away_team_id,
-         away_team_name, away_team_short_name, away_team_tla, away_team_crest
-  FROM matches_latest WHERE away_team_id IS NOT NULL
+_FILES = """, files AS (
+  SELECT file_key, competition_code, date_from, date_to, run_id, dt, loaded_at, CAST(count(*) AS BIGINT) AS n_matches
+  FROM v_matches GROUP BY ALL
+)"""
+
+LANDING_SCAN = FX + _FILES + "\nSELECT file_key, n_matches FROM files\n"
+
+OBJECT_CLASSIFY = FX + _FILES + """
+SELECT competition_code AS competition, 'data' AS kind, CAST(count(*) AS BIGINT) AS n_objects FROM files GROUP BY 1
+UNION ALL
+SELECT competition_code, 'manifest', CAST(count(*) AS BIGINT) FROM files WHERE competition_code <> 'FL1' GROUP BY 1
+"""
+
+KEY_PARSE = FX + _FILES + f"""
+, k AS (
+  SELECT file_key, run_id, strftime(dt, {KEY_DATE}) AS dt, competition_code AS competition,
+         strftime(date_from, {KEY_DATE}) AS date_from, strftime(date_to, {KEY_DATE}) AS date_to
+  FROM files
+)
+SELECT * FROM k
+UNION ALL
+SELECT {MANIFEST_OF}, run_id, dt, competition, date_from, date_to FROM k WHERE competition <> 'FL1'
+"""
+
+LATEST_OBJECT = FX + "\nSELECT max(file_key) AS latest_key FROM v_matches\n"
+
+_COMP_DAYS = """(SELECT CAST(range AS INTEGER) AS d FROM range(3)) days"""
+COMPETITIONS_FLATTEN = f"""
+SELECT 'endpoint=competitions/dt=' || strftime(DATE '2024-01-01' + d, {KEY_DATE}) || '/run_id=0c-' || d || '.json' AS file_key,
+       '0c-' || d AS run_id,
+       CAST(DATE '2024-01-01' + d AS DATE) AS dt,
+       CAST(r_regionkey AS BIGINT) + 2000 AS competition_id,
+       upper(substr(r_name, 1, 3)) AS code,
+       r_name AS name
+FROM region CROSS JOIN {_COMP_DAYS}
+"""
+
+RAW_COMPETITIONS_UPSERT = f"""
+SELECT 'endpoint=competitions/dt=' || strftime(DATE '2024-01-01' + d, {KEY_DATE}) || '/run_id=0c-' || d || '.json' AS file_key,
+       '0c-' || d AS run_id,
+       CAST(DATE '2024-01-01' + d AS DATE) AS dt,
+       (SELECT CAST(count(*) AS BIGINT) FROM region) AS n_competitions
+FROM {_COMP_DAYS}
+"""
+
+LANDING_WRITE = FX + _FILES + f"""
+SELECT competition_code AS competition, strftime(date_from, {KEY_DATE}) AS date_from,
+       strftime(date_to, {KEY_DATE}) AS date_to, strftime(dt, {KEY_DATE}) AS dt, run_id,
+       CAST(count(*) AS BIGINT) AS n_documents, CAST(sum(n_matches) AS BIGINT) AS n_matches
+FROM files GROUP BY ALL
+"""
+
+MANIFEST_BUILD = FX + _FILES + f"""
+SELECT file_key AS data_key, run_id, 'matches' AS endpoint, competition_code AS competition,
+       strftime(date_from, {KEY_DATE}) AS date_from, strftime(date_to, {KEY_DATE}) AS date_to,
+       strftime(dt, {KEY_DATE}) AS dt_partition, n_matches AS record_count, 'bronze' AS bucket,
+       {MANIFEST_OF} AS manifest_key
+FROM files
+"""
+
+MANIFEST_PAIRING = FX + _FILES + f"""
+SELECT file_key AS data_key, {MANIFEST_OF} AS manifest_key, competition_code <> 'FL1' AS manifest_found FROM files
+"""
+
+MANIFEST_RECONCILE = FX + _FILES + f"""
+SELECT file_key AS data_key, {MANIFEST_OF} AS manifest_key, n_matches + 1 AS manifest_count, n_matches AS payload_count
+FROM files WHERE competition_code = 'PD' AND dt = DATE '2024-01-03'
+"""
+
+RAW_MATCHES_UPSERT = FX + _FILES + """
+SELECT file_key, competition_code, date_from, date_to, run_id, dt,
+       CASE WHEN dt = DATE '2024-01-03' THEN TIMESTAMP '2024-01-04 02:00:00' ELSE loaded_at END AS loaded_at,
+       n_matches
+FROM files
+"""
+
+RAW_MANIFESTS_UPSERT = FX + _FILES + f"""
+SELECT {MANIFEST_OF} AS file_key, 'matches' AS endpoint, run_id, dt,
+       n_matches + CASE WHEN competition_code = 'PD' AND dt = DATE '2024-01-03' THEN 1 ELSE 0 END AS record_count
+FROM files WHERE competition_code <> 'FL1'
+"""
+
+LOAD_STATE_PENDING = FX + _FILES + "\nSELECT file_key FROM files WHERE dt > DATE '2024-01-01'\n"
+
+LOAD_STATE_MARK = FX + _FILES + f"""
+SELECT file_key, 'matches_incremental' AS endpoint FROM files WHERE dt <= DATE '2024-01-02'
+UNION ALL
+SELECT {MANIFEST_OF}, 'matches_incremental_manifest' FROM files
+WHERE dt <= DATE '2024-01-02' AND competition_code <> 'FL1'
+"""
+
+_LOADER = """SELECT 'endpoint=matches/' AS prefix,
+       CAST(count(*) AS BIGINT) AS files_discovered,
+       CAST(count(*) FILTER (WHERE dt > DATE '2024-01-01') AS BIGINT) AS files_to_load,
+       CAST(count(*) FILTER (WHERE dt > DATE '2024-01-01') AS BIGINT) AS data_files_loaded,
+       CAST(count(*) FILTER (WHERE dt > DATE '2024-01-01' AND competition_code <> 'FL1') AS BIGINT) AS manifests_loaded
+FROM files"""
+LOADER_METRICS = FX + _FILES + "\n" + _LOADER + "\n"
+
+_MERGE = f""", tgt AS (
+  {_latest_sql("loaded_at < TIMESTAMP '2024-01-03 02:00:00'")}
+), src AS (
+  SELECT * FROM ({_latest_sql("loaded_at = TIMESTAMP '2024-01-03 02:00:00'")}) WHERE status = 'FINISHED'
+)"""
+
+MATCHES_LATEST_MERGE = FX + _MERGE + """
+SELECT * FROM tgt WHERE NOT EXISTS (SELECT 1 FROM src WHERE src.match_id = tgt.match_id)
+UNION ALL
+SELECT * FROM src
+"""
+
+TEAMS_MERGE = FX + _MERGE + f"""
+, t_tgt AS ({_teams_sql("tgt")}), t_src AS ({_teams_sql("src")})
+SELECT * FROM t_tgt WHERE NOT EXISTS (SELECT 1 FROM t_src WHERE t_src.team_id = t_tgt.team_id)
+UNION ALL
+SELECT * FROM t_src
+"""
+
+_MODELS = f""", teams AS ({_teams_sql("matches_latest")}),
+form AS ({_FORM}),
+agg AS ({_LEAGUE_AGG}),
+league AS ({_LEAGUE_RANK})"""
+
+
+def _nn(model: str, table: str, col: str) -> str:
+    return (f"SELECT '{model}' AS model, '{col}' AS column_name, 'not_null' AS test, "
+            f"CAST(count(*) FILTER (WHERE {col} IS NULL) AS BIGINT) AS failures FROM {table}")
+
+
+def _uq(model: str, table: str, col: str) -> str:
+    return (f"SELECT '{model}' AS model, '{col}' AS column_name, 'unique' AS test, CAST(count(*) AS BIGINT) AS failures "
+            f"FROM (SELECT {col} FROM {table} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1) dup")
+
+
+_STATUSES = "'SCHEDULED', 'TIMED', 'IN_PLAY', 'PAUSED', 'FINISHED', 'POSTPONED', 'SUSPENDED', 'CANCELLED'"
+_AV = ("SELECT 'matches_latest' AS model, 'status' AS column_name, 'accepted_values' AS test, "
+       f"CAST(count(DISTINCT status) FILTER (WHERE status NOT IN ({_STATUSES})) AS BIGINT) AS failures FROM matches_latest")
+
+_NOT_NULL = "\nUNION ALL\n".join([
+    _nn("v_matches", "v_matches", "match_id"),
+    _nn("matches_latest", "matches_latest", "match_id"),
+    _nn("matches_latest", "matches_latest", "utc_date"),
+    _nn("matches_latest", "matches_latest", "status"),
+    _nn("teams", "teams", "team_id"),
+    _nn("teams", "teams", "name"),
+    _nn("team_form_last5", "form", "competition_code"),
+    _nn("team_form_last5", "form", "team_id"),
+    _nn("team_form_last5", "form", "games_played_last5"),
+    _nn("league_table_snapshot", "league", "competition_code"),
+    _nn("league_table_snapshot", "league", "season_id"),
+    _nn("league_table_snapshot", "league", "team_id"),
+    _nn("league_table_snapshot", "league", "points"),
+    _nn("league_table_snapshot", "league", "rank"),
+])
+_UNIQUE = _uq("matches_latest", "matches_latest", "match_id") + "\nUNION ALL\n" + _uq("teams", "teams", "team_id")
+_REPORT = f"""report AS (
+  SELECT *, CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS state FROM (
+    {_NOT_NULL}
+    UNION ALL
+    {_UNIQUE}
+    UNION ALL
+    {_AV}
+  ) r
+)"""
+
+DQ_NOT_NULL = FX + _MODELS + "\n" + _NOT_NULL + "\n"
+DQ_UNIQUE = FX + _MODELS + "\n" + _UNIQUE + "\n"
+DQ_ACCEPTED_VALUES = FX + _MODELS + "\n" + _AV + "\n"
+DQ_REPORT = FX + _MODELS + ",\n" + _REPORT + "\nSELECT * FROM report\n"
+
+PIPELINE_RUN_METRICS = FX + _MODELS + ",\n" + _REPORT + _FILES + f"""
+, loader AS ({_LOADER})
+SELECT 'daily_pipeline' AS dag_id, TIMESTAMP '2024-01-03 02:00:00' AS execution_date,
+       prefix AS loader_prefix, files_discovered, files_to_load, data_files_loaded, manifests_loaded,
+       CASE WHEN (SELECT count(*) FROM report WHERE state = 'fail') > 0 THEN 'failed' ELSE 'success' END AS dbt_test_state
+FROM loader
+"""
+
+ROLLING_WINDOW_FILTER = """
+SELECT event_id, ts, user_id, event_type, value, DATE '2024-01-14' AS window_from, DATE '2024-01-22' AS window_to
+FROM events
+WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-14' AND DATE '2024-01-22'
+  AND event_type IN ('click', 'view', 'purchase')
+"""
+
+BACKFILL_CHUNK_ASSIGN = """
+SELECT event_id, user_id, ts, chunk_no,
+       CAST(DATE '2024-01-03' + chunk_no * 7 AS DATE) AS date_from,
+       least(CAST(DATE '2024-01-03' + chunk_no * 7 + 6 AS DATE), DATE '2024-01-27') AS date_to
+FROM (
+  SELECT *, CAST(floor(date_diff('day', DATE '2024-01-03', CAST(ts AS DATE)) / 7) AS INTEGER) AS chunk_no
+  FROM events
+  WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-27'
+) e
+"""
+
+BACKFILL_COVERAGE_GAPS = """
+WITH users AS (SELECT DISTINCT user_id FROM events),
+planned AS (
+  SELECT user_id, CAST(d AS DATE) AS date_from, least(CAST(d AS DATE) + 1, DATE '2024-01-30') AS date_to
+  FROM users CROSS JOIN generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 2 DAY) AS g(d)
+),
+loaded AS (
+  SELECT DISTINCT user_id,
+         CAST(DATE '2024-01-01' + CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 2) AS INTEGER) * 2 AS DATE) AS date_from
+  FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'
 )
-SELECT team_id, name, short_name, tla, crest, competition_code, season_id, utc_date AS last_seen_utc_date
-FROM sides
-QUALIFY row_number() OVER (PARTITION BY team_id
-    ORDER BY utc_date DESC NULLS FIRST, match_id DESC NULLS FIRST, side ASC) = 1
+SELECT p.user_id, p.date_from, p.date_to FROM planned p
+WHERE NOT EXISTS (SELECT 1 FROM loaded l WHERE l.user_id = p.user_id AND l.date_from = p.date_from)
+"""
+
+LATEST_EVENT_PER_USER = """
+SELECT * FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS FIRST, event_id DESC) = 1
+"""
+
+TOP5_EVENTS_PER_USER = """
+SELECT event_id, user_id, event_type, value,
+       CAST(row_number() OVER (PARTITION BY user_id ORDER BY value DESC NULLS FIRST, event_id DESC) AS BIGINT) AS rn
+FROM events
+QUALIFY rn <= 5
+"""
+
+EVENTS_PROPS_EXTRACT = """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
+"""
+
+STREAM_BRONZE_INGEST = FX + _FILES + """
+SELECT file_key, competition_code, date_from, date_to, run_id, dt, loaded_at, n_matches FROM files
 """
 
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "league_table_snapshot": LEAGUE_TABLE,
-        "team_form_last5": TEAM_FORM,
+        "landing_scan": LANDING_SCAN,
+        "object_classify": OBJECT_CLASSIFY,
+        "key_parse": KEY_PARSE,
+        "latest_object": LATEST_OBJECT,
+        "competitions_flatten": COMPETITIONS_FLATTEN,
+        "landing_write": LANDING_WRITE,
+        "manifest_build": MANIFEST_BUILD,
+        "manifest_pairing": MANIFEST_PAIRING,
+        "manifest_reconcile": MANIFEST_RECONCILE,
+        "raw_competitions_upsert": RAW_COMPETITIONS_UPSERT,
+        "raw_matches_upsert": RAW_MATCHES_UPSERT,
+        "raw_manifests_upsert": RAW_MANIFESTS_UPSERT,
+        "load_state_pending": LOAD_STATE_PENDING,
+        "load_state_mark": LOAD_STATE_MARK,
+        "loader_metrics": LOADER_METRICS,
         "matches_flatten": MATCHES_FLATTEN,
         "matches_latest": MATCHES_LATEST,
-        "team_results_long": TEAM_RESULTS_LONG,
+        "matches_latest_merge": MATCHES_LATEST_MERGE,
         "teams_dim": TEAMS_DIM,
+        "teams_merge": TEAMS_MERGE,
+        "team_results_long": TEAM_RESULTS_LONG,
+        "team_form_last5": TEAM_FORM,
+        "league_table_snapshot": LEAGUE_TABLE,
+        "dq_not_null": DQ_NOT_NULL,
+        "dq_unique": DQ_UNIQUE,
+        "dq_accepted_values": DQ_ACCEPTED_VALUES,
+        "dq_report": DQ_REPORT,
+        "pipeline_run_metrics": PIPELINE_RUN_METRICS,
+        "rolling_window_filter": ROLLING_WINDOW_FILTER,
+        "backfill_chunk_assign": BACKFILL_CHUNK_ASSIGN,
+        "backfill_coverage_gaps": BACKFILL_COVERAGE_GAPS,
+        "latest_event_per_user": LATEST_EVENT_PER_USER,
+        "top5_events_per_user": TOP5_EVENTS_PER_USER,
+        "events_props_extract": EVENTS_PROPS_EXTRACT,
+        "stream_bronze_ingest": STREAM_BRONZE_INGEST,
+        "stream_matches_latest": MATCHES_LATEST,
     }

@@ -154,6 +154,23 @@ def documents(snaps: DataFrame) -> DataFrame:
     return data.unionByName(man)
 
 
+def landing_rows(snaps: DataFrame) -> DataFrame:
+    """Documents as rows for the partitioned landing writer: key fields + ``matches``."""
+    docs = snaps.groupBy("comp", "snap_no", "dt", "shard").agg(
+        F.sort_array(F.collect_list(F.struct("match_id", "m"))).alias("ms"))
+    run_id = F.concat_ws("-", F.concat(F.lit("0"), F.col("comp").cast("string")),
+                         F.col("snap_no").cast("string"), F.col("shard").cast("string"))
+    return docs.select(
+        F.lit("matches").alias("endpoint"),
+        _code(F.col("comp")).alias("competition"),
+        F.date_sub("dt", 1).cast("string").alias("dateFrom"),
+        F.date_add("dt", 7).cast("string").alias("dateTo"),
+        F.col("dt").cast("string").alias("dt"),
+        run_id.alias("run_id"),
+        F.transform("ms", lambda x: x["m"]).alias("matches"),
+    )
+
+
 def competitions_documents(region: DataFrame, days: int = SNAPSHOTS_PER_MATCH) -> DataFrame:
     """One competitions document per landing day, listing every region as a competition."""
     rows = region.select(
