@@ -135,11 +135,9 @@ def load_matches(spark: SparkSession, landing: str, lake: Lake, endpoint: str =
         raise RuntimeError(f"No {endpoint} files found with prefix: {prefix}")
     if metrics["files_to_load"] > 0:
         ts = F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp")
-        to_read = paired.select("path").unionByName(
-            paired.where("manifest_found").select(F.col("manifest_path").alias("path")))
-        docs = L.read_documents(spark, to_read)
-        data_docs = docs.join(paired.select("file_key"), "file_key", "left_semi")
-        man_docs = docs.join(paired.select(F.col("manifest_key").alias("file_key")), "file_key", "left_semi")
+        # only pending objects are opened; data and manifests are read separately
+        data_docs = L.read_documents(spark, paired.select("path"))
+        man_docs = L.read_documents(spark, paired.where("manifest_found").select(F.col("manifest_path").alias("path")))
         upsert_by_key_partitions(lake.raw_matches, raw_matches_rows(data_docs, ts, strict))
         upsert_by_key_partitions(lake.raw_manifests, raw_manifest_rows(man_docs, endpoint, strict))
         marks = paired.select("file_key", F.lit(data_ep).alias("endpoint")).unionByName(

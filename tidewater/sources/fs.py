@@ -47,3 +47,14 @@ def list_dirs(uri: str) -> list[str]:
         return []
     infos = fs.get_file_info(pafs.FileSelector(p, recursive=False))
     return sorted(i.base_name for i in infos if i.type == pafs.FileType.Directory)
+
+
+def has_data(uri: str) -> bool:
+    """True when the folder holds any entry other than hidden / marker files
+    (partition folders such as ``_bucket=3`` count as data, as in Spark's listing)."""
+    fs, p = resolve(uri)
+    if fs.get_file_info(p).type == pafs.FileType.NotFound:
+        return False
+    infos = fs.get_file_info(pafs.FileSelector(p, recursive=False))
+    return any(not i.base_name.startswith(("_", ".")) or
+               (i.base_name.startswith("_") and "=" in i.base_name) for i in infos)

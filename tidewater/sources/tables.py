@@ -32,7 +32,8 @@ class Table:
         self.partition_by = partition_by or []
 
     def exists(self) -> bool:
-        return fs.exists(f"{self.path}/_SUCCESS")
+        """Committed and holding data (an empty first write leaves only markers)."""
+        return fs.exists(f"{self.path}/_SUCCESS") and fs.has_data(self.path)
 
     def read(self) -> DataFrame:
         if self.exists():
@@ -76,7 +77,8 @@ class Table:
     def _stage(self, df: DataFrame) -> DataFrame:
         where = f"{self.path}__staging/{uuid.uuid4().hex}"
         self._writer(df).mode("overwrite").save(where)
-        return self.spark.read.parquet(where).select(*df.columns)
+        # explicit schema: an empty stage (a batch that touched nothing) still reads
+        return self.spark.read.schema(df.schema).parquet(where).select(*df.columns)
 
 
 def bucket_of(key: str, buckets: int) -> F.Column:
