@@ -36,7 +36,9 @@ def load_time(day: int) -> str:
 
 
 def fixture_paths(spark: SparkSession, sf_dir: str, tag: str = "fx") -> FixtureLake:
-    root = scratch_dir(spark, tag, digest(os.path.abspath(sf_dir) + FIXTURE_VERSION))
+    # TIDEWATER_FIXTURE_TAG forces a fresh build (the bench times the build itself)
+    generation = os.environ.get("TIDEWATER_FIXTURE_TAG", "")
+    root = scratch_dir(spark, tag, digest(os.path.abspath(sf_dir) + FIXTURE_VERSION + generation))
     return FixtureLake(root, f"{root}/landing", Lake(spark, f"{root}/lake"))
 
 

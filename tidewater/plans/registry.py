@@ -48,6 +48,7 @@ EVENTS_CODES = "click, view,,purchase "
 BACKFILL_START, BACKFILL_END, BACKFILL_DAYS = "2024-01-03", "2024-01-27", 7
 GAPS_START, GAPS_END, GAPS_DAYS = "2024-01-01", "2024-01-30", 2
 # --- end fixed values ---
+STREAM_FILES_PER_TRIGGER = 50  # about one landing day per micro-batch at sf 0.1
 
 
 def as_ntz(df: DataFrame) -> DataFrame:
@@ -270,7 +271,9 @@ def q_league_table_snapshot(spark, sf_dir):
 # ---------------------------------------------------------------- quality / ops
 def _models(spark, sf_dir) -> dict[str, DataFrame]:
     raw = _raw(spark, sf_dir)
-    latest = _latest_of(raw)
+    # four models derive from the latest snapshot: compute it once and cut the
+    # lineage in the shared checkpoint folder (survives executor loss)
+    latest = _latest_of(raw).checkpoint(eager=True)
     return {
         "v_matches": silver.flatten_matches(raw),
         "matches_latest": latest,
@@ -358,7 +361,7 @@ def _stream(spark, sf_dir, latest: bool) -> Lake:
     root, lake = _scratch_lake(spark, "stream")
     load_hour = F.concat(F.col("dt"), F.lit(" 02:00:00")).cast("timestamp")  # fixture: day d loads at 02:00
     stream_bronze_ingest(spark, fx.landing, lake, f"{root}/_checkpoint", loaded_at=load_hour,
-                         max_files_per_trigger=8, latest=latest)
+                         max_files_per_trigger=STREAM_FILES_PER_TRIGGER, latest=latest)
     return lake
 
 

@@ -187,15 +187,31 @@ def competitions_documents(region: DataFrame, days: int = SNAPSHOTS_PER_MATCH) -
 
 
 def write_objects(docs: DataFrame, root: str) -> dict:
-    """Each task writes its own documents as whole objects ``root/key``."""
+    """Each task writes its own documents as whole objects ``root/key``.
+
+    The task function is self-contained (pyarrow only), so executors need
+    nothing but pyspark's own dependencies to run it.
+    """
     root = root.rstrip("/")
 
     def put(batches):
+        from pyarrow import fs as pafs
+
+        if root.startswith("file:") or "://" not in root:
+            base = root[len("file:"):] if root.startswith("file:") else root
+            while base.startswith("//"):
+                base = base[1:]
+            filesystem = pafs.LocalFileSystem()
+        else:
+            filesystem, base = pafs.FileSystem.from_uri(root)
         for pdf in batches:
             sizes = []
             for key, body in zip(pdf["key"], pdf["body"]):
                 data = body.encode("utf-8")
-                fs.write_bytes(f"{root}/{key}", data)
+                path = f"{base}/{key}"
+                filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                with filesystem.open_output_stream(path) as out:  # a retried task rewrites the same bytes
+                    out.write(data)
                 sizes.append(len(data))
             yield pd.DataFrame({"n": [len(sizes)], "bytes": [sum(sizes)]})
 
