@@ -203,3 +203,30 @@ def test_status_outside_list_and_null_status(spark, tmp_root):
     assert rep[("status", "accepted_values")] == (1, "fail")     # one distinct bad value, NULL passes
     assert rep[("status", "not_null")] == (1, "fail")
     assert rep[("match_id", "unique")] == (0, "pass")
+
+
+def test_backfill_run_and_load_latest(spark, tmp_root):
+    from tidewater.plans.loader import load_latest_matches
+    from tidewater.plans.pipeline import run_backfill
+
+    land = f"{tmp_root}/landing"
+    lake = Lake(spark, f"{tmp_root}/lake")
+    with pytest.raises(RuntimeError):
+        run_backfill(spark, land, lake, loaded_at="2024-01-02 02:00:00")
+    put(land, data_key(endpoint="matches_backfill", run="0a"), {"matches": [match(1), match(2, home=3, away=4)]})
+    k2 = data_key(endpoint="matches_backfill", day="2024-01-03", run="0a")
+    put(land, k2, {"matches": [match(1, status="POSTPONED")]})
+    put(land, k2.replace(".json", ".manifest.json"), {"endpoint": "matches_backfill", "record_count": 1})
+    out = run_backfill(spark, land, lake, loaded_at="2024-01-04 02:00:00")
+    assert out["loader"]["files_to_load"] == 2 and out["loader"]["manifests_loaded"] == 1
+    latest = {r.match_id: r.status for r in lake.matches_latest.read().collect()}
+    assert latest == {1: "POSTPONED", 2: "FINISHED"}   # equal load time: the later update wins
+    assert not lake.pipeline_run_metrics.exists()        # the backfill run records no metrics row
+    endpoints = {r.endpoint for r in lake.load_state.read().collect()}
+    assert endpoints == {"matches_backfill", "matches_backfill_manifest"}
+    # load-latest: only the greatest key, ledger untouched
+    put(land, data_key(day="2024-01-05", run="0f"), {"matches": [match(9)]})
+    key = load_latest_matches(spark, land, lake, loaded_at="2024-01-05 02:00:00")
+    assert key.endswith("run_id=0f.json")
+    assert lake.raw_matches.read().where(F.col("file_key") == key).count() == 1
+    assert lake.load_state.read().where(F.col("file_key") == key).count() == 0

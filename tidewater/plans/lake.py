@@ -21,8 +21,14 @@ RUN_METRICS = (
     "dbt_run_duration_sec decimal(38,0), dbt_test_duration_sec decimal(38,0), dbt_test_state string, "
     "created_at timestamp_ntz"
 )
-# keyed silver tables are bucketed on their key so an upsert rewrites only touched buckets
+# keyed silver tables are bucketed on their key so an upsert rewrites only touched buckets;
+# size it so one bucket is a few hundred MB at the target scale (session conf overrides)
 LATEST_BUCKETS = 16
+BUCKETS_CONF = "tidewater.silver.buckets"
+
+
+def silver_buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get(BUCKETS_CONF, str(LATEST_BUCKETS)))
 
 
 @dataclass

@@ -155,3 +155,23 @@ def load_competitions(spark: SparkSession, landing: str, lake: Lake, strict: boo
     rows = raw_competitions_rows(docs, strict)
     upsert_by_key_partitions(lake.raw_competitions, rows)
     return lake.raw_competitions.read().count()
+
+
+def load_latest_matches(spark: SparkSession, landing: str, lake: Lake, endpoint: str = "matches",
+                        loaded_at: str | None = None) -> str:
+    """Upsert only the greatest data key (and its manifest, if landed).
+
+    Ignores the ledger and marks nothing, like the one-off "load latest" job.
+    """
+    prefix = prefix_of(endpoint)
+    objects = L.object_classify(L.list_objects(spark, landing, prefix))
+    latest = L.latest_object(objects).collect()
+    if not latest:
+        raise RuntimeError(f"No {endpoint} files found with prefix: {prefix}")
+    key = latest[0]["latest_key"]
+    ts = F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp")
+    pick = objects.where(F.col("file_key") == key)
+    upsert_by_key_partitions(lake.raw_matches, raw_matches_rows(L.read_documents(spark, pick), ts))
+    man = objects.where((F.col("kind") == "manifest") & (F.col("file_key") == X.manifest_key_for(F.lit(key))))
+    upsert_by_key_partitions(lake.raw_manifests, raw_manifest_rows(L.read_documents(spark, man), endpoint))
+    return key

@@ -20,7 +20,7 @@ from tidewater.operators.keyed import latest_by_key
 from tidewater.operators.quality import PROJECT_TESTS, run_tests, suite_state
 from tidewater.operators.upsert import merge_upsert
 from tidewater.plans import gold, silver
-from tidewater.plans.lake import LATEST_BUCKETS, RUN_METRICS, Lake
+from tidewater.plans.lake import RUN_METRICS, Lake, silver_buckets
 from tidewater.plans.loader import load_matches
 from tidewater.sources.tables import Table, bucket_of
 
@@ -31,9 +31,9 @@ def _with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
     return df.withColumn(BUCKET, bucket_of(key, buckets))
 
 
-def upsert_keyed(table: Table, source: DataFrame, key: str, buckets: int = LATEST_BUCKETS) -> None:
+def upsert_keyed(table: Table, source: DataFrame, key: str, buckets: int | None = None) -> None:
     """merge_upsert of ``source`` into a bucketed table, touching only its buckets."""
-    src = _with_bucket(source, key, buckets)
+    src = _with_bucket(source, key, buckets or silver_buckets(source.sparkSession))
     if not table.exists():
         table.overwrite(src)
         return
@@ -43,9 +43,10 @@ def upsert_keyed(table: Table, source: DataFrame, key: str, buckets: int = LATES
 
 
 def merge_latest(table: Table, batch_latest: DataFrame, key: str, order: Sequence[Column],
-                 buckets: int = LATEST_BUCKETS) -> None:
+                 buckets: int | None = None) -> None:
     """Merge with order comparison: per key keep the first of (target row, batch row)
     in ``order``; on a full tie the batch row wins.  NULL keys never match."""
+    buckets = buckets or silver_buckets(batch_latest.sparkSession)
     src = _with_bucket(batch_latest, key, buckets).withColumn("_from_batch", F.lit(1))
     if not table.exists():
         table.overwrite(src.drop("_from_batch"))
