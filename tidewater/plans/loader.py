@@ -106,8 +106,7 @@ def upsert_by_key_partitions(table, batch: DataFrame, key: str = "file_key") ->
     part = table.partition_by
     batch = batch.cache()
     if table.exists() and part:
-        touched = batch.select(*part).distinct()
-        target = table.read().join(touched, part, "left_semi")  # partition pruning at the scan
+        target = table.read_partitions(batch)  # only the batch's partitions are read and rewritten
         table.replace_partitions(replace_by_key(target, batch, key))
     else:
         table.overwrite(replace_by_key(table.read(), batch, key), reads_self=table.exists())

@@ -37,9 +37,10 @@ def upsert_keyed(table: Table, source: DataFrame, key: str, buckets: int | None
     if not table.exists():
         table.overwrite(src)
         return
-    touched = src.select(BUCKET).distinct()
-    target = table.read().join(touched, BUCKET, "left_semi")
+    src = src.cache()  # used twice: touched buckets, then the merge itself
+    target = table.read_partitions(src)
     table.replace_partitions(merge_upsert(target, src, key))
+    src.unpersist()
 
 
 def merge_latest(table: Table, batch_latest: DataFrame, key: str, order: Sequence[Column],
@@ -51,13 +52,14 @@ def merge_latest(table: Table, batch_latest: DataFrame, key: str, order: Sequenc
     if not table.exists():
         table.overwrite(src.drop("_from_batch"))
         return
-    touched = src.select(BUCKET).distinct()
-    target = table.read().join(touched, BUCKET, "left_semi").withColumn("_from_batch", F.lit(0))
+    src = src.cache()  # used twice: touched buckets, then the merge itself
+    target = table.read_partitions(src).withColumn("_from_batch", F.lit(0))
     both = target.unionByName(src)
     keyed = both.where(F.col(key).isNotNull())
     best = latest_by_key(keyed, [key], [*order, F.col("_from_batch").desc()])
     merged = best.unionByName(both.where(F.col(key).isNull()))
     table.replace_partitions(merged.drop("_from_batch"))
+    src.unpersist()
 
 
 def _drop_bucket(df: DataFrame) -> DataFrame:

@@ -74,6 +74,30 @@ class Table:
         self._writer(staged).mode("overwrite").option("partitionOverwriteMode", "dynamic").save(self.path)
         return self
 
+    def read_partitions(self, touched: DataFrame) -> DataFrame:
+        """Rows of the partitions listed in ``touched`` (partition columns only).
+
+        The touched values are few (days of a batch, hash buckets), so they are
+        collected and applied as a literal filter: static partition pruning at
+        the scan, no join against the whole table.
+        """
+        part = self.partition_by
+        values = [tuple(r) for r in touched.select(*part).distinct().collect()]
+        if not values:
+            return self.read().where(F.lit(False))
+        if len(part) == 1:
+            cond = F.col(part[0]).isin([v[0] for v in values if v[0] is not None])
+            if any(v[0] is None for v in values):
+                cond = cond | F.col(part[0]).isNull()
+        else:
+            cond = F.lit(False)
+            for v in values:
+                one = F.lit(True)
+                for c, x in zip(part, v):
+                    one = one & (F.col(c).isNull() if x is None else (F.col(c) == F.lit(x)))
+                cond = cond | one
+        return self.read().where(cond)
+
     def _stage(self, df: DataFrame) -> DataFrame:
         where = f"{self.path}__staging/{uuid.uuid4().hex}"
         self._writer(df).mode("overwrite").save(where)
