@@ -11,6 +11,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.functions.exprs import split_codes
 
@@ -24,15 +25,28 @@ def _d(x: str | date) -> Column:
     return F.lit(str(x)).cast("date")
 
 
+def _day_range(df: DataFrame, ts: str, lo: Column, hi: Column) -> Column:
+    """``to_date(ts)`` in [lo, hi], written as a range on the raw column
+    (ts >= lo and ts < hi + 1 day) so parquet can push it into the scan."""
+    t = df.schema[ts].dataType
+    c = F.col(ts)
+    if isinstance(t, T.DateType):
+        return c.between(lo, hi)
+    kind = "timestamp_ntz" if isinstance(t, T.TimestampNTZType) else "timestamp"
+    return (c >= lo.cast(kind)) & (c < F.date_add(hi, 1).cast(kind))
+
+
 def rolling_window_filter(df: DataFrame, ts: str, as_of: str | date, back: int = DAYS_BACK,
                           fwd: int = DAYS_FORWARD, codes: str | None = None, code_col: str | None = None) -> DataFrame:
     """Rows whose day lies in [as_of - back, as_of + fwd] (inclusive), optionally
     restricted to a comma-separated code list (blank entries ignored)."""
     lo, hi = F.date_sub(_d(as_of), back), F.date_add(_d(as_of), fwd)
-    day = F.to_date(F.col(ts))
-    out = df.where(day.between(lo, hi))
+    out = df.where(_day_range(df, ts, lo, hi))
     if codes is not None and code_col is not None:
-        out = out.where(F.array_contains(split_codes(F.lit(codes)), F.col(code_col)))
+        # a constant list becomes IN (...), which parquet can push down;
+        # split_codes does the same parse for a list held in a column
+        wanted = [c.strip() for c in codes.split(",") if c.strip()]
+        out = out.where(F.col(code_col).isin(wanted))
     return out.withColumn("window_from", lo).withColumn("window_to", hi)
 
 
@@ -49,7 +63,7 @@ def assign_backfill_chunk(df: DataFrame, ts: str, start: str | date, end: str |
     starting at ``start``; the last chunk is cut at ``end``; rows outside dropped."""
     validate_chunking(start, end, n)
     day = F.to_date(F.col(ts))
-    inside = df.where(day.between(_d(start), _d(end)))
+    inside = df.where(_day_range(df, ts, _d(start), _d(end)))
     chunk = F.floor(F.datediff(day, _d(start)) / n).cast("int")
     date_from = F.date_add(_d(start), chunk * n)
     return (inside.withColumn("chunk_no", chunk)
