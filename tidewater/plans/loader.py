@@ -106,8 +106,12 @@ def upsert_by_key_partitions(table, batch: DataFrame, key: str = "file_key") ->
     part = table.partition_by
     batch = batch.cache()
     if table.exists() and part:
-        target = table.read_partitions(batch)  # only the batch's partitions are read and rewritten
-        table.replace_partitions(replace_by_key(target, batch, key))
+        touched = table.touched(batch)
+        if not table.any_partition_exists(touched):
+            table.append(batch)  # the usual daily case: a new landing day, nothing to replace
+        else:
+            target = table.read_partitions(touched)  # only the batch's partitions are read and rewritten
+            table.replace_partitions(replace_by_key(target, batch, key))
     else:
         table.overwrite(replace_by_key(table.read(), batch, key), reads_self=table.exists())
     batch.unpersist()

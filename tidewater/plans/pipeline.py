@@ -38,7 +38,7 @@ def upsert_keyed(table: Table, source: DataFrame, key: str, buckets: int | None
         table.overwrite(src)
         return
     src = src.cache()  # used twice: touched buckets, then the merge itself
-    target = table.read_partitions(src)
+    target = table.read_partitions(table.touched(src))
     table.replace_partitions(merge_upsert(target, src, key))
     src.unpersist()
 
@@ -53,7 +53,7 @@ def merge_latest(table: Table, batch_latest: DataFrame, key: str, order: Sequenc
         table.overwrite(src.drop("_from_batch"))
         return
     src = src.cache()  # used twice: touched buckets, then the merge itself
-    target = table.read_partitions(src).withColumn("_from_batch", F.lit(0))
+    target = table.read_partitions(table.touched(src)).withColumn("_from_batch", F.lit(0))
     both = target.unionByName(src)
     keyed = both.where(F.col(key).isNotNull())
     best = latest_by_key(keyed, [key], [*order, F.col("_from_batch").desc()])

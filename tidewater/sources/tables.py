@@ -74,15 +74,22 @@ class Table:
         self._writer(staged).mode("overwrite").option("partitionOverwriteMode", "dynamic").save(self.path)
         return self
 
-    def read_partitions(self, touched: DataFrame) -> DataFrame:
-        """Rows of the partitions listed in ``touched`` (partition columns only).
-
-        The touched values are few (days of a batch, hash buckets), so they are
-        collected and applied as a literal filter: static partition pruning at
-        the scan, no join against the whole table.
-        """
+    def touched(self, df: DataFrame) -> list[tuple]:
+        """Distinct partition values of ``df`` (few: days of a batch, hash buckets)."""
+        return [tuple(r) for r in df.select(*self.partition_by).distinct().collect()]
+
+    def any_partition_exists(self, values: list[tuple]) -> bool:
+        """Whether any of the partitions already holds data (folder check, no scan)."""
+        for v in values:
+            rel = "/".join(f"{c}={_escape(x)}" for c, x in zip(self.partition_by, v))
+            if fs.exists(f"{self.path}/{rel}"):
+                return True
+        return False
+
+    def read_partitions(self, values: list[tuple]) -> DataFrame:
+        """Rows of the listed partitions only, as a literal filter: static
+        partition pruning at the scan, no join against the whole table."""
         part = self.partition_by
-        values = [tuple(r) for r in touched.select(*part).distinct().collect()]
         if not values:
             return self.read().where(F.lit(False))
         if len(part) == 1:
@@ -105,6 +112,17 @@ class Table:
         return self.spark.read.schema(df.schema).parquet(where).select(*df.columns)
 
 
+# characters the file source escapes in partition folder names (Hive style)
+_ESCAPED = set('"#%\'*/:=?\\\x7f{[]^')
+
+
+def _escape(value) -> str:
+    if value is None:
+        return "__HIVE_DEFAULT_PARTITION__"
+    text = str(value)
+    return "".join(f"%{ord(ch):02X}" if ch in _ESCAPED or ord(ch) < 0x20 else ch for ch in text)
+
+
 def bucket_of(key: str, buckets: int) -> F.Column:
     """Stable hash bucket of a key: a key never changes bucket."""
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
