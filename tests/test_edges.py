@@ -45,6 +45,8 @@ def test_malformed_json_strict_raises_tolerant_keeps_null(spark, tmp_root):
     lake, m = _load(spark, tmp_root, strict=False)
     rows = lake.raw_matches.read().collect()
     assert len(rows) == 1 and rows[0].payload is None
+    assert m["quarantined"] == 1
+    assert [r.file_key for r in lake.quarantine.read().collect()] == [rows[0].file_key]
 
 
 def test_null_ids_and_missing_objects(spark, tmp_root):

@@ -13,6 +13,7 @@ RAW_MATCHES = ("file_key string, competition_code string, date_from date, date_t
 RAW_MANIFESTS = "file_key string, endpoint string, run_id string, dt date, manifest variant"
 RAW_COMPETITIONS = "file_key string, run_id string, dt date, payload variant"
 LOAD_STATE = "file_key string, endpoint string"
+QUARANTINE = "file_key string, kind string, loaded_at timestamp"
 LOADER_METRICS = ("prefix string, files_discovered bigint, files_to_load bigint, "
                   "data_files_loaded bigint, manifests_loaded bigint")
 RUN_METRICS = (
@@ -52,6 +53,11 @@ class Lake:
     def raw_competitions(self) -> Table:
         return self._t("bronze/raw_competitions", RAW_COMPETITIONS, ["dt"])
 
+    @property
+    def quarantine(self) -> Table:
+        """Keys of documents that failed to parse in tolerant mode (payload kept NULL)."""
+        return self._t("bronze/quarantine", QUARANTINE)
+
     @property
     def load_state(self) -> Table:
         return self._t("bronze/load_state", LOAD_STATE, ["endpoint"])

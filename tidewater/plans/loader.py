@@ -13,6 +13,8 @@ pair pending instead of losing the manifest.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -137,12 +139,29 @@ def load_matches(spark: SparkSession, landing: str, lake: Lake, endpoint: str =
         paired.unpersist()
         raise RuntimeError(f"No {endpoint} files found with prefix: {prefix}")
     if metrics["files_to_load"] > 0:
-        ts = F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp")
+        # one load time for the whole batch, fixed on the driver (a recomputed task sees the same value)
+        loaded_at = loaded_at or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+        ts = F.lit(loaded_at).cast("timestamp")
         # only pending objects are opened; data and manifests are read separately
         data_docs = L.read_documents(spark, paired.select("path"))
         man_docs = L.read_documents(spark, paired.where("manifest_found").select(F.col("manifest_path").alias("path")))
-        upsert_by_key_partitions(lake.raw_matches, raw_matches_rows(data_docs, ts, strict))
-        upsert_by_key_partitions(lake.raw_manifests, raw_manifest_rows(man_docs, endpoint, strict))
+        data_rows = raw_matches_rows(data_docs, ts, strict)
+        man_rows = raw_manifest_rows(man_docs, endpoint, strict)
+        upsert_by_key_partitions(lake.raw_matches, data_rows)
+        upsert_by_key_partitions(lake.raw_manifests, man_rows)
+        if not strict:
+            # tolerant mode: unparsable documents are loaded with a NULL payload,
+            # set aside by key and counted
+            bad = (lake.raw_matches.read().where(F.col("payload").isNull() & (F.col("loaded_at") == ts))
+                   .select("file_key", F.lit("data").alias("kind"), "loaded_at")
+                   .unionByName(lake.raw_manifests.read().where(F.col("manifest").isNull())
+                                .join(paired.select(F.col("manifest_key").alias("file_key")), "file_key", "left_semi")
+                                .select("file_key", F.lit("manifest").alias("kind"), ts.cast("timestamp").alias("loaded_at"))))
+            bad = bad.cache()
+            metrics["quarantined"] = bad.count()
+            if metrics["quarantined"]:
+                lake.quarantine.append(bad)
+            bad.unpersist()
         marks = paired.select("file_key", F.lit(data_ep).alias("endpoint")).unionByName(
             paired.where("manifest_found").select(F.col("manifest_key").alias("file_key"),
                                                   F.lit(manifest_ep).alias("endpoint")))
