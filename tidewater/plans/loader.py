@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import exprs as X
 from tidewater.operators.upsert import insert_if_absent, replace_by_key
 from tidewater.plans.lake import Lake
+from tidewater.session import configure
 from tidewater.sources import landing as L
 
 # --- fixed values: endpoints and their ledger names ---
@@ -126,6 +127,7 @@ def load_matches(spark: SparkSession, landing: str, lake: Lake, endpoint: str =
     Returns the loader metrics record.  ``on_empty``: ``zeros`` (incremental)
     returns zero counters, ``error`` (backfill) raises when nothing is landed.
     """
+    configure(spark)
     prefix = prefix_of(endpoint)
     data_ep, manifest_ep = ENDPOINTS[endpoint]
     objects = L.object_classify(L.list_objects(spark, landing, prefix)).cache()

@@ -22,6 +22,7 @@ from tidewater.operators.upsert import merge_upsert
 from tidewater.plans import gold, silver
 from tidewater.plans.lake import RUN_METRICS, Lake, silver_buckets
 from tidewater.plans.loader import load_matches
+from tidewater.session import configure
 from tidewater.sources.tables import Table, bucket_of
 
 BUCKET = "_bucket"
@@ -127,6 +128,7 @@ def run_daily(spark: SparkSession, landing: str, lake: Lake, endpoint: str = "ma
 
     The metrics row is appended in ``finally``, like an always-run task.
     """
+    configure(spark)
     run_id = run_id or uuid.uuid4().hex
     # one load time for the whole batch, fixed before anything is written
     loaded_at = loaded_at or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")

@@ -20,6 +20,7 @@ from tidewater.plans import silver
 from tidewater.plans.lake import Lake
 from tidewater.plans.loader import raw_matches_rows, upsert_by_key_partitions
 from tidewater.plans.pipeline import matches_latest_order, merge_latest
+from tidewater.session import configure
 
 
 def landing_stream(spark: SparkSession, landing: str, endpoint: str = "matches",
@@ -43,6 +44,8 @@ def stream_bronze_ingest(spark: SparkSession, landing: str, lake: Lake, checkpoi
     ``loaded_at`` defaults to the batch's processing time.
     """
 
+    configure(spark)
+
     def sink(batch: DataFrame, epoch: int) -> None:
         # one load time per micro-batch, fixed on the driver so a recomputed
         # partition gets the same value
