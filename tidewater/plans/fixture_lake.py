@@ -8,6 +8,8 @@ simply redone (all writes are deterministic and keyed).
 from __future__ import annotations
 
 import os
+import threading
+import uuid
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -19,7 +21,7 @@ from tidewater.session import configure, digest, scratch_dir
 from tidewater.sources import fs
 from tidewater.sources.fixture import FIXTURE_EPOCH, SNAPSHOTS_PER_MATCH, land_day
 
-FIXTURE_VERSION = "3"
+FIXTURE_VERSION = "4"
 LOAD_HOUR = "02:00:00"
 
 
@@ -35,21 +37,50 @@ def load_time(day: int) -> str:
     return f"{d.isoformat()} {LOAD_HOUR}"
 
 
-def fixture_paths(spark: SparkSession, sf_dir: str, tag: str = "fx") -> FixtureLake:
+def _root(spark: SparkSession, sf_dir: str, tag: str) -> str:
     # TIDEWATER_FIXTURE_TAG forces a fresh build (the bench times the build itself)
     generation = os.environ.get("TIDEWATER_FIXTURE_TAG", "")
-    root = scratch_dir(spark, tag, digest(os.path.abspath(sf_dir) + FIXTURE_VERSION + generation))
+    return scratch_dir(spark, tag, digest(os.path.abspath(sf_dir) + FIXTURE_VERSION + generation))
+
+
+def _at(spark: SparkSession, root: str) -> FixtureLake:
     return FixtureLake(root, f"{root}/landing", Lake(spark, f"{root}/lake"))
 
 
-def fixture_lake(spark: SparkSession, sf_dir: str) -> FixtureLake:
+def _built(spark: SparkSession, root: str) -> FixtureLake | None:
+    marker = f"{root}/_BUILT"
+    if not fs.exists(marker):
+        return None
+    sub = fs.read_text(marker).strip()
+    return _at(spark, f"{root}/{sub}" if sub else root)
+
+
+_BUILD_LOCK = threading.Lock()
+
+
+def fixture_lake(spark: SparkSession, sf_dir: str, tag: str = "fx") -> FixtureLake:
+    """The built fixture lake; built on first use.
+
+    Each build goes to a fresh sub-folder and ``_BUILT`` (written last) names
+    it, so an interrupted build is never resumed half-way.
+    """
     configure(spark)
-    fx = fixture_paths(spark, sf_dir)
-    if fs.exists(f"{fx.root}/_BUILT"):
+    root = _root(spark, sf_dir, tag)
+    fx = _built(spark, root)
+    if fx is not None:
         return fx
+    with _BUILD_LOCK:  # queries of one process may be called from several threads
+        fx = _built(spark, root)
+        if fx is not None:
+            return fx
+        build = f"build-{uuid.uuid4().hex[:12]}"
+        _build(spark, sf_dir, _at(spark, f"{root}/{build}"))
+        fs.touch(f"{root}/_BUILT", build)
+        return _built(spark, root)
+
+
+def _build(spark: SparkSession, sf_dir: str, fx: FixtureLake) -> None:
     for day in range(SNAPSHOTS_PER_MATCH):
         land_day(spark, sf_dir, fx.landing, day)
         load_matches(spark, fx.landing, fx.lake, "matches", loaded_at=load_time(day))
     load_competitions(spark, fx.landing, fx.lake)
-    fs.touch(f"{fx.root}/_BUILT")
-    return fx

@@ -58,3 +58,9 @@ def has_data(uri: str) -> bool:
     infos = fs.get_file_info(pafs.FileSelector(p, recursive=False))
     return any(not i.base_name.startswith(("_", ".")) or
                (i.base_name.startswith("_") and "=" in i.base_name) for i in infos)
+
+
+def read_text(uri: str) -> str:
+    fs, p = resolve(uri)
+    with fs.open_input_stream(p) as f:
+        return f.read().decode()
