@@ -15,6 +15,11 @@ FINISHED = "FINISHED"
 # --- end fixed values ---
 
 
+# v_matches columns the marts read (pass to flatten_matches(columns=...) to decode only these)
+GOLD_NEEDS = ["match_id", "last_updated", "utc_date", "status", "season_id", "competition_code_in_payload", "winner",
+              "home_team_id", "home_team_name", "away_team_id", "away_team_name", "ft_home_goals", "ft_away_goals"]
+
+
 def _side(gf: str, ga: str, win: str, loss: str) -> dict:
     winner = F.col("winner")
     return {

@@ -67,12 +67,14 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fx(spark, sf_dir).lake.raw_matches.read()
 
 
-def _latest_of(raw: DataFrame) -> DataFrame:
-    return silver.matches_latest(silver.flatten_matches(raw, keep_pos=True))
+def _latest_of(raw: DataFrame, needs: list[str] | None = None) -> DataFrame:
+    """Latest snapshot per match; ``needs`` limits the decoded fields."""
+    cols = None if needs is None else [*silver.LATEST_NEEDS, *needs]
+    return silver.matches_latest(silver.flatten_matches(raw, keep_pos=True, columns=cols))
 
 
-def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _latest_of(_raw(spark, sf_dir))
+def _latest(spark: SparkSession, sf_dir: str, needs: list[str] | None = None) -> DataFrame:
+    return _latest_of(_raw(spark, sf_dir), needs)
 
 
 def _objects(spark: SparkSession, fx: FixtureLake) -> DataFrame:
@@ -244,7 +246,7 @@ def q_matches_latest_merge(spark, sf_dir):
 
 
 def q_teams_dim(spark, sf_dir):
-    return as_ntz(silver.teams(_latest(spark, sf_dir)).drop("updated_at"))
+    return as_ntz(silver.teams(_latest(spark, sf_dir, silver.TEAMS_NEEDS)).drop("updated_at"))
 
 
 def q_teams_merge(spark, sf_dir):
@@ -257,15 +259,15 @@ def q_teams_merge(spark, sf_dir):
 
 
 def q_team_results_long(spark, sf_dir):
-    return as_ntz(gold.team_results_long(_latest(spark, sf_dir)))
+    return as_ntz(gold.team_results_long(_latest(spark, sf_dir, gold.GOLD_NEEDS)))
 
 
 def q_team_form_last5(spark, sf_dir):
-    return as_ntz(gold.team_form(_latest(spark, sf_dir), 5))
+    return as_ntz(gold.team_form(_latest(spark, sf_dir, gold.GOLD_NEEDS), 5))
 
 
 def q_league_table_snapshot(spark, sf_dir):
-    return as_ntz(gold.league_table(_latest(spark, sf_dir)))
+    return as_ntz(gold.league_table(_latest(spark, sf_dir, gold.GOLD_NEEDS)))
 
 
 # ---------------------------------------------------------------- quality / ops

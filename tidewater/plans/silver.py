@@ -15,73 +15,76 @@ from tidewater.operators.unpivot import two_sided_unpivot
 
 NUM = "decimal(38,6)"  # JSON numbers are decoded exactly, then rounded to whole numbers
 
-# Shape of one element of ``$.matches`` (unknown fields ignored, missing -> NULL).
-MATCH_SCHEMA = (
-    f"struct<id {NUM}, utcDate timestamp, status string, stage string, `group` string, "
-    f"matchday {NUM}, lastUpdated timestamp, "
-    f"competition struct<id {NUM}, code string, name string, type string>, "
-    f"season struct<id {NUM}, startDate date, endDate date, currentMatchday {NUM}>, "
-    f"homeTeam struct<id {NUM}, name string, shortName string, tla string, crest string>, "
-    f"awayTeam struct<id {NUM}, name string, shortName string, tla string, crest string>, "
-    f"score struct<winner string, duration string, fullTime struct<home {NUM}, away {NUM}>, "
-    f"halfTime struct<home {NUM}, away {NUM}>>>"
-)
+# v_matches typed columns: output name -> (path inside one ``$.matches`` element, type).
+# NUM fields are rounded to whole numbers like a scale-0 NUMBER cast.
+MATCH_FIELDS = {
+    "match_id": ("id", NUM),
+    "utc_date": ("utcDate", "timestamp"),
+    "status": ("status", "string"),
+    "stage": ("stage", "string"),
+    "match_group": ("group", "string"),
+    "matchday": ("matchday", NUM),
+    "last_updated": ("lastUpdated", "timestamp"),
+    "competition_id": ("competition.id", NUM),
+    "competition_code_in_payload": ("competition.code", "string"),
+    "competition_name": ("competition.name", "string"),
+    "competition_type": ("competition.type", "string"),
+    "season_id": ("season.id", NUM),
+    "season_start_date": ("season.startDate", "date"),
+    "season_end_date": ("season.endDate", "date"),
+    "season_current_matchday": ("season.currentMatchday", NUM),
+    **{f"{side}_team_{name}": (f"{side}Team.{key}", NUM if key == "id" else "string")
+       for side in ("home", "away")
+       for name, key in (("id", "id"), ("name", "name"), ("short_name", "shortName"), ("tla", "tla"), ("crest", "crest"))},
+    "winner": ("score.winner", "string"),
+    "duration": ("score.duration", "string"),
+    "ft_home_goals": ("score.fullTime.home", NUM),
+    "ft_away_goals": ("score.fullTime.away", NUM),
+    "ht_home_goals": ("score.halfTime.home", NUM),
+    "ht_away_goals": ("score.halfTime.away", NUM),
+}
 
 LINEAGE = ["file_key", "competition_code", "date_from", "date_to", "run_id", "dt", "loaded_at"]
 
 
-def _whole(c) -> F.Column:
-    # a scale-0 NUMBER cast rounds (half away from zero); Spark's round is HALF_UP
-    return F.round(c, 0).cast("bigint")
+def _struct_type(paths: list[tuple[str, str]]) -> str:
+    """DDL of the nested struct holding exactly the given (dotted path, type) leaves."""
+    tree: dict = {}
+    for path, typ in paths:
+        node = tree
+        *parents, leaf = path.split(".")
+        for p in parents:
+            node = node.setdefault(p, {})
+        node[leaf] = typ
 
+    def ddl(node: dict) -> str:
+        return "struct<" + ", ".join(
+            f"`{k}` {ddl(v) if isinstance(v, dict) else v}" for k, v in node.items()) + ">"
+    return ddl(tree)
 
-def flatten_matches(raw: DataFrame, keep_pos: bool = False) -> DataFrame:
+
+def flatten_matches(raw: DataFrame, keep_pos: bool = False, columns: list[str] | None = None) -> DataFrame:
     """v_matches: one typed row per element of ``payload:matches``.
 
     Inner lateral flatten: a document whose ``matches`` is missing, JSON
-    null or empty contributes no row.
+    null or empty contributes no row.  Each element is decoded once into a
+    struct holding only the fields of ``columns`` (all by default): a
+    consumer that needs a dozen fields does not pay for thirty-one.
     """
+    wanted = [c for c in MATCH_FIELDS if columns is None or c in columns]
     src = raw.select(*LINEAGE, "payload")
     exploded = src.lateralJoin(
         src.sparkSession.tvf.variant_explode(F.variant_get(F.col("payload").outer(), "$.matches", "variant"))
     ).drop("payload", "key")
-    m = F.variant_get(F.col("value"), "$", MATCH_SCHEMA)
+    m = F.variant_get(F.col("value"), "$", _struct_type([MATCH_FIELDS[c] for c in wanted]))
     s = exploded.select(*LINEAGE, "pos", m.alias("m"))
-    cols = [
-        *[F.col(c) for c in LINEAGE],
-        _whole(F.col("m.id")).alias("match_id"),
-        F.col("m.utcDate").alias("utc_date"),
-        F.col("m.status").alias("status"),
-        F.col("m.stage").alias("stage"),
-        F.col("m.group").alias("match_group"),
-        _whole(F.col("m.matchday")).alias("matchday"),
-        F.col("m.lastUpdated").alias("last_updated"),
-        _whole(F.col("m.competition.id")).alias("competition_id"),
-        F.col("m.competition.code").alias("competition_code_in_payload"),
-        F.col("m.competition.name").alias("competition_name"),
-        F.col("m.competition.type").alias("competition_type"),
-        _whole(F.col("m.season.id")).alias("season_id"),
-        F.col("m.season.startDate").alias("season_start_date"),
-        F.col("m.season.endDate").alias("season_end_date"),
-        _whole(F.col("m.season.currentMatchday")).alias("season_current_matchday"),
-    ]
-    for side in ("home", "away"):
-        t = f"m.{side}Team"
-        cols += [
-            _whole(F.col(f"{t}.id")).alias(f"{side}_team_id"),
-            F.col(f"{t}.name").alias(f"{side}_team_name"),
-            F.col(f"{t}.shortName").alias(f"{side}_team_short_name"),
-            F.col(f"{t}.tla").alias(f"{side}_team_tla"),
-            F.col(f"{t}.crest").alias(f"{side}_team_crest"),
-        ]
-    cols += [
-        F.col("m.score.winner").alias("winner"),
-        F.col("m.score.duration").alias("duration"),
-        _whole(F.col("m.score.fullTime.home")).alias("ft_home_goals"),
-        _whole(F.col("m.score.fullTime.away")).alias("ft_away_goals"),
-        _whole(F.col("m.score.halfTime.home")).alias("ht_home_goals"),
-        _whole(F.col("m.score.halfTime.away")).alias("ht_away_goals"),
-    ]
+    cols = [F.col(c) for c in LINEAGE]
+    for name in wanted:
+        path, typ = MATCH_FIELDS[name]
+        c = F.col("m")
+        for part in path.split("."):
+            c = c.getField(part)
+        cols.append((F.round(c, 0).cast("bigint") if typ == NUM else c).alias(name))
     if keep_pos:
         cols.append(F.col("pos"))
     return s.select(*cols)
@@ -109,12 +112,17 @@ def latest_order() -> list:
 
 
 def to_latest_shape(df: DataFrame) -> DataFrame:
-    """Rename to the matches_latest layout (payload code wins the name)."""
-    return df.select(
-        *[F.col(c) for c in MATCH_COLUMNS if c not in ("competition_code", "competition_code_from_run")],
-        F.col("competition_code_in_payload").alias("competition_code"),
-        F.col("competition_code").alias("competition_code_from_run"),
-    ).select(*MATCH_COLUMNS)
+    """Rename to the matches_latest layout (payload code wins the name);
+    columns the input does not carry are left out."""
+    source = {"competition_code": "competition_code_in_payload", "competition_code_from_run": "competition_code"}
+    have = set(df.columns)
+    return df.select(*[F.col(source.get(c, c)).alias(c) for c in MATCH_COLUMNS if source.get(c, c) in have])
+
+
+# v_matches columns the downstream models read (besides the lineage columns)
+LATEST_NEEDS = ["match_id", "last_updated"]
+TEAMS_NEEDS = ["competition_code_in_payload", "season_id", "utc_date",
+               *[f"{s}_team_{a}" for s in ("home", "away") for a in ("id", "name", "short_name", "tla", "crest")]]
 
 
 def matches_latest(flat_with_pos: DataFrame) -> DataFrame:
