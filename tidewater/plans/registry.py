@@ -277,7 +277,7 @@ def _models(spark, sf_dir) -> dict[str, DataFrame]:
     # lineage in the shared checkpoint folder (survives executor loss)
     latest = _latest_of(raw).checkpoint(eager=True)
     return {
-        "v_matches": silver.flatten_matches(raw),
+        "v_matches": silver.flatten_matches(raw, columns=[t.column for t in PROJECT_TESTS if t.model == "v_matches"]),
         "matches_latest": latest,
         "teams": silver.teams(latest),
         "team_form_last5": gold.team_form(latest, 5),
