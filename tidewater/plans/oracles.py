@@ -223,8 +223,9 @@ LATEST_OBJECT = FX + "\nSELECT max(file_key) AS latest_key FROM v_matches\n"
 
 _COMP_DAYS = """(SELECT CAST(range AS INTEGER) AS d FROM range(3)) days"""
 COMPETITIONS_FLATTEN = f"""
-SELECT 'endpoint=competitions/dt=' || strftime(DATE '2024-01-01' + d, {KEY_DATE}) || '/run_id=0c-' || d || '.json' AS file_key,
-       '0c-' || d AS run_id,
+SELECT 'endpoint=competitions/dt=' || strftime(DATE '2024-01-01' + d, {KEY_DATE}) || '/run_id=0c-' || d || '-'
+         || (r_regionkey // 2000) || '.json' AS file_key,
+       '0c-' || d || '-' || (r_regionkey // 2000) AS run_id,
        CAST(DATE '2024-01-01' + d AS DATE) AS dt,
        CAST(r_regionkey AS BIGINT) + 2000 AS competition_id,
        upper(substr(r_name, 1, 3)) AS code,
@@ -233,11 +234,13 @@ FROM region CROSS JOIN {_COMP_DAYS}
 """
 
 RAW_COMPETITIONS_UPSERT = f"""
-SELECT 'endpoint=competitions/dt=' || strftime(DATE '2024-01-01' + d, {KEY_DATE}) || '/run_id=0c-' || d || '.json' AS file_key,
-       '0c-' || d AS run_id,
+SELECT 'endpoint=competitions/dt=' || strftime(DATE '2024-01-01' + d, {KEY_DATE}) || '/run_id=0c-' || d || '-'
+         || shard || '.json' AS file_key,
+       '0c-' || d || '-' || shard AS run_id,
        CAST(DATE '2024-01-01' + d AS DATE) AS dt,
-       (SELECT CAST(count(*) AS BIGINT) FROM region) AS n_competitions
+       n_competitions
 FROM {_COMP_DAYS}
+CROSS JOIN (SELECT r_regionkey // 2000 AS shard, CAST(count(*) AS BIGINT) AS n_competitions FROM region GROUP BY 1) s
 """
 
 LANDING_WRITE = FX + _FILES + f"""

@@ -172,17 +172,21 @@ def landing_rows(snaps: DataFrame) -> DataFrame:
 
 
 def competitions_documents(region: DataFrame, days: int = SNAPSHOTS_PER_MATCH) -> DataFrame:
-    """One competitions document per landing day, listing every region as a competition."""
+    """Competitions documents per landing day, listing every region as a competition
+    (at most DOC_MAX_MATCHES entries per document, like the match documents)."""
     rows = region.select(
         (F.col("r_regionkey").cast("bigint") + 2000).alias("id"),
         F.upper(F.substring("r_name", 1, 3)).alias("code"),
         F.col("r_name").alias("name"),
+        F.floor(F.col("r_regionkey") / DOC_MAX_MATCHES).alias("shard"),
     )
-    doc = rows.agg(F.sort_array(F.collect_list(F.struct("id", "code", "name"))).alias("competitions"))
+    docs = rows.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("id", "code", "name"))).alias("competitions"))
     day = F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("snap_no")
-    d = doc.select(day, "competitions").withColumn("dt", F.date_add(F.lit(FIXTURE_EPOCH).cast("date"), F.col("snap_no")))
+    d = docs.select(day, "shard", "competitions").withColumn(
+        "dt", F.date_add(F.lit(FIXTURE_EPOCH).cast("date"), F.col("snap_no")))
     key = F.concat(F.lit("endpoint=competitions/dt="), F.col("dt").cast("string"),
-                   F.lit("/run_id=0c-"), F.col("snap_no").cast("string"), F.lit(".json"))
+                   F.lit("/run_id=0c-"), F.col("snap_no").cast("string"), F.lit("-"),
+                   F.col("shard").cast("string"), F.lit(".json"))
     return d.select("snap_no", key.alias("key"), F.to_json(F.struct("competitions")).alias("body"))
 
 
