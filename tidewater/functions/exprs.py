@@ -51,8 +51,3 @@ def relative_key(path: Column, anchor: str = "endpoint=") -> Column:
 def split_codes(s: Column) -> Column:
     """'PL, SA,,BL1 ' -> ['PL','SA','BL1']: split on comma, trim, drop blanks."""
     return F.filter(F.transform(F.split(s, ","), lambda x: F.trim(x)), lambda x: x != "")
-
-
-def variant_number(v: Column, path: str) -> Column:
-    """Variant path cast to a whole number, rounding like a scale-0 NUMBER cast."""
-    return F.round(F.try_variant_get(v, path, "decimal(38,6)"), 0).cast("bigint")

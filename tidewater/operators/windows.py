@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.functions.exprs import split_codes
 
 # --- fixed values: window parameters of the ingest jobs ---
 DAYS_BACK, DAYS_FORWARD = 1, 7

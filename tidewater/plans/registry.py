@@ -36,7 +36,6 @@ from tidewater.plans.pipeline import run_metrics_row, upsert_keyed
 from tidewater.session import configure, scratch_dir
 from tidewater.sources import landing as L
 from tidewater.sources.fixture import landing_rows, snapshots
-from tidewater.sources.tables import Table
 from tidewater.streaming.ingest import stream_bronze_ingest
 
 MATCHES = "matches"

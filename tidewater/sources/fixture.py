@@ -17,7 +17,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.sources import fs
 
 # --- fixed values of the fixture (FIXTURES.md section 4) ---
 COMPETITION_CODES = ["PL", "SA", "BL1", "PD", "FL1"]

@@ -40,15 +40,6 @@ def touch(uri: str, text: str = "") -> None:
     write_bytes(uri, text.encode())
 
 
-def list_dirs(uri: str) -> list[str]:
-    """Names of the direct sub-folders (empty if the folder is absent)."""
-    fs, p = resolve(uri)
-    if fs.get_file_info(p).type == pafs.FileType.NotFound:
-        return []
-    infos = fs.get_file_info(pafs.FileSelector(p, recursive=False))
-    return sorted(i.base_name for i in infos if i.type == pafs.FileType.Directory)
-
-
 def has_data(uri: str) -> bool:
     """True when the folder holds any entry other than hidden / marker files
     (partition folders such as ``_bucket=3`` count as data, as in Spark's listing)."""
