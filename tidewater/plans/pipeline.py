@@ -36,11 +36,11 @@ def upsert_keyed(table: Table, source: DataFrame, key: str, buckets: int | None
     """merge_upsert of ``source`` into a bucketed table, touching only its buckets."""
     src = _with_bucket(source, key, buckets or silver_buckets(source.sparkSession))
     if not table.exists():
-        table.overwrite(src)
+        table.overwrite(_by_bucket(src))
         return
     src = src.cache()  # used twice: touched buckets, then the merge itself
     target = table.read_partitions(table.touched(src))
-    table.replace_partitions(merge_upsert(target, src, key))
+    table.replace_partitions(_by_bucket(merge_upsert(target, src, key)))
     src.unpersist()
 
 
@@ -51,7 +51,7 @@ def merge_latest(table: Table, batch_latest: DataFrame, key: str, order: Sequenc
     buckets = buckets or silver_buckets(batch_latest.sparkSession)
     src = _with_bucket(batch_latest, key, buckets).withColumn("_from_batch", F.lit(1))
     if not table.exists():
-        table.overwrite(src.drop("_from_batch"))
+        table.overwrite(_by_bucket(src.drop("_from_batch")))
         return
     src = src.cache()  # used twice: touched buckets, then the merge itself
     target = table.read_partitions(table.touched(src)).withColumn("_from_batch", F.lit(0))
@@ -59,10 +59,16 @@ def merge_latest(table: Table, batch_latest: DataFrame, key: str, order: Sequenc
     keyed = both.where(F.col(key).isNotNull())
     best = latest_by_key(keyed, [key], [*order, F.col("_from_batch").desc()])
     merged = best.unionByName(both.where(F.col(key).isNull()))
-    table.replace_partitions(merged.drop("_from_batch"))
+    table.replace_partitions(_by_bucket(merged.drop("_from_batch")))
     src.unpersist()
 
 
+def _by_bucket(df: DataFrame) -> DataFrame:
+    """One writer task per bucket, so each bucket folder gets one file instead
+    of one per upstream task (buckets are hash-balanced: no skew)."""
+    return df.repartition(BUCKET)
+
+
 def _drop_bucket(df: DataFrame) -> DataFrame:
     return df.drop(BUCKET)
 
