@@ -76,3 +76,34 @@ def test_league_and_form_invariants(spark):
     assert form.where("games_played_last5 > 5").count() == 0
     assert form.where("wins_last5 + draws_last5 + losses_last5 > games_played_last5").count() == 0
     assert table.where("wins + draws + losses > played").count() == 0
+
+
+def test_incremental_gold_drops_emptied_groups_and_keeps_others(spark, tmp_path):
+    from helpers import data_key, match, put
+
+    land = str(tmp_path / "landing")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    put(land, data_key(run="0a"), {"matches": [
+        match(1, home=1, away=2, season=11), match(2, home=3, away=4, season=12),
+        match(3, home=5, away=6, season=21, comp="SA")]})
+    run_daily(spark, land, lake, loaded_at="2024-01-02 02:00:00", run_id="a")
+    before = {(r.competition_code, r.season_id, r.team_id) for r in lake.league_table_snapshot.read().collect()}
+    assert ("PL", 12, 3) in before and ("SA", 21, 5) in before
+    # day 2: the only finished match of PL season 12 is re-published as postponed
+    put(land, data_key(day="2024-01-03", run="0b"), {"matches": [match(2, home=3, away=4, season=12,
+                                                                        status="POSTPONED", winner=None)]})
+    run_daily(spark, land, lake, loaded_at="2024-01-03 02:00:00", run_id="b")
+    after = {(r.competition_code, r.season_id, r.team_id) for r in lake.league_table_snapshot.read().collect()}
+    assert after == before - {("PL", 12, 3), ("PL", 12, 4)}
+    # the incremental result equals a full rebuild from the merged latest table
+    full = gold_league_from(lake)
+    got = lake.league_table_snapshot.read()
+    assert got.exceptAll(full.select(got.columns)).count() == 0 and full.select(got.columns).exceptAll(got).count() == 0
+    form = {(r.competition_code, r.team_id) for r in lake.team_form_last5.read().collect()}
+    assert ("PL", 3) not in form and ("SA", 5) in form
+
+
+def gold_league_from(lake):
+    from tidewater.plans import gold
+
+    return gold.league_table(lake.matches_latest.read().drop("_bucket"))

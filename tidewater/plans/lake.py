@@ -22,6 +22,11 @@ RUN_METRICS = (
     "dbt_run_duration_sec decimal(38,0), dbt_test_duration_sec decimal(38,0), dbt_test_state string, "
     "created_at timestamp_ntz"
 )
+FORM_COLUMNS = ["competition_code", "team_id", "team_name", "games_played_last5", "wins_last5", "draws_last5",
+                "losses_last5", "goals_for_last5", "goals_against_last5", "goal_diff_last5", "points_last5",
+                "last_match_utc"]
+LEAGUE_COLUMNS = ["competition_code", "season_id", "team_id", "team_name", "played", "wins", "draws", "losses",
+                  "goals_for", "goals_against", "goal_diff", "points", "as_of_utc", "rank"]
 # keyed silver tables are bucketed on their key so an upsert rewrites only touched buckets;
 # size it so one bucket is a few hundred MB at the target scale (session conf overrides)
 LATEST_BUCKETS = 16
@@ -37,8 +42,8 @@ class Lake:
     spark: SparkSession
     root: str
 
-    def _t(self, rel: str, schema=None, partition_by=None) -> Table:
-        return Table(self.spark, f"{self.root.rstrip('/')}/{rel}", schema, partition_by)
+    def _t(self, rel: str, schema=None, partition_by=None, columns=None) -> Table:
+        return Table(self.spark, f"{self.root.rstrip('/')}/{rel}", schema, partition_by, columns)
 
     # bronze: raw documents keyed by file_key, partitioned by landing day
     @property
@@ -71,13 +76,15 @@ class Lake:
     def teams(self) -> Table:
         return self._t("silver/teams", None, ["_bucket"])
 
+    # gold marts are partitioned by the groups they are computed over, so a run
+    # rewrites only the competitions / seasons its batch touched
     @property
     def team_form_last5(self) -> Table:
-        return self._t("gold/team_form_last5")
+        return self._t("gold/team_form_last5", None, ["competition_code"], FORM_COLUMNS)
 
     @property
     def league_table_snapshot(self) -> Table:
-        return self._t("gold/league_table_snapshot")
+        return self._t("gold/league_table_snapshot", None, ["competition_code", "season_id"], LEAGUE_COLUMNS)
 
     # ops
     @property

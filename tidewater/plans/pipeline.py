@@ -23,7 +23,7 @@ from tidewater.plans import gold, silver
 from tidewater.plans.lake import RUN_METRICS, Lake, silver_buckets
 from tidewater.plans.loader import load_matches
 from tidewater.session import configure
-from tidewater.sources.tables import Table, bucket_of
+from tidewater.sources.tables import Table, bucket_of, values_filter
 
 BUCKET = "_bucket"
 
@@ -80,18 +80,47 @@ def matches_latest_order() -> list[Column]:
 
 
 def refresh_models(spark: SparkSession, lake: Lake, loaded_at: str | None = None) -> dict[str, DataFrame]:
-    """Silver merges and gold rebuilds.  ``loaded_at`` limits the flatten to the
-    raw rows of that load (parquet min/max stats skip older row groups);
-    ``None`` recomputes from all raw rows."""
+    """Silver merges and gold refresh.
+
+    ``loaded_at`` limits the flatten to the raw rows of that load (parquet
+    min/max statistics skip older row groups); ``None`` recomputes from all
+    raw rows.  Only what the batch can change is recomputed: teams seen in
+    the batch, and the competitions / seasons of the batch's matches (before
+    and after the merge); those gold partitions are swapped, others kept.
+    """
     raw = lake.raw_matches.read()
     if loaded_at is not None:
         raw = raw.where(F.col("loaded_at") == F.lit(loaded_at).cast("timestamp"))
-    batch_latest = silver.matches_latest(silver.flatten_matches(raw, keep_pos=True))
+    batch_latest = silver.matches_latest(silver.flatten_matches(raw, keep_pos=True)).cache()
+    groups = ["competition_code", "season_id"]
+    incremental = lake.matches_latest.exists() and lake.league_table_snapshot.exists()
+    if incremental:
+        # the groups of the rows this batch may replace, read before the merge rewrites them
+        before = _drop_bucket(lake.matches_latest.read()).join(batch_latest.select("match_id"), "match_id", "left_semi")
+        touched_ids = before.select("home_team_id", "away_team_id").unionByName(
+            batch_latest.select("home_team_id", "away_team_id"))
+        touched_ids = touched_ids.select(F.explode(F.array("home_team_id", "away_team_id")).alias("team_id")) \
+            .where(F.col("team_id").isNotNull()).distinct().checkpoint(eager=True)
+        # (competition, season) pairs: bounded by competitions x seasons, so collected
+        seasons = [tuple(r) for r in before.select(*groups).unionByName(batch_latest.select(*groups))
+                   .distinct().collect()]
     merge_latest(lake.matches_latest, batch_latest, "match_id", matches_latest_order())
+    batch_latest.unpersist()
     latest = _drop_bucket(lake.matches_latest.read())
-    upsert_keyed(lake.teams, silver.teams(latest), "team_id")
-    lake.team_form_last5.overwrite(gold.team_form(latest, 5))
-    lake.league_table_snapshot.overwrite(gold.league_table(latest))
+    if not incremental:
+        upsert_keyed(lake.teams, silver.teams(latest), "team_id")
+        lake.team_form_last5.overwrite(gold.team_form(latest, 5))
+        lake.league_table_snapshot.overwrite(gold.league_table(latest))
+        return models(lake)
+    # teams: only the teams that appear in the batch (before or after) are re-derived
+    sides = silver.team_sides(latest).join(touched_ids, "team_id", "left_semi")
+    upsert_keyed(lake.teams, silver.teams_from_sides(sides), "team_id")
+    if seasons:
+        league_in = latest.where(values_filter(groups, seasons))
+        lake.league_table_snapshot.replace_groups(gold.league_table(league_in), seasons)
+        comps = sorted({(c,) for c, _ in seasons}, key=lambda v: (v[0] is None, v[0] or ""))
+        form_in = latest.where(values_filter(["competition_code"], comps))
+        lake.team_form_last5.replace_groups(gold.team_form(form_in, 5), comps)
     return models(lake)
 
 

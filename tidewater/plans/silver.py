@@ -160,7 +160,11 @@ def team_order() -> list:
 
 def teams(latest: DataFrame, updated_at: F.Column | None = None) -> DataFrame:
     """Team dimension: each team's attributes as seen in its latest match."""
-    one = latest_by_key(team_sides(latest), ["team_id"], team_order())
+    return teams_from_sides(team_sides(latest), updated_at)
+
+
+def teams_from_sides(sides: DataFrame, updated_at: F.Column | None = None) -> DataFrame:
+    one = latest_by_key(sides, ["team_id"], team_order())
     return one.select(
         *TEAM_ATTRS, "competition_code", "season_id",
         F.col("utc_date").alias("last_seen_utc_date"),

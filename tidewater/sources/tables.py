@@ -25,11 +25,12 @@ from tidewater.sources import fs
 
 class Table:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-                 partition_by: list[str] | None = None):
+                 partition_by: list[str] | None = None, columns: list[str] | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.partition_by = partition_by or []
+        self.columns = columns  # column order of reads (partition columns come back last otherwise)
 
     def exists(self) -> bool:
         """Committed and holding data (an empty first write leaves only markers)."""
@@ -42,6 +43,8 @@ class Table:
                 cols = [f.name for f in (self.schema.fields if isinstance(self.schema, T.StructType)
                                          else self.spark.createDataFrame([], self.schema).schema.fields)]
                 df = df.select(*cols)
+            elif self.columns is not None:
+                df = df.select(*self.columns)
             return df
         if self.schema is None:
             raise FileNotFoundError(self.path)
@@ -89,21 +92,26 @@ class Table:
     def read_partitions(self, values: list[tuple]) -> DataFrame:
         """Rows of the listed partitions only, as a literal filter: static
         partition pruning at the scan, no join against the whole table."""
-        part = self.partition_by
         if not values:
             return self.read().where(F.lit(False))
-        if len(part) == 1:
-            cond = F.col(part[0]).isin([v[0] for v in values if v[0] is not None])
-            if any(v[0] is None for v in values):
-                cond = cond | F.col(part[0]).isNull()
-        else:
-            cond = F.lit(False)
-            for v in values:
-                one = F.lit(True)
-                for c, x in zip(part, v):
-                    one = one & (F.col(c).isNull() if x is None else (F.col(c) == F.lit(x)))
-                cond = cond | one
-        return self.read().where(cond)
+        return self.read().where(values_filter(self.partition_by, values))
+
+    def replace_groups(self, df: DataFrame, expected: list[tuple]) -> "Table":
+        """Make the partitions ``expected`` hold exactly ``df`` (other partitions kept).
+
+        A recomputed group can come out empty; dynamic overwrite would leave
+        its old rows behind, so in that case the table is rebuilt from its
+        untouched partitions plus the new rows (both staged first).
+        """
+        if not self.exists():
+            return self.overwrite(df)
+        staged = self._stage(df)
+        present = set(self.touched(staged))
+        if all(tuple(v) in present for v in expected):
+            self._writer(staged).mode("overwrite").option("partitionOverwriteMode", "dynamic").save(self.path)
+            return self
+        keep = self.read().where(~F.coalesce(values_filter(self.partition_by, expected), F.lit(False)))
+        return self.overwrite(keep.unionByName(staged.select(*keep.columns)), reads_self=True)
 
     def _stage(self, df: DataFrame) -> DataFrame:
         where = f"{self.path}__staging/{uuid.uuid4().hex}"
@@ -112,6 +120,21 @@ class Table:
         return self.spark.read.schema(df.schema).parquet(where).select(*df.columns)
 
 
+def values_filter(cols: list[str], values: list[tuple]) -> F.Column:
+    """OR of per-partition equality (NULL-safe) over the partition columns."""
+    if len(cols) == 1:
+        plain = [v[0] for v in values if v[0] is not None]
+        cond = F.col(cols[0]).isin(plain) if plain else F.lit(False)
+        return cond | F.col(cols[0]).isNull() if any(v[0] is None for v in values) else cond
+    cond = F.lit(False)
+    for v in values:
+        one = F.lit(True)
+        for c, x in zip(cols, v):
+            one = one & (F.col(c).isNull() if x is None else (F.col(c) == F.lit(x)))
+        cond = cond | one
+    return cond
+
+
 # characters the file source escapes in partition folder names (Hive style)
 _ESCAPED = set('"#%\'*/:=?\\\x7f{[]^')
 
