@@ -30,3 +30,17 @@ def test_small_batches_equal_batch_model_and_rerun_is_noop(spark):
     # the checkpoint is the ledger: a second drain finds nothing new
     stream_bronze_ingest(spark, fx.landing, lake, f"{root}/_ckpt", loaded_at=load_hour, latest=True)
     assert lake.raw_matches.read().count() == n_raw
+
+
+def test_stream_loads_manifests_and_marks_ledger(spark):
+    from tidewater.plans.loader import load_matches
+
+    fx = fixture_lake(spark, SF_SMALL)
+    root = scratch_dir(spark, "test-stream", uuid.uuid4().hex[:10])
+    lake = Lake(spark, f"{root}/lake")
+    stream_bronze_ingest(spark, fx.landing, lake, f"{root}/_ckpt", max_files_per_trigger=7)
+    assert lake.raw_manifests.read().count() == fx.lake.raw_manifests.read().count()
+    assert lake.load_state.read().count() == fx.lake.load_state.read().count()
+    # the batch loader sees everything as already loaded
+    m = load_matches(spark, fx.landing, lake)
+    assert m["files_to_load"] == 0 and m["files_discovered"] > 0

@@ -18,45 +18,56 @@ from pyspark.sql import functions as F
 from tidewater.functions import exprs as X
 from tidewater.plans import silver
 from tidewater.plans.lake import Lake
-from tidewater.plans.loader import raw_matches_rows, upsert_by_key_partitions
+from tidewater.operators.upsert import insert_if_absent
+from tidewater.plans.loader import ENDPOINTS, raw_manifest_rows, raw_matches_rows, upsert_by_key_partitions
+from tidewater.sources.landing import object_classify
 from tidewater.plans.pipeline import matches_latest_order, merge_latest
 from tidewater.session import configure
 
 
 def landing_stream(spark: SparkSession, landing: str, endpoint: str = "matches",
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming (file_key, text) of the data objects of one endpoint."""
+    """Streaming (file_key, kind, text) of the data and manifest objects of one endpoint."""
     reader = (spark.readStream.format("text").option("wholetext", True)
               .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     docs = reader.load(f"{landing.rstrip('/')}/endpoint={endpoint}/")
     keyed = docs.select(X.relative_key(F.col("_metadata.file_path")).alias("file_key"), F.col("value").alias("text"))
-    return keyed.where(X.is_data_key(F.col("file_key")))
+    return object_classify(keyed)
 
 
 def stream_bronze_ingest(spark: SparkSession, landing: str, lake: Lake, checkpoint: str,
                          loaded_at: Column | None = None, endpoint: str = "matches",
                          max_files_per_trigger: int | None = None, latest: bool = False) -> None:
-    """Drain landed files into RAW_MATCHES (and, with ``latest``, merge the
-    latest snapshot of every match in the batch into matches_latest).
+    """Drain landed files into RAW_MATCHES / RAW_MANIFESTS and mark them in the
+    load-state ledger (so the batch loader skips them); with ``latest``, also
+    merge the latest snapshot of every match in the batch into matches_latest.
 
-    ``loaded_at`` defaults to the batch's processing time.
+    A manifest may arrive in another micro-batch than its data file: both
+    writes are keyed, so order does not matter.  ``loaded_at`` defaults to
+    the batch's processing time.
     """
-
     configure(spark)
+    data_ep, manifest_ep = ENDPOINTS[endpoint]
 
     def sink(batch: DataFrame, epoch: int) -> None:
         # one load time per micro-batch, fixed on the driver so a recomputed
         # partition gets the same value
         now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
         ts = loaded_at if loaded_at is not None else F.lit(now).cast("timestamp")
-        rows = raw_matches_rows(batch, ts).cache()
+        batch = batch.cache()
+        rows = raw_matches_rows(batch.where(F.col("kind") == "data").drop("kind"), ts).cache()
         upsert_by_key_partitions(lake.raw_matches, rows)
+        upsert_by_key_partitions(lake.raw_manifests,
+                                 raw_manifest_rows(batch.where(F.col("kind") == "manifest").drop("kind"), endpoint))
         if latest:
             flat = silver.flatten_matches(rows, keep_pos=True)
             merge_latest(lake.matches_latest, silver.matches_latest(flat), "match_id", matches_latest_order())
+        marks = batch.select("file_key", F.when(F.col("kind") == "data", data_ep).otherwise(manifest_ep).alias("endpoint"))
+        lake.load_state.append(insert_if_absent(lake.load_state.read(), marks, "file_key"))
         rows.unpersist()
+        batch.unpersist()
 
     q = (landing_stream(spark, landing, endpoint, max_files_per_trigger).writeStream
          .foreachBatch(sink).option("checkpointLocation", checkpoint)
