@@ -26,7 +26,9 @@ def _keys(key: str | Sequence[str]) -> list[str]:
 def replace_by_key(target: DataFrame, batch: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Target rows whose key is absent from the batch, plus the whole batch."""
     keys = _keys(key)
-    kept = target.join(batch.select(*keys), keys, "left_anti")
+    # distinct keys: copies of one key collapse map-side before the shuffle,
+    # so a key repeated in a third of the batch does not land in one task
+    kept = target.join(batch.select(*keys).distinct(), keys, "left_anti")
     return kept.unionByName(batch.select(*target.columns))
 
 
