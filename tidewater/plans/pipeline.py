@@ -96,7 +96,10 @@ def refresh_models(spark: SparkSession, lake: Lake, loaded_at: str | None = None
     incremental = lake.matches_latest.exists() and lake.league_table_snapshot.exists()
     if incremental:
         # the groups of the rows this batch may replace, read before the merge rewrites them
-        before = _drop_bucket(lake.matches_latest.read()).join(batch_latest.select("match_id"), "match_id", "left_semi")
+        ids = _with_bucket(batch_latest.select("match_id"), "match_id", silver_buckets(spark))
+        touched_buckets = lake.matches_latest.touched(ids)  # bounded by the bucket count
+        before = _drop_bucket(lake.matches_latest.read_partitions(touched_buckets)) \
+            .join(ids.select("match_id"), "match_id", "left_semi")
         touched_ids = before.select("home_team_id", "away_team_id").unionByName(
             batch_latest.select("home_team_id", "away_team_id"))
         touched_ids = touched_ids.select(F.explode(F.array("home_team_id", "away_team_id")).alias("team_id")) \
