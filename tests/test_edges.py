@@ -232,3 +232,20 @@ def test_backfill_run_and_load_latest(spark, tmp_root):
     assert key.endswith("run_id=0f.json")
     assert lake.raw_matches.read().where(F.col("file_key") == key).count() == 1
     assert lake.load_state.read().where(F.col("file_key") == key).count() == 0
+
+
+def test_spark_written_landing_round_trips_through_the_loader(spark, tmp_root):
+    """K1 writes `run_id=<id>/part-*.json` (one document per file); the loader reads that layout too."""
+    from conftest import SF_SMALL
+    from tidewater.plans.manifests import landing_write
+    from tidewater.sources.fixture import landing_rows, snapshots
+
+    docs = landing_rows(snapshots(spark.read.parquet(f"{SF_SMALL}/orders.parquet")))
+    landing_write(docs, f"{tmp_root}/landing")
+    lake, m = _load(spark, tmp_root)
+    n_docs = docs.count()
+    assert m["files_discovered"] == n_docs == m["files_to_load"] and m["manifests_loaded"] == 0
+    raw = lake.raw_matches.read()
+    assert raw.where("run_id is null or competition_code is null or dt is null").count() == 0
+    n_matches = docs.select(F.sum(F.size("matches"))).collect()[0][0]
+    assert silver.flatten_matches(raw).count() == n_matches
