@@ -87,17 +87,34 @@ def table_order() -> list:
 
 
 def league_table(latest: DataFrame) -> DataFrame:
-    """Season-to-date standings per (competition, season) with a unique rank."""
-    agg = team_results_long(latest).groupBy("competition_code", "season_id", "team_id").agg(
-        F.max("team_name").alias("team_name"),
+    """Season-to-date standings per (competition, season) with a unique rank.
+
+    Two aggregation levels keep the large input on hash aggregation: first per
+    (group, team, name) with numeric buffers only, then per (group, team) over
+    the few names of each team, where ``max(team_name)`` (a string buffer, so
+    sort-based) sees one row per name instead of one per match side.
+    """
+    keys = ["competition_code", "season_id", "team_id"]
+    per_name = team_results_long(latest).groupBy(*keys, "team_name").agg(
         F.count(F.lit(1)).alias("played"),
         F.sum("w").alias("wins"),
         F.sum("d").alias("draws"),
         F.sum("l").alias("losses"),
         F.sum("gf").alias("goals_for"),
         F.sum("ga").alias("goals_against"),
-        (F.sum("gf") - F.sum("ga")).alias("goal_diff"),
         F.sum("pts").alias("points"),
         F.max("utc_date").alias("as_of_utc"),
     )
+    agg = per_name.groupBy(*keys).agg(
+        F.max("team_name").alias("team_name"),
+        F.sum("played").alias("played"),
+        F.sum("wins").alias("wins"),
+        F.sum("draws").alias("draws"),
+        F.sum("losses").alias("losses"),
+        F.sum("goals_for").alias("goals_for"),
+        F.sum("goals_against").alias("goals_against"),
+        (F.sum("goals_for") - F.sum("goals_against")).alias("goal_diff"),
+        F.sum("points").alias("points"),
+        F.max("as_of_utc").alias("as_of_utc"),
+    )
     return rank_within(agg, ["competition_code", "season_id"], table_order(), "rank")
