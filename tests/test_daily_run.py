@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from tidewater.plans.fixture_lake import fixture_lake, load_time
 from tidewater.plans.lake import Lake
-from tidewater.plans.pipeline import models, refresh_models, run_daily
+from tidewater.plans.runs import models, refresh_models, run_daily
 from tidewater.plans.registry import queries
 from tidewater.session import scratch_dir
 

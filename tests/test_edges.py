@@ -209,7 +209,7 @@ def test_status_outside_list_and_null_status(spark, tmp_root):
 
 def test_backfill_run_and_load_latest(spark, tmp_root):
     from tidewater.plans.loader import load_latest_matches
-    from tidewater.plans.pipeline import run_backfill
+    from tidewater.plans.runs import run_backfill
 
     land = f"{tmp_root}/landing"
     lake = Lake(spark, f"{tmp_root}/lake")

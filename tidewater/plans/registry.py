@@ -32,7 +32,7 @@ from tidewater.plans.loader import (
     raw_competitions_rows, raw_manifest_rows, raw_matches_rows,
 )
 from tidewater.plans.manifests import competitions_flatten, element_count, landing_write, manifest_build, manifest_reconcile
-from tidewater.plans.pipeline import run_metrics_row, upsert_keyed
+from tidewater.plans.runs import run_metrics_row, upsert_keyed
 from tidewater.session import configure, scratch_dir
 from tidewater.sources import landing as L
 from tidewater.sources.fixture import landing_rows, snapshots

@@ -21,7 +21,7 @@ from tidewater.plans.lake import Lake
 from tidewater.operators.upsert import insert_if_absent
 from tidewater.plans.loader import ENDPOINTS, raw_manifest_rows, raw_matches_rows, upsert_by_key_partitions
 from tidewater.sources.landing import object_classify
-from tidewater.plans.pipeline import matches_latest_order, merge_latest
+from tidewater.plans.runs import matches_latest_order, merge_latest
 from tidewater.session import configure
 
 
