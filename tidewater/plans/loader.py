@@ -144,9 +144,10 @@ def load_matches(spark: SparkSession, landing: str, lake: Lake, endpoint: str =
         # one load time for the whole batch, fixed on the driver (a recomputed task sees the same value)
         loaded_at = loaded_at or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
         ts = F.lit(loaded_at).cast("timestamp")
-        # only pending objects are opened; data and manifests are read separately
-        data_docs = L.read_documents(spark, paired.select("path"))
-        man_docs = L.read_documents(spark, paired.where("manifest_found").select(F.col("manifest_path").alias("path")))
+        # only pending objects are opened; their paths (listing metadata) come back in one collect
+        pending_paths = paired.select("path", "manifest_path").collect()
+        data_docs = L.read_paths(spark, [r["path"] for r in pending_paths])
+        man_docs = L.read_paths(spark, [r["manifest_path"] for r in pending_paths if r["manifest_path"]])
         data_rows = raw_matches_rows(data_docs, ts, strict)
         man_rows = raw_manifest_rows(man_docs, endpoint, strict)
         upsert_by_key_partitions(lake.raw_matches, data_rows)

@@ -73,7 +73,11 @@ def read_documents(spark: SparkSession, objects: DataFrame) -> DataFrame:
     Only the object paths (listing metadata, which the file source keeps
     on the driver anyway) are handed to the reader; no content is.
     """
-    paths = [r["path"] for r in objects.select("path").distinct().collect()]
+    return read_paths(spark, [r["path"] for r in objects.select("path").distinct().collect()])
+
+
+def read_paths(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Whole-text read of the given object paths: (file_key, text)."""
     if not paths:
         return spark.createDataFrame([], "file_key string, text string")
     docs = spark.read.option("wholetext", True).text(paths)
