@@ -21,7 +21,7 @@ from tidewater.session import configure, digest, scratch_dir
 from tidewater.sources import fs
 from tidewater.sources.fixture import FIXTURE_EPOCH, SNAPSHOTS_PER_MATCH, land_day
 
-FIXTURE_VERSION = "5"
+FIXTURE_VERSION = "6"
 LOAD_HOUR = "02:00:00"
 
 

@@ -49,6 +49,15 @@ def manifest_pairing(data: DataFrame, manifests: DataFrame) -> DataFrame:
     return d.join(m, "manifest_key", "left").withColumn("manifest_found", F.col("manifest_path").isNotNull())
 
 
+def flag_pending(data: DataFrame, ledger: DataFrame, manifests: DataFrame, prefix: str) -> DataFrame:
+    """Every data object with ``pending`` (key not in the ledger) and its manifest pairing."""
+    loaded = ledger.where(F.col("file_key").startswith(prefix)).select("file_key").distinct() \
+        .withColumn("_loaded", F.lit(True))
+    flagged = data.join(loaded, "file_key", "left") \
+        .withColumn("pending", ~F.coalesce(F.col("_loaded"), F.lit(False))).drop("_loaded")
+    return manifest_pairing(flagged, manifests)
+
+
 def loader_metrics(prefix: str, data: DataFrame, paired_pending: DataFrame) -> DataFrame:
     """One row: prefix + 4 file counters (all zero when nothing is found)."""
     flags = paired_pending.select("file_key", F.lit(True).alias("_pending"), "manifest_found")
@@ -133,12 +142,20 @@ def load_matches(spark: SparkSession, landing: str, lake: Lake, endpoint: str =
     objects = L.object_classify(L.list_objects(spark, landing, prefix)).cache()
     data = objects.where(F.col("kind") == "data").drop("kind")
     manifests = objects.where(F.col("kind") == "manifest").drop("kind")
-    pending = load_state_pending(data, lake.load_state.read(), prefix)
-    paired = manifest_pairing(pending, manifests).cache()
-    metrics = loader_metrics(prefix, data, paired).collect()[0].asDict()
+    # every data object flagged pending-or-not and paired with its manifest: the
+    # counters and the pending set come from this one table (two joins, one pass)
+    flagged = flag_pending(data, lake.load_state.read(), manifests, prefix).cache()
+    metrics = flagged.agg(
+        F.lit(prefix).alias("prefix"),
+        F.count(F.lit(1)).alias("files_discovered"),
+        F.count_if("pending").alias("files_to_load"),
+        F.count_if("pending").alias("data_files_loaded"),
+        F.count_if(F.col("pending") & F.col("manifest_found")).alias("manifests_loaded"),
+    ).collect()[0].asDict()
+    paired = flagged.where("pending")
     if metrics["files_discovered"] == 0 and on_empty == "error":
         objects.unpersist()
-        paired.unpersist()
+        flagged.unpersist()
         raise RuntimeError(f"No {endpoint} files found with prefix: {prefix}")
     if metrics["files_to_load"] > 0:
         # one load time for the whole batch, fixed on the driver (a recomputed task sees the same value)
@@ -170,7 +187,7 @@ def load_matches(spark: SparkSession, landing: str, lake: Lake, endpoint: str =
                                                   F.lit(manifest_ep).alias("endpoint")))
         lake.load_state.append(insert_if_absent(lake.load_state.read(), marks, "file_key"))
     objects.unpersist()
-    paired.unpersist()
+    flagged.unpersist()
     return metrics
 
 
