@@ -107,3 +107,23 @@ def gold_league_from(lake):
     from tidewater.plans import gold
 
     return gold.league_table(lake.matches_latest.read().drop("_bucket"))
+
+
+def test_interrupted_first_run_rebuilds_missing_marts(spark, tmp_path):
+    """If a first run stopped after writing some gold tables, the next run rebuilds
+    the missing ones in full instead of writing only the touched groups."""
+    from helpers import data_key, match, put
+
+    land = str(tmp_path / "landing")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    put(land, data_key(run="0a"), {"matches": [match(1, home=1, away=2), match(2, home=3, away=4, comp="SA")]})
+    run_daily(spark, land, lake, loaded_at="2024-01-02 02:00:00", run_id="a")
+    # simulate a lost form table: a fresh lake that shares everything but the form mart
+    lake2 = Lake(spark, str(tmp_path / "lake2"))
+    for name in ("raw_matches", "raw_manifests", "load_state", "matches_latest", "teams", "league_table_snapshot"):
+        getattr(lake2, name).overwrite(getattr(lake, name).read())
+    put(land, data_key(day="2024-01-03", run="0b"), {"matches": [match(1, home=1, away=2, hg=0, ag=2,
+                                                                        winner="AWAY_TEAM")]})
+    run_daily(spark, land, lake2, loaded_at="2024-01-03 02:00:00", run_id="b")
+    comps = {r.competition_code for r in lake2.team_form_last5.read().collect()}
+    assert comps == {"PL", "SA"}

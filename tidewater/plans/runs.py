@@ -93,7 +93,10 @@ def refresh_models(spark: SparkSession, lake: Lake, loaded_at: str | None = None
         raw = raw.where(F.col("loaded_at") == F.lit(loaded_at).cast("timestamp"))
     batch_latest = silver.matches_latest(silver.flatten_matches(raw, keep_pos=True)).cache()
     groups = ["competition_code", "season_id"]
-    incremental = lake.matches_latest.exists() and lake.league_table_snapshot.exists()
+    # incremental only when every derived table is complete; after an interrupted
+    # first run the missing ones are rebuilt in full
+    incremental = all(t.exists() for t in (lake.matches_latest, lake.teams,
+                                           lake.team_form_last5, lake.league_table_snapshot))
     if incremental:
         # the groups of the rows this batch may replace, read before the merge rewrites them
         ids = _with_bucket(batch_latest.select("match_id"), "match_id", silver_buckets(spark))
