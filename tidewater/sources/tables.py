@@ -101,7 +101,8 @@ class Table:
 
         A recomputed group can come out empty; dynamic overwrite would leave
         its old rows behind, so in that case the table is rebuilt from its
-        untouched partitions plus the new rows (both staged first).
+        untouched partitions plus the new rows (both staged first).  Callers
+        pass every group of a table that does not exist yet (first run).
         """
         if not self.exists():
             return self.overwrite(df)
