@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import mixing, quality_rules
+from tidewater.llm import decontaminate, line_dedup, mixing, quality_rules, simhash, substring_dedup
 from tidewater.llm.common import small_batches, table
 from tidewater.session import configure
 
@@ -21,8 +21,17 @@ def _on_documents(op: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(configure(spark))
+    return decontaminate.op8_decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op4_substring_dedup": _on_documents(substring_dedup.op4_substring_dedup),
+        "op6_line_dedup": _on_documents(line_dedup.op6_line_dedup),
+        "op7_simhash_near_dedup": _on_documents(simhash.op7_simhash_near_dedup),
+        "op8_decontaminate": _op8,
         "op9_quality_rules": _on_documents(quality_rules.op9_quality_rules),
         "op10_source_mix": _on_documents(mixing.op10_source_mix),
     }
