@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import id_order, scratch, text_of, words_of
+from tidewater.llm.common import scratch, text_of, words_of
 
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
@@ -76,6 +76,7 @@ def _take(left: DataFrame, need: DataFrame) -> DataFrame:
         .groupBy(F.col("source").alias("csource"))
         .agg(F.min(F.struct("slice", (F.col("upto") - F.col("s")).alias("before"))).alias("cut"))
     )
+    cut = scratch(cut.coalesce(1), "cut")  # a row per source: its size is known when the join is planned
     left = left.join(cut, left["source"].eqNullSafe(cut["csource"]), "left").drop("csource")
     whole = left.where(F.col("cut").isNull() | (F.col("slice") < F.col("cut.slice")))
     ranked = left.where(F.col("slice") == F.col("cut.slice")).withColumn(
@@ -128,16 +129,18 @@ def mix_sources(
     draws = draws.join(plan, draws["source"].eqNullSafe(plan["psource"])).where("need > 0")
     draws = scratch(draws.select("k", "source", "size", (u / (1 - u) / (F.col("odds") * F.col("own"))).alias("q")), "draws")
 
-    need = plan.select(F.col("psource").alias("nsource"), F.col("need").alias("words"))
+    need = scratch(plan.select(F.col("psource").alias("nsource"), F.col("need").alias("words")).coalesce(1), "need")
     taken, left = None, draws
     for _ in range(PASSES):
         got = scratch(_take(left, need), "taken")
         taken = got if taken is None else taken.unionByName(got)
         sums = got.groupBy(F.col("source").alias("gsource")).agg(F.sum("size").alias("got"))
-        need = (
+        need = scratch(
             need.join(sums, need["nsource"].eqNullSafe(sums["gsource"]), "left")
             .select("nsource", (F.col("words") - F.coalesce("got", F.lit(0))).alias("words"))
             .where("words > 0")
+            .coalesce(1),
+            "need",
         )
         left = left.join(got.select("k"), "k", "left_anti")
     extra = taken.select("k", F.lit(1).alias("extra"))

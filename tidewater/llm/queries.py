@@ -6,32 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import decontaminate, line_dedup, mixing, quality_rules, simhash, substring_dedup
+from tidewater.llm import compression, decontaminate, line_dedup, mixing, quality_rules, simhash, substring_dedup, token_counts, toxicity
 from tidewater.llm.common import small_batches, table
 from tidewater.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _on_documents(op: Callable[[DataFrame], DataFrame]) -> Query:
+def _over(op: Callable[..., DataFrame], *names: str) -> Query:
+    """The operator applied to the whole tables of these names."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         small_batches(configure(spark))
-        return op(table(spark, sf_dir, "documents"))
+        return op(*[table(spark, sf_dir, name) for name in names])
 
     return run
 
 
-def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(configure(spark))
-    return decontaminate.op8_decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-
-
 def queries() -> dict[str, Query]:
     return {
-        "op4_substring_dedup": _on_documents(substring_dedup.op4_substring_dedup),
-        "op6_line_dedup": _on_documents(line_dedup.op6_line_dedup),
-        "op7_simhash_near_dedup": _on_documents(simhash.op7_simhash_near_dedup),
-        "op8_decontaminate": _op8,
-        "op9_quality_rules": _on_documents(quality_rules.op9_quality_rules),
-        "op10_source_mix": _on_documents(mixing.op10_source_mix),
+        "op2_toxicity": _over(toxicity.op2_toxicity, "documents", "labels"),
+        "op3_token_counts": _over(token_counts.op3_token_counts, "documents"),
+        "op4_substring_dedup": _over(substring_dedup.op4_substring_dedup, "documents"),
+        "op5_compression_quality": _over(compression.op5_compression_quality, "documents", "labels"),
+        "op6_line_dedup": _over(line_dedup.op6_line_dedup, "documents"),
+        "op7_simhash_near_dedup": _over(simhash.op7_simhash_near_dedup, "documents"),
+        "op8_decontaminate": _over(decontaminate.op8_decontaminate, "documents", "benchmark"),
+        "op9_quality_rules": _over(quality_rules.op9_quality_rules, "documents"),
+        "op10_source_mix": _over(mixing.op10_source_mix, "documents"),
     }
