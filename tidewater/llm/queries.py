@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import compression, decontaminate, line_dedup, mixing, quality_rules, simhash, substring_dedup, token_counts, toxicity
+from tidewater.llm import compression, decontaminate, line_dedup, mixing, quality_rules, simhash, substring_dedup, surrogates, token_counts, toxicity
 from tidewater.llm.common import small_batches, table
 from tidewater.session import configure
 
@@ -25,6 +25,7 @@ def _over(op: Callable[..., DataFrame], *names: str) -> Query:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_pii_surrogates": _over(surrogates.op1_pii_surrogates, "documents"),
         "op2_toxicity": _over(toxicity.op2_toxicity, "documents", "labels"),
         "op3_token_counts": _over(token_counts.op3_token_counts, "documents"),
         "op4_substring_dedup": _over(substring_dedup.op4_substring_dedup, "documents"),
