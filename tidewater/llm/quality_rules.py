@@ -136,6 +136,11 @@ def cascade(text: Column, words: Column, rules: list[Rule]) -> Column:
     return chain
 
 
+def verdict(rules: list[Rule]) -> Column:
+    """The cascade over column text; the words are split once, wherever the optimizer moves this."""
+    return let(words_of(text_of()), lambda words: cascade(text_of(), words, rules))
+
+
 def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``docs`` and ``rejected_by``: the rule that rejects the document, null if it is kept.
 
@@ -146,16 +151,12 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = S
     gives an empty result; extra columns stay (a column ``rejected_by`` is
     replaced).
     """
-    ordered = order_rules(estimate(docs, rules, sample_rows))
-    worded = docs.withColumn("__words", words_of(text_of()))
-    return worded.withColumn("rejected_by", cascade(text_of(), F.col("__words"), ordered)).drop("__words")
+    return docs.withColumn("rejected_by", verdict(order_rules(estimate(docs, rules, sample_rows))))
 
 
 def quality_filter(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Documents that no rule rejects, with their own columns."""
-    ordered = order_rules(estimate(docs, rules, sample_rows))
-    worded = docs.withColumn("__words", words_of(text_of()))
-    return worded.where(cascade(text_of(), F.col("__words"), ordered).isNull()).select(*[docs[c] for c in docs.columns])
+    return docs.where(verdict(order_rules(estimate(docs, rules, sample_rows))).isNull())
 
 
 def op9_quality_rules(docs: DataFrame) -> DataFrame:
