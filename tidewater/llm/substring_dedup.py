@@ -29,17 +29,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import id_order, scratch, text_of
+from tidewater.llm.common import text_of
 
 WINDOW = 50
 #: A perfect difference set: every shift modulo PERIOD is a difference of two of its places.
 PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
 ANCHOR = WINDOW - PERIOD + 1
+#: Documents without an id are numbered from here.
+NO_ID = 1 << 62
 #: Rows a task combines before it passes them on.
 HELD = 1 << 20
 
@@ -257,6 +259,11 @@ def _remove(columns: list[str], text_at: int):
     return run
 
 
+def _order() -> Column:
+    """The id; a document without one comes after all that have one, under a number made from its text."""
+    return F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID) + F.pmod(F.xxhash64(text_of()), F.lit(NO_ID)))
+
+
 def dedup_substrings(docs: DataFrame) -> DataFrame:
     """``docs`` with the kept words, joined by one space, as text, and __n_words, __n_removed.
 
@@ -265,14 +272,15 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     window repeated only inside one document stays; rows of one doc_id are one
     document, so a repeated row removes nothing from the other (but places
     found in one row apply to every row of that id: ids are expected to be
-    unique); null doc_ids are together the last document; extra columns stay.
+    unique); documents without a doc_id come last, in the order of a hash of
+    their text, and equal texts among them are one document; extra columns stay.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(id_order().alias("id"), text_of().alias("text"))
+    rows = docs.select(_order().alias("id"), text_of().alias("text"))
     shared = _per_document(_shared(rows.mapInArrow(_anchors, MEETING)))
     # the texts are dealt out once by id: both joins read the same exchange
-    dealt = docs.withColumn("__order", id_order()).repartition(parts, "__order")
+    dealt = docs.withColumn("__order", _order()).repartition(parts, "__order")
     near = dealt.join(shared, F.col("__order") == F.col("__id"))
     near = near.select(*dealt.columns, "__places", "__runs")  # every column, or the exchanges differ
     copies = shared.where(F.array_min("__places") < 0).select(F.col("__id").alias("id"), F.lit(-1).alias("place"), F.lit(0).alias("run"))
