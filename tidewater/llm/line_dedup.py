@@ -142,13 +142,14 @@ class LineIndex:
     refs: DataFrame
     filters: DataFrame
     shards: int
+    keys_per_shard: int = KEYS_PER_SHARD
 
     @staticmethod
     def build(docs: DataFrame, keys_per_shard: int = KEYS_PER_SHARD) -> LineIndex:
         postings = scratch(line_keys(docs), "line-postings")
         refs = scratch(_count(postings), "line-refs")
         shards = max(1, -(-refs.count() // keys_per_shard))
-        return LineIndex(postings, refs, _filters(refs, shards), shards)
+        return LineIndex(postings, refs, _filters(refs, shards), shards, keys_per_shard)
 
     def probe(self, keys: DataFrame) -> DataFrame:
         """Rows of ``keys`` (id, x, y) that may be in the index, with state SINGLE or SHARED."""
@@ -179,9 +180,10 @@ class LineIndex:
         changed = self.filters.groupBy("shard").cogroup(moved.groupBy("shard")).applyInPandas(_change_filter, "shard int, filter binary")
         filters = scratch(changed, "filters")
         if filters.where("filter IS NULL").limit(1).count():
-            shards = max(1, -(-refs.count() // KEYS_PER_SHARD))
-            return LineIndex(postings, refs, _filters(refs, shards), shards)
-        return LineIndex(postings, refs, filters, self.shards)
+            # a filter has no place left: deal the keys to more shards
+            shards = max(1, -(-refs.count() // self.keys_per_shard))
+            return LineIndex(postings, refs, _filters(refs, shards), shards, self.keys_per_shard)
+        return LineIndex(postings, refs, filters, self.shards, self.keys_per_shard)
 
     def insert(self, docs: DataFrame) -> LineIndex:
         """The index with these documents added."""
@@ -223,7 +225,7 @@ def _drop_lines(columns: list[str], text_at: int):
                 parts = (text or b"").split(b"\n")
                 lines.append(len(parts))
                 dropped.append(0)
-                if sizes[i]:
+                if sizes[i] and text is not None:
                     end = int(ends[i])
                     gone = {raw[16 * k : 16 * k + 16] for k in range(end - int(sizes[i]), end)}
                     kept = [x for x in parts if _digest(x) not in gone]

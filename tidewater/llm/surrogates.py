@@ -55,7 +55,7 @@ _TITLE_GENDER = {t: g for g, ts in TITLES.items() for t in ts}
 _GIVEN_CLASS = {n: key for key, names in GIVEN.items() for n in names}
 _CAPITAL = r"[^\W\d_a-zà-öø-ÿа-яё][^\W\d_]+"
 _TITLED = re.compile(rf"\b({'|'.join(map(re.escape, sorted(_TITLE_GENDER, key=len, reverse=True)))})\b\.?[ \t]+({_CAPITAL})(?:[ \t]+({_CAPITAL}))?")
-_NAMED = re.compile(rf"\b({'|'.join(sorted(_GIVEN_CLASS, key=len, reverse=True))})[ \t]+({_CAPITAL})")
+_NAMED = re.compile(rf"\b({'|'.join(sorted([*_GIVEN_CLASS, *map(str.upper, _GIVEN_CLASS)], key=len, reverse=True))})[ \t]+({_CAPITAL})")
 _HAN = re.compile(rf"([{HAN_FAMILY}][\u4e00-\u9fff]{{1,2}})(?=({'|'.join(HAN_TITLES)}))")
 _MAIL = re.compile(r"(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 _SECRET = re.compile(r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\b[\"']?\s*[=:]\s*[\"']?)([A-Za-z0-9/+_\-]{8,})")
@@ -96,7 +96,7 @@ def _names(text: str) -> list[tuple[int, int, str, str]]:
 
     def given(a: int, b: int, gender: str) -> None:
         word = text[a:b]
-        script, known = _GIVEN_CLASS.get(word, (_script(word), gender))
+        script, known = _GIVEN_CLASS.get(word.capitalize(), (_script(word), gender))
         gender = known if gender == "n" else gender
         found.append((a, b, f"given|{'m' if gender == 'n' else gender}|{script}", word.casefold()))
 
@@ -108,7 +108,7 @@ def _names(text: str) -> list[tuple[int, int, str, str]]:
         if m[3]:
             given(*m.span(2), gender)
             family(*m.span(3))
-        elif m[2] in _GIVEN_CLASS:
+        elif m[2].capitalize() in _GIVEN_CLASS:
             given(*m.span(2), gender)
         else:
             family(*m.span(2))

@@ -1,11 +1,13 @@
 """Toxic passages as maximum-scoring segments of token log-odds.
 
-1. Tokens are counted over all documents, and over labelled toxic and clean
-   ones.  The log-odds of a token between the two kinds has an informative
-   Dirichlet prior: ``PRIOR`` pseudo-tokens shared out as the whole corpus uses
-   them, so that rare tokens stay near 0.
-2. Tokens whose log-odds stand ``Z`` standard errors above 0 score their
-   log-odds; every other token costs a small step, so chance segments end.
+1. Terms are counted over all documents, and over labelled toxic and clean
+   ones, once a document.  A term is a token or the first ``STEMS`` letters of
+   one, since an insult's endings vary.  The log-odds of a term between the two
+   kinds has an informative Dirichlet prior: ``PRIOR`` pseudo-counts shared out
+   as the whole corpus uses the terms, so that rare terms stay near 0.
+2. Terms whose log-odds are at least ``ODDS`` and stand ``Z`` standard errors
+   above 0 score their log-odds, a token the most of its terms; every other token
+   costs a small step, so chance segments end.
 3. One linear scan (Ruzzo and Tompa) finds every maximal segment of a text.
 4. Extreme-value calibration: segment scores of clean text follow
    P(best >= s) = 1 - exp(-K n e^(-L s)) in n tokens; L solves
@@ -29,17 +31,20 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import scratch, text_of
 from tidewater.llm.fitting import labelled_sample, logistic, probability, remainder
 
-#: Bounds of the fit: labelled documents, and scored tokens (those furthest above 0).
+#: Bounds of the fit: labelled documents, and scored terms (those furthest above 0).
 LABELLED_ROWS = 20_000
 TERMS = 50_000
 PRIOR = 5000.0
 Z = 3.0
+ODDS = 2.0
+#: Letters of the stems counted beside whole tokens.
+STEMS = (4, 5, 6)
 #: Least step down for a token that scores nothing.
 STEP = 0.02
 E_VALUE = 0.01
 HELD_OUT = (5, 0)
 THRESHOLD = 0.5
-#: Distinct tokens a task combines before it passes them on.
+#: Distinct terms a task combines before it passes them on; tokens whose terms or scores it remembers.
 HELD = 400_000
 #: ASCII letters lower-cased; other ASCII that is no digit, apostrophe or hyphen ends a token.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 or 48 <= c <= 57 or c in b"'-" else 32 for c in range(256))
@@ -49,6 +54,27 @@ def tokens(text: bytes) -> list[bytes]:
     return text.translate(FOLD).split()
 
 
+def terms(token: bytes) -> list[bytes]:
+    """The token and, marked, its stems."""
+    letters = token.decode()
+    return [token, *(b"^" + letters[:k].encode() for k in STEMS if len(letters) > k)]
+
+
+class TokenScores(dict):
+    """Score of a token (None if it scores nothing), the most of its terms; worked out once for each token met."""
+
+    def __init__(self, known: dict[bytes, float]):
+        super().__init__()
+        self.known = known
+
+    def __missing__(self, token: bytes) -> float | None:
+        if len(self) >= HELD:
+            self.clear()
+        found = [self.known[t] for t in terms(token) if t in self.known]
+        self[token] = value = max(found) if found else None
+        return value
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """label (or null), text -> token, n, toxic, clean; combined in the task."""
     every, kinds = Counter(), (Counter(), Counter())
@@ -60,12 +86,20 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             c.clear()
         return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), *(pa.array(c, pa.int64()) for c in columns)], ["token", "n", "toxic", "clean"])
 
+    known: dict[bytes, list[bytes]] = {}
     for batch in batches:
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
-            found = tokens(text)
+            found = set()
+            for token in set(tokens(text)):
+                own = known.get(token)
+                if own is None:
+                    own = known[token] = terms(token)
+                found.update(own)
             every.update(found)
             if label is not None:
                 kinds[label].update(found)
+            if len(known) >= HELD:
+                known.clear()
             if len(every) >= HELD:
                 yield rows()
     if every:
@@ -81,7 +115,7 @@ class Model:
     weights: np.ndarray
 
 
-def segments(found: list[bytes], scores: dict[bytes, float], step: float) -> list[tuple[int, int, float]]:
+def segments(found: list[bytes], scores: TokenScores, step: float) -> list[tuple[int, int, float]]:
     """(start, end, score) of every maximal scoring segment, in linear time.
 
     Between scoring tokens the sum only falls, so the scan goes from one scoring
@@ -91,7 +125,7 @@ def segments(found: list[bytes], scores: dict[bytes, float], step: float) -> lis
     out: list[tuple[int, int, float, float]] = []  # start, end, sum to the left, sum to the right
     links: list[int] = []
     total, last = 0.0, -1
-    for at, value in enumerate(map(scores.get, found)):
+    for at, value in enumerate(map(scores.__getitem__, found)):
         if value is None:
             continue
         total -= step * (at - last - 1)
@@ -122,12 +156,13 @@ def _segment_rows(scores, step: float):
     """mapInArrow function: label, text -> label, tokens, scores of the segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = TokenScores(scores.value)
         for batch in batches:
             sizes, lists = [], []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
                 found = tokens(text)
                 sizes.append(len(found))
-                lists.append([s for _, _, s in segments(found, scores.value, step)])
+                lists.append([s for _, _, s in segments(found, known, step)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(lists, pa.list_(pa.float64()))], ["label", "n", "scores"])
 
     return run
@@ -166,7 +201,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int] = HELD_OUT
     odds = F.log(t / (sums["toxic"] + PRIOR - t)) - F.log(c / (sums["clean"] + PRIOR - c))
     judged = counted.where("toxic > 0").withColumn("odds", odds).withColumn("z", odds / F.sqrt(1 / t + 1 / c))
     # the share of clean text a scoring token makes up, by the same prior
-    judged = judged.where(F.col("z") >= Z).withColumn("share", c / (sums["clean"] + PRIOR))
+    judged = judged.where((F.col("z") >= Z) & (F.col("odds") >= ODDS)).withColumn("share", c / (sums["clean"] + PRIOR))
     best = judged.orderBy(F.desc("z"), "token").limit(TERMS).select("token", "odds", "share").toArrow()
     values, shares = (best.column(k).to_numpy() for k in (1, 2))
     scores = dict(zip(best.column(0).to_pylist(), values.tolist(), strict=True))
@@ -195,11 +230,12 @@ def _score_rows(model):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
+        known = TokenScores(m["scores"])
         for batch in batches:
             sums, passages = [], []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
                 words = tokens(text)
-                found = segments(words, m["scores"], m["step"])
+                found = segments(words, known, m["step"])
                 sums.append(evidence(found, len(words), m["lam"], m["k"]))
                 valued = [(a, b, s, float(m["k"] * len(words) * np.exp(-m["lam"] * s))) for a, b, s in found]
                 passages.append([dict(zip(("start", "end", "score", "e_value"), v, strict=True)) for v in valued if v[3] <= E_VALUE])
