@@ -2,6 +2,7 @@
 
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -10,6 +11,7 @@ from tidewater.plans.lake import Lake
 from tidewater.plans.runs import models, refresh_models, run_daily
 from tidewater.plans.registry import queries
 from tidewater.session import scratch_dir
+from tidewater.sources import fs
 
 
 def _fresh_lake(spark):
@@ -48,7 +50,7 @@ def test_incremental_days_equal_full_recompute(spark):
     # reuse the fixture's raw layer, refresh day by day
     for day in range(3):
         raw_day = gold.raw_matches.read().where(F.col("loaded_at") == F.lit(load_time(day)).cast("timestamp"))
-        lake.raw_matches.append(raw_day) if lake.raw_matches.exists() else lake.raw_matches.overwrite(raw_day)
+        lake.raw_matches.append(raw_day)
         refresh_models(spark, lake, load_time(day))
     ours = models(lake)["league_table_snapshot"]
     cols = sorted(full.columns)
@@ -106,7 +108,7 @@ def test_incremental_gold_drops_emptied_groups_and_keeps_others(spark, tmp_path)
 def gold_league_from(lake):
     from tidewater.plans import gold
 
-    return gold.league_table(lake.matches_latest.read().drop("_bucket"))
+    return gold.league_table(lake.matches_latest.read())
 
 
 def test_interrupted_first_run_rebuilds_missing_marts(spark, tmp_path):
@@ -127,3 +129,100 @@ def test_interrupted_first_run_rebuilds_missing_marts(spark, tmp_path):
     run_daily(spark, land, lake2, loaded_at="2024-01-03 02:00:00", run_id="b")
     comps = {r.competition_code for r in lake2.team_form_last5.read().collect()}
     assert comps == {"PL", "SA"}
+
+
+def _two_days(land):
+    from helpers import data_key, match, put
+
+    put(land, data_key(run="0a"), {"matches": [match(1, home=1, away=2), match(2, home=3, away=4, season=12)]})
+    yield "2024-01-02 02:00:00"
+    put(land, data_key(day="2024-01-03", run="0b"), {"matches": [
+        match(1, home=1, away=2, status="POSTPONED", winner=None), match(5, home=7, away=8, comp="SA")]})
+    yield "2024-01-03 02:00:00"
+
+
+def _assert_equal_to_full_recompute(spark, lake):
+    from tidewater.plans import gold, silver
+
+    latest = silver.matches_latest(silver.flatten_matches(lake.raw_matches.read(), keep_pos=True))
+    want = {"matches_latest": latest, "teams": silver.teams(latest).drop("updated_at"),
+            "team_form_last5": gold.team_form(latest, 5), "league_table_snapshot": gold.league_table(latest)}
+    for name, df in want.items():
+        got = getattr(lake, name).read().select(df.columns)
+        assert got.exceptAll(df).count() == 0 and df.exceptAll(got).count() == 0, name
+
+
+@pytest.mark.parametrize("stop", ["merge_latest", "upsert_keyed", "gold.league_table", "gold.team_form", "_publish"])
+@pytest.mark.parametrize("first", [True, False])
+def test_stopped_refresh_is_caught_up(spark, tmp_path, monkeypatch, stop, first):
+    """A run stopped after the load, the merge, the teams or a mart: the next run heals it."""
+    from tidewater.plans import runs
+
+    land, lake = str(tmp_path / "landing"), Lake(spark, str(tmp_path / "lake"))
+    days = _two_days(land)
+    if not first:
+        run_daily(spark, land, lake, loaded_at=next(days))
+    at = next(days)
+    owner = runs.gold if stop.startswith("gold.") else runs
+
+    def broken(*args, **kwargs):
+        raise InterruptedError(stop)
+
+    with monkeypatch.context() as m:
+        m.setattr(owner, stop.split(".")[-1], broken)
+        if first and stop in ("merge_latest", "upsert_keyed"):
+            m.setattr(runs.silver, "teams", broken)
+        with pytest.raises(InterruptedError):
+            run_daily(spark, land, lake, loaded_at=at, run_id="stopped")
+    out = run_daily(spark, land, lake, run_id="retried")
+    assert out["loader"]["files_to_load"] == 0
+    _assert_equal_to_full_recompute(spark, lake)
+    states = {r.run_id: r.dbt_test_state for r in lake.pipeline_run_metrics.read().collect()}
+    assert states["stopped"] == "upstream_failed" and states["retried"] == "success"
+    if first:
+        run_daily(spark, land, lake, loaded_at=next(days))
+        _assert_equal_to_full_recompute(spark, lake)
+
+
+def test_loads_of_other_jobs_are_published(spark, tmp_path):
+    from helpers import data_key, match, put
+    from tidewater.plans.loader import load_latest_matches, load_matches
+    from tidewater.streaming.ingest import stream_bronze_ingest
+
+    land, lake = str(tmp_path / "landing"), Lake(spark, str(tmp_path / "lake"))
+    days = _two_days(land)
+    run_daily(spark, land, lake, loaded_at=next(days))
+    next(days)
+    stream_bronze_ingest(spark, land, lake, str(tmp_path / "ckpt"), max_files_per_trigger=1)
+    run_daily(spark, land, lake)
+    _assert_equal_to_full_recompute(spark, lake)
+    put(land, data_key(day="2024-01-04", run="0c"), {"matches": [match(9, home=1, away=9)]})
+    load_matches(spark, land, lake)
+    put(land, data_key(day="2024-01-05", run="0d"), {"matches": [match(9, home=1, away=9, status="POSTPONED", winner=None)]})
+    load_latest_matches(spark, land, lake)
+    run_daily(spark, land, lake)
+    _assert_equal_to_full_recompute(spark, lake)
+    assert lake.matches_latest.read().where("match_id = 9").count() == 1
+
+
+def test_match_moving_group_leaves_one_row(spark, tmp_path):
+    from helpers import data_key, match, put
+
+    land, lake = str(tmp_path / "landing"), Lake(spark, str(tmp_path / "lake"))
+    put(land, data_key(run="0a"), {"matches": [match(1, season=11), match(2, home=3, away=4, comp="SA", season=21)]})
+    run_daily(spark, land, lake, loaded_at="2024-01-02 02:00:00")
+    sa = set(fs.data_files(spark, lake.matches_latest._folder(("vSA", "v21"))))
+    put(land, data_key(day="2024-01-03", run="0b"), {"matches": [match(1, comp="CL", season=31)]})
+    run_daily(spark, land, lake, loaded_at="2024-01-03 02:00:00")
+    rows = lake.matches_latest.read().where("match_id = 1").collect()
+    assert [(r.competition_code, r.season_id) for r in rows] == [("CL", 31)]
+    # the other competition's files were not touched
+    assert sa and sa == set(fs.data_files(spark, lake.matches_latest._folder(("vSA", "v21"))))
+    _assert_equal_to_full_recompute(spark, lake)
+
+
+def test_first_run_on_an_empty_landing(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    out = run_daily(spark, str(tmp_path / "landing"), lake, run_id="empty")
+    assert out["loader"]["files_discovered"] == 0 and out["test_state"] == "success"
+    assert lake.league_table_snapshot.read().count() == 0 and lake.teams.read().count() == 0

@@ -223,7 +223,9 @@ def test_backfill_run_and_load_latest(spark, tmp_root):
     assert out["loader"]["files_to_load"] == 2 and out["loader"]["manifests_loaded"] == 1
     latest = {r.match_id: r.status for r in lake.matches_latest.read().collect()}
     assert latest == {1: "POSTPONED", 2: "FINISHED"}   # equal load time: the later update wins
-    assert not lake.pipeline_run_metrics.exists()        # the backfill run records no metrics row
+    # both runs recorded a row: the one that found nothing never reached the tests
+    states = {r.dbt_test_state: r.dag_id for r in lake.pipeline_run_metrics.read().collect()}
+    assert states == {"upstream_failed": "backfill_manual", "success": "backfill_manual"}
     endpoints = {r.endpoint for r in lake.load_state.read().collect()}
     assert endpoints == {"matches_backfill", "matches_backfill_manifest"}
     # load-latest: only the greatest key, ledger untouched

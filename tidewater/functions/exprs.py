@@ -48,6 +48,17 @@ def relative_key(path: Column, anchor: str = "endpoint=") -> Column:
     return F.regexp_extract(path, r"(" + anchor + r".*)$", 1)
 
 
+def file_key(path: Column) -> Column:
+    """Object key of a file path as the file source reports it in ``_metadata``: URL-encoded, unlike a listing."""
+    return relative_key(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))))
+
+
+def landing_folder(path: Column) -> Column:
+    """The folder of an object's landing day, or its own folder where the key has none."""
+    day = F.regexp_extract(path, r"^(.*/dt=[^/]+)/", 1)
+    return F.when(day != "", day).otherwise(F.regexp_extract(path, r"^(.*)/[^/]*$", 1))
+
+
 def split_codes(s: Column) -> Column:
     """'PL, SA,,BL1 ' -> ['PL','SA','BL1']: split on comma, trim, drop blanks."""
     return F.filter(F.transform(F.split(s, ","), lambda x: F.trim(x)), lambda x: x != "")

@@ -7,6 +7,7 @@ simply redone (all writes are deterministic and keyed).
 
 from __future__ import annotations
 
+import inspect
 import os
 import threading
 import uuid
@@ -15,13 +16,15 @@ from datetime import date, timedelta
 
 from pyspark.sql import SparkSession
 
+from tidewater.plans import lake as lake_tables
+from tidewater.plans import loader, manifests
 from tidewater.plans.lake import Lake
 from tidewater.plans.loader import load_competitions, load_matches
 from tidewater.session import configure, digest, scratch_dir
-from tidewater.sources import fs
+from tidewater.sources import fixture, fs, landing, tables
 from tidewater.sources.fixture import FIXTURE_EPOCH, SNAPSHOTS_PER_MATCH, land_day
 
-FIXTURE_VERSION = "6"
+FIXTURE_VERSION = "7"
 LOAD_HOUR = "02:00:00"
 
 
@@ -40,7 +43,18 @@ def load_time(day: int) -> str:
 def _root(spark: SparkSession, sf_dir: str, tag: str) -> str:
     # TIDEWATER_FIXTURE_TAG forces a fresh build (the bench times the build itself)
     generation = os.environ.get("TIDEWATER_FIXTURE_TAG", "")
-    return scratch_dir(spark, tag, digest(os.path.abspath(sf_dir) + FIXTURE_VERSION + generation))
+    return scratch_dir(spark, tag, digest(_content(spark, sf_dir) + _code() + FIXTURE_VERSION + generation))
+
+
+def _content(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the tables the fixture is derived from."""
+    return "|".join(fs.stamp(spark, f"{sf_dir}/{t}.parquet") for t in ("orders", "region"))
+
+
+def _code() -> str:
+    """The modules that decide what the built lake holds."""
+    modules = (fixture, landing, loader, manifests, lake_tables, tables)
+    return digest("".join(inspect.getsource(m) for m in modules))
 
 
 def _at(spark: SparkSession, root: str) -> FixtureLake:
@@ -49,9 +63,9 @@ def _at(spark: SparkSession, root: str) -> FixtureLake:
 
 def _built(spark: SparkSession, root: str) -> FixtureLake | None:
     marker = f"{root}/_BUILT"
-    if not fs.exists(marker):
+    if not fs.exists(spark, marker):
         return None
-    sub = fs.read_text(marker).strip()
+    sub = fs.read_text(spark, marker).strip()
     return _at(spark, f"{root}/{sub}" if sub else root)
 
 
@@ -75,7 +89,7 @@ def fixture_lake(spark: SparkSession, sf_dir: str, tag: str = "fx") -> FixtureLa
             return fx
         build = f"build-{uuid.uuid4().hex[:12]}"
         _build(spark, sf_dir, _at(spark, f"{root}/{build}"))
-        fs.touch(f"{root}/_BUILT", build)
+        fs.write_text(spark, f"{root}/_BUILT", build)
         return _built(spark, root)
 
 

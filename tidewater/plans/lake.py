@@ -5,36 +5,49 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from tidewater.sources.tables import Table
+from tidewater.functions import exprs as X
+from tidewater.sources.tables import Table, partition_value
 
+# --- fixed values: columns of the stored tables ---
 RAW_MATCHES = ("file_key string, competition_code string, date_from date, date_to date, run_id string, "
                "dt date, payload variant, loaded_at timestamp")
 RAW_MANIFESTS = "file_key string, endpoint string, run_id string, dt date, manifest variant"
 RAW_COMPETITIONS = "file_key string, run_id string, dt date, payload variant"
 LOAD_STATE = "file_key string, endpoint string"
 QUARANTINE = "file_key string, kind string, loaded_at timestamp"
-LOADER_METRICS = ("prefix string, files_discovered bigint, files_to_load bigint, "
-                  "data_files_loaded bigint, manifests_loaded bigint")
+LOADS = "loaded_at timestamp, dt date"
 RUN_METRICS = (
     "dag_id string, run_id string, execution_date timestamp, loader_prefix string, "
     "files_discovered bigint, files_to_load bigint, data_files_loaded bigint, manifests_loaded bigint, "
     "dbt_run_duration_sec decimal(38,0), dbt_test_duration_sec decimal(38,0), dbt_test_state string, "
     "created_at timestamp_ntz"
 )
-FORM_COLUMNS = ["competition_code", "team_id", "team_name", "games_played_last5", "wins_last5", "draws_last5",
-                "losses_last5", "goals_for_last5", "goals_against_last5", "goal_diff_last5", "points_last5",
-                "last_match_utc"]
-LEAGUE_COLUMNS = ["competition_code", "season_id", "team_id", "team_name", "played", "wins", "draws", "losses",
-                  "goals_for", "goals_against", "goal_diff", "points", "as_of_utc", "rank"]
-# keyed silver tables are bucketed on their key so an upsert rewrites only touched buckets;
-# size it so one bucket is a few hundred MB at the target scale (session conf overrides)
-LATEST_BUCKETS = 16
-BUCKETS_CONF = "tidewater.silver.buckets"
-
-
-def silver_buckets(spark: SparkSession) -> int:
-    return int(spark.conf.get(BUCKETS_CONF, str(LATEST_BUCKETS)))
+MATCHES_LATEST = (
+    "match_id bigint, utc_date timestamp, status string, stage string, match_group string, matchday bigint, "
+    "last_updated timestamp, competition_id bigint, competition_code string, competition_name string, "
+    "competition_type string, season_id bigint, season_start_date date, season_end_date date, "
+    "season_current_matchday bigint, home_team_id bigint, home_team_name string, home_team_short_name string, "
+    "home_team_tla string, home_team_crest string, away_team_id bigint, away_team_name string, "
+    "away_team_short_name string, away_team_tla string, away_team_crest string, winner string, duration string, "
+    "ft_home_goals bigint, ft_away_goals bigint, ht_home_goals bigint, ht_away_goals bigint, file_key string, "
+    "competition_code_from_run string, date_from date, date_to date, run_id string, dt date, loaded_at timestamp"
+)
+TEAMS = ("team_id bigint, name string, short_name string, tla string, crest string, competition_code string, "
+         "season_id bigint, last_seen_utc_date timestamp, updated_at timestamp")
+TEAM_FORM = ("competition_code string, team_id bigint, team_name string, games_played_last5 bigint, "
+             "wins_last5 bigint, draws_last5 bigint, losses_last5 bigint, goals_for_last5 bigint, "
+             "goals_against_last5 bigint, goal_diff_last5 bigint, points_last5 bigint, last_match_utc timestamp")
+LEAGUE_TABLE = ("competition_code string, season_id bigint, team_id bigint, team_name string, played bigint, "
+                "wins bigint, draws bigint, losses bigint, goals_for bigint, goals_against bigint, "
+                "goal_diff bigint, points bigint, as_of_utc timestamp, rank bigint")
+# --- end fixed values ---
+
+COMPETITION = {"_competition": lambda: partition_value(F.col("competition_code"))}
+SEASON = {"_season": lambda: partition_value(F.col("season_id"))}
+# the landing day in the key: a manifest's own dt may change when it is replaced, its key does not
+KEY_DAY = {"_key_dt": lambda: partition_value(X.regex_group(F.col("file_key"), X.DT_RE))}
 
 
 @dataclass
@@ -42,8 +55,8 @@ class Lake:
     spark: SparkSession
     root: str
 
-    def _t(self, rel: str, schema=None, partition_by=None, columns=None) -> Table:
-        return Table(self.spark, f"{self.root.rstrip('/')}/{rel}", schema, partition_by, columns)
+    def _t(self, rel: str, schema: str, partition_by=None, derived=None, compact=False) -> Table:
+        return Table(self.spark, f"{self.root.rstrip('/')}/{rel}", schema, partition_by, derived, compact)
 
     # bronze: raw documents keyed by file_key, partitioned by landing day
     @property
@@ -52,7 +65,7 @@ class Lake:
 
     @property
     def raw_manifests(self) -> Table:
-        return self._t("bronze/raw_manifests", RAW_MANIFESTS, ["dt"])
+        return self._t("bronze/raw_manifests", RAW_MANIFESTS, derived=KEY_DAY)
 
     @property
     def raw_competitions(self) -> Table:
@@ -67,24 +80,31 @@ class Lake:
     def load_state(self) -> Table:
         return self._t("bronze/load_state", LOAD_STATE, ["endpoint"])
 
-    # silver / gold
+    # which landing days each load touched, and which of those loads are published downstream
+    @property
+    def loads(self) -> Table:
+        return self._t("bronze/loads", LOADS)
+
+    @property
+    def published_loads(self) -> Table:
+        return self._t("ops/published_loads", LOADS)
+
+    # silver / gold: partitioned by the groups they are computed over and a batch is local in
     @property
     def matches_latest(self) -> Table:
-        return self._t("silver/matches_latest", None, ["_bucket"])
+        return self._t("silver/matches_latest", MATCHES_LATEST, derived=COMPETITION | SEASON, compact=True)
 
     @property
     def teams(self) -> Table:
-        return self._t("silver/teams", None, ["_bucket"])
+        return self._t("silver/teams", TEAMS)
 
-    # gold marts are partitioned by the groups they are computed over, so a run
-    # rewrites only the competitions / seasons its batch touched
     @property
     def team_form_last5(self) -> Table:
-        return self._t("gold/team_form_last5", None, ["competition_code"], FORM_COLUMNS)
+        return self._t("gold/team_form_last5", TEAM_FORM, derived=COMPETITION, compact=True)
 
     @property
     def league_table_snapshot(self) -> Table:
-        return self._t("gold/league_table_snapshot", None, ["competition_code", "season_id"], LEAGUE_COLUMNS)
+        return self._t("gold/league_table_snapshot", LEAGUE_TABLE, derived=COMPETITION | SEASON, compact=True)
 
     # ops
     @property

@@ -36,10 +36,15 @@ def prefix_of(endpoint: str) -> str:
     return f"endpoint={endpoint}/"
 
 
-def load_state_pending(data: DataFrame, ledger: DataFrame, prefix: str) -> DataFrame:
+def ledger_of(ledger: DataFrame, endpoint: str) -> DataFrame:
+    """Data keys of one endpoint in the ledger (its partition is the only one read)."""
+    names = ENDPOINTS[endpoint]
+    return ledger.where(F.col("endpoint").isin(*names) & F.col("file_key").startswith(prefix_of(endpoint))).select("file_key")
+
+
+def load_state_pending(data: DataFrame, ledger: DataFrame, endpoint: str) -> DataFrame:
     """Data objects whose key is not yet in the ledger (ledger read by prefix)."""
-    loaded = ledger.where(F.col("file_key").startswith(prefix)).select("file_key")
-    return data.join(loaded, "file_key", "left_anti")
+    return data.join(ledger_of(ledger, endpoint), "file_key", "left_anti")
 
 
 def manifest_pairing(data: DataFrame, manifests: DataFrame) -> DataFrame:
@@ -49,26 +54,22 @@ def manifest_pairing(data: DataFrame, manifests: DataFrame) -> DataFrame:
     return d.join(m, "manifest_key", "left").withColumn("manifest_found", F.col("manifest_path").isNotNull())
 
 
-def flag_pending(data: DataFrame, ledger: DataFrame, manifests: DataFrame, prefix: str) -> DataFrame:
+def flag_pending(data: DataFrame, ledger: DataFrame, manifests: DataFrame, endpoint: str) -> DataFrame:
     """Every data object with ``pending`` (key not in the ledger) and its manifest pairing."""
-    loaded = ledger.where(F.col("file_key").startswith(prefix)).select("file_key").distinct() \
-        .withColumn("_loaded", F.lit(True))
+    loaded = ledger_of(ledger, endpoint).distinct().withColumn("_loaded", F.lit(True))
     flagged = data.join(loaded, "file_key", "left") \
         .withColumn("pending", ~F.coalesce(F.col("_loaded"), F.lit(False))).drop("_loaded")
     return manifest_pairing(flagged, manifests)
 
 
-def loader_metrics(prefix: str, data: DataFrame, paired_pending: DataFrame) -> DataFrame:
+def loader_metrics(prefix: str, flagged: DataFrame) -> DataFrame:
     """One row: prefix + 4 file counters (all zero when nothing is found)."""
-    flags = paired_pending.select("file_key", F.lit(True).alias("_pending"), "manifest_found")
-    files = data.select("file_key").join(flags, "file_key", "left")
-    pending = F.coalesce(F.col("_pending"), F.lit(False))
-    return files.agg(
+    return flagged.agg(
         F.lit(prefix).alias("prefix"),
         F.count(F.lit(1)).alias("files_discovered"),
-        F.count_if(pending).alias("files_to_load"),
-        F.count_if(pending).alias("data_files_loaded"),
-        F.count_if(pending & F.col("manifest_found")).alias("manifests_loaded"),
+        F.count_if("pending").alias("files_to_load"),
+        F.count_if("pending").alias("data_files_loaded"),
+        F.count_if(F.col("pending") & F.col("manifest_found")).alias("manifests_loaded"),
     )
 
 
@@ -88,15 +89,19 @@ def raw_matches_rows(docs: DataFrame, loaded_at: Column, strict: bool = True) ->
     )
 
 
-def raw_manifest_rows(docs: DataFrame, default_endpoint: str, strict: bool = True) -> DataFrame:
-    """RAW_MANIFESTS rows: manifest fields win, key-parsed values fill in (``a or b``)."""
+def raw_manifest_rows(docs: DataFrame, default_endpoint: str, strict: bool = True, fill: bool = True) -> DataFrame:
+    """RAW_MANIFESTS rows: manifest fields win, key-parsed values fill in (``a or b``).
+
+    ``fill=False`` (the one-off load of the latest object) takes the manifest's own values as they are.
+    """
     parsed = L.key_parse(docs).withColumn("manifest", F.parse_json("text") if strict else F.try_parse_json("text"))
     field = lambda name: F.try_variant_get(F.col("manifest"), f"$.{name}", "string")
+    own = (lambda name, other: X.falsy_or(field(name), other)) if fill else (lambda name, other: field(name))
     return parsed.select(
         "file_key",
-        X.falsy_or(field("endpoint"), F.lit(default_endpoint)).alias("endpoint"),
-        X.falsy_or(field("run_id"), F.col("run_id")).alias("run_id"),
-        X.falsy_or(field("dt_partition"), F.col("dt")).cast("date").alias("dt"),
+        own("endpoint", F.lit(default_endpoint)).alias("endpoint"),
+        own("run_id", F.col("run_id")).alias("run_id"),
+        own("dt_partition", F.col("dt")).cast("date").alias("dt"),
         "manifest",
     )
 
@@ -112,46 +117,65 @@ def raw_competitions_rows(docs: DataFrame, strict: bool = True) -> DataFrame:
 def upsert_by_key_partitions(table, batch: DataFrame, key: str = "file_key") -> None:
     """replace_by_key restricted to the partitions the batch touches.
 
-    A key determines its partition (a file key determines its ``dt``), so
-    replacing inside touched partitions equals replacing in the whole table.
+    Every table it is used on is partitioned by something a key determines (the
+    landing day inside the key), so replacing inside touched partitions equals
+    replacing in the whole table.
     """
-    part = table.partition_by
-    batch = batch.cache()
-    if table.exists() and part:
-        touched = table.touched(batch)
-        if not table.any_partition_exists(touched):
-            table.append(batch)  # the usual daily case: a new landing day, nothing to replace
-        else:
-            target = table.read_partitions(touched)  # only the batch's partitions are read and rewritten
-            table.replace_partitions(replace_by_key(target, batch, key))
+    batch = batch.cache()  # used twice: touched partitions, then the write
+    touched = table.touched(batch)
+    if not table.any_partition_exists(touched):
+        table.append(batch)  # the usual daily case: a new landing day, nothing to replace
     else:
-        table.overwrite(replace_by_key(table.read(), batch, key), reads_self=table.exists())
+        target = table.read_partitions(touched)  # only the batch's partitions are read and rewritten
+        table.replace_partitions(replace_by_key(target, batch, key))
+    batch.unpersist()
+
+
+def append_new(table, batch: DataFrame, key: str = "file_key") -> None:
+    """Append the batch's rows whose key is not in the table yet.
+
+    Reads the key column of the touched partitions and rewrites nothing.  Right
+    where a key's content never changes, as in a file stream: it makes a retried
+    micro-batch add nothing.
+    """
+    batch = batch.cache()  # used twice: touched partitions, then the write
+    known = table.read_partitions(table.touched(batch)).select(key)
+    table.append(batch.join(known, key, "left_anti"))
     batch.unpersist()
 
 
+def log_load(lake: Lake, keys: DataFrame, loaded_at: Column) -> None:
+    """Note which landing days a load touched, after its rows are written and before its keys are marked.
+
+    Downstream publishes from this log, so rows are found whichever job loaded
+    them and however far it came afterwards.
+    """
+    days = L.key_parse(keys).select(loaded_at.cast("timestamp").alias("loaded_at"), F.col("dt").cast("date").alias("dt"))
+    lake.loads.append(days.distinct().coalesce(1))
+
+
 def load_matches(spark: SparkSession, landing: str, lake: Lake, endpoint: str = "matches",
-                 loaded_at: str | None = None, on_empty: str = "zeros", strict: bool = True) -> dict:
+                 loaded_at: str | None = None, on_empty: str = "zeros", strict: bool = True,
+                 until_dt: str | None = None) -> dict:
     """Load pending data files (and their manifests) of one endpoint into bronze.
 
     Returns the loader metrics record.  ``on_empty``: ``zeros`` (incremental)
     returns zero counters, ``error`` (backfill) raises when nothing is landed.
+    ``until_dt`` leaves objects of later landing days for another run.
     """
     configure(spark)
     prefix = prefix_of(endpoint)
     data_ep, manifest_ep = ENDPOINTS[endpoint]
-    objects = L.object_classify(L.list_objects(spark, landing, prefix)).cache()
+    objects = L.object_classify(L.list_objects(spark, landing, prefix))
+    if until_dt is not None:
+        objects = objects.where(X.regex_group(F.col("file_key"), X.DT_RE) <= until_dt)
+    objects = objects.cache()
     data = objects.where(F.col("kind") == "data").drop("kind")
     manifests = objects.where(F.col("kind") == "manifest").drop("kind")
     # every data object flagged pending-or-not and paired with its manifest: the
     # counters and the pending set come from this one table (two joins, one pass)
-    flagged = flag_pending(data, lake.load_state.read(), manifests, prefix).cache()
-    metrics = flagged.agg(
-        F.lit(prefix).alias("prefix"),
-        F.count(F.lit(1)).alias("files_discovered"),
-        F.count_if("pending").alias("files_to_load"),
-        F.count_if("pending").alias("data_files_loaded"),
-        F.count_if(F.col("pending") & F.col("manifest_found")).alias("manifests_loaded"),
-    ).collect()[0].asDict()
+    flagged = flag_pending(data, lake.load_state.read(), manifests, endpoint).cache()
+    metrics = loader_metrics(prefix, flagged).collect()[0].asDict()
     paired = flagged.where("pending")
     if metrics["files_discovered"] == 0 and on_empty == "error":
         objects.unpersist()
@@ -161,12 +185,9 @@ def load_matches(spark: SparkSession, landing: str, lake: Lake, endpoint: str =
         # one load time for the whole batch, fixed on the driver (a recomputed task sees the same value)
         loaded_at = loaded_at or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
         ts = F.lit(loaded_at).cast("timestamp")
-        # only pending objects are opened; their paths (listing metadata) come back in one collect
-        pending_paths = paired.select("path", "manifest_path").collect()
-        data_docs = L.read_paths(spark, [r["path"] for r in pending_paths])
-        man_docs = L.read_paths(spark, [r["manifest_path"] for r in pending_paths if r["manifest_path"]])
-        data_rows = raw_matches_rows(data_docs, ts, strict)
-        man_rows = raw_manifest_rows(man_docs, endpoint, strict)
+        found = paired.where("manifest_found").select(F.col("manifest_key").alias("file_key"), F.col("manifest_path").alias("path"))
+        data_rows = raw_matches_rows(L.read_documents(spark, paired), ts, strict)
+        man_rows = raw_manifest_rows(L.read_documents(spark, found), endpoint, strict)
         upsert_by_key_partitions(lake.raw_matches, data_rows)
         upsert_by_key_partitions(lake.raw_manifests, man_rows)
         if not strict:
@@ -182,15 +203,22 @@ def load_matches(spark: SparkSession, landing: str, lake: Lake, endpoint: str =
             if metrics["quarantined"]:
                 lake.quarantine.append(bad)
             bad.unpersist()
+        log_load(lake, paired.select("file_key"), ts)
         marks = paired.select("file_key", F.lit(data_ep).alias("endpoint")).unionByName(
             paired.where("manifest_found").select(F.col("manifest_key").alias("file_key"),
                                                   F.lit(manifest_ep).alias("endpoint")))
-        lake.load_state.append(insert_if_absent(lake.load_state.read(), marks, "file_key"))
+        mark(lake, marks, [data_ep, manifest_ep])
     objects.unpersist()
     flagged.unpersist()
     return metrics
 
 
+def mark(lake: Lake, marks: DataFrame, endpoints: list[str]) -> None:
+    """Add keys to the ledger that it does not have (reads these endpoints' partitions of it)."""
+    ledger = lake.load_state.read().where(F.col("endpoint").isin(*endpoints))
+    lake.load_state.append(insert_if_absent(ledger, marks, "file_key"))
+
+
 def load_competitions(spark: SparkSession, landing: str, lake: Lake, strict: bool = True) -> int:
     """Keyed replace of every landed competitions document into RAW_COMPETITIONS."""
     docs = L.read_tree(spark, landing, prefix_of("competitions"))
@@ -211,9 +239,11 @@ def load_latest_matches(spark: SparkSession, landing: str, lake: Lake, endpoint:
     if not latest:
         raise RuntimeError(f"No {endpoint} files found with prefix: {prefix}")
     key = latest[0]["latest_key"]
-    ts = F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp")
+    loaded_at = loaded_at or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+    ts = F.lit(loaded_at).cast("timestamp")
     pick = objects.where(F.col("file_key") == key)
     upsert_by_key_partitions(lake.raw_matches, raw_matches_rows(L.read_documents(spark, pick), ts))
     man = objects.where((F.col("kind") == "manifest") & (F.col("file_key") == X.manifest_key_for(F.lit(key))))
-    upsert_by_key_partitions(lake.raw_manifests, raw_manifest_rows(L.read_documents(spark, man), endpoint))
+    upsert_by_key_partitions(lake.raw_manifests, raw_manifest_rows(L.read_documents(spark, man), endpoint, fill=False))
+    log_load(lake, pick.select("file_key"), ts)
     return key

@@ -56,8 +56,11 @@ def manifest_build(raw: DataFrame, endpoint: str = "matches", bucket: str = "bro
     return out.withColumn("manifest_key", X.manifest_key_for(F.col("data_key"))).withColumn("manifest", manifest)
 
 
-def manifest_reconcile(raw_matches: DataFrame, raw_manifests: DataFrame) -> DataFrame:
-    """Data documents whose manifest ``record_count`` differs from the payload count."""
+def manifest_reconcile(raw_matches: DataFrame, raw_manifests: DataFrame, unmatched: bool = False) -> DataFrame:
+    """Data documents whose manifest ``record_count`` differs from the payload count.
+
+    ``unmatched``: also documents without a manifest and manifests without a document.
+    """
     m = raw_manifests.select(
         F.col("file_key").alias("manifest_key"),
         F.variant_get(F.col("manifest"), "$.record_count", "bigint").alias("manifest_count"),
@@ -67,7 +70,7 @@ def manifest_reconcile(raw_matches: DataFrame, raw_manifests: DataFrame) -> Data
         X.manifest_key_for(F.col("file_key")).alias("manifest_key"),
         element_count(F.col("payload")).alias("payload_count"),
     )
-    both = d.join(m, "manifest_key", "inner")
+    both = d.join(m, "manifest_key", "full" if unmatched else "inner")
     return both.where(~F.col("manifest_count").eqNullSafe(F.col("payload_count")))
 
 

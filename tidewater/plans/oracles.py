@@ -254,7 +254,12 @@ MANIFEST_BUILD = FX + _FILES + f"""
 SELECT file_key AS data_key, run_id, 'matches' AS endpoint, competition_code AS competition,
        strftime(date_from, {KEY_DATE}) AS date_from, strftime(date_to, {KEY_DATE}) AS date_to,
        strftime(dt, {KEY_DATE}) AS dt_partition, n_matches AS record_count, 'bronze' AS bucket,
-       {MANIFEST_OF} AS manifest_key
+       strftime(dt, {KEY_DATE}) || 'T01:00:00+00:00' AS fetched_at_utc,
+       {MANIFEST_OF} AS manifest_key,
+       '{{"run_id":"' || run_id || '","endpoint":"matches","competition":"' || competition_code
+         || '","params":{{"dateFrom":"' || strftime(date_from, {KEY_DATE}) || '","dateTo":"' || strftime(date_to, {KEY_DATE})
+         || '"}},"dt_partition":"' || strftime(dt, {KEY_DATE}) || '","fetched_at_utc":"' || strftime(dt, {KEY_DATE})
+         || 'T01:00:00+00:00","record_count":' || n_matches || ',"bucket":"bronze","data_key":"' || file_key || '"}}' AS manifest
 FROM files
 """
 
@@ -269,8 +274,7 @@ FROM files WHERE competition_code = 'PD' AND dt = DATE '2024-01-03'
 
 RAW_MATCHES_UPSERT = FX + _FILES + """
 SELECT file_key, competition_code, date_from, date_to, run_id, dt,
-       CASE WHEN dt = DATE '2024-01-03' THEN TIMESTAMP '2024-01-04 02:00:00' ELSE loaded_at END AS loaded_at,
-       n_matches
+       TIMESTAMP '2024-01-04 02:00:00' AS loaded_at, n_matches
 FROM files
 """
 
@@ -283,10 +287,9 @@ FROM files WHERE competition_code <> 'FL1'
 LOAD_STATE_PENDING = FX + _FILES + "\nSELECT file_key FROM files WHERE dt > DATE '2024-01-01'\n"
 
 LOAD_STATE_MARK = FX + _FILES + f"""
-SELECT file_key, 'matches_incremental' AS endpoint FROM files WHERE dt <= DATE '2024-01-02'
+SELECT file_key, 'matches_incremental' AS endpoint FROM files
 UNION ALL
-SELECT {MANIFEST_OF}, 'matches_incremental_manifest' FROM files
-WHERE dt <= DATE '2024-01-02' AND competition_code <> 'FL1'
+SELECT {MANIFEST_OF}, 'matches_incremental_manifest' FROM files WHERE competition_code <> 'FL1'
 """
 
 _LOADER = """SELECT 'endpoint=matches/' AS prefix,
@@ -300,7 +303,7 @@ LOADER_METRICS = FX + _FILES + "\n" + _LOADER + "\n"
 _MERGE = f""", tgt AS (
   {_latest_sql("loaded_at < TIMESTAMP '2024-01-03 02:00:00'")}
 ), src AS (
-  SELECT * FROM ({_latest_sql("loaded_at = TIMESTAMP '2024-01-03 02:00:00'")}) WHERE status = 'FINISHED'
+  {_latest_sql("loaded_at = TIMESTAMP '2024-01-03 02:00:00'")}
 )"""
 
 MATCHES_LATEST_MERGE = FX + _MERGE + """
@@ -372,7 +375,8 @@ PIPELINE_RUN_METRICS = FX + _MODELS + ",\n" + _REPORT + _FILES + f"""
 , loader AS ({_LOADER})
 SELECT 'daily_pipeline' AS dag_id, TIMESTAMP '2024-01-03 02:00:00' AS execution_date,
        prefix AS loader_prefix, files_discovered, files_to_load, data_files_loaded, manifests_loaded,
-       CASE WHEN (SELECT count(*) FROM report WHERE state = 'fail') > 0 THEN 'failed' ELSE 'success' END AS dbt_test_state
+       CASE WHEN (SELECT count(*) FROM report WHERE state = 'fail') > 0 THEN 'failed' ELSE 'success' END AS dbt_test_state,
+       TRUE AS timed
 FROM loader
 """
 
@@ -450,6 +454,10 @@ def oracle_sql() -> dict[str, str]:
         "matches_flatten": MATCHES_FLATTEN,
         "matches_latest": MATCHES_LATEST,
         "matches_latest_merge": MATCHES_LATEST_MERGE,
+        "daily_refresh_incremental": MATCHES_LATEST,
+        "teams_stored": TEAMS_DIM,
+        "team_form_stored": TEAM_FORM,
+        "league_table_stored": LEAGUE_TABLE,
         "teams_dim": TEAMS_DIM,
         "teams_merge": TEAMS_MERGE,
         "team_results_long": TEAM_RESULTS_LONG,

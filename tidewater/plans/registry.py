@@ -12,6 +12,7 @@ runs over the whole tables.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
@@ -26,13 +27,13 @@ from tidewater.operators.upsert import insert_if_absent, replace_by_key
 from tidewater.operators.windows import assign_backfill_chunk, coverage_gaps, planned_chunks, rolling_window_filter
 from tidewater.plans import gold, silver
 from tidewater.plans.fixture_lake import FixtureLake, fixture_lake, load_time
-from tidewater.plans.lake import RUN_METRICS, Lake
+from tidewater.plans.lake import Lake
 from tidewater.plans.loader import (
-    ENDPOINTS, load_state_pending, loader_metrics, manifest_pairing, prefix_of,
+    ENDPOINTS, flag_pending, load_matches, load_state_pending, loader_metrics, manifest_pairing, prefix_of,
     raw_competitions_rows, raw_manifest_rows, raw_matches_rows,
 )
 from tidewater.plans.manifests import competitions_flatten, element_count, landing_write, manifest_build, manifest_reconcile
-from tidewater.plans.runs import run_metrics_row, upsert_keyed
+from tidewater.plans.runs import matches_latest_order, merge_latest, refresh_models, run_metrics_row, upsert_keyed
 from tidewater.session import configure, scratch_dir
 from tidewater.sources import landing as L
 from tidewater.sources.fixture import landing_rows, snapshots
@@ -47,7 +48,8 @@ EVENTS_CODES = "click, view,,purchase "
 BACKFILL_START, BACKFILL_END, BACKFILL_DAYS = "2024-01-03", "2024-01-27", 7
 GAPS_START, GAPS_END, GAPS_DAYS = "2024-01-01", "2024-01-30", 2
 # --- end fixed values ---
-STREAM_FILES_PER_TRIGGER = 50  # about one landing day per micro-batch at sf 0.1
+FETCHED = "T01:00:00+00:00"
+STREAM_BATCHES = 4  # the stream keys size a micro-batch as this part of the landed bytes
 
 
 def as_ntz(df: DataFrame) -> DataFrame:
@@ -144,9 +146,8 @@ def q_landing_write(spark, sf_dir):
 
 
 def q_manifest_build(spark, sf_dir):
-    """Manifest record of every raw data document."""
-    m = manifest_build(_raw(spark, sf_dir))
-    return m.drop("manifest", "fetched_at_utc")
+    """Manifest record of every raw data document, the JSON included."""
+    return manifest_build(_raw(spark, sf_dir), fetched_at=F.concat(F.col("dt").cast("string"), F.lit(FETCHED)))
 
 
 def q_manifest_pairing(spark, sf_dir):
@@ -173,10 +174,9 @@ def q_raw_competitions_upsert(spark, sf_dir):
 
 
 def q_raw_matches_upsert(spark, sf_dir):
-    """Replay of the last day's files with a new load time."""
+    """Replay of every landed file with a new load time."""
     fx = _fx(spark, sf_dir)
-    obj = L.key_parse(_objects(spark, fx))
-    replay = obj.where((F.col("kind") == "data") & (F.col("dt") == DAY2))
+    replay = _objects(spark, fx).where(F.col("kind") == "data")
     batch = raw_matches_rows(L.read_documents(spark, replay), F.lit(REPLAY_LOAD))
     return as_ntz(_raw_shape(replace_by_key(fx.lake.raw_matches.read(), batch, "file_key")))
 
@@ -195,13 +195,13 @@ def q_load_state_pending(spark, sf_dir):
     """Data objects not yet in the ledger after the first daily run."""
     fx = _fx(spark, sf_dir)
     data = _objects(spark, fx).where(F.col("kind") == "data")
-    return load_state_pending(data, _ledger_after_day0(fx), prefix_of(MATCHES)).select("file_key")
+    return load_state_pending(data, _ledger_after_day0(fx), MATCHES).select("file_key")
 
 
 def q_load_state_mark(spark, sf_dir):
-    """K6: insert-if-absent of an overlapping batch (days 0-1) into the day-0 ledger."""
+    """K6: insert-if-absent of every landed key into the day-0 ledger."""
     fx = _fx(spark, sf_dir)
-    obj = L.key_parse(_objects(spark, fx)).where(F.col("dt") <= DAY1)
+    obj = _objects(spark, fx)
     data_ep, man_ep = ENDPOINTS[MATCHES]
     marks = obj.select("file_key", F.when(F.col("kind") == "data", data_ep).otherwise(man_ep).alias("endpoint"))
     target = _ledger_after_day0(fx)
@@ -213,10 +213,8 @@ def q_loader_metrics(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     obj = _objects(spark, fx)
     data = obj.where(F.col("kind") == "data")
-    prefix = prefix_of(MATCHES)
-    paired = manifest_pairing(load_state_pending(data, _ledger_after_day0(fx), prefix),
-                              obj.where(F.col("kind") == "manifest"))
-    return loader_metrics(prefix, data, paired)
+    flagged = flag_pending(data, _ledger_after_day0(fx), obj.where(F.col("kind") == "manifest"), MATCHES)
+    return loader_metrics(prefix_of(MATCHES), flagged)
 
 
 # ---------------------------------------------------------------- silver / gold
@@ -229,19 +227,19 @@ def q_matches_latest(spark, sf_dir):
 
 
 def _merge_scenario(spark, sf_dir):
+    """Latest snapshots of days 0-1 and of day 2; matches without a day-2 snapshot stay target-only."""
     raw = _raw(spark, sf_dir)
     before = _latest_of(raw.where(F.col("loaded_at") < F.lit(load_time(2)).cast("timestamp")))
-    day2 = _latest_of(raw.where(F.col("loaded_at") == F.lit(load_time(2)).cast("timestamp")))
-    return before, day2.where(F.col("status") == gold.FINISHED)
+    return before, _latest_of(raw.where(F.col("loaded_at") == F.lit(load_time(2)).cast("timestamp")))
 
 
 def q_matches_latest_merge(spark, sf_dir):
-    """K7: merge day 2's finished matches into the latest table of days 0-1."""
+    """K7: order-comparing merge of day 2 into the latest table of days 0-1."""
     target, source = _merge_scenario(spark, sf_dir)
     _, lake = _scratch_lake(spark, "merge")
-    upsert_keyed(lake.matches_latest, target, "match_id")
-    upsert_keyed(lake.matches_latest, source, "match_id")
-    return as_ntz(lake.matches_latest.read().drop("_bucket"))
+    lake.matches_latest.overwrite(target)
+    merge_latest(lake.matches_latest, source, "match_id", matches_latest_order())
+    return as_ntz(lake.matches_latest.read())
 
 
 def q_teams_dim(spark, sf_dir):
@@ -249,12 +247,52 @@ def q_teams_dim(spark, sf_dir):
 
 
 def q_teams_merge(spark, sf_dir):
-    """K7 on teams: teams of days 0-1, then teams seen in day 2's finished matches."""
+    """K7 on teams: teams of days 0-1, then the teams seen in day 2."""
     target, source = _merge_scenario(spark, sf_dir)
     _, lake = _scratch_lake(spark, "teams")
     upsert_keyed(lake.teams, silver.teams(target), "team_id")
     upsert_keyed(lake.teams, silver.teams(source), "team_id")
-    return as_ntz(lake.teams.read().drop("_bucket", "updated_at"))
+    return as_ntz(lake.teams.read().drop("updated_at"))
+
+
+_REFRESHED: dict[str, Lake] = {}
+
+
+def _refreshed(spark, sf_dir) -> Lake:
+    """A lake loaded and refreshed day by day by the production code.
+
+    Day 1's run stops after its load, before anything is published; day 2's run
+    has to catch up.
+    """
+    fx = _fx(spark, sf_dir)
+    if fx.root not in _REFRESHED:
+        _, lake = _scratch_lake(spark, "days")
+        for day, dt in enumerate((DAY0, DAY1, DAY2)):
+            load_matches(spark, fx.landing, lake, MATCHES, loaded_at=load_time(day), until_dt=dt)
+            if day != 1:
+                refresh_models(spark, lake)
+        _REFRESHED[fx.root] = lake
+    return _REFRESHED[fx.root]
+
+
+def q_daily_refresh_incremental(spark, sf_dir):
+    """M2 K7: matches_latest after three daily runs, one of them interrupted."""
+    return as_ntz(_refreshed(spark, sf_dir).matches_latest.read())
+
+
+def q_teams_stored(spark, sf_dir):
+    """M3 K7: the stored team dimension after those runs."""
+    return as_ntz(_refreshed(spark, sf_dir).teams.read().drop("updated_at"))
+
+
+def q_team_form_stored(spark, sf_dir):
+    """M4 K8: the stored form mart after those runs."""
+    return as_ntz(_refreshed(spark, sf_dir).team_form_last5.read())
+
+
+def q_league_table_stored(spark, sf_dir):
+    """M5 K8: the stored league table after those runs."""
+    return as_ntz(_refreshed(spark, sf_dir).league_table_snapshot.read())
 
 
 def q_team_results_long(spark, sf_dir):
@@ -270,24 +308,32 @@ def q_league_table_snapshot(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- quality / ops
-def _models(spark, sf_dir) -> dict[str, DataFrame]:
+# snapshot columns that a model's tests or the models built on it read
+_TEST_NEEDS = sorted({*silver.TEAMS_NEEDS, *gold.GOLD_NEEDS})
+
+
+def _models(spark, sf_dir, tests) -> dict[str, DataFrame]:
+    """The models these tests read, each decoding only the fields they need."""
     raw = _raw(spark, sf_dir)
-    # four models derive from the latest snapshot: compute it once and cut the
-    # lineage in the shared checkpoint folder (survives executor loss)
-    latest = _latest_of(raw).checkpoint(eager=True)
-    return {
-        "v_matches": silver.flatten_matches(raw, columns=[t.column for t in PROJECT_TESTS if t.model == "v_matches"]),
-        "matches_latest": latest,
-        "teams": silver.teams(latest),
-        "team_form_last5": gold.team_form(latest, 5),
-        "league_table_snapshot": gold.league_table(latest),
-    }
+    wanted = {t.model for t in tests}
+    view = [t.column for t in tests if t.model == "v_matches"]
+    out = {"v_matches": silver.flatten_matches(raw, columns=view)} if view else {}
+    rest = wanted - {"v_matches"}
+    if rest == {"matches_latest"}:
+        return out | {"matches_latest": _latest_of(raw, [t.column for t in tests if t.model == "matches_latest"])}
+    if rest:
+        # several models derive from the latest snapshot: compute it once and cut the
+        # lineage in the shared checkpoint folder (survives executor loss)
+        latest = _latest_of(raw, _TEST_NEEDS).checkpoint(eager=True)
+        built = {"matches_latest": lambda: latest, "teams": lambda: silver.teams(latest),
+                 "team_form_last5": lambda: gold.team_form(latest, 5), "league_table_snapshot": lambda: gold.league_table(latest)}
+        out |= {m: built[m]() for m in rest}
+    return out
 
 
 def _dq(spark, sf_dir, kind: str | None):
     tests = [t for t in PROJECT_TESTS if kind is None or t.kind == kind]
-    models = {k: v for k, v in _models(spark, sf_dir).items() if any(t.model == k for t in tests)}
-    report = run_tests(models, tests)
+    report = run_tests(_models(spark, sf_dir, tests), tests)
     return report if kind is None else report.drop("state")
 
 
@@ -309,16 +355,19 @@ def q_dq_report(spark, sf_dir):
 
 def q_pipeline_run_metrics(spark, sf_dir):
     """Append this run's metrics row (table created if absent), read it back."""
-    fx = _fx(spark, sf_dir)
+    began = time.time()
     loader = q_loader_metrics(spark, sf_dir).collect()[0].asDict()
+    loaded = time.time()
     report = q_dq_report(spark, sf_dir)
     failed = report.agg(F.count_if(F.col("state") == "fail").alias("n")).collect()[0]["n"]
     rid = uuid.uuid4().hex
-    row = run_metrics_row(spark, "daily_pipeline", rid, load_time(2), loader, 0.0, 0.0,
+    _, lake = _scratch_lake(spark, "metrics")
+    row = run_metrics_row(spark, "daily_pipeline", rid, load_time(2), loader, loaded - began, time.time() - loaded,
                           "success" if failed == 0 else "failed")
-    fx.lake.pipeline_run_metrics.append(row.select(*[c.split()[0] for c in RUN_METRICS.split(", ")]))
-    back = fx.lake.pipeline_run_metrics.read().where(F.col("run_id") == rid)
-    return as_ntz(back.drop("run_id", "dbt_run_duration_sec", "dbt_test_duration_sec", "created_at"))
+    lake.pipeline_run_metrics.append(row)
+    back = lake.pipeline_run_metrics.read().where(F.col("run_id") == rid)
+    timed = (F.col("dbt_run_duration_sec") >= 0) & (F.col("dbt_test_duration_sec") >= 0) & F.col("created_at").isNotNull()
+    return as_ntz(back.withColumn("timed", timed).drop("run_id", "dbt_run_duration_sec", "dbt_test_duration_sec", "created_at"))
 
 
 # ---------------------------------------------------------------- date windows / events
@@ -361,8 +410,9 @@ def _stream(spark, sf_dir, latest: bool) -> Lake:
     fx = _fx(spark, sf_dir)
     root, lake = _scratch_lake(spark, "stream")
     load_hour = F.concat(F.col("dt"), F.lit(" 02:00:00")).cast("timestamp")  # fixture: day d loads at 02:00
+    landed = _objects(spark, fx).agg(F.sum("size").alias("n")).collect()[0]["n"] or 0
     stream_bronze_ingest(spark, fx.landing, lake, f"{root}/_checkpoint", loaded_at=load_hour,
-                         max_files_per_trigger=STREAM_FILES_PER_TRIGGER, latest=latest)
+                         max_bytes_per_trigger=int(landed) // STREAM_BATCHES + 1, latest=latest)
     return lake
 
 
@@ -373,7 +423,7 @@ def q_stream_bronze_ingest(spark, sf_dir):
 
 def q_stream_matches_latest(spark, sf_dir):
     """Per-batch latest + order-comparing merge equals the batch model."""
-    return as_ntz(_stream(spark, sf_dir, True).matches_latest.read().drop("_bucket"))
+    return as_ntz(_stream(spark, sf_dir, True).matches_latest.read())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -395,6 +445,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "matches_flatten": q_matches_flatten,
     "matches_latest": q_matches_latest,
     "matches_latest_merge": q_matches_latest_merge,
+    "daily_refresh_incremental": q_daily_refresh_incremental,
+    "teams_stored": q_teams_stored,
+    "team_form_stored": q_team_form_stored,
+    "league_table_stored": q_league_table_stored,
     "teams_dim": q_teams_dim,
     "teams_merge": q_teams_merge,
     "team_results_long": q_team_results_long,

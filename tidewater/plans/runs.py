@@ -1,9 +1,10 @@
-"""Daily and backfill runs: load -> silver merges -> gold rebuild -> tests -> metrics.
+"""Daily and backfill runs: load -> silver merges -> gold refresh -> tests -> metrics.
 
-Keyed silver tables are partitioned by a hash bucket of their key, so a
-merge rewrites only the buckets its batch touches.  ``merge_latest`` also
-compares the snapshot order, so a late or replayed batch can never
-overwrite a newer row: the batch path and the stream path agree.
+``matches_latest`` is partitioned by competition and season, which a batch is
+local in, so a merge rewrites only those.  ``merge_latest`` compares the
+snapshot order, so a late or replayed batch can never overwrite a newer row:
+the batch path and the stream path agree, and merging a load twice changes
+nothing.
 """
 
 from __future__ import annotations
@@ -20,57 +21,32 @@ from tidewater.operators.keyed import latest_by_key
 from tidewater.operators.quality import PROJECT_TESTS, run_tests, suite_state
 from tidewater.operators.upsert import merge_upsert
 from tidewater.plans import gold, silver
-from tidewater.plans.lake import RUN_METRICS, Lake, silver_buckets
+from tidewater.plans.lake import Lake
 from tidewater.plans.loader import load_matches
 from tidewater.session import configure
-from tidewater.sources.tables import Table, bucket_of, values_filter
+from tidewater.sources.tables import Table, values_filter
 
-BUCKET = "_bucket"
 
+def upsert_keyed(table: Table, source: DataFrame, key: str) -> None:
+    """merge_upsert of ``source`` into a table without partitions (a dimension), rewritten whole."""
+    table.overwrite(merge_upsert(table.read(), source.select(*table.columns), key), reads_self=True)
 
-def _with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    return df.withColumn(BUCKET, bucket_of(key, buckets))
 
-
-def upsert_keyed(table: Table, source: DataFrame, key: str, buckets: int | None = None) -> None:
-    """merge_upsert of ``source`` into a bucketed table, touching only its buckets."""
-    src = _with_bucket(source, key, buckets or silver_buckets(source.sparkSession))
-    if not table.exists():
-        table.overwrite(_by_bucket(src))
-        return
-    src = src.cache()  # used twice: touched buckets, then the merge itself
-    target = table.read_partitions(table.touched(src))
-    table.replace_partitions(_by_bucket(merge_upsert(target, src, key)))
-    src.unpersist()
-
-
-def merge_latest(table: Table, batch_latest: DataFrame, key: str, order: Sequence[Column],
-                 buckets: int | None = None) -> None:
+def merge_latest(table: Table, batch_latest: DataFrame, key: str, order: Sequence[Column]) -> None:
     """Merge with order comparison: per key keep the first of (target row, batch row)
-    in ``order``; on a full tie the batch row wins.  NULL keys never match."""
-    buckets = buckets or silver_buckets(batch_latest.sparkSession)
-    src = _with_bucket(batch_latest, key, buckets).withColumn("_from_batch", F.lit(1))
-    if not table.exists():
-        table.overwrite(_by_bucket(src.drop("_from_batch")))
-        return
-    src = src.cache()  # used twice: touched buckets, then the merge itself
-    target = table.read_partitions(table.touched(src)).withColumn("_from_batch", F.lit(0))
-    both = target.unionByName(src)
-    keyed = both.where(F.col(key).isNotNull())
-    best = latest_by_key(keyed, [key], [*order, F.col("_from_batch").desc()])
-    merged = best.unionByName(both.where(F.col(key).isNull()))
-    table.replace_partitions(_by_bucket(merged.drop("_from_batch")))
-    src.unpersist()
-
-
-def _by_bucket(df: DataFrame) -> DataFrame:
-    """One writer task per bucket, so each bucket folder gets one file instead
-    of one per upstream task (buckets are hash-balanced: no skew)."""
-    return df.repartition(BUCKET)
-
+    in ``order``; on a full tie the batch row wins.  NULL keys never match.
 
-def _drop_bucket(df: DataFrame) -> DataFrame:
-    return df.drop(BUCKET)
+    Reads and rewrites the partitions the batch's rows go to and those that
+    hold their keys now (a row may move to another partition).
+    """
+    batch = batch_latest.select(*table.columns)
+    affected = sorted({*table.touched(batch), *table.places_of(batch, key)})
+    target = table.read_partitions(affected).withColumn("_from_batch", F.lit(0))
+    both = target.unionByName(batch.withColumn("_from_batch", F.lit(1)))
+    best = latest_by_key(both.where(F.col(key).isNotNull()), [key], [*order, F.col("_from_batch").desc()])
+    # rows without a key are all kept; a load merged again brings equal ones
+    loose = both.where(F.col(key).isNull()).drop("_from_batch").distinct()
+    table.replace_partitions(best.drop("_from_batch").unionByName(loose), affected)
 
 
 def matches_latest_order() -> list[Column]:
@@ -79,64 +55,80 @@ def matches_latest_order() -> list[Column]:
             F.col("file_key").desc_nulls_first()]
 
 
-def refresh_models(spark: SparkSession, lake: Lake, loaded_at: str | None = None) -> dict[str, DataFrame]:
-    """Silver merges and gold refresh.
+def pending_loads(lake: Lake) -> list[tuple]:
+    """(load time, landing day) pairs that are loaded but not published downstream yet."""
+    return [tuple(r) for r in lake.loads.read().subtract(lake.published_loads.read()).collect()]
+
 
-    ``loaded_at`` limits the flatten to the raw rows of that load (parquet
-    min/max statistics skip older row groups); ``None`` recomputes from all
-    raw rows.  Only what the batch can change is recomputed: teams seen in
-    the batch, and the competitions / seasons of the batch's matches (before
-    and after the merge); those gold partitions are swapped, others kept.
+def refresh_models(spark: SparkSession, lake: Lake, loaded_at: str | None = None) -> dict[str, DataFrame]:
+    """Silver merges and gold refresh of every load that is not published yet.
+
+    A load counts as published once its rows are in the last gold table, so a
+    run that was stopped anywhere is caught up by the next one, and so are rows
+    that another job loaded.  Raw rows are pruned by the landing days of those
+    loads.  Only what they can change is recomputed: teams seen in them, and the
+    competitions and seasons of their matches (before and after the merge).  If
+    any derived table is missing, all are built from all raw rows.
+    ``loaded_at`` publishes that one load, whether or not it is logged.
     """
+    loads = pending_loads(lake)
     raw = lake.raw_matches.read()
-    if loaded_at is not None:
-        raw = raw.where(F.col("loaded_at") == F.lit(loaded_at).cast("timestamp"))
-    batch_latest = silver.matches_latest(silver.flatten_matches(raw, keep_pos=True)).cache()
-    groups = ["competition_code", "season_id"]
     # incremental only when every derived table is complete; after an interrupted
     # first run the missing ones are rebuilt in full
     incremental = all(t.exists() for t in (lake.matches_latest, lake.teams,
                                            lake.team_form_last5, lake.league_table_snapshot))
-    if incremental:
-        # the groups of the rows this batch may replace, read before the merge rewrites them
-        ids = _with_bucket(batch_latest.select("match_id"), "match_id", silver_buckets(spark))
-        touched_buckets = lake.matches_latest.touched(ids)  # bounded by the bucket count
-        before = _drop_bucket(lake.matches_latest.read_partitions(touched_buckets)) \
-            .join(ids.select("match_id"), "match_id", "left_semi")
-        touched_ids = before.select("home_team_id", "away_team_id").unionByName(
-            batch_latest.select("home_team_id", "away_team_id"))
-        touched_ids = touched_ids.select(F.explode(F.array("home_team_id", "away_team_id")).alias("team_id")) \
-            .where(F.col("team_id").isNotNull()).distinct().checkpoint(eager=True)
-        # (competition, season) pairs: bounded by competitions x seasons, so collected
-        seasons = [tuple(r) for r in before.select(*groups).unionByName(batch_latest.select(*groups))
-                   .distinct().collect()]
-    merge_latest(lake.matches_latest, batch_latest, "match_id", matches_latest_order())
-    batch_latest.unpersist()
-    latest = _drop_bucket(lake.matches_latest.read())
     if not incremental:
-        upsert_keyed(lake.teams, silver.teams(latest), "team_id")
+        latest = silver.matches_latest(silver.flatten_matches(raw, keep_pos=True))
+        lake.matches_latest.overwrite(latest)
+        latest = lake.matches_latest.read()
+        lake.teams.overwrite(silver.teams(latest))
         lake.team_form_last5.overwrite(gold.team_form(latest, 5))
         lake.league_table_snapshot.overwrite(gold.league_table(latest))
+        _publish(spark, lake, loads)
         return models(lake)
+    if loaded_at is not None:
+        raw = raw.where(F.col("loaded_at") == F.lit(loaded_at).cast("timestamp"))
+    elif loads:
+        raw = raw.where(values_filter(["dt"], [(d,) for d in {d for _, d in loads}])
+                        & F.col("loaded_at").isin(*{t for t, _ in loads}))
+    else:
+        return models(lake)
+    batch = silver.matches_latest(silver.flatten_matches(raw, keep_pos=True)).checkpoint(eager=True)
+    # the rows the batch may replace, looked up before the merge rewrites them
+    places = lake.matches_latest.places_of(batch, "match_id")
+    before = lake.matches_latest.read_partitions(places).join(batch.select("match_id"), "match_id", "left_semi")
+    sides = [d.select(F.explode(F.array("home_team_id", "away_team_id")).alias("team_id")) for d in (before, batch)]
+    touched = sides[0].unionByName(sides[1]).where(F.col("team_id").isNotNull()).distinct().checkpoint(eager=True)
+    groups = sorted({*places, *lake.matches_latest.touched(batch)})
+    merge_latest(lake.matches_latest, batch, "match_id", matches_latest_order())
+    latest = lake.matches_latest.read()
     # teams: only the teams that appear in the batch (before or after) are re-derived
-    sides = silver.team_sides(latest).join(touched_ids, "team_id", "left_semi")
-    upsert_keyed(lake.teams, silver.teams_from_sides(sides), "team_id")
-    if seasons:
-        league_in = latest.where(values_filter(groups, seasons))
-        lake.league_table_snapshot.replace_groups(gold.league_table(league_in), seasons)
-        comps = sorted({(c,) for c, _ in seasons}, key=lambda v: (v[0] is None, v[0] or ""))
-        form_in = latest.where(values_filter(["competition_code"], comps))
-        lake.team_form_last5.replace_groups(gold.team_form(form_in, 5), comps)
+    seen = silver.team_sides(latest).join(touched, "team_id", "left_semi")
+    upsert_keyed(lake.teams, silver.teams_from_sides(seen), "team_id")
+    if groups:
+        competitions = sorted({g[:1] for g in groups})
+        lake.league_table_snapshot.replace_partitions(gold.league_table(lake.matches_latest.read_partitions(groups)), groups)
+        # a team's form runs over all seasons of its competition
+        names = [c for (c,) in competitions]
+        form_in = lake.matches_latest.read_where("_competition", names)
+        lake.team_form_last5.replace_partitions(gold.team_form(form_in, 5), competitions)
+    _publish(spark, lake, loads)
     return models(lake)
 
 
+def _publish(spark: SparkSession, lake: Lake, loads: list[tuple]) -> None:
+    if loads:
+        rows = spark.createDataFrame(loads, lake.published_loads.schema)
+        lake.published_loads.append(rows.coalesce(1))
+
+
 def models(lake: Lake, view_columns: list[str] | None = None) -> dict[str, DataFrame]:
     """The tested models; ``view_columns`` limits what the v_matches view decodes."""
     raw = lake.raw_matches.read()
     return {
         "v_matches": silver.flatten_matches(raw, columns=view_columns),
-        "matches_latest": _drop_bucket(lake.matches_latest.read()),
-        "teams": _drop_bucket(lake.teams.read()),
+        "matches_latest": lake.matches_latest.read(),
+        "teams": lake.teams.read(),
         "team_form_last5": lake.team_form_last5.read(),
         "league_table_snapshot": lake.league_table_snapshot.read(),
     }
@@ -163,36 +155,51 @@ def run_metrics_row(spark: SparkSession, dag_id: str, run_id: str, execution_dat
     )
 
 
+UPSTREAM_FAILED = "upstream_failed"
+
+
+class SuiteFailed(RuntimeError):
+    """The data tests of a backfill run found faults."""
+
+
 def run_daily(spark: SparkSession, landing: str, lake: Lake, endpoint: str = "matches",
               loaded_at: str | None = None, dag_id: str = "daily_pipeline", run_id: str | None = None,
-              execution_date: str | None = None, on_empty: str = "zeros", write_metrics: bool = True) -> dict:
+              execution_date: str | None = None, on_empty: str = "zeros", strict: bool = True) -> dict:
     """scan -> pending -> bronze upsert -> silver merges -> gold -> tests -> metrics row.
 
-    The metrics row is appended in ``finally``, like an always-run task.
+    The metrics row is appended in ``finally``, like an always-run task; the
+    test state is ``upstream_failed`` where the tests were never reached.
+    ``strict=False`` sets malformed documents aside instead of stopping the run.
     """
     configure(spark)
     run_id = run_id or uuid.uuid4().hex
     # one load time for the whole batch, fixed before anything is written
     loaded_at = loaded_at or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
-    loader = run_sec = test_sec = test_state = None
+    loader = run_sec = test_sec = None
+    test_state = UPSTREAM_FAILED
     try:
-        loader = load_matches(spark, landing, lake, endpoint, loaded_at=loaded_at, on_empty=on_empty)
+        loader = load_matches(spark, landing, lake, endpoint, loaded_at=loaded_at, on_empty=on_empty, strict=strict)
         t = time.time()
-        refresh_models(spark, lake, loaded_at)
+        refresh_models(spark, lake)
         run_sec = time.time() - t
         t = time.time()
+        test_state = "failed"  # unless the suite says otherwise
         view_cols = [t.column for t in PROJECT_TESTS if t.model == "v_matches"]
         report = run_tests(models(lake, view_cols), PROJECT_TESTS)
         test_state = suite_state(report)
         test_sec = time.time() - t
     finally:
-        if write_metrics:
-            row = run_metrics_row(spark, dag_id, run_id, execution_date, loader, run_sec, test_sec, test_state)
-            lake.pipeline_run_metrics.append(row.select(*[c.split()[0] for c in RUN_METRICS.split(", ")]))
+        lake.pipeline_run_metrics.append(
+            run_metrics_row(spark, dag_id, run_id, execution_date, loader, run_sec, test_sec, test_state))
     return {"loader": loader, "run_sec": run_sec, "test_sec": test_sec, "test_state": test_state, "run_id": run_id}
 
 
-def run_backfill(spark: SparkSession, landing: str, lake: Lake, loaded_at: str | None = None) -> dict:
-    """Backfill endpoint: same job, raises when nothing is landed, no metrics row."""
-    return run_daily(spark, landing, lake, "matches_backfill", loaded_at=loaded_at, dag_id="backfill_manual",
-                     on_empty="error", write_metrics=False)
+def run_backfill(spark: SparkSession, landing: str, lake: Lake, loaded_at: str | None = None,
+                 run_id: str | None = None, strict: bool = True) -> dict:
+    """Backfill endpoint: the same job and metrics row; raises when nothing is landed, and
+    when the data tests fail, since they are the run's last task."""
+    out = run_daily(spark, landing, lake, "matches_backfill", loaded_at=loaded_at, dag_id="backfill_manual",
+                    run_id=run_id, on_empty="error", strict=strict)
+    if out["test_state"] == "failed":
+        raise SuiteFailed(f"data tests failed in run {out['run_id']}")
+    return out

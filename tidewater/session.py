@@ -22,6 +22,8 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # timestamps as micros: INT96 has no statistics that a reader could skip by
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # landing objects are many small JSON documents: pack them into tasks
     "spark.sql.files.openCostInBytes": str(1 << 20),
 }
@@ -57,12 +59,16 @@ def shared_root(spark: SparkSession) -> str:
     """Shared folder for written tables and lineage cuts.
 
     Read from ``spark.checkpoint.dir`` (the folder the cluster names); only
-    when it is unset - tests, a laptop - make one and register it.
+    when it is unset on a local master - tests, a laptop - make one and
+    register it.  A temporary folder of one machine is no shared folder, so a
+    cluster without the setting is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir() or d

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.sources import fs
 
 # --- fixed values of the fixture (FIXTURES.md section 4) ---
 COMPETITION_CODES = ["PL", "SA", "BL1", "PD", "FL1"]
@@ -195,13 +196,13 @@ def write_objects(docs: DataFrame, root: str) -> dict:
     The task function is self-contained (pyarrow only), so executors need
     nothing but pyspark's own dependencies to run it.
     """
-    root = root.rstrip("/")
+    root = fs.qualify(docs.sparkSession, root)  # the same folder for Spark and for the tasks
 
     def put(batches):
         from pyarrow import fs as pafs
 
-        if root.startswith("file:") or "://" not in root:
-            base = root[len("file:"):] if root.startswith("file:") else root
+        if root.startswith("file:"):
+            base = root[len("file:"):]
             while base.startswith("//"):
                 base = base[1:]
             filesystem = pafs.LocalFileSystem()

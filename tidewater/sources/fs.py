@@ -1,57 +1,81 @@
-"""Small file-system helpers (metadata only: markers, listings, one-object writes).
+"""File-system helpers (metadata and markers only), on the file systems Spark itself uses.
 
-Uses ``pyarrow.fs`` so the same code reaches a local folder, HDFS or an
-object store.  Nothing here moves table data: tables are read and written
-by Spark.
+Every path goes through the session's Hadoop configuration, so a path without a
+scheme, ``s3a://`` or ``viewfs://`` means here what it means to a reader or
+writer.  No table data moves through this module.
 """
 
 from __future__ import annotations
 
-from pyarrow import fs as pafs
+from pyspark.sql import SparkSession
 
 
-def resolve(uri: str) -> tuple[pafs.FileSystem, str]:
-    if uri.startswith("file:"):
-        path = uri[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-        return pafs.LocalFileSystem(), path
-    if "://" not in uri:
-        return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri)
+def _open(spark: SparkSession, uri: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
-def exists(uri: str) -> bool:
-    fs, p = resolve(uri)
-    return fs.get_file_info(p).type != pafs.FileType.NotFound
+def qualify(spark: SparkSession, uri: str) -> str:
+    """The path with the scheme and authority that Spark gives it."""
+    fs, path = _open(spark, uri)
+    return fs.makeQualified(path).toString()
 
 
-def write_bytes(uri: str, data: bytes) -> None:
-    """Write one whole object; a retried task rewrites the same bytes."""
-    fs, p = resolve(uri)
-    parent = p.rsplit("/", 1)[0]
-    if parent:
-        fs.create_dir(parent, recursive=True)
-    with fs.open_output_stream(p) as out:
-        out.write(data)
+def exists(spark: SparkSession, uri: str) -> bool:
+    fs, path = _open(spark, uri)
+    return fs.exists(path)
 
 
-def touch(uri: str, text: str = "") -> None:
-    write_bytes(uri, text.encode())
+def _hidden(name: str) -> bool:
+    # as Spark's listing: markers and temporary folders, but not partition folders
+    return name.startswith(".") or (name.startswith("_") and "=" not in name)
 
 
-def has_data(uri: str) -> bool:
-    """True when the folder holds any entry other than hidden / marker files
-    (partition folders such as ``_bucket=3`` count as data, as in Spark's listing)."""
-    fs, p = resolve(uri)
-    if fs.get_file_info(p).type == pafs.FileType.NotFound:
-        return False
-    infos = fs.get_file_info(pafs.FileSelector(p, recursive=False))
-    return any(not i.base_name.startswith(("_", ".")) or
-               (i.base_name.startswith("_") and "=" in i.base_name) for i in infos)
+def data_files(spark: SparkSession, uri: str, first: bool = False) -> list[str]:
+    """Data files below a folder (none if it is absent); ``first``: at most one."""
+    fs, path = _open(spark, uri)
+    if not fs.exists(path):
+        return []
+    found, todo = [], [path]
+    while todo:
+        for status in fs.listStatus(todo.pop()):
+            if _hidden(status.getPath().getName()):
+                continue
+            if status.isDirectory():
+                todo.append(status.getPath())
+            elif status.getLen() >= 0:
+                found.append(status.getPath().toString())
+                if first:
+                    return found
+    return found
 
 
-def read_text(uri: str) -> str:
-    fs, p = resolve(uri)
-    with fs.open_input_stream(p) as f:
-        return f.read().decode()
+def write_text(spark: SparkSession, uri: str, text: str) -> None:
+    """Write one small object (a marker)."""
+    fs, path = _open(spark, uri)
+    out = fs.create(path, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, uri: str) -> str:
+    fs, path = _open(spark, uri)
+    stream = fs.open(path)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def delete(spark: SparkSession, uri: str) -> None:
+    """Remove a table's own folder (a staged copy, an emptied partition)."""
+    fs, path = _open(spark, uri)
+    fs.delete(path, True)
+
+
+def stamp(spark: SparkSession, uri: str) -> str:
+    """Path, sizes and modification times of a file or of the files below a folder."""
+    fs, path = _open(spark, uri)
+    files = data_files(spark, uri) if fs.getFileStatus(path).isDirectory() else [uri]
+    found = [fs.getFileStatus(spark._jvm.org.apache.hadoop.fs.Path(f)) for f in sorted(files)]
+    return fs.makeQualified(path).toString() + ";".join(f"{s.getLen()},{s.getModificationTime()}" for s in found)

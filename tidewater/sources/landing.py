@@ -26,7 +26,7 @@ LISTING_SCHEMA = T.StructType([
 def list_objects(spark: SparkSession, landing: str, prefix: str = "") -> DataFrame:
     """Every ``*.json`` object below ``landing/prefix`` (recursive): key, path, size."""
     root = landing.rstrip("/") + "/" + prefix.lstrip("/")
-    if not fs.exists(root):
+    if not fs.exists(spark, root):
         return spark.createDataFrame([], LISTING_SCHEMA)
     listing = (
         spark.read.format("binaryFile")
@@ -68,27 +68,26 @@ def latest_object(listing: DataFrame, key: str = "file_key") -> DataFrame:
 
 
 def read_documents(spark: SparkSession, objects: DataFrame) -> DataFrame:
-    """Whole-text read of the listed objects: (file_key, text).
+    """Whole-text read of the listed objects (columns file_key, path): (file_key, text).
 
-    Only the object paths (listing metadata, which the file source keeps
-    on the driver anyway) are handed to the reader; no content is.
+    The driver learns the distinct landing-day folders only (competitions x days
+    of a batch, however many objects they hold); the objects wanted are picked
+    out of those by key, before anything is parsed.
     """
-    return read_paths(spark, [r["path"] for r in objects.select("path").distinct().collect()])
-
-
-def read_paths(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Whole-text read of the given object paths: (file_key, text)."""
-    if not paths:
-        return spark.createDataFrame([], "file_key string, text string")
-    docs = spark.read.option("wholetext", True).text(paths)
-    return docs.select(X.relative_key(F.col("_metadata.file_path")).alias("file_key"), F.col("value").alias("text"))
+    folders = objects.select(X.landing_folder(F.col("path")).alias("folder")).distinct()
+    docs = _whole_texts(spark, [r["folder"] for r in folders.collect()])
+    return docs.join(objects.select("file_key").distinct(), "file_key", "left_semi")
 
 
 def read_tree(spark: SparkSession, landing: str, prefix: str) -> DataFrame:
     """Whole-text read of every object below a prefix: (file_key, text)."""
     root = landing.rstrip("/") + "/" + prefix.lstrip("/")
-    if not fs.exists(root):
+    return _whole_texts(spark, [root] if fs.exists(spark, root) else [])
+
+
+def _whole_texts(spark: SparkSession, folders: list[str]) -> DataFrame:
+    if not folders:
         return spark.createDataFrame([], "file_key string, text string")
     docs = (spark.read.option("wholetext", True).option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.json").text(root))
-    return docs.select(X.relative_key(F.col("_metadata.file_path")).alias("file_key"), F.col("value").alias("text"))
+            .option("pathGlobFilter", "*.json").text(folders))
+    return docs.select(X.file_key(F.col("_metadata.file_path")).alias("file_key"), F.col("value").alias("text"))

@@ -3,125 +3,136 @@
 No table format is installed, so keyed writes are done the way a Spark
 user does them on plain parquet:
 
-* full rebuild  -> ``mode("overwrite")``
 * append        -> ``mode("append")``
-* keyed upsert  -> compute the new content of the *touched partitions only*,
-  stage it in the shared folder (this also cuts the lineage to the table
-  being replaced), then ``partitionOverwriteMode=dynamic`` swaps exactly
-  those partitions.  Untouched partitions are never rewritten, so a daily
-  batch costs O(batch partitions), not O(history).
+* full rebuild  -> ``mode("overwrite")``
+* keyed upsert  -> compute the new content of the *touched partitions only* and
+  write it once with ``partitionOverwriteMode=dynamic``: the files go to a
+  staging folder of the write itself and are swapped in when every task is
+  done, so a table may be read and replaced in the same job.
+
+Every table has a declared schema, and is read with it: values are never
+inferred from folder names.  Partition columns whose values matter as data
+(codes such as ``'01'``, ``''`` or NULL) are *derived* copies; the column itself
+stays in the files.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.sources import fs
 
 
+def partition_value(value: Column) -> Column:
+    """A folder-safe copy that tells NULL, '' and every other value apart."""
+    return F.when(value.isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), value.cast("string")))
+
+
 class Table:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-                 partition_by: list[str] | None = None, columns: list[str] | None = None):
+    def __init__(self, spark: SparkSession, path: str, schema: str, partition_by: list[str] | None = None,
+                 derived: dict[str, Callable[[], Column]] | None = None, compact: bool = False):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.schema = schema
-        self.partition_by = partition_by or []
-        self.columns = columns  # column order of reads (partition columns come back last otherwise)
+        self.schema = T.StructType.fromDDL(schema)
+        self.derived = derived or {}
+        self.partition_by = [*(partition_by or []), *self.derived]
+        self.compact = compact  # shuffle a write by partition, so that it leaves few files
+
+    @property
+    def columns(self) -> list[str]:
+        return self.schema.names
 
     def exists(self) -> bool:
-        """Committed and holding data (an empty first write leaves only markers)."""
-        return fs.exists(f"{self.path}/_SUCCESS") and fs.has_data(self.path)
+        """Whether it holds any data file, as a reader would see it (no marker file is asked for)."""
+        return bool(fs.data_files(self.spark, self.path, first=True))
+
+    def _read(self) -> DataFrame:
+        """With the derived partition columns."""
+        full = T.StructType([*self.schema.fields, *(T.StructField(c, T.StringType()) for c in self.derived)])
+        if not self.exists():
+            return self.spark.createDataFrame([], full)
+        return self.spark.read.schema(full).parquet(self.path).select(*full.names)
 
     def read(self) -> DataFrame:
-        if self.exists():
-            df = self.spark.read.parquet(self.path)
-            if self.schema is not None:
-                cols = [f.name for f in (self.schema.fields if isinstance(self.schema, T.StructType)
-                                         else self.spark.createDataFrame([], self.schema).schema.fields)]
-                df = df.select(*cols)
-            elif self.columns is not None:
-                df = df.select(*self.columns)
-            return df
-        if self.schema is None:
-            raise FileNotFoundError(self.path)
-        # create-if-absent: an empty table of the declared schema
-        return self.spark.createDataFrame([], self.schema)
+        """All rows; an absent table is an empty one (create-if-absent)."""
+        return self._read().select(*self.columns)
+
+    def placed(self, df: DataFrame) -> DataFrame:
+        """``df`` in the table's columns, with its partition columns."""
+        df = df.select(*self.columns)
+        return df.withColumns({c: f() for c, f in self.derived.items()}) if self.derived else df
 
     def _writer(self, df: DataFrame):
+        df = self.placed(df)
+        if self.compact:
+            # as many tasks as the data needs: a large partition is split, small ones share a task
+            df = df.hint("rebalance", *self.partition_by)
         w = df.write.format("parquet")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        return w
+        return w.partitionBy(*self.partition_by) if self.partition_by else w
 
     def overwrite(self, df: DataFrame, reads_self: bool = False) -> "Table":
-        if reads_self:
-            df = self._stage(df)
-        self._writer(df).mode("overwrite").save(self.path)
+        """Replace the whole table; ``reads_self``: ``df`` reads it, so its rows are set down first."""
+        if not reads_self:
+            self._writer(df).mode("overwrite").option("partitionOverwriteMode", "static").save(self.path)
+            return self
+        aside = f"{self.path}__aside/{uuid.uuid4().hex}"
+        df.select(*self.columns).write.parquet(aside)
+        self.overwrite(self.spark.read.schema(self.schema).parquet(aside))
+        fs.delete(self.spark, aside)
         return self
 
     def append(self, df: DataFrame) -> "Table":
         self._writer(df).mode("append").save(self.path)
         return self
 
-    def replace_partitions(self, df: DataFrame) -> "Table":
-        """Swap in the partitions present in ``df``; others stay untouched."""
-        if not self.partition_by:
-            return self.overwrite(df, reads_self=True)
-        if not self.exists():
-            return self.overwrite(df)
-        staged = self._stage(df)
-        self._writer(staged).mode("overwrite").option("partitionOverwriteMode", "dynamic").save(self.path)
-        return self
-
     def touched(self, df: DataFrame) -> list[tuple]:
-        """Distinct partition values of ``df`` (few: days of a batch, hash buckets)."""
-        return [tuple(r) for r in df.select(*self.partition_by).distinct().collect()]
+        """Distinct partition values of ``df`` (few: days of a batch, competitions and seasons)."""
+        return [tuple(r) for r in self.placed(df).select(*self.partition_by).distinct().collect()]
 
     def any_partition_exists(self, values: list[tuple]) -> bool:
         """Whether any of the partitions already holds data (folder check, no scan)."""
-        for v in values:
-            rel = "/".join(f"{c}={_escape(x)}" for c, x in zip(self.partition_by, v))
-            if fs.exists(f"{self.path}/{rel}"):
-                return True
-        return False
+        return any(fs.exists(self.spark, self._folder(v)) for v in values)
 
     def read_partitions(self, values: list[tuple]) -> DataFrame:
         """Rows of the listed partitions only, as a literal filter: static
         partition pruning at the scan, no join against the whole table."""
-        if not values:
-            return self.read().where(F.lit(False))
-        return self.read().where(values_filter(self.partition_by, values))
+        df = self._read()
+        return df.where(values_filter(self.partition_by, values) if values else F.lit(False)).select(*self.columns)
+
+    def read_where(self, column: str, values: list) -> DataFrame:
+        """Rows of the partitions with these values of one partition column."""
+        return self._read().where(F.col(column).isin(*values)).select(*self.columns)
 
-    def replace_groups(self, df: DataFrame, expected: list[tuple]) -> "Table":
-        """Make the partitions ``expected`` hold exactly ``df`` (other partitions kept).
+    def places_of(self, keys: DataFrame, key: str) -> list[tuple]:
+        """Partitions that hold a row of these keys (reads the key column alone)."""
+        found = self._read().select(key, *self.partition_by).join(keys.select(key).distinct(), key, "left_semi")
+        return [tuple(r) for r in found.select(*self.partition_by).distinct().collect()]
 
-        A recomputed group can come out empty; dynamic overwrite would leave
-        its old rows behind, so in that case the table is rebuilt from its
-        untouched partitions plus the new rows (both staged first).  Callers
-        pass every group of a table that does not exist yet (first run).
+    def replace_partitions(self, df: DataFrame, expected: list[tuple] | None = None) -> "Table":
+        """Make the touched partitions hold exactly ``df``; others stay untouched.
+
+        ``expected``: partitions that are replaced even if ``df`` has no row for
+        them.  Those that the write left alone have come out empty and go.
         """
-        if not self.exists():
-            return self.overwrite(df)
-        staged = self._stage(df)
-        present = set(self.touched(staged))
-        if all(tuple(v) in present for v in expected):
-            self._writer(staged).mode("overwrite").option("partitionOverwriteMode", "dynamic").save(self.path)
-            return self
-        keep = self.read().where(~F.coalesce(values_filter(self.partition_by, expected), F.lit(False)))
-        return self.overwrite(keep.unionByName(staged.select(*keep.columns)), reads_self=True)
+        if not self.partition_by:
+            return self.overwrite(df, reads_self=True)
+        before = {v: fs.data_files(self.spark, self._folder(v)) for v in expected or []}
+        self._writer(df).mode("overwrite").option("partitionOverwriteMode", "dynamic").save(self.path)
+        for values, files in before.items():
+            if files and set(files) == set(fs.data_files(self.spark, self._folder(values))):
+                fs.delete(self.spark, self._folder(values))
+        return self
 
-    def _stage(self, df: DataFrame) -> DataFrame:
-        where = f"{self.path}__staging/{uuid.uuid4().hex}"
-        self._writer(df).mode("overwrite").save(where)
-        # explicit schema: an empty stage (a batch that touched nothing) still reads
-        return self.spark.read.schema(df.schema).parquet(where).select(*df.columns)
+    def _folder(self, values: tuple) -> str:
+        return "/".join([self.path, *(f"{c}={_escape(x)}" for c, x in zip(self.partition_by, values))])
 
 
-def values_filter(cols: list[str], values: list[tuple]) -> F.Column:
+def values_filter(cols: list[str], values: list[tuple]) -> Column:
     """OR of per-partition equality (NULL-safe) over the partition columns."""
     if len(cols) == 1:
         plain = [v[0] for v in values if v[0] is not None]
@@ -145,8 +156,3 @@ def _escape(value) -> str:
         return "__HIVE_DEFAULT_PARTITION__"
     text = str(value)
     return "".join(f"%{ord(ch):02X}" if ch in _ESCAPED or ord(ch) < 0x20 else ch for ch in text)
-
-
-def bucket_of(key: str, buckets: int) -> F.Column:
-    """Stable hash bucket of a key: a key never changes bucket."""
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")

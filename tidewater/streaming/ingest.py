@@ -4,8 +4,9 @@ The file-stream source lists the landing folder, remembers every file it
 has handed out in its checkpoint (the ledger), and gives each new file to
 exactly one micro-batch; ``Trigger.AvailableNow`` drains what is landed
 and stops, which is the daily run.  ``foreachBatch`` is at-least-once, so
-every sink step is idempotent by key: ``replace_by_key`` on file_key for
-bronze, the order-comparing ``merge_latest`` for the latest snapshot.
+every sink step is idempotent by key: bronze appends the keys it does not
+have (it never rewrites a day), the order-comparing ``merge_latest`` keeps the
+latest snapshot.
 """
 
 from __future__ import annotations
@@ -18,35 +19,41 @@ from pyspark.sql import functions as F
 from tidewater.functions import exprs as X
 from tidewater.plans import silver
 from tidewater.plans.lake import Lake
-from tidewater.operators.upsert import insert_if_absent
-from tidewater.plans.loader import ENDPOINTS, raw_manifest_rows, raw_matches_rows, upsert_by_key_partitions
+from tidewater.plans.loader import ENDPOINTS, append_new, mark, raw_manifest_rows, raw_matches_rows
 from tidewater.sources.landing import object_classify
 from tidewater.plans.runs import matches_latest_order, merge_latest
 from tidewater.session import configure
 
+# bytes of landed documents in a micro-batch
+MAX_BYTES_PER_TRIGGER = 8 << 30
+
 
 def landing_stream(spark: SparkSession, landing: str, endpoint: str = "matches",
-                   max_files_per_trigger: int | None = None) -> DataFrame:
+                   max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Streaming (file_key, kind, text) of the data and manifest objects of one endpoint."""
     reader = (spark.readStream.format("text").option("wholetext", True)
               .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    elif max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     docs = reader.load(f"{landing.rstrip('/')}/endpoint={endpoint}/")
-    keyed = docs.select(X.relative_key(F.col("_metadata.file_path")).alias("file_key"), F.col("value").alias("text"))
+    keyed = docs.select(X.file_key(F.col("_metadata.file_path")).alias("file_key"), F.col("value").alias("text"))
     return object_classify(keyed)
 
 
 def stream_bronze_ingest(spark: SparkSession, landing: str, lake: Lake, checkpoint: str,
                          loaded_at: Column | None = None, endpoint: str = "matches",
-                         max_files_per_trigger: int | None = None, latest: bool = False) -> None:
+                         max_files_per_trigger: int | None = None, latest: bool = False,
+                         max_bytes_per_trigger: int | None = MAX_BYTES_PER_TRIGGER) -> None:
     """Drain landed files into RAW_MATCHES / RAW_MANIFESTS and mark them in the
     load-state ledger (so the batch loader skips them); with ``latest``, also
     merge the latest snapshot of every match in the batch into matches_latest.
 
     A manifest may arrive in another micro-batch than its data file: both
     writes are keyed, so order does not matter.  ``loaded_at`` defaults to
-    the batch's processing time.
+    the batch's processing time.  A micro-batch is sized by bytes unless a
+    number of files is given.
     """
     configure(spark)
     data_ep, manifest_ep = ENDPOINTS[endpoint]
@@ -56,20 +63,24 @@ def stream_bronze_ingest(spark: SparkSession, landing: str, lake: Lake, checkpoi
         # partition gets the same value
         now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
         ts = loaded_at if loaded_at is not None else F.lit(now).cast("timestamp")
+        if batch.isEmpty():
+            return
         batch = batch.cache()
         rows = raw_matches_rows(batch.where(F.col("kind") == "data").drop("kind"), ts).cache()
-        upsert_by_key_partitions(lake.raw_matches, rows)
-        upsert_by_key_partitions(lake.raw_manifests,
-                                 raw_manifest_rows(batch.where(F.col("kind") == "manifest").drop("kind"), endpoint))
+        append_new(lake.raw_matches, rows)
+        append_new(lake.raw_manifests,
+                   raw_manifest_rows(batch.where(F.col("kind") == "manifest").drop("kind"), endpoint))
+        days = rows.select("loaded_at", "dt").distinct()
+        lake.loads.append(days.coalesce(1))
         if latest:
             flat = silver.flatten_matches(rows, keep_pos=True)
             merge_latest(lake.matches_latest, silver.matches_latest(flat), "match_id", matches_latest_order())
         marks = batch.select("file_key", F.when(F.col("kind") == "data", data_ep).otherwise(manifest_ep).alias("endpoint"))
-        lake.load_state.append(insert_if_absent(lake.load_state.read(), marks, "file_key"))
+        mark(lake, marks, [data_ep, manifest_ep])
         rows.unpersist()
         batch.unpersist()
 
-    q = (landing_stream(spark, landing, endpoint, max_files_per_trigger).writeStream
+    q = (landing_stream(spark, landing, endpoint, max_files_per_trigger, max_bytes_per_trigger).writeStream
          .foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
