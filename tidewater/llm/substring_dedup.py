@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import text_of
+from tidewater.llm.common import scratch, text_of
 
 WINDOW = 50
 #: A perfect difference set: every shift modulo PERIOD is a difference of two of its places.
@@ -278,9 +278,10 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(_order().alias("id"), text_of().alias("text"))
-    shared = _per_document(_shared(rows.mapInArrow(_anchors, MEETING)))
-    # the texts are dealt out once by id: both joins read the same exchange
-    dealt = docs.withColumn("__order", _order()).repartition(parts, "__order")
+    shared = scratch(_per_document(_shared(rows.mapInArrow(_anchors, MEETING))), "shared")
+    # the texts are dealt out once by id: both joins read the same exchange (the filter, always
+    # true, is what Spark would add for one of them only)
+    dealt = docs.withColumn("__order", _order()).where("__order IS NOT NULL").repartition(parts, "__order")
     near = dealt.join(shared, F.col("__order") == F.col("__id"))
     near = near.select(*dealt.columns, "__places", "__runs")  # every column, or the exchanges differ
     copies = shared.where(F.array_min("__places") < 0).select(F.col("__id").alias("id"), F.lit(-1).alias("place"), F.lit(0).alias("run"))
