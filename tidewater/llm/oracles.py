@@ -38,5 +38,79 @@ FROM b
 """
 
 
+OP4 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, {WORDS} AS w FROM documents
+), starts AS (
+  SELECT rid, doc_id, i, array_to_string(w[i:i + 49], ' ') AS g
+  FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)
+), repeated AS (
+  SELECT rid, i FROM (SELECT rid, doc_id, i, min(doc_id) OVER (PARTITION BY g) AS first FROM starts) WHERE first < doc_id
+), gone AS (
+  SELECT DISTINCT rid, i + k AS p FROM repeated, (SELECT unnest(range(0, 50)) AS k)
+), words AS (
+  SELECT rid, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d
+), kept AS (
+  SELECT rid, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM words ANTI JOIN gone USING (rid, p) GROUP BY rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
+
+OP6 = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
+), lines AS (
+  SELECT rid, doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS p FROM d
+), keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), held AS (
+  SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1
+), kept AS (
+  SELECT rid, string_agg(line, chr(10) ORDER BY p) AS t, count(*) AS n
+  FROM keyed LEFT JOIN held USING (key) WHERE first IS NULL OR first = doc_id GROUP BY rid
+)
+SELECT doc_id, len(l)::BIGINT AS n_lines, (len(l) - coalesce(n, 0))::BIGINT AS n_dropped, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
+
+LOWER_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+OP8 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, {LOWER_WORDS} AS w FROM documents
+), items AS (
+  SELECT item_id, {LOWER_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL
+), windows AS (
+  SELECT DISTINCT item_id, array_to_string(w[i:i + 12], ' ') AS g, least(len(w), 13) AS n
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM items WHERE len(w) > 0)
+), starts AS (
+  SELECT rid, i, n, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)
+), found AS (
+  SELECT rid, i, n, item_id FROM starts JOIN windows USING (g, n)
+), words AS (
+  SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM found) GROUP BY rid
+), which AS (
+  SELECT rid, count(DISTINCT item_id) AS n_items,
+    array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS ids FROM found GROUP BY rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN which USING (rid)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_quality_rules": OP9}
+    return {
+        "op4_substring_dedup": OP4,
+        "op6_line_dedup": OP6,
+        "op8_decontaminate": OP8,
+        "op9_quality_rules": OP9,
+    }
