@@ -57,12 +57,12 @@ _CAPITAL = r"[^\W\d_a-zà-öø-ÿа-яё][^\W\d_]+"
 _TITLED = re.compile(rf"\b({'|'.join(map(re.escape, sorted(_TITLE_GENDER, key=len, reverse=True)))})\b\.?[ \t]+({_CAPITAL})(?:[ \t]+({_CAPITAL}))?")
 _NAMED = re.compile(rf"\b({'|'.join(sorted([*_GIVEN_CLASS, *map(str.upper, _GIVEN_CLASS)], key=len, reverse=True))})[ \t]+({_CAPITAL})")
 _HAN = re.compile(rf"([{HAN_FAMILY}][\u4e00-\u9fff]{{1,2}})(?=({'|'.join(HAN_TITLES)}))")
-_MAIL = re.compile(r"(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+_MAIL = re.compile(r"(?<![A-Za-z0-9._+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 _SECRET = re.compile(r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\b[\"']?\s*[=:]\s*[\"']?)([A-Za-z0-9/+_\-]{8,})")
 _ACCESS = re.compile(r"\b(?:AKIA|ASIA)([0-9A-Z]{16})\b")
 _ADDRESS = re.compile(r"(?<![\d.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\d]|\.\d)")
 _IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
-_CARD = re.compile(r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])")
+_CARD = re.compile(r"(?<!\d)(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)")
 _PERSON = re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")
 _PHONE = re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]?\d{4}(?!\d)|(?<![\w+])\+\d{2,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)")
 _DIGIT = re.compile(r"\d")

@@ -6,8 +6,8 @@ space.
 
 1. Pre-tokens of all documents are counted (a task combines its own first);
    each distinct one is tokenized once.
-2. Per-document frequencies meet those piece counts.  The ``HEAD`` pre-tokens
-   found in most documents are broadcast (a table of that fixed size) and summed
+2. Per-document frequencies meet those piece counts.  The pre-tokens found in
+   most documents, ``HEAD`` at most, are broadcast (so the table is bounded) and summed
    where the documents are read; every other (document, pre-token, frequency)
    is joined by a shuffle, and the sums meet by document.
 """
@@ -26,7 +26,7 @@ from tidewater.llm.common import scratch, text_of
 
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
-#: Pre-tokens whose piece counts every task holds.
+#: Most pre-tokens whose piece counts every task holds.
 HEAD = 300_000
 #: Distinct pre-tokens a task combines before it passes them on.
 HELD = 400_000
@@ -88,6 +88,22 @@ def pre_tokens(docs: DataFrame, path: str | Callable[[], str]) -> DataFrame:
     return scratch(counted.mapInArrow(_pieces(path), "pre binary, docs bigint, n_tokens int"), "pre-tokens")
 
 
+def _most_common(pieces: DataFrame, most: int) -> DataFrame:
+    """pre, n_tokens of the most widespread pre-tokens, ``most`` at most.
+
+    Cut at a power of 2 ** (1 / 8) in the number of documents: a histogram of a
+    few hundred rows says which, so no task sorts or gathers the vocabulary.
+    """
+    step = F.floor(F.log2("docs") * 8).cast("int")
+    total, cut = 0, None
+    for row in sorted(pieces.groupBy(step.alias("step")).count().collect(), reverse=True):
+        total += row["count"]
+        if total > most:
+            break
+        cut = row["step"]
+    return pieces.where(step >= cut if cut is not None else F.lit(False)).select("pre", "n_tokens")
+
+
 def _frequencies(head):
     """mapInArrow function: doc_id, text -> uid, pre, n, and once per document doc_id, n_bytes, known (tokens of the head)."""
     names = ["uid", "pre", "n", "doc_id", "n_bytes", "known"]
@@ -136,7 +152,7 @@ def count_tokens(docs: DataFrame, path: str, head: int = HEAD) -> DataFrame:
     """
     spark = docs.sparkSession
     pieces = pre_tokens(docs, path)
-    common = pieces.orderBy(F.desc("docs"), "pre").limit(head).select("pre", "n_tokens").toArrow()
+    common = _most_common(pieces, head).toArrow()
     table = dict(zip(common.column(0).to_pylist(), common.column(1).to_pylist(), strict=True))
     known = spark.sparkContext.broadcast(table)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
