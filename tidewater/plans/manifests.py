@@ -56,6 +56,13 @@ def manifest_build(raw: DataFrame, endpoint: str = "matches", bucket: str = "bro
     return out.withColumn("manifest_key", X.manifest_key_for(F.col("data_key"))).withColumn("manifest", manifest)
 
 
+def landing_pairs(raw: DataFrame, endpoint: str = "matches", fetched_at: Column | None = None) -> DataFrame:
+    """key, body of every document and of its manifest, in the object layout (one row each)."""
+    data = raw.select(F.col("file_key").alias("key"), F.to_json("payload").alias("body"))
+    m = manifest_build(raw, endpoint, fetched_at=fetched_at)
+    return data.unionByName(m.select(F.col("manifest_key").alias("key"), F.col("manifest").alias("body")))
+
+
 def manifest_reconcile(raw_matches: DataFrame, raw_manifests: DataFrame, unmatched: bool = False) -> DataFrame:
     """Data documents whose manifest ``record_count`` differs from the payload count.
 

@@ -250,6 +250,12 @@ SELECT competition_code AS competition, strftime(date_from, {KEY_DATE}) AS date_
 FROM files GROUP BY ALL
 """
 
+LANDING_PAIR_WRITE = FX + _FILES + f"""
+SELECT file_key, n_matches FROM files
+UNION ALL
+SELECT {MANIFEST_OF}, n_matches FROM files
+"""
+
 MANIFEST_BUILD = FX + _FILES + f"""
 SELECT file_key AS data_key, run_id, 'matches' AS endpoint, competition_code AS competition,
        strftime(date_from, {KEY_DATE}) AS date_from, strftime(date_to, {KEY_DATE}) AS date_to,
@@ -292,6 +298,18 @@ UNION ALL
 SELECT {MANIFEST_OF}, 'matches_incremental_manifest' FROM files WHERE competition_code <> 'FL1'
 """
 
+_BACKFILLED = """replace(file_key, 'endpoint=matches/', 'endpoint=matches_backfill/') AS file_key,
+       TIMESTAMP '2024-01-04 02:00:00' AS loaded_at"""
+
+BACKFILL_LOAD = FX + _FILES + f"""
+SELECT competition_code, date_from, date_to, run_id, dt, n_matches, 'matches_backfill' AS endpoint, {_BACKFILLED}
+FROM files
+"""
+
+BACKFILL_LATEST = FX + f"""
+SELECT * EXCLUDE (file_key, loaded_at), {_BACKFILLED} FROM matches_latest
+"""
+
 _LOADER = """SELECT 'endpoint=matches/' AS prefix,
        CAST(count(*) AS BIGINT) AS files_discovered,
        CAST(count(*) FILTER (WHERE dt > DATE '2024-01-01') AS BIGINT) AS files_to_load,
@@ -442,6 +460,7 @@ def oracle_sql() -> dict[str, str]:
         "latest_object": LATEST_OBJECT,
         "competitions_flatten": COMPETITIONS_FLATTEN,
         "landing_write": LANDING_WRITE,
+        "landing_pair_write": LANDING_PAIR_WRITE,
         "manifest_build": MANIFEST_BUILD,
         "manifest_pairing": MANIFEST_PAIRING,
         "manifest_reconcile": MANIFEST_RECONCILE,
@@ -455,6 +474,8 @@ def oracle_sql() -> dict[str, str]:
         "matches_latest": MATCHES_LATEST,
         "matches_latest_merge": MATCHES_LATEST_MERGE,
         "daily_refresh_incremental": MATCHES_LATEST,
+        "backfill_load": BACKFILL_LOAD,
+        "backfill_latest": BACKFILL_LATEST,
         "teams_stored": TEAMS_DIM,
         "team_form_stored": TEAM_FORM,
         "league_table_stored": LEAGUE_TABLE,

@@ -32,14 +32,16 @@ from tidewater.plans.loader import (
     ENDPOINTS, flag_pending, load_matches, load_state_pending, loader_metrics, manifest_pairing, prefix_of,
     raw_competitions_rows, raw_manifest_rows, raw_matches_rows,
 )
-from tidewater.plans.manifests import competitions_flatten, element_count, landing_write, manifest_build, manifest_reconcile
+from tidewater.plans.manifests import (
+    competitions_flatten, element_count, landing_pairs, landing_write, manifest_build, manifest_reconcile,
+)
 from tidewater.plans.runs import matches_latest_order, merge_latest, refresh_models, run_metrics_row, upsert_keyed
 from tidewater.session import configure, scratch_dir
 from tidewater.sources import landing as L
-from tidewater.sources.fixture import landing_rows, snapshots
+from tidewater.sources.fixture import documents, landing_rows, snapshots, write_objects
 from tidewater.streaming.ingest import stream_bronze_ingest
 
-MATCHES = "matches"
+MATCHES, BACKFILL = "matches", "matches_backfill"
 DAY0, DAY1, DAY2 = "2024-01-01", "2024-01-02", "2024-01-03"
 REPLAY_LOAD = "2024-01-04 02:00:00"
 # --- fixed values: parameters of the events-based keys ---
@@ -145,6 +147,17 @@ def q_landing_write(spark, sf_dir):
         F.count(F.lit(1)).alias("n_documents"), F.sum(F.size("matches")).cast("bigint").alias("n_matches"))
 
 
+def q_landing_pair_write(spark, sf_dir):
+    """K1 K2: every document landed with its manifest, read back with what each says it holds."""
+    root, _ = _scratch_lake(spark, "pairs")
+    fetched = F.concat(F.col("dt").cast("string"), F.lit(FETCHED))
+    write_objects(landing_pairs(_raw(spark, sf_dir), fetched_at=fetched), root)
+    docs = L.read_tree(spark, root, prefix_of(MATCHES)).withColumn("v", F.parse_json("text"))
+    counted = F.variant_get(F.col("v"), "$.record_count", "bigint")
+    n = F.when(X.is_manifest_key(F.col("file_key")), counted).otherwise(element_count(F.col("v")))
+    return docs.select("file_key", n.alias("n_matches"))
+
+
 def q_manifest_build(spark, sf_dir):
     """Manifest record of every raw data document, the JSON included."""
     return manifest_build(_raw(spark, sf_dir), fetched_at=F.concat(F.col("dt").cast("string"), F.lit(FETCHED)))
@@ -280,6 +293,32 @@ def q_daily_refresh_incremental(spark, sf_dir):
     return as_ntz(_refreshed(spark, sf_dir).matches_latest.read())
 
 
+_BACKFILLED: dict[str, Lake] = {}
+
+
+def _backfilled(spark, sf_dir) -> Lake:
+    """A lake after one backfill run: every chunk landed under the backfill endpoint, then loaded and refreshed."""
+    if sf_dir not in _BACKFILLED:
+        root, lake = _scratch_lake(spark, "backfill")
+        chunks = documents(snapshots(spark.read.parquet(f"{sf_dir}/orders.parquet")), BACKFILL)
+        write_objects(chunks, f"{root}/landing")
+        load_matches(spark, f"{root}/landing", lake, BACKFILL, loaded_at=REPLAY_LOAD, on_empty="error")
+        refresh_models(spark, lake)
+        _BACKFILLED[sf_dir] = lake
+    return _BACKFILLED[sf_dir]
+
+
+def q_backfill_load(spark, sf_dir):
+    """RAW_MATCHES after a backfill run, with the ledger's name of each key."""
+    lake = _backfilled(spark, sf_dir)
+    return as_ntz(_raw_shape(lake.raw_matches.read())).join(lake.load_state.read(), "file_key", "left")
+
+
+def q_backfill_latest(spark, sf_dir):
+    """M2 after a backfill run: one load time, so the later update wins."""
+    return as_ntz(_backfilled(spark, sf_dir).matches_latest.read())
+
+
 def q_teams_stored(spark, sf_dir):
     """M3 K7: the stored team dimension after those runs."""
     return as_ntz(_refreshed(spark, sf_dir).teams.read().drop("updated_at"))
@@ -433,6 +472,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_object": q_latest_object,
     "competitions_flatten": q_competitions_flatten,
     "landing_write": q_landing_write,
+    "landing_pair_write": q_landing_pair_write,
     "manifest_build": q_manifest_build,
     "manifest_pairing": q_manifest_pairing,
     "manifest_reconcile": q_manifest_reconcile,
@@ -446,6 +486,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "matches_latest": q_matches_latest,
     "matches_latest_merge": q_matches_latest_merge,
     "daily_refresh_incremental": q_daily_refresh_incremental,
+    "backfill_load": q_backfill_load,
+    "backfill_latest": q_backfill_latest,
     "teams_stored": q_teams_stored,
     "team_form_stored": q_team_form_stored,
     "league_table_stored": q_league_table_stored,

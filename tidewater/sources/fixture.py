@@ -116,7 +116,7 @@ def snapshots(orders: DataFrame) -> DataFrame:
     return o.select("match_id", "snap_no", "comp", "dt", "shard", m.alias("m"))
 
 
-def documents(snaps: DataFrame) -> DataFrame:
+def documents(snaps: DataFrame, endpoint: str = "matches") -> DataFrame:
     """Group snapshots into landed documents: one per (competition, day, shard).
 
     A group holds at most DOC_MAX_MATCHES matches by construction, so
@@ -131,14 +131,14 @@ def documents(snaps: DataFrame) -> DataFrame:
     date_from = F.date_sub("dt", 1).cast("string")
     date_to = F.date_add("dt", 7).cast("string")
     key = F.concat(
-        F.lit("endpoint=matches/competition="), code, F.lit("/dateFrom="), date_from, F.lit("/dateTo="), date_to,
+        F.lit(f"endpoint={endpoint}/competition="), code, F.lit("/dateFrom="), date_from, F.lit("/dateTo="), date_to,
         F.lit("/dt="), F.col("dt").cast("string"), F.lit("/run_id="), run_id, F.lit(".json"),
     )
     n = F.size("ms")
     miscount = (F.col("comp") == MISCOUNTED[0]) & (F.col("snap_no") == MISCOUNTED[1])
     manifest = F.to_json(F.struct(
         run_id.alias("run_id"),
-        F.lit("matches").alias("endpoint"),
+        F.lit(endpoint).alias("endpoint"),
         code.alias("competition"),
         F.struct(date_from.alias("dateFrom"), date_to.alias("dateTo")).alias("params"),
         F.col("dt").cast("string").alias("dt_partition"),
