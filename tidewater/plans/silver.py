@@ -15,6 +15,7 @@ from tidewater.operators.unpivot import two_sided_unpivot
 
 NUM = "decimal(38,6)"  # JSON numbers are decoded exactly, then rounded to whole numbers
 
+# --- fixed values: fields of a match document and columns of the models ---
 # v_matches typed columns: output name -> (path inside one ``$.matches`` element, type).
 # NUM fields are rounded to whole numbers like a scale-0 NUMBER cast.
 MATCH_FIELDS = {
@@ -33,9 +34,16 @@ MATCH_FIELDS = {
     "season_start_date": ("season.startDate", "date"),
     "season_end_date": ("season.endDate", "date"),
     "season_current_matchday": ("season.currentMatchday", NUM),
-    **{f"{side}_team_{name}": (f"{side}Team.{key}", NUM if key == "id" else "string")
-       for side in ("home", "away")
-       for name, key in (("id", "id"), ("name", "name"), ("short_name", "shortName"), ("tla", "tla"), ("crest", "crest"))},
+    "home_team_id": ("homeTeam.id", NUM),
+    "home_team_name": ("homeTeam.name", "string"),
+    "home_team_short_name": ("homeTeam.shortName", "string"),
+    "home_team_tla": ("homeTeam.tla", "string"),
+    "home_team_crest": ("homeTeam.crest", "string"),
+    "away_team_id": ("awayTeam.id", NUM),
+    "away_team_name": ("awayTeam.name", "string"),
+    "away_team_short_name": ("awayTeam.shortName", "string"),
+    "away_team_tla": ("awayTeam.tla", "string"),
+    "away_team_crest": ("awayTeam.crest", "string"),
     "winner": ("score.winner", "string"),
     "duration": ("score.duration", "string"),
     "ft_home_goals": ("score.fullTime.home", NUM),
@@ -45,6 +53,7 @@ MATCH_FIELDS = {
 }
 
 LINEAGE = ["file_key", "competition_code", "date_from", "date_to", "run_id", "dt", "loaded_at"]
+# --- end fixed values ---
 
 
 def _struct_type(paths: list[tuple[str, str]]) -> str:
@@ -90,6 +99,7 @@ def flatten_matches(raw: DataFrame, keep_pos: bool = False, columns: list[str] |
     return s.select(*cols)
 
 
+# --- fixed values: column order of matches_latest ---
 MATCH_COLUMNS = [
     "match_id", "utc_date", "status", "stage", "match_group", "matchday", "last_updated",
     "competition_id", "competition_code", "competition_name", "competition_type",
@@ -99,6 +109,7 @@ MATCH_COLUMNS = [
     "winner", "duration", "ft_home_goals", "ft_away_goals", "ht_home_goals", "ht_away_goals",
     "file_key", "competition_code_from_run", "date_from", "date_to", "run_id", "dt", "loaded_at",
 ]
+# --- end fixed values ---
 
 # Last loaded wins, then the latest update; NULL sorts as the largest value.
 # Tie-break (not in the model): the later file, then the later array position.
