@@ -313,7 +313,8 @@ def pseudonymize(docs: DataFrame, key: bytes = DEMO_KEY) -> DataFrame:
     known = assign(mentions, key)
     pairs = mentions.distinct().join(known, ["kind", "canon"]).groupBy(F.col("id").alias("__i"), F.col("key").alias("__k"))
     pairs = scratch(pairs.agg(F.collect_list(F.struct("kind", "canon", "surrogate")).alias("__pairs")), "pairs")
-    joined = keyed.join(pairs, (F.col("__order") == F.col("__i")) & (F.col("__key") == F.col("__k")), "left")
+    # by a shuffle at every size, so that the plan does not turn over as the corpus grows
+    joined = keyed.join(pairs.hint("merge"), (F.col("__order") == F.col("__i")) & (F.col("__key") == F.col("__k")), "left")
     schema = T.StructType([*docs.schema.fields, *(T.StructField(f"__n_{k}", T.IntegerType()) for k in KINDS)])
     return joined.select(*docs.columns, "__pairs").mapInArrow(_replace([f.name for f in schema], docs.columns.index("text")), schema)
 
