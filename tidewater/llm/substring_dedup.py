@@ -83,11 +83,10 @@ def _mixed(ids: np.ndarray, places: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _groups(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order by hash, number of the group of each ordered row)."""
-    order = np.lexsort((hashes[:, 1], hashes[:, 0]))
-    h = hashes[order]
-    return order, np.cumsum(np.r_[False, (h[1:] != h[:-1]).any(axis=1)])
+def _runs(group: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, lengths) of runs of consecutive places in one group; the rows come in the order of both."""
+    starts = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (places[1:] != places[:-1] + 1)])
+    return starts, np.diff(np.r_[starts, len(group)])
 
 
 def _meeting_rows(hashes: np.ndarray, ids: np.ndarray, places: np.ndarray, smaller_only: bool) -> Iterator[pa.RecordBatch]:
@@ -96,25 +95,29 @@ def _meeting_rows(hashes: np.ndarray, ids: np.ndarray, places: np.ndarray, small
     ``smaller_only``: a place counts only if a smaller id has the hash too
     (windows); otherwise if any other id has it (anchors).
     """
-    order, group = _groups(hashes)
+    order = np.lexsort((places, ids, hashes[:, 1], hashes[:, 0]))
     h, i, p = hashes[order], ids[order], places[order]
+    group = np.cumsum(np.r_[False, (h[1:] != h[:-1]).any(axis=1)])
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     least, most = np.minimum.reduceat(i, starts), np.maximum.reduceat(i, starts)
     many = (least != most)[group]
     direct = many & (i != least[group]) if smaller_only else many
     rest = np.flatnonzero(~direct)
-    zeros = np.zeros(len(rest), np.int32)
-    yield _batch([h[rest, 0], h[rest, 1] if smaller_only else zeros, i[rest], p[rest], zeros + 1, zeros + MEET])
+    if len(rest):
+        # a word repeated over and over has one hash at many places in a row
+        own = np.cumsum(np.r_[False, (group[rest][1:] != group[rest][:-1]) | (i[rest][1:] != i[rest][:-1])])
+        first, length = _runs(own, p[rest])
+        rest = rest[first]
+        zeros = np.zeros(len(rest), np.int32)
+        yield _batch([h[rest, 0], h[rest, 1] if smaller_only else zeros, i[rest], p[rest], length, zeros + MEET])
     if not smaller_only and many.any():  # one row stands for the places that go on directly
         k = np.flatnonzero(least != most)
         zeros = np.zeros(len(k), np.int32)
         yield _batch([h[starts[k], 0], zeros, least[k], zeros - 1, zeros, zeros + KNOWN])
     if direct.any():
-        # runs of consecutive places of a document
         j = np.lexsort((p[direct], i[direct]))
         di, dp = i[direct][j], p[direct][j]
-        new = np.flatnonzero(np.r_[True, (di[1:] != di[:-1]) | (dp[1:] != dp[:-1] + 1)])
-        length = np.diff(np.r_[new, len(di)])
+        new, length = _runs(di, dp)
         yield _batch([_mixed(di[new], dp[new]), np.zeros(len(new), np.int64), di[new], dp[new], length, np.full(len(new), DIRECT)])
 
 
@@ -178,8 +181,9 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _shared(meeting: DataFrame) -> DataFrame:
     """Places of shared anchors and copies: id, place, run (place -1: a copy of a smaller id's words)."""
     # three meetings that do not see one another: anchors, places known to be shared, whole sequences
-    same = Window.partitionBy("x", "y", F.greatest("kind", F.lit(KNOWN)))
-    met = meeting.withColumn("least", F.min("id").over(same)).withColumn("most", F.max("id").over(same)).withColumn("top", F.max("kind").over(same))
+    same = Window.partitionBy("x", "y", "apart")
+    over = {"least": F.min("id").over(same), "most": F.max("id").over(same), "top": F.max("kind").over(same)}
+    met = meeting.withColumn("apart", F.greatest("kind", F.lit(KNOWN))).withColumns(over)
     direct = F.col("kind") == DIRECT
     anchor = (F.col("kind") == MEET) & ((F.col("least") != F.col("most")) | (F.col("top") == KNOWN))
     copy = (F.col("kind") == COPY) & (F.col("id") > F.col("least"))
@@ -216,8 +220,8 @@ def _windows(text_at: int):
 
 def _repeated(meeting: DataFrame) -> DataFrame:
     """Repeated windows: id, place, run."""
-    least = F.min("id").over(Window.partitionBy("x", "y", F.col("kind") == DIRECT))
-    met = meeting.withColumn("least", least)
+    least = F.min("id").over(Window.partitionBy("x", "y", "apart"))
+    met = meeting.withColumn("apart", F.col("kind") == DIRECT).withColumn("least", least)
     return met.where((F.col("kind") == DIRECT) | (F.col("id") > F.col("least"))).select("id", "place", "run")
 
 
