@@ -35,7 +35,7 @@ from tidewater.llm.fitting import labelled_sample, logistic, probability, remain
 LABELLED_ROWS = 20_000
 TERMS = 50_000
 PRIOR = 5000.0
-Z = 3.0
+Z = 2.3
 ODDS = 2.0
 #: Letters of the stems counted beside whole tokens.
 STEMS = (4, 5, 6)
