@@ -88,3 +88,31 @@ def test_taken_candidates_are_tried_again(spark, monkeypatch):
     names = [("given|m|latin", f"name{k}") for k in range(30)]
     got = s.assign(spark.createDataFrame(names, "kind string, canon string"), b"k").collect()
     assert len(got) == 30 and len({r["surrogate"] for r in got}) == 30
+
+
+def assigned(spark, names):
+    got = s.assign(spark.createDataFrame(names, "kind string, canon string"), b"k").collect()
+    assert len(got) == len(names) and len({(r["kind"], r["surrogate"]) for r in got}) == len(names)
+    return {(r["kind"], r["canon"]): r["surrogate"] for r in got}
+
+
+def test_more_han_names_than_the_pool_holds(spark):
+    got = assigned(spark, [("han|m|han", "王" + chr(0x4E00 + k)) for k in range(450)])
+    assert all(len(v) == 2 and s.detect(v + "先生") == [(0, 2, "han|m|han", v)] for v in got.values())
+
+
+def test_a_space_that_is_used_up(spark, monkeypatch):
+    monkeypatch.setattr(s, "LAST_RESORT", 2)
+    monkeypatch.setattr(s, "POOL_TRIES", 0)
+    octets = [str(k) for k in range(1, 9)]
+    monkeypatch.setitem(s.PLACES, "\x06", octets)
+    all_of = [("address", f"192.168.{a}.{b}") for a in octets for b in octets]
+    for n in (30, 40, 64):  # room for all elsewhere, for some, for none
+        got = assigned(spark, all_of[:n])
+        assert all(v.startswith("192.168.") and v != canon for (_, canon), v in got.items())
+        assert sum(("address", v) in got for v in got.values()) == max(0, 2 * n - 64)
+
+
+def test_a_secret_without_letters_or_digits_does_not_end_the_job(spark):
+    got = assigned(spark, [("secret", "--------"), ("secret", "________")])
+    assert all(len(v) == 8 and v != canon for (_, canon), v in got.items())

@@ -10,15 +10,20 @@ without the key can tell whose it is.
 Distinctness is checked over the whole corpus: the distinct entities get a
 first candidate each; one whose candidate is taken by another entity, or is
 itself an entity found in the corpus, tries its next candidate, until none is
-left.  Then the mapping comes back to the documents that mention it.  Both
-joins are on entities or documents, never on a group gathered in one task.
+left.  Later candidates come from the whole space of the entity's format (made
+names grow instead).  A space that is nearly used up is listed and paired with
+its entities by rank, so that no number of entities ends the job.  Then the
+mapping comes back to the documents that mention it.  The joins are on
+entities or documents, never on a group gathered in one task.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from functools import reduce
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -29,9 +34,14 @@ from tidewater.llm.common import id_order, scratch, text_of
 
 #: For tests and demonstrations; pass a secret key of your own.
 DEMO_KEY = b"not a secret"
-#: Candidates of a given name taken from the pool before names are made from syllables.
+#: Candidates taken from the pool or the narrow format before the whole space is drawn from.
 POOL_TRIES = 8
-MAX_ROUNDS = 200
+#: Rounds before a space of at most DENSE times its entities is listed and paired by rank.
+LAST_RESORT = 24
+DENSE = 16
+#: Members of a space made in one task, and slices in which its members are ranked.
+MEMBERS_PER_TASK = 100_000
+SLICES = 4096
 
 # Name parts by script and gender, titles by gender.
 GIVEN = {
@@ -51,6 +61,18 @@ HAN_TITLES = {"先生": "m", "女士": "f", "小姐": "f"}
 SYLLABLES = {"latin": "ba be bo da de do fa fe ka ke ko la le lo ma me mo na ne no pa pe ra re ro sa se so ta te to va ve vo".split(), "cyrillic": "ба ва га да ка ла ма на па ра са та бо во го до ко ло мо но по ро со то".split()}
 NAME_END = {("latin", "m"): "n", ("latin", "f"): "a", ("cyrillic", "m"): "н", ("cyrillic", "f"): "а"}
 
+#: What may stand in a place of a template.
+PLACES = {
+    "\x01": "0123456789",
+    "\x02": "abcdefghijklmnopqrstuvwxyz0123456789",
+    "\x03": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789/+_-",
+    "\x04": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
+    "\x05": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "\x06": (*map(str, range(256)), *(f"0{k}" for k in range(10))),
+    "\x0e": HAN_FAMILY,
+    "\x0f": "".join(map(chr, range(0x4E00, 0xA000))),
+}
+
 _TITLE_GENDER = {t: g for g, ts in TITLES.items() for t in ts}
 _GIVEN_CLASS = {n: key for key, names in GIVEN.items() for n in names}
 _CAPITAL = r"[^\W\d_a-zà-öø-ÿа-яё][^\W\d_]+"
@@ -188,9 +210,56 @@ def _like(s: _Stream, text: str) -> str:
     return "".join(out)
 
 
+def _kept(canon: str) -> int:
+    """Octets of a private or loopback address that say so."""
+    octets = canon.split(".")
+    return {"10": 1, "127": 1}.get(octets[0], 2 if octets[:2] == ["192", "168"] else 0)
+
+
+def template(kind: str, canon: str) -> str | None:
+    """The space an entity's surrogates are from: fixed characters, and keys of PLACES; None for names that grow."""
+    if kind == "email":
+        head, _, top = canon.rpartition(".")
+        return "".join("\x02" if c.isalnum() else c for c in head) + "." + top
+    if kind == "card":
+        return canon[0] + "\x01" * (len(canon) - 1)
+    if kind == "account":
+        return canon[:2] + "\x01\x01" + "".join("\x01" if c.isdigit() else "\x05" for c in canon[4:])
+    if kind == "address":
+        keep = _kept(canon)
+        return ".".join([*canon.split(".")[:keep], *["\x06"] * (4 - keep)])
+    if kind == "phone":
+        keep = max(0, len(canon) - 10)
+        return canon[:keep] + "\x01" * (len(canon) - keep)
+    if kind == "person":
+        return "\x01" * len(canon)
+    if kind == "secret":
+        return ("\x04" if set(canon) <= set(PLACES["\x04"]) else "\x03") * len(canon)
+    return "\x0e" + "\x0f" * (len(canon) - 1) if kind.startswith("han|") else None
+
+
+def _places(space: str) -> list:
+    return [PLACES.get(c, c) for c in space]
+
+
+def _member(space: str, k: int) -> str:
+    out = []
+    for place in reversed(_places(space)):
+        k, at = divmod(k, len(place))
+        out.append(place[at])
+    return "".join(reversed(out))
+
+
+def _belongs(kind: str, space: str, value: str) -> bool:
+    """Whether the value is of that space alone, with its check digits."""
+    return template(kind, value) == space and (kind != "card" or luhn(value)) and (kind != "account" or _iban(value))
+
+
 def candidate(key: bytes, kind: str, canon: str, attempt: int) -> str:
     """The surrogate, in canonical form, that an entity tries at this attempt."""
     s = _Stream(key, kind, canon, str(attempt))
+    if attempt >= POOL_TRIES and kind not in ("card", "account") and (space := template(kind, canon)):
+        return "".join(s.of(place) for place in _places(space))
     if kind == "email":
         local, _, domain = canon.partition("@")
         host, _, top = domain.rpartition(".")
@@ -203,8 +272,7 @@ def candidate(key: bytes, kind: str, canon: str, attempt: int) -> str:
         body = _like(s, canon[4:])
         return f"{canon[:2]}{98 - _iban_rest(canon[:2], body):02d}{body}"
     if kind == "address":
-        octets = canon.split(".")
-        keep = {"10": 1, "127": 1}.get(octets[0], 2 if ".".join(octets[:2]) == "192.168" else 0)
+        octets, keep = canon.split("."), _kept(canon)
         return ".".join([*octets[:keep], *(str(1 + s.below(254)) for _ in octets[keep:])])
     if kind == "phone":
         keep = max(0, len(canon) - 10) if len(canon) >= 10 else 0
@@ -217,7 +285,7 @@ def candidate(key: bytes, kind: str, canon: str, attempt: int) -> str:
         return s.of(HAN_FAMILY) + "".join(s.of(HAN_GIVEN[gender]) for _ in canon[1:])
     if part == "given" and attempt < POOL_TRIES:
         return s.of(GIVEN[script, gender]).casefold()
-    name = "".join(s.of(SYLLABLES[script]) for _ in range(2 + s.below(2) + attempt // 50))
+    name = "".join(s.of(SYLLABLES[script]) for _ in range(2 + s.below(2) + attempt // POOL_TRIES))
     return name + (NAME_END[script, gender] if part == "given" else s.of(NAME_END[script, "m"] + NAME_END[script, "f"]))
 
 
@@ -246,22 +314,92 @@ def _mentions(batches):
 def _candidates(key: bytes, attempt: int):
     def run(batches):
         for batch in batches:
-            kinds, canons = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            made = [candidate(key, k, c, attempt) for k, c in zip(kinds, canons, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.string())], ["kind", "canon", "surrogate"])
+            rows = []
+            for kind, canon in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                made, space = candidate(key, kind, canon, attempt), template(kind, canon)
+                if space is None or _belongs(kind, space, made):
+                    rows.append((kind, canon, made))
+            if rows:
+                columns = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["kind", "canon", "surrogate"])
 
     return run
 
 
+def _spaces(batches):
+    for batch in batches:
+        kinds, canons = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        spaces = [template(k, c) for k, c in zip(kinds, canons, strict=True)]
+        sizes = [float(math.prod(map(len, _places(s)))) if s else None for s in spaces]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spaces, pa.string()), pa.array(sizes, pa.float64())], ["kind", "canon", "space", "size"])
+
+
+def _members(batches):
+    for batch in batches:
+        for kind, space, first, last in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            values = [v for v in (_member(space, k) for k in range(first, last)) if _belongs(kind, space, v)]
+            n = len(values)
+            yield pa.RecordBatch.from_arrays([pa.array([kind] * n, pa.string()), pa.array([space] * n, pa.string()), pa.array(values, pa.string())], ["kind", "space", "value"])
+
+
+def _drawn(key: bytes):
+    """Adds the value's place in a keyed order."""
+
+    def run(batches):
+        secret = hashlib.blake2b(key).digest()
+        for batch in batches:
+            at = [hashlib.blake2b(f"{k}\x1f{v}".encode(), key=secret, digest_size=16).hexdigest() for k, v in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at, pa.string())], ["kind", "space", "value", "at"])
+
+    return run
+
+
+def _ranked(values: DataFrame, key: bytes) -> DataFrame:
+    """kind, space, value, rank (from 0, in a keyed order): ranks within slices, and the sizes of the slices before."""
+    drawn = values.mapInArrow(_drawn(key), "kind string, space string, value string, at string")
+    drawn = scratch(drawn.withColumn("slice", F.conv(F.substring("at", 1, 8), 16, 10).cast("bigint") % SLICES), "drawn")
+    by = Window.partitionBy("kind", "space")
+    before = F.sum("n").over(by.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = drawn.groupBy("kind", "space", "slice").agg(F.count("*").alias("n"))
+    sizes = sizes.select("kind", "space", "slice", F.coalesce(before, F.lit(0)).alias("before"))
+    within = F.row_number().over(Window.partitionBy("kind", "space", "slice").orderBy("at", "value")) - 1
+    return drawn.withColumn("within", within).join(sizes, ["kind", "space", "slice"]).select("kind", "space", "value", (F.col("before") + F.col("within")).alias("rank"))
+
+
+def _paired(spaces: DataFrame, known: DataFrame, key: bytes) -> DataFrame:
+    """kind, canon, surrogate for all entities of whole spaces (``spaces``: kind, space, size; ``known``: kind, canon, space).
+
+    The entities take the members that are no entity; if these do not reach,
+    the rest take entities' own forms, in an order in which none meets itself.
+    """
+    ours = known.join(spaces.select("kind", "space"), ["kind", "space"]).select("kind", "space", F.col("canon").alias("value"))
+    ours = scratch(_ranked(ours, key), "ranked")
+    size = F.col("size").cast("bigint")
+    starts = F.explode(F.sequence(F.lit(0), size - 1, F.lit(MEMBERS_PER_TASK))).alias("first")
+    parts = spaces.select("kind", "space", "size", starts).select("kind", "space", "first", F.least(F.col("first") + MEMBERS_PER_TASK, size).alias("last"))
+    members = parts.repartition("kind", "space", "first").mapInArrow(_members, "kind string, space string, value string")
+    free = scratch(_ranked(members.join(ours, ["kind", "space", "value"], "left_anti"), key), "free")
+    n_ours = ours.groupBy("kind", "space").agg(F.count("*").alias("n"))
+    n_free = free.groupBy("kind", "space").agg(F.count("*").alias("m"))
+    sizes = n_ours.join(n_free, ["kind", "space"], "left").withColumn("m", F.coalesce("m", F.lit(0)))
+    # targets: the free members, then the entities in turn, one further where all members are entities
+    turn = F.when(F.col("m") == 0, F.pmod(F.col("rank") - 1, F.col("n"))).otherwise(F.col("rank") + F.col("m"))
+    again = ours.join(sizes, ["kind", "space"]).select("kind", "space", F.col("value").alias("surrogate"), turn.alias("rank"))
+    targets = free.select("kind", "space", F.col("value").alias("surrogate"), "rank").unionByName(again)
+    return ours.join(targets, ["kind", "space", "rank"]).select("kind", F.col("value").alias("canon"), "surrogate")
+
+
 def assign(entities: DataFrame, key: bytes) -> DataFrame:
     """kind, canon, surrogate: one-to-one within a kind, and no surrogate is an entity itself.
 
-    Given names and Han names are exempt from the last check: their pools are the names in use.
+    Given names and Han names are exempt from the last check: their pools are
+    the names in use.  So are entities that their space has no room for
+    otherwise (of more than half its members).
     """
     entities = scratch(entities.select("kind", "canon").distinct(), "entities")
     pending, done = entities, []
     real = entities.where(~F.col("kind").rlike(r"^(given|han)\|")).select("kind", F.col("canon").alias("surrogate"))
-    for attempt in range(MAX_ROUNDS):
+    for attempt in count():
         tried = scratch(pending.mapInArrow(_candidates(key, attempt), "kind string, canon string, surrogate string"), "tried")
         fair = tried.join(real, ["kind", "surrogate"], "left_anti")
         if done:
@@ -270,9 +408,20 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
         won = scratch(fair.withColumn("turn", first).where("turn = 1").select("kind", "canon", "surrogate"), "assigned")
         done.append(won)
         pending = scratch(pending.join(won, ["kind", "canon"], "left_anti"), "pending")
+        if attempt + 1 >= LAST_RESORT and pending.limit(1).count():
+            known = scratch(entities.mapInArrow(_spaces, "kind string, canon string, space string, size double"), "spaces")
+            full = pending.join(known, ["kind", "canon"]).where("space IS NOT NULL").select("kind", "space").distinct()
+            full = known.join(full, ["kind", "space"]).groupBy("kind", "space", "size").agg(F.count("*").alias("n"))
+            full = scratch(full.where(F.col("size") <= DENSE * F.col("n")).drop("n"), "full")
+            if full.limit(1).count():
+                # spaces do not overlap, so each is paired anew as a whole
+                paired = scratch(_paired(full, known, key), "paired")
+                others = reduce(DataFrame.unionByName, done).join(paired, ["kind", "canon"], "left_anti")
+                done = [scratch(others.unionByName(paired), "assigned")]
+                pending = scratch(pending.join(paired, ["kind", "canon"], "left_anti"), "pending")
         if not pending.limit(1).count():
             return scratch(reduce(DataFrame.unionByName, done), "surrogates")
-    raise RuntimeError("the surrogates of a kind are used up")
+    raise AssertionError("unreachable")
 
 
 def _replace(names: list[str], text_at: int):
