@@ -116,3 +116,12 @@ def test_a_space_that_is_used_up(spark, monkeypatch):
 def test_a_secret_without_letters_or_digits_does_not_end_the_job(spark):
     got = assigned(spark, [("secret", "--------"), ("secret", "________")])
     assert all(len(v) == 8 and v != canon for (_, canon), v in got.items())
+
+
+def test_no_name_keeps_itself(spark):
+    pool = [(f"given|{g}|{script}", n.casefold()) for (script, g), names in s.GIVEN.items() for n in names]
+    pool += [(f"han|{g}|han", f + n) for g, names in s.HAN_GIVEN.items() for f in s.HAN_FAMILY for n in names]
+    for key in (s.DEMO_KEY, b"k"):
+        got = {(r["kind"], r["canon"]): r["surrogate"] for r in s.assign(spark.createDataFrame(pool, "kind string, canon string"), key).collect()}
+        assert len(got) == len(pool) and len({(k, v) for (k, _), v in got.items()}) == len(pool)
+        assert [c for (_, c), v in got.items() if c == v] == []

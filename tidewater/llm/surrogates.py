@@ -317,7 +317,7 @@ def _candidates(key: bytes, attempt: int):
             rows = []
             for kind, canon in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 made, space = candidate(key, kind, canon, attempt), template(kind, canon)
-                if space is None or _belongs(kind, space, made):
+                if made != canon and (space is None or _belongs(kind, space, made)):
                     rows.append((kind, canon, made))
             if rows:
                 columns = zip(*rows, strict=True)
@@ -392,8 +392,8 @@ def _paired(spaces: DataFrame, known: DataFrame, key: bytes) -> DataFrame:
 def assign(entities: DataFrame, key: bytes) -> DataFrame:
     """kind, canon, surrogate: one-to-one within a kind, and no surrogate is an entity itself.
 
-    Given names and Han names are exempt from the last check: their pools are
-    the names in use.  So are entities that their space has no room for
+    Given names and Han names are exempt from the last check (their pools are
+    the names in use), but none is its own surrogate.  So are entities that their space has no room for
     otherwise (of more than half its members).
     """
     entities = scratch(entities.select("kind", "canon").distinct(), "entities")
