@@ -1,5 +1,7 @@
 """Detection, format, distinctness and coreference of surrogates."""
 
+import re
+
 import pytest
 
 from tidewater.llm import surrogates as s
@@ -125,3 +127,19 @@ def test_no_name_keeps_itself(spark):
         got = {(r["kind"], r["canon"]): r["surrogate"] for r in s.assign(spark.createDataFrame(pool, "kind string, canon string"), key).collect()}
         assert len(got) == len(pool) and len({(k, v) for (k, _), v in got.items()}) == len(pool)
         assert [c for (_, c), v in got.items() if c == v] == []
+
+
+def test_later_mentions_of_a_name(spark):
+    texts = [
+        "Herr Peter Novak came. Novak left, and Peter stayed; NOVAK's hat too, not Novakia.",
+        "Before: Novak. Dr Novak wrote to Novak@example.org.",
+        "王伟先生来了。后来王伟走了，王伟强先生没来，王伟强在家。",
+        "Novak and Peter are not introduced here.",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in s.op1_pii_surrogates(docs).collect()}
+    assert [got[k]["n_name"] for k in range(4)] == [5, 2, 4, 0]
+    family = {got[0]["text"].split()[2].strip("."), got[0]["text"].split()[4], got[1]["text"].split()[1].strip(".")}
+    assert len(family) == 1 and not re.search(r"\b(Peter|Novak|NOVAK)\b", got[0]["text"]) and "Novakia" in got[0]["text"]
+    assert "Novak" not in got[1]["text"] and "王伟" not in got[2]["text"]
+    assert got[3]["text"] == texts[3]

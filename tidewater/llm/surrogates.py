@@ -78,6 +78,7 @@ _GIVEN_CLASS = {n: key for key, names in GIVEN.items() for n in names}
 _CAPITAL = r"[^\W\d_a-zà-öø-ÿа-яё][^\W\d_]+"
 _TITLED = re.compile(rf"\b({'|'.join(map(re.escape, sorted(_TITLE_GENDER, key=len, reverse=True)))})\b\.?[ \t]+({_CAPITAL})(?:[ \t]+({_CAPITAL}))?")
 _NAMED = re.compile(rf"\b({'|'.join(sorted([*_GIVEN_CLASS, *map(str.upper, _GIVEN_CLASS)], key=len, reverse=True))})[ \t]+({_CAPITAL})")
+_WORD = re.compile(rf"\b{_CAPITAL}\b")
 _HAN = re.compile(rf"([{HAN_FAMILY}][\u4e00-\u9fff]{{1,2}})(?=({'|'.join(HAN_TITLES)}))")
 _MAIL = re.compile(r"(?<![A-Za-z0-9._+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 _SECRET = re.compile(r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\b[\"']?\s*[=:]\s*[\"']?)([A-Za-z0-9/+_\-]{8,})")
@@ -139,7 +140,27 @@ def _names(text: str) -> list[tuple[int, int, str, str]]:
         family(*m.span(2))
     for m in _HAN.finditer(text):
         found.append((*m.span(1), f"han|{HAN_TITLES[m[2]]}|han", m[1]))
-    return found
+    return found + _later(text, found)
+
+
+def _later(text: str, found: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
+    """The other mentions in a text of the names found in it, each as where the name stands first."""
+    if not found:
+        return []
+    first: dict[str, str] = {}
+    for _, _, kind, canon in sorted(found):
+        first.setdefault(canon, kind)
+    more = []
+    if any(not kind.startswith("han|") for kind in first.values()):
+        for m in _WORD.finditer(text):
+            canon = m[0].casefold()
+            if canon in first:
+                more.append((*m.span(), first[canon], canon))
+    # Han names stand between no word boundaries; of two that begin alike the longer one counts
+    han = sorted((c for c, kind in first.items() if kind.startswith("han|")), key=lambda c: (-len(c), c))
+    if han:
+        more += [(*m.span(), first[m[0]], m[0]) for m in re.finditer("|".join(han), text)]
+    return more
 
 
 def detect(text: str) -> list[tuple[int, int, str, str]]:
