@@ -143,3 +143,14 @@ def test_later_mentions_of_a_name(spark):
     assert len(family) == 1 and not re.search(r"\b(Peter|Novak|NOVAK)\b", got[0]["text"]) and "Novakia" in got[0]["text"]
     assert "Novak" not in got[1]["text"] and "王伟" not in got[2]["text"]
     assert got[3]["text"] == texts[3]
+
+
+def test_script_of_a_name():
+    for word, script in (("Παπαδόπουλος", "greek"), ("王小明", "cjk"), ("احمد", "arabic"), ("김철수", "hangul"), ("Šimek", "latin"), ("Соколова", "cyrillic")):
+        for text in (f"Dr {word}", f"Mr {word} {word}"):
+            for a, b, kind, canon in s.detect(text):
+                assert kind.endswith(f"|{script}")
+                for attempt in (0, 20):
+                    made = s.render(kind, text[a:b], s.candidate(b"k", kind, canon, attempt))
+                    assert {s._script(c) for c in made} == {script}
+                    assert [x[2] for x in s.detect(f"Dr {made}")] == [f"family||{script}"] or kind.startswith("given")

@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import unicodedata
 from functools import reduce
 from itertools import count
 
@@ -90,6 +91,8 @@ _PERSON = re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")
 _PHONE = re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]?\d{4}(?!\d)|(?<![\w+])\+\d{2,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)")
 _DIGIT = re.compile(r"\d")
 
+_LETTERS: dict[str, str] = {}  # filled by _letters; a plain dict travels to workers by value
+
 KINDS = ("email", "phone", "card", "account", "address", "person", "secret", "name")
 
 
@@ -110,8 +113,21 @@ def _iban(text: str) -> bool:
     return 15 <= len(s) <= 34 and 98 - _iban_rest(s[:2], s[4:]) == int(s[2:4])
 
 
+def _letters(script: str) -> str:
+    """The lower-case letters (or those without case) that Unicode names after a script, apart from mere forms of others."""
+    if script not in _LETTERS:
+        mine = (c for c in map(chr, range(0x20000)) if unicodedata.name(c, "").startswith(script.upper() + " ") and c.isalpha())
+        _LETTERS[script] = "".join(c for c in mine if c.casefold() == c == c.capitalize().casefold() and unicodedata.normalize("NFKC", c) == c)
+    return _LETTERS[script]
+
+
 def _script(word: str) -> str:
-    return "cyrillic" if "\u0400" <= word[0] <= "\u04ff" else "latin"
+    if word[0] < "\u0250":
+        return "latin"
+    if "\u0400" <= word[0] <= "\u04ff":
+        return "cyrillic"
+    script = unicodedata.name(word[0], "latin").split()[0].lower()
+    return script if script in SYLLABLES or len(_letters(script)) >= 10 else "latin"
 
 
 def _names(text: str) -> list[tuple[int, int, str, str]]:
@@ -304,6 +320,10 @@ def candidate(key: bytes, kind: str, canon: str, attempt: int) -> str:
     part, gender, script = kind.split("|")
     if part == "han":
         return s.of(HAN_FAMILY) + "".join(s.of(HAN_GIVEN[gender]) for _ in canon[1:])
+    if script not in SYLLABLES:
+        if script == "cjk" and attempt < POOL_TRIES:
+            return s.of(HAN_FAMILY) + "".join(s.of(HAN_GIVEN["m"] + HAN_GIVEN["f"]) for _ in canon[1:])
+        return "".join(s.of(_letters(script)) for _ in range(len(canon) + attempt // POOL_TRIES))
     if part == "given" and attempt < POOL_TRIES:
         return s.of(GIVEN[script, gender]).casefold()
     name = "".join(s.of(SYLLABLES[script]) for _ in range(2 + s.below(2) + attempt // POOL_TRIES))
