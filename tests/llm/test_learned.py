@@ -85,3 +85,16 @@ def test_logistic_separates_and_survives_one_class():
     assert ((p >= 0.5) == (y == 1)).mean() > 0.98
     assert np.isfinite(probability(logistic(x, np.ones(200)), x)).all()
     assert logistic(np.zeros((0, 1)), np.zeros(0)).tolist() == [0.0, 0.0]
+
+
+@pytest.mark.filterwarnings("error:more than")
+def test_the_fit_says_when_its_terms_do_not_fit(spark, monkeypatch):
+    small_batches(spark)
+    docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
+    n = len(toxicity.fit(docs, labels).scores)
+    assert n > 3
+    monkeypatch.setattr(toxicity, "TERMS", n)
+    assert len(toxicity.fit(docs, labels).scores) == n
+    monkeypatch.setattr(toxicity, "TERMS", n - 1)
+    with pytest.warns(UserWarning, match="more than"):
+        assert len(toxicity.fit(docs, labels).scores) == n - 1

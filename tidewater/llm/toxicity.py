@@ -19,6 +19,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -202,7 +203,10 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int] = HELD_OUT
     judged = counted.where("toxic > 0").withColumn("odds", odds).withColumn("z", odds / F.sqrt(1 / t + 1 / c))
     # the share of clean text a scoring token makes up, by the same prior
     judged = judged.where((F.col("z") >= Z) & (F.col("odds") >= ODDS)).withColumn("share", c / (sums["clean"] + PRIOR))
-    best = judged.orderBy(F.desc("z"), "token").limit(TERMS).select("token", "odds", "share").toArrow()
+    best = judged.orderBy(F.desc("z"), "token").limit(TERMS + 1).select("token", "odds", "share").toArrow()
+    if best.num_rows > TERMS:
+        warnings.warn(f"more than {TERMS} terms qualify; the model scores the {TERMS} of largest z", stacklevel=2)
+        best = best.slice(0, TERMS)
     values, shares = (best.column(k).to_numpy() for k in (1, 2))
     scores = dict(zip(best.column(0).to_pylist(), values.tolist(), strict=True))
     step = max(STEP, 2.0 * float((shares * values).sum()) / max(1e-9, 1 - float(shares.sum())))
