@@ -5,7 +5,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from tidewater.plans.fixture_lake import fixture_lake, load_time
 from tidewater.plans.lake import Lake
 from tidewater.plans.runs import models, refresh_models, run_daily

@@ -238,7 +238,7 @@ def test_backfill_run_and_load_latest(spark, tmp_root):
 
 def test_spark_written_landing_round_trips_through_the_loader(spark, tmp_root):
     """K1 writes `run_id=<id>/part-*.json` (one document per file); the loader reads that layout too."""
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     from tidewater.plans.manifests import landing_write
     from tidewater.sources.fixture import landing_rows, snapshots
 

@@ -4,8 +4,7 @@ import pytest
 
 from tidewater.plans.oracles import oracle_sql
 from tidewater.plans.registry import queries
-from helpers import duck, result_digest
-from conftest import SF_SMALL
+from helpers import SF_SMALL, duck, result_digest
 
 KEYS = sorted(queries())
 

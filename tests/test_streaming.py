@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from tidewater.plans.fixture_lake import fixture_lake
 from tidewater.plans.lake import Lake
 from tidewater.plans.registry import queries
