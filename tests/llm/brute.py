@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import defaultdict
 
 import xxhash
@@ -165,3 +166,42 @@ def targets(sizes, weights=(5, 2, 1), most=3):
         rest -= sum(got[s] for s in over)
         free -= over
     return got
+
+
+def planted_words(doc_id, words):
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def periodic(words, least=12):
+    """Every maximal stretch for every lag; the smallest lag of equal stretches."""
+    n, found = len(words), {}
+    for q in range(1, n // 2 + 1):
+        equal = [words[i] == words[i + q] for i in range(n - q)] + [False]
+        start = None
+        for i, x in enumerate(equal):
+            if x and start is None:
+                start = i
+            elif not x and start is not None:
+                if i - start + q >= max(least, 2 * q):
+                    found.setdefault((start, i - start + q), q)
+                start = None
+    return sorted((s, m, q) for (s, m), q in found.items())
+
+
+def periodic_digest(rows):
+    out = []
+    for i, t in rows:
+        words = planted_words(i, WORD.findall(raw(t)))
+        runs = periodic(words)
+        gone = {k for s, m, q in runs for k in range(s + q, s + m)}
+        best = min(((-m, s, q) for s, m, q in runs), default=None)
+        first = (None,) * 4 if best is None else (best[1], -best[0], best[2], 1000 * -best[0] // best[2])
+        listed = "".join(f"{s},{m},{q}\n" for s, m, q in runs).encode()
+        out.append((i, len(runs), *first, sha(listed), sha(b" ".join(w for k, w in enumerate(words) if k not in gone))))
+    return out

@@ -106,6 +106,47 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN words USING (rid) LEFT JOIN which USING (rid)
 """
 
+CRC_OF_ID = """
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii((doc_id::VARCHAR)[i])::BIGINT)),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda y, k: xor(y >> 1, CASE WHEN y & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))), 4294967295::BIGINT)
+"""
+
+OP12 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, {WORDS} AS w, CASE WHEN doc_id IS NOT NULL THEN {CRC_OF_ID} END AS h FROM documents
+), shaped AS (
+  SELECT rid, doc_id, w, len(w)::BIGINT AS n, coalesce(h % 10 = 0 AND len(w) > 0, false) AS again,
+    CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a, 3 + (h // 10) % 8 AS f FROM d
+), p AS (
+  SELECT rid, doc_id, n, CASE WHEN again
+    THEN list_transform(range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // f) END]) ELSE w END AS w
+  FROM shaped
+), starts AS (
+  SELECT rid, i, array_to_string(w[i + 1:i + 6], ' ') AS g FROM (SELECT rid, w, unnest(range(0, n - 5)) AS i FROM p WHERE n >= 12)
+), numbered AS (
+  SELECT rid, i, min(i) OVER (PARTITION BY rid, g) AS g, count(*) OVER (PARTITION BY rid, g) AS c FROM starts
+), pairs AS (
+  SELECT x.rid, x.i, y.i - x.i AS q FROM (SELECT * FROM numbered WHERE c > 1) AS x JOIN (SELECT * FROM numbered WHERE c > 1) AS y USING (rid, g) WHERE x.i < y.i
+), diagonals AS (
+  SELECT rid, q, min(i) AS s, count(*) + 5 + q AS m FROM (SELECT *, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS k FROM pairs) GROUP BY rid, q, k
+), runs AS (
+  SELECT rid, s, m, min(q) AS q FROM diagonals WHERE m >= greatest(12, 2 * q) GROUP BY rid, s, m
+), listed AS (
+  SELECT rid, count(*)::BIGINT AS n_runs, string_agg(s || ',' || m || ',' || q || chr(10), '' ORDER BY s, q) AS t FROM runs GROUP BY rid
+), best AS (
+  SELECT rid, s, m, q FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY m DESC, s, q) AS k FROM runs) WHERE k = 1
+), gone AS (
+  SELECT DISTINCT rid, unnest(range(s + q, s + m)) AS i FROM runs
+), words AS (
+  SELECT rid, unnest(w) AS x, unnest(range(0, n)) AS i FROM p
+), kept AS (
+  SELECT rid, string_agg(x, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (rid, i) GROUP BY rid
+)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS start, m::BIGINT AS length, q::BIGINT AS period, (1000 * m // q)::BIGINT AS exponent_milli,
+  sha256(coalesce(listed.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM p LEFT JOIN listed USING (rid) LEFT JOIN best USING (rid) LEFT JOIN kept USING (rid)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -113,4 +154,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_line_dedup": OP6,
         "op8_decontaminate": OP8,
         "op9_quality_rules": OP9,
+        "op12_periodic_runs": OP12,
     }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import compression, decontaminate, line_dedup, mixing, quality_rules, simhash, substring_dedup, surrogates, token_counts, toxicity
+from tidewater.llm import compression, decontaminate, line_dedup, mixing, periodic_runs, quality_rules, simhash, substring_dedup, surrogates, token_counts, toxicity
 from tidewater.llm.common import small_batches, table
 from tidewater.session import configure
 
@@ -35,4 +35,5 @@ def queries() -> dict[str, Query]:
         "op8_decontaminate": _over(decontaminate.op8_decontaminate, "documents", "benchmark"),
         "op9_quality_rules": _over(quality_rules.op9_quality_rules, "documents"),
         "op10_source_mix": _over(mixing.op10_source_mix, "documents"),
+        "op12_periodic_runs": _over(periodic_runs.op12_periodic_runs, "documents"),
     }
