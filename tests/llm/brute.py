@@ -205,3 +205,34 @@ def periodic_digest(rows):
         listed = "".join(f"{s},{m},{q}\n" for s, m, q in runs).encode()
         out.append((i, len(runs), *first, sha(listed), sha(b" ".join(w for k, w in enumerate(words) if k not in gone))))
     return out
+
+
+def phrases(rows, least=30, top=2000):
+    """rows: (lang, text)."""
+    said, n = defaultdict(int), defaultdict(int)
+    for lang, t in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(rb"[.,;:!?\x0a-\x0d]", az(raw(t))):
+            w = [x.decode() for x in re.findall(rb"[^ \t]+", piece)]
+            n[lang] += len(w)
+            for k in range(1, 5):
+                for i in range(len(w) - k + 1):
+                    said[lang, tuple(w[i : i + k])] += 1
+    candidates = {key: a for key, a in said.items() if a >= least and len(key[1]) > 1}
+    most = defaultdict(int)
+    for (lang, p), a in candidates.items():
+        for k in range(2, len(p)):
+            for i in range(len(p) - k + 1):
+                most[lang, p[i : i + k]] = max(most[lang, p[i : i + k]], a)
+    by_lang = defaultdict(list)
+    for (lang, p), a in candidates.items():
+        if 100 * most[lang, p] >= 80 * a:
+            continue
+        cuts = [(2000000 * a // (said[lang, p[:k]] + said[lang, p[k:]]), k) for k in range(1, len(p))]
+        score, k = min(cuts)
+        by_lang[lang].append((-score, -a, " ".join(p).encode(), said[lang, p[:k]], said[lang, p[k:]]))
+    out = []
+    for lang, found in by_lang.items():
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], start=1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n[lang], -score))
+    return out

@@ -50,6 +50,19 @@ def scratch(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def co_located(df: DataFrame, key: str, label: str) -> DataFrame:
+    """``scratch`` in buckets of ``key``: joins on it shuffle only the other side, stage after stage.
+
+    The table is external to the catalog's warehouse (its files are in the shared scratch folder) and
+    has as many buckets as the session has shuffle partitions.
+    """
+    spark = df.sparkSession
+    name = f"llm_{label}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(buckets, key).option("path", scratch_dir(spark, "llm", name)).saveAsTable(name)
+    return spark.table(name)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores appended until no column of ``df`` has it (in any case)."""
     taken = {c.lower() for c in df.columns}

@@ -106,6 +106,41 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN words USING (rid) LEFT JOIN which USING (rid)
 """
 
+OP11 = """
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM d
+), said AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest(range(1, 5)) AS k) WHERE len(w) >= k
+), f AS (
+  SELECT lang, k, phrase, count(*) AS c FROM said GROUP BY ALL HAVING count(*) >= 30
+), total AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang
+), candidates AS (
+  SELECT lang, k, phrase, c AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2
+), cuts AS (
+  SELECT lang, phrase, k, a, w, j, array_to_string(w[1:j], ' ') AS head, array_to_string(w[j + 1:k], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM candidates)
+), scored AS (
+  SELECT x.lang, x.phrase, x.a, x.j, l.c AS l, r.c AS r, ((2000000::HUGEINT * x.a) // (l.c + r.c))::BIGINT AS score
+  FROM cuts AS x JOIN f AS l ON l.lang = x.lang AND l.phrase = x.head AND l.k = x.j JOIN f AS r ON r.lang = x.lang AND r.phrase = x.rest AND r.k = x.k - x.j
+), lowest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS o FROM scored) WHERE o = 1
+), inside AS (
+  SELECT lang, part, max(a) AS most FROM (
+    SELECT lang, a, unnest(list_transform(range(1, k - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS part
+    FROM candidates, (SELECT unnest(range(2, 4)) AS m) WHERE m < k) GROUP BY ALL
+), kept AS (
+  SELECT lowest.* FROM lowest LEFT JOIN inside ON inside.lang = lowest.lang AND inside.part = lowest.phrase WHERE most IS NULL OR 100 * most < 80 * a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
 CRC_OF_ID = """
     xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii((doc_id::VARCHAR)[i])::BIGINT)),
       lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda y, k: xor(y >> 1, CASE WHEN y & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))), 4294967295::BIGINT)
@@ -154,5 +189,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_line_dedup": OP6,
         "op8_decontaminate": OP8,
         "op9_quality_rules": OP9,
+        "op11_collocations": OP11,
         "op12_periodic_runs": OP12,
     }
