@@ -236,3 +236,21 @@ def phrases(rows, least=30, top=2000):
         for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], start=1):
             out.append((lang, rank, phrase.decode(), -a, left, right, n[lang], -score))
     return out
+
+
+def repeated_bytes(texts, length=400):
+    """(n_bytes, spans, kept) of each text."""
+    starts = defaultdict(int)
+    data = [raw(t) for t in texts]
+    for b in data:
+        for x in range(len(b) - length + 1):
+            starts[b[x : x + length]] += 1
+    out = []
+    for b in data:
+        gone = bytearray(len(b))
+        for x in range(len(b) - length + 1):
+            if starts[b[x : x + length]] > 1:
+                gone[x : x + length] = b"\1" * length
+        spans = [(m.start(), m.end() - m.start()) for m in re.finditer(b"\1+", bytes(gone))]
+        out.append((len(b), spans, bytes(c for c, g in zip(b, gone, strict=True) if not g)))
+    return out

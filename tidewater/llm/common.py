@@ -50,7 +50,7 @@ def scratch(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def co_located(df: DataFrame, key: str, label: str) -> DataFrame:
+def co_located(df: DataFrame, key: str, label: str, compression: str = "snappy") -> DataFrame:
     """``scratch`` in buckets of ``key``: joins on it shuffle only the other side, stage after stage.
 
     The table is external to the catalog's warehouse (its files are in the shared scratch folder) and
@@ -59,7 +59,7 @@ def co_located(df: DataFrame, key: str, label: str) -> DataFrame:
     spark = df.sparkSession
     name = f"llm_{label}_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.format("parquet").bucketBy(buckets, key).option("path", scratch_dir(spark, "llm", name)).saveAsTable(name)
+    df.write.format("parquet").option("compression", compression).bucketBy(buckets, key).option("path", scratch_dir(spark, "llm", name)).saveAsTable(name)
     return spark.table(name)
 
 

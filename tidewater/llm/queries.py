@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import collocations, compression, decontaminate, line_dedup, mixing, periodic_runs, quality_rules, simhash, substring_dedup, surrogates, token_counts, toxicity
+from tidewater.llm import collocations, compression, decontaminate, line_dedup, mixing, periodic_runs, quality_rules, simhash, substring_dedup, suffix_dedup, surrogates, token_counts, toxicity
 from tidewater.llm.common import small_batches, table
 from tidewater.session import configure
 
@@ -37,4 +37,5 @@ def queries() -> dict[str, Query]:
         "op10_source_mix": _over(mixing.op10_source_mix, "documents"),
         "op11_collocations": _over(collocations.op11_collocations, "documents"),
         "op12_periodic_runs": _over(periodic_runs.op12_periodic_runs, "documents"),
+        "op13_suffix_dedup": _over(suffix_dedup.op13_suffix_dedup, "documents"),
     }
