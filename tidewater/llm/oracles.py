@@ -182,6 +182,30 @@ SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS start, m::BIG
 FROM p LEFT JOIN listed USING (rid) LEFT JOIN best USING (rid) LEFT JOIN kept USING (rid)
 """
 
+OP13 = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b FROM documents
+), starts AS (
+  SELECT rid, i, md5(b[i:i + 399]) AS g FROM (SELECT rid, b, unnest(range(1, octet_length(b) - 398)) AS i FROM d WHERE octet_length(b) >= 400)
+), repeated AS (
+  SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY g) AS c FROM starts) WHERE c > 1
+), marked AS (
+  SELECT rid, i, CASE WHEN i <= lag(i) OVER (PARTITION BY rid ORDER BY i) + 400 THEN 0 ELSE 1 END AS new FROM repeated
+), runs AS (
+  SELECT rid, min(i) AS s, max(i) + 399 AS e FROM (SELECT rid, i, sum(new) OVER (PARTITION BY rid ORDER BY i) AS k FROM marked) GROUP BY rid, k
+), pieces AS (
+  SELECT rid, coalesce(lag(e) OVER (PARTITION BY rid ORDER BY s), 0) AS a, s AS z FROM runs
+  UNION ALL SELECT rid, coalesce(max(e), 0), octet_length(any_value(b)) + 1 FROM d LEFT JOIN runs USING (rid) GROUP BY rid
+), kept AS (
+  SELECT rid, list_reduce(list(b[a + 1:z - 1] ORDER BY a), lambda x, y: x || y) AS t FROM (SELECT * FROM pieces WHERE z > a + 1) JOIN d USING (rid) GROUP BY rid
+), spans AS (
+  SELECT rid, count(*)::BIGINT AS n_spans, sum(e - s + 1)::BIGINT AS n_removed FROM runs GROUP BY rid
+)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(coalesce(t, ''::BLOB)) AS kept_sha256
+FROM d LEFT JOIN spans USING (rid) LEFT JOIN kept USING (rid)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -191,4 +215,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_quality_rules": OP9,
         "op11_collocations": OP11,
         "op12_periodic_runs": OP12,
+        "op13_suffix_dedup": OP13,
     }
