@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 from itertools import count
 
 import numpy as np
@@ -48,7 +49,7 @@ _TO_MARKS = bytes.maketrans(_ENDS, _MARK * len(_ENDS))
 
 SHARDS = "shard bigint, seq array<int>, words array<struct<lang: string, word: string, n: bigint>>"
 RELATION = "shard bigint, seq array<int>, ids array<bigint>"
-PAIRS = "a bigint, b bigint, held bigint"
+PAIRS = "a bigint, b bigint, at bigint, n bigint"
 
 
 def _list_of(values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
@@ -108,7 +109,7 @@ def _keep_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, shard in enumerate(batch.column(0).to_pylist()):
             seq, at, ids = (_numbers(batch, c, row) for c in (1, 2, 3))
             compact = np.zeros(int(seq.max(initial=0)) + 1, np.int32)
-            compact[at] = np.arange(1, len(at) + 1)
+            compact[at + 1] = np.arange(1, len(at) + 1)
             yield _relation(shard, compact[seq], ids)
 
 
@@ -120,42 +121,43 @@ def _adjacent(seq: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A relation -> a, b (ids of the two phrases that make the longer one), shard and count in one number."""
+    """A relation -> a, b (ids of the two phrases that make the longer one), its place in the shard's list, count."""
     for batch in batches:
         for row, shard in enumerate(batch.column(0).to_pylist()):
             ids = _numbers(batch, 2, row)
             pairs, n = np.unique(_adjacent(_numbers(batch, 1, row), len(ids))[1], return_counts=True)
             a, b = np.divmod(pairs, len(ids) + 1)
+            at = (shard << 32) | np.arange(len(pairs), dtype=np.int64)
             for k in range(0, len(pairs), 1 << 16):
                 part = slice(k, k + (1 << 16))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a[part] - 1]), pa.array(ids[b[part] - 1]), pa.array((shard << 32) | n[part])], ["a", "b", "held"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (ids[a[part] - 1], ids[b[part] - 1], at[part], n[part])], ["a", "b", "at", "n"])
 
 
 def _keep_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """shard, seq, ids, the shard's frequent pairs (a, b, id) -> the relation of the longer phrases."""
+    """shard, seq, ids, its frequent pairs' places in its list and ids -> the relation of the longer phrases."""
     for batch in batches:
         for row, shard in enumerate(batch.column(0).to_pylist()):
-            seq, ids, a, b, new = (_numbers(batch, c, row) for c in range(1, 6))
-            order = np.argsort(ids)
-            ia, ib = (order[np.searchsorted(ids, x, sorter=order)] + 1 for x in (a, b))
-            frequent = ia.astype(np.int64) * (len(ids) + 1) + ib
-            by = np.argsort(frequent)
-            frequent = frequent[by]
+            seq, ids, kept, new = (_numbers(batch, c, row) for c in range(1, 5))
             at, pairs = _adjacent(seq, len(ids))
-            k = np.minimum(np.searchsorted(frequent, pairs), len(frequent) - 1)
+            listed, number = np.unique(pairs, return_inverse=True)
+            compact = np.zeros(len(listed), np.int32)
+            compact[kept] = np.arange(1, len(kept) + 1)
             longer = np.zeros(len(seq), np.int32)
-            longer[at] = np.where(frequent[k] == pairs, k + 1, 0)
-            yield _relation(shard, longer, new[by])
+            longer[at] = compact[number]
+            yield _relation(shard, longer, new)
 
 
-def _total(rows: DataFrame, keys: list[str], n: Column, least: int) -> DataFrame:
-    """Rows of the groups that reach ``least`` in all, with that sum as f; a group has one row per shard."""
-    return rows.withColumn("f", F.sum(n).over(Window.partitionBy(*keys))).where(F.col("f") >= least)
+def _frequent(rows: DataFrame, keys: list[str], least: int, label: str) -> tuple[DataFrame, DataFrame]:
+    """(the phrases said ``least`` times or more, with id and f; where shards hold them: at, id).
 
-
-def _with_ids(phrases: DataFrame, length: int) -> DataFrame:
-    """Numbers the phrases once (they are written); the length makes numbers of different lengths differ."""
-    return scratch(phrases.withColumn("id", F.monotonically_increasing_id() * MAX_WORDS + (length - 1)), f"phrases-{length}")
+    A group has one row per shard; ``at`` is the shard and the phrase's place in its list, so the least of a
+    phrase is an id that no other phrase has, and its row stands for the phrase.
+    """
+    same = Window.partitionBy(*keys)
+    met = rows.withColumn("f", F.sum("n").over(same)).withColumn("id", F.min("at").over(same)).where(F.col("f") >= least)
+    first = F.col("at") == F.col("id")
+    kept = scratch(met.select("at", "id", *[F.when(first, F.col(c)).alias(c) for c in (*keys, "f")]), label)
+    return kept.where(first).drop("at"), kept.select("at", "id")
 
 
 def frequent_phrases(docs: DataFrame, least: int = MIN_COUNT, longest: int = MAX_WORDS) -> tuple[list[DataFrame], DataFrame]:
@@ -163,37 +165,31 @@ def frequent_phrases(docs: DataFrame, least: int = MIN_COUNT, longest: int = MAX
 
     The first are tables (lang, id, phrase, tail, f, begins, ends): tail is the last word, begins the counts of
     the first 1, 2, ... words, ends those of the last 1, 2, ...; longer phrases also have a, b, the ids of the phrases
-    without the last and the first word.  The second has (lang, n).
+    without the last and the first word.  Ids are of one length.  The second has (lang, n).
     """
     texts = docs.select(F.spark_partition_id().alias("task"), F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), text_of().alias("text"))
     shards = co_located(texts.mapInArrow(_shards, SHARDS), "shard", "words")
-    said = shards.select("shard", F.posexplode("words").alias("at", "w")).select("shard", (F.col("at") + 1).alias("at"), "w.lang", "w.word", "w.n")
+    said = shards.select("shard", F.posexplode("words").alias("at", "w"))
+    said = said.select(F.shiftleft("shard", 32).bitwiseOR(F.col("at").cast("bigint")).alias("at"), "w.lang", "w.word", "w.n")
     words = said.groupBy("lang").agg(F.sum("n").alias("n"))
-    frequent = scratch(_total(said, ["lang", "word"], F.col("n"), least).drop("n"), "frequent-1")
+    phrases, held = _frequent(said, ["lang", "word"], least, "frequent-1")
     empty = F.array().cast("array<bigint>")
-    phrases = frequent.groupBy("lang", "word").agg(F.first("f").alias("f"))
-    phrases = _with_ids(phrases.select("lang", F.col("word").alias("phrase"), F.col("word").alias("tail"), "f", empty.alias("begins"), empty.alias("ends")), 1)
-    named = frequent.join(phrases.select("lang", F.col("phrase").alias("word"), "id"), ["lang", "word"])
-    back = _back(named, "at", "id")
-    relation = co_located(shards.join(back, "shard").select("shard", "seq", "at", "id").mapInArrow(_keep_words, RELATION), "shard", "relation_1")
-    found = [phrases]
+    found = [phrases.select("lang", "id", F.col("word").alias("phrase"), F.col("word").alias("tail"), "f", empty.alias("begins"), empty.alias("ends"))]
+    relation = co_located(shards.join(_back(held), "shard").select("shard", "seq", "at", "id").mapInArrow(_keep_words, RELATION), "shard", "relation_1")
     for length in range(2, longest + 1):
-        pairs = relation.mapInArrow(_count_pairs, PAIRS)
-        frequent = scratch(_total(pairs, ["a", "b"], F.col("held").bitwiseAND(F.lit((1 << 32) - 1)), least), f"frequent-{length}")
-        phrases = _with_ids(_longer(frequent.groupBy("a", "b").agg(F.first("f").alias("f")), found[-1]), length)
-        found.append(phrases)
+        phrases, held = _frequent(relation.mapInArrow(_count_pairs, PAIRS), ["a", "b"], least, f"frequent-{length}")
+        found.append(scratch(_longer(phrases, found[-1]), f"phrases-{length}"))
         if length < longest:
-            named = frequent.withColumn("shard", F.shiftrightunsigned("held", 32)).join(phrases.select("a", "b", "id"), ["a", "b"])
-            back = _back(named, "a", "b", "id")
-            joined = relation.join(back, "shard").select("shard", "seq", "ids", "a", "b", "id")
+            joined = relation.join(_back(held), "shard").select("shard", "seq", "ids", "at", "id")
             relation = co_located(joined.mapInArrow(_keep_pairs, RELATION), "shard", f"relation_{length}")
     return found, words
 
 
-def _back(rows: DataFrame, *columns: str) -> DataFrame:
-    """One row per shard with these columns as arrays: no longer than the shard's own phrases."""
-    listed = rows.groupBy("shard").agg(F.collect_list(F.struct(*columns)).alias("rows"))
-    return listed.select("shard", *[F.col(f"rows.{c}").alias(c) for c in columns])
+def _back(held: DataFrame) -> DataFrame:
+    """One row per shard: places in its list and ids of its frequent phrases."""
+    place = F.col("at").bitwiseAND(F.lit((1 << 32) - 1))
+    listed = held.groupBy(F.shiftrightunsigned("at", 32).alias("shard")).agg(F.collect_list(F.struct(place.alias("at"), "id")).alias("rows"))
+    return listed.select("shard", F.col("rows.at").alias("at"), F.col("rows.id").alias("id"))
 
 
 def _longer(pairs: DataFrame, shorter: DataFrame) -> DataFrame:
@@ -201,25 +197,26 @@ def _longer(pairs: DataFrame, shorter: DataFrame) -> DataFrame:
     first = shorter.select(F.col("id").alias("a"), "lang", F.col("phrase").alias("head"), F.concat("begins", F.array("f")).alias("begins"))
     rest = shorter.select(F.col("id").alias("b"), "tail", F.concat("ends", F.array("f")).alias("ends"))
     both = pairs.join(first, "a").join(rest, "b")
-    return both.select("lang", F.concat_ws(" ", "head", "tail").alias("phrase"), "tail", "f", "begins", "ends", "a", "b")
+    return both.select("lang", "id", F.concat_ws(" ", "head", "tail").alias("phrase"), "tail", "f", "begins", "ends", "a", "b")
 
 
 def _inside(found: list[DataFrame]) -> DataFrame:
-    """id, most: the largest count of a longer phrase that contains this one (of two words or more)."""
+    """length, id, most: the largest count of a longer phrase that contains this one (of two words or more)."""
     parts, links = None, []
-    for phrases in found[2:]:
-        own = phrases.select("id", "f", F.explode(F.array("a", "b")).alias("part"))
+    for length, phrases in enumerate(found, start=1):
+        if length < 3:
+            continue
+        own = phrases.select("id", "f", F.lit(length - 1).alias("length"), F.explode(F.array("a", "b")).alias("part"))
         if parts is not None:  # parts of its parts
-            deeper = own.join(parts.select(F.col("id").alias("part"), F.col("part").alias("deep")), "part").select("id", "f", F.col("deep").alias("part"))
+            inner = parts.select(F.col("id").alias("part"), F.col("length").alias("deep_length"), F.col("part").alias("deep"))
+            deeper = own.join(inner, "part").select("id", "f", F.col("deep_length").alias("length"), F.col("deep").alias("part"))
             own = own.unionByName(deeper).distinct()
         parts = own
         links.append(own)
     if not links:
-        return found[0].select("id", F.lit(0).cast("bigint").alias("most")).limit(0)
-    rows = links[0]
-    for more in links[1:]:
-        rows = rows.unionByName(more)
-    return rows.groupBy(F.col("part").alias("id")).agg(F.max("f").alias("most"))
+        return found[0].select(F.lit(0).alias("length"), "id", F.lit(0).cast("bigint").alias("most")).limit(0)
+    rows = reduce(DataFrame.unionByName, links)
+    return rows.groupBy("length", F.col("part").alias("id")).agg(F.max("f").alias("most"))
 
 
 def _score(a: Column, parts: Column) -> Column:
@@ -243,9 +240,9 @@ def collocations(docs: DataFrame, least: int = MIN_COUNT, longest: int = MAX_WOR
     for length, phrases in enumerate(found[1:], start=2):
         l, r = (lambda k: F.get("begins", F.lit(k - 1))), (lambda k, m=length: F.get("ends", F.lit(m - k - 1)))
         cuts = [F.struct(_score(F.col("f"), l(k) + r(k)).alias("score"), F.lit(k).alias("k"), l(k).alias("l"), r(k).alias("r")) for k in range(1, length)]
-        rows = phrases.select("lang", "id", "phrase", "f", F.array_min(F.array(*cuts)).alias("cut"))
+        rows = phrases.select("lang", F.lit(length).alias("length"), "id", "phrase", "f", F.array_min(F.array(*cuts)).alias("cut"))
         kept = rows if kept is None else kept.unionByName(rows)
-    kept = kept.join(_inside(found), "id", "left").where(F.col("most").isNull() | (100 * F.col("most") < 80 * F.col("f")))
+    kept = kept.join(_inside(found), ["length", "id"], "left").where(F.col("most").isNull() | (100 * F.col("most") < 80 * F.col("f")))
     order = Window.partitionBy("lang").orderBy(F.col("cut.score").desc(), F.col("f").desc(), F.col("phrase").asc())
     best = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return best.join(words, "lang").select(
