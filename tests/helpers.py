@@ -73,3 +73,19 @@ def duck(sf_dir):
         if os.path.exists(p):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
     return con
+
+
+def assert_equal_to_full_recompute(lake):
+    """Every derived table equals its model over all raw rows, and the test state equals the whole suite."""
+    from tidewater.plans import gold, silver
+    from tidewater.plans.runs import suite_report
+
+    latest = silver.matches_latest(silver.flatten_matches(lake.raw_matches.read(), keep_pos=True)).cache()
+    want = {"matches_latest": latest, "teams": silver.teams(latest).drop("updated_at"),
+            "team_form_last5": gold.team_form(latest, 5), "league_table_snapshot": gold.league_table(latest)}
+    for name, df in want.items():
+        key = lambda r: tuple((x is None, str(x)) for x in r)
+        got = sorted(map(tuple, getattr(lake, name).read().select(df.columns).collect()), key=key)
+        assert got == sorted(map(tuple, df.collect()), key=key), name
+    latest.unpersist()
+    assert sorted(suite_report(lake).collect()) == sorted(suite_report(lake, full=True).collect())

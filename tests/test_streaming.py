@@ -8,6 +8,7 @@ from helpers import SF_SMALL
 from tidewater.plans.fixture_lake import fixture_lake
 from tidewater.plans.lake import Lake
 from tidewater.plans.registry import queries
+from tidewater.plans.runs import latest_now
 from tidewater.session import scratch_dir
 from tidewater.streaming.ingest import stream_bronze_ingest
 
@@ -20,7 +21,7 @@ def test_small_batches_equal_batch_model_and_rerun_is_noop(spark):
     # two files per micro-batch: many batches, each merged with order comparison
     stream_bronze_ingest(spark, fx.landing, lake, f"{root}/_ckpt", loaded_at=load_hour,
                          max_files_per_trigger=2, latest=True)
-    got = lake.matches_latest.read()
+    got = latest_now(lake)
     want = queries()["matches_latest"](spark, SF_SMALL)
     cols = sorted(want.columns)
     a = got.select([F.col(c).cast(want.schema[c].dataType) for c in cols])

@@ -72,6 +72,50 @@ def run_tests(models: Mapping[str, DataFrame], tests: Sequence[DataTest]) -> Dat
     return out.withColumn("state", F.when(F.col("failures") > 0, "fail").otherwise("pass"))
 
 
+# Mergeable state: what each part of a model (a landing day, a group, an id range) contributes to its tests.
+# Only parts with failures have rows.  Counts of parts add up; values outside a list are kept, since the same
+# one may turn up in several parts; keys are counted in parts that no key is in two of.
+
+def state_rows(df: DataFrame, model: str, part: F.Column, tests: Sequence[DataTest]) -> DataFrame | None:
+    """not_null and accepted_values state of ``df`` by part, in one aggregate; None if it has no such test."""
+    found = []
+    for t in tests:
+        c = F.col(t.column)
+        if t.kind == "not_null":
+            values = F.array(F.lit(None).cast("string"))
+            failures = F.count_if(c.isNull())
+        elif t.kind == "accepted_values":
+            values = F.collect_set(F.when(~c.isin(*t.values), c).cast("string"))  # distinct values outside the list
+            failures = F.lit(1)
+        else:
+            continue
+        found.append(F.struct(F.lit(t.column).alias("column_name"), F.lit(t.kind).alias("test"), values.alias("values"), failures.cast("bigint").alias("failures")))
+    if not found:
+        return None
+    by = df.groupBy(part.alias("part")).agg(F.array(*found).alias("t")).select("part", F.inline("t"))
+    rows = by.select(F.lit(model).alias("model"), "part", "column_name", "test", F.explode("values").alias("value"), "failures")
+    return rows.where("failures > 0")
+
+
+def unique_state(df: DataFrame, model: str, part: F.Column, column: str) -> DataFrame:
+    """unique state by part; every value of the column lies in one part."""
+    c = F.col(column)
+    dup = df.where(c.isNotNull()).groupBy(part.alias("part"), c).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    return dup.groupBy("part").agg(F.count(F.lit(1)).alias("failures")).select(
+        F.lit(model).alias("model"), "part", F.lit(column).alias("column_name"), F.lit("unique").alias("test"),
+        F.lit(None).cast("string").alias("value"), "failures")
+
+
+def report_of(state: DataFrame, tests: Sequence[DataTest]) -> DataFrame:
+    """``run_tests``' report from the state of all parts."""
+    keys = ["model", "column_name", "test"]
+    merged = state.groupBy(*keys).agg(F.sum("failures").alias("added"), F.count_distinct("value").alias("values"))
+    listed = state.sparkSession.createDataFrame([(t.model, t.column, t.kind) for t in tests], "model string, column_name string, test string")
+    failures = F.coalesce(F.when(F.col("test") == "accepted_values", F.col("values")).otherwise(F.col("added")), F.lit(0))
+    out = listed.join(merged, keys, "left").select(*keys, failures.cast("bigint").alias("failures"))
+    return out.withColumn("state", F.when(F.col("failures") > 0, "fail").otherwise("pass"))
+
+
 # --- fixed values: the project's data tests ---
 ACCEPTED_STATUSES = ("SCHEDULED", "TIMED", "IN_PLAY", "PAUSED", "FINISHED", "POSTPONED", "SUSPENDED", "CANCELLED")
 PROJECT_TESTS = (

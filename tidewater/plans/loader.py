@@ -13,13 +13,15 @@ pair pending instead of losing the manifest.
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+import uuid
+from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import exprs as X
-from tidewater.operators.upsert import insert_if_absent, replace_by_key
+from tidewater.operators.upsert import insert_if_absent
+from tidewater.operators.windows import DAYS_BACK
 from tidewater.plans.lake import Lake
 from tidewater.session import configure
 from tidewater.sources import landing as L
@@ -49,7 +51,9 @@ def load_state_pending(data: DataFrame, ledger: DataFrame, endpoint: str) -> Dat
 
 def manifest_pairing(data: DataFrame, manifests: DataFrame) -> DataFrame:
     """Each data object with its expected manifest key and, if landed, its path."""
-    m = manifests.select(F.col("file_key").alias("manifest_key"), F.col("path").alias("manifest_path"))
+    # listed uris, where the listing has them, go with the paths
+    uri = [F.col("uri").alias("manifest_uri")] if "uri" in manifests.columns else []
+    m = manifests.select(F.col("file_key").alias("manifest_key"), F.col("path").alias("manifest_path"), *uri)
     d = data.withColumn("manifest_key", X.manifest_key_for(F.col("file_key")))
     return d.join(m, "manifest_key", "left").withColumn("manifest_found", F.col("manifest_path").isNotNull())
 
@@ -114,8 +118,10 @@ def raw_competitions_rows(docs: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def upsert_by_key_partitions(table, batch: DataFrame, key: str = "file_key") -> None:
-    """replace_by_key restricted to the partitions the batch touches.
+def upsert_by_key_partitions(table, batch: DataFrame, key: str = "file_key", parsed: str | None = None) -> tuple[int, int]:
+    """replace_by_key restricted to the partitions the batch touches; (rows written, rows with NULL in ``parsed``).
+
+    The counts are observed on the batch's rows by the job that writes them.
 
     Every table it is used on is partitioned by something a key determines (the
     landing day inside the key), so replacing inside touched partitions equals
@@ -123,12 +129,21 @@ def upsert_by_key_partitions(table, batch: DataFrame, key: str = "file_key") ->
     """
     batch = batch.cache()  # used twice: touched partitions, then the write
     touched = table.touched(batch)
+    if not touched:
+        batch.unpersist()
+        return 0, 0
+    seen = Observation()
+    good = F.lit(True) if parsed is None else F.col(parsed).isNotNull()
+    rows = batch.observe(seen, F.count_if(good).alias("good"), F.count_if(~good).alias("bad"))
     if not table.any_partition_exists(touched):
-        table.append(batch)  # the usual daily case: a new landing day, nothing to replace
+        table.append(rows)  # the usual daily case: a new landing day, nothing to replace
     else:
         target = table.read_partitions(touched)  # only the batch's partitions are read and rewritten
-        table.replace_partitions(replace_by_key(target, batch, key))
+        kept = target.join(batch.select(key).distinct(), key, "left_anti")
+        table.replace_partitions(kept.unionByName(rows.select(*target.columns)))
+    counts = seen.get
     batch.unpersist()
+    return counts["good"], counts["bad"]
 
 
 def append_new(table, batch: DataFrame, key: str = "file_key") -> None:
@@ -144,29 +159,51 @@ def append_new(table, batch: DataFrame, key: str = "file_key") -> None:
     batch.unpersist()
 
 
-def log_load(lake: Lake, keys: DataFrame, loaded_at: Column) -> None:
-    """Note which landing days a load touched, after its rows are written and before its keys are marked.
+def log_load(lake: Lake, days: DataFrame, load_id: str, loaded_at: Column) -> None:
+    """Note which landing days (column dt) a load touched, after its rows are written and before its keys are marked.
 
     Downstream publishes from this log, so rows are found whichever job loaded
     them and however far it came afterwards.
     """
-    days = L.key_parse(keys).select(loaded_at.cast("timestamp").alias("loaded_at"), F.col("dt").cast("date").alias("dt"))
-    lake.loads.append(days.distinct().coalesce(1))
+    rows = days.select(F.lit(load_id).alias("load_id"), loaded_at.cast("timestamp").alias("loaded_at"), F.col("dt").cast("date").alias("dt"))
+    lake.loads.append(rows.distinct().coalesce(1))
+
+
+# --- fixed values: days that a request window of each endpoint begins before its landing day ---
+WINDOW_BACK = {"matches": DAYS_BACK}
+# --- end fixed values ---
+
+#: Landing days that are listed again before the last one seen, for objects that arrive late.
+LOOK_BACK_DAYS = 7
+
+
+def frontier(lake: Lake, endpoint: str, look_back: int | None) -> date | None:
+    """The first landing day to list; None: all of them (nothing seen yet, or no look-back)."""
+    if look_back is None:
+        return None
+    seen = lake.landing_frontier.read().where(F.col("endpoint") == endpoint).agg(F.max("dt")).collect()[0][0]
+    return None if seen is None else seen - timedelta(days=look_back)
 
 
 def load_matches(spark: SparkSession, landing: str, lake: Lake, endpoint: str = "matches",
                  loaded_at: str | None = None, on_empty: str = "zeros", strict: bool = True,
-                 until_dt: str | None = None) -> dict:
+                 until_dt: str | None = None, look_back: int | None = None) -> dict:
     """Load pending data files (and their manifests) of one endpoint into bronze.
 
     Returns the loader metrics record.  ``on_empty``: ``zeros`` (incremental)
     returns zero counters, ``error`` (backfill) raises when nothing is landed.
     ``until_dt`` leaves objects of later landing days for another run.
+    ``look_back``: list only the landing days from that many before the last one a load has seen; objects
+    that arrive later than that are found by a run without it, which lists everything.
+
+    What is counted as loaded was observed on the rows as they were written; documents
+    that ``strict=False`` sets aside are counted apart, as ``quarantined``.
     """
     configure(spark)
     prefix = prefix_of(endpoint)
     data_ep, manifest_ep = ENDPOINTS[endpoint]
-    objects = L.object_classify(L.list_objects(spark, landing, prefix))
+    since = frontier(lake, endpoint, look_back)
+    objects = L.object_classify(L.list_objects(spark, landing, prefix, since, WINDOW_BACK.get(endpoint)))
     if until_dt is not None:
         objects = objects.where(X.regex_group(F.col("file_key"), X.DT_RE) <= until_dt)
     objects = objects.cache()
@@ -175,9 +212,12 @@ def load_matches(spark: SparkSession, landing: str, lake: Lake, endpoint: str =
     # every data object flagged pending-or-not and paired with its manifest: the
     # counters and the pending set come from this one table (two joins, one pass)
     flagged = flag_pending(data, lake.load_state.read(), manifests, endpoint).cache()
-    metrics = loader_metrics(prefix, flagged).collect()[0].asDict()
+    found = loader_metrics(prefix, flagged).collect()[0].asDict()
+    last = objects.agg(F.max(X.regex_group(F.col("file_key"), X.DT_RE))).collect()[0][0]
+    metrics = found | {"data_files_loaded": 0, "manifests_loaded": 0}
     paired = flagged.where("pending")
-    if metrics["files_discovered"] == 0 and on_empty == "error":
+    # nothing new since the frontier is no empty landing
+    if metrics["files_discovered"] == 0 and on_empty == "error" and since is None:
         objects.unpersist()
         flagged.unpersist()
         raise RuntimeError(f"No {endpoint} files found with prefix: {prefix}")
@@ -185,34 +225,49 @@ def load_matches(spark: SparkSession, landing: str, lake: Lake, endpoint: str =
         # one load time for the whole batch, fixed on the driver (a recomputed task sees the same value)
         loaded_at = loaded_at or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
         ts = F.lit(loaded_at).cast("timestamp")
-        found = paired.where("manifest_found").select(F.col("manifest_key").alias("file_key"), F.col("manifest_path").alias("path"))
-        data_rows = raw_matches_rows(L.read_documents(spark, paired), ts, strict)
-        man_rows = raw_manifest_rows(L.read_documents(spark, found), endpoint, strict)
-        upsert_by_key_partitions(lake.raw_matches, data_rows)
-        upsert_by_key_partitions(lake.raw_manifests, man_rows)
+        matched = paired.where("manifest_found").select(
+            F.col("manifest_key").alias("file_key"), F.col("manifest_path").alias("path"), F.col("manifest_uri").alias("uri"))
+        data_rows = raw_matches_rows(L.read_documents(spark, paired, objects), ts, strict)
+        man_rows = raw_manifest_rows(L.read_documents(spark, matched, objects), endpoint, strict)
+        metrics["data_files_loaded"], bad_data = upsert_by_key_partitions(lake.raw_matches, data_rows, parsed="payload")
+        metrics["manifests_loaded"], bad_manifests = upsert_by_key_partitions(lake.raw_manifests, man_rows, parsed="manifest")
         if not strict:
-            # tolerant mode: unparsable documents are loaded with a NULL payload,
-            # set aside by key and counted
-            bad = (lake.raw_matches.read().where(F.col("payload").isNull() & (F.col("loaded_at") == ts))
-                   .select("file_key", F.lit("data").alias("kind"), "loaded_at")
-                   .unionByName(lake.raw_manifests.read().where(F.col("manifest").isNull())
-                                .join(paired.select(F.col("manifest_key").alias("file_key")), "file_key", "left_semi")
-                                .select("file_key", F.lit("manifest").alias("kind"), ts.cast("timestamp").alias("loaded_at"))))
-            bad = bad.cache()
-            metrics["quarantined"] = bad.count()
+            # tolerant mode: unparsable documents are loaded with a NULL payload, set aside by key and counted
+            metrics["quarantined"] = bad_data + bad_manifests
             if metrics["quarantined"]:
-                lake.quarantine.append(bad)
-            bad.unpersist()
-        log_load(lake, paired.select("file_key"), ts)
+                lake.quarantine.append(_set_aside(lake, paired, ts))
+        log_load(lake, L.key_parse(paired.select("file_key")), uuid.uuid4().hex, ts)
         marks = paired.select("file_key", F.lit(data_ep).alias("endpoint")).unionByName(
             paired.where("manifest_found").select(F.col("manifest_key").alias("file_key"),
                                                   F.lit(manifest_ep).alias("endpoint")))
         mark(lake, marks, [data_ep, manifest_ep])
+    if last is not None and until_dt is None and (since is None or last > (since + timedelta(days=look_back)).isoformat()):
+        seen = spark.createDataFrame([(endpoint, last)], "endpoint string, dt string")
+        lake.landing_frontier.append(seen.select("endpoint", F.col("dt").cast("date").alias("dt"), F.current_timestamp().alias("loaded_at")).coalesce(1))
     objects.unpersist()
     flagged.unpersist()
     return metrics
 
 
+def _set_aside(lake: Lake, paired: DataFrame, ts: Column) -> DataFrame:
+    """Quarantine rows of this load: its landing days' documents whose payload did not parse."""
+    data = lake.raw_matches.read_partitions(_days(paired)).where(F.col("payload").isNull() & (F.col("loaded_at") == ts))
+    manifests = lake.raw_manifests.read_partitions(lake.raw_manifests.touched(_manifest_shape(lake, paired))).where(F.col("manifest").isNull())
+    mine = manifests.join(paired.select(F.col("manifest_key").alias("file_key")), "file_key", "left_semi")
+    rows = [data.select("file_key", F.lit("data").alias("kind")), mine.select("file_key", F.lit("manifest").alias("kind"))]
+    return rows[0].unionByName(rows[1]).withColumn("loaded_at", ts)
+
+
+def _days(paired: DataFrame) -> list[tuple]:
+    return [tuple(r) for r in L.key_parse(paired.select("file_key")).select(F.col("dt").cast("date")).distinct().collect()]
+
+
+def _manifest_shape(lake: Lake, paired: DataFrame) -> DataFrame:
+    """The manifests' keys in the columns of their table."""
+    rest = [F.lit(None).cast(f.dataType).alias(f.name) for f in lake.raw_manifests.schema if f.name != "file_key"]
+    return paired.select(F.col("manifest_key").alias("file_key"), *rest)
+
+
 def mark(lake: Lake, marks: DataFrame, endpoints: list[str]) -> None:
     """Add keys to the ledger that it does not have (reads these endpoints' partitions of it)."""
     ledger = lake.load_state.read().where(F.col("endpoint").isin(*endpoints))
@@ -245,5 +300,5 @@ def load_latest_matches(spark: SparkSession, landing: str, lake: Lake, endpoint:
     upsert_by_key_partitions(lake.raw_matches, raw_matches_rows(L.read_documents(spark, pick), ts))
     man = objects.where((F.col("kind") == "manifest") & (F.col("file_key") == X.manifest_key_for(F.lit(key))))
     upsert_by_key_partitions(lake.raw_manifests, raw_manifest_rows(L.read_documents(spark, man), endpoint, fill=False))
-    log_load(lake, pick.select("file_key"), ts)
+    log_load(lake, L.key_parse(pick.select("file_key")), uuid.uuid4().hex, ts)
     return key

@@ -35,7 +35,7 @@ from tidewater.plans.loader import (
 from tidewater.plans.manifests import (
     competitions_flatten, element_count, landing_pairs, landing_write, manifest_build, manifest_reconcile,
 )
-from tidewater.plans.runs import matches_latest_order, merge_latest, refresh_models, run_metrics_row, upsert_keyed
+from tidewater.plans.runs import latest_now, merge_latest, refresh_models, run_metrics_row, store_latest, upsert_keyed
 from tidewater.session import configure, scratch_dir
 from tidewater.sources import landing as L
 from tidewater.sources.fixture import documents, landing_rows, snapshots, write_objects
@@ -250,8 +250,8 @@ def q_matches_latest_merge(spark, sf_dir):
     """K7: order-comparing merge of day 2 into the latest table of days 0-1."""
     target, source = _merge_scenario(spark, sf_dir)
     _, lake = _scratch_lake(spark, "merge")
-    lake.matches_latest.overwrite(target)
-    merge_latest(lake.matches_latest, source, "match_id", matches_latest_order())
+    store_latest(lake, target)
+    merge_latest(lake, source)
     return as_ntz(lake.matches_latest.read())
 
 
@@ -461,8 +461,8 @@ def q_stream_bronze_ingest(spark, sf_dir):
 
 
 def q_stream_matches_latest(spark, sf_dir):
-    """Per-batch latest + order-comparing merge equals the batch model."""
-    return as_ntz(_stream(spark, sf_dir, True).matches_latest.read())
+    """The latest deltas of the micro-batches, read with their base, equal the batch model."""
+    return as_ntz(latest_now(_stream(spark, sf_dir, True)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

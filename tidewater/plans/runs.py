@@ -1,125 +1,272 @@
 """Daily and backfill runs: load -> silver merges -> gold refresh -> tests -> metrics.
 
+Everything derived from bronze is versioned: a refresh writes the groups it
+touches beside the ones in use and switches all tables at its end (see
+``sources.versions``).  So a run stopped anywhere has changed nothing that
+readers, or its own retry, can see: the retry starts from the version before and
+takes up every load that is not published yet.
+
 ``matches_latest`` is partitioned by competition and season, which a batch is
-local in, so a merge rewrites only those.  ``merge_latest`` compares the
-snapshot order, so a late or replayed batch can never overwrite a newer row:
-the batch path and the stream path agree, and merging a load twice changes
-nothing.
+local in, so a merge rewrites only those.  ``match_places`` finds the groups that
+hold a batch's matches now.  The merge compares the snapshot order, so a late
+or replayed batch can never overwrite a newer row: the batch path and the stream
+path agree, and merging a load twice changes nothing.
+
+A merge that gold does not follow at once (a stream's compaction) notes the
+groups and teams it touched, before and after, in the journal
+(``touched_groups``, ``touched_teams``), in the same version.  The next refresh
+recomputes gold for the whole journal, besides what its own merge touched.
 """
 
 from __future__ import annotations
 
 import time
 import uuid
-from datetime import datetime, timezone
 from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.keyed import latest_by_key
-from tidewater.operators.quality import PROJECT_TESTS, run_tests, suite_state
+from tidewater.operators.quality import PROJECT_TESTS, report_of, run_tests, suite_state
 from tidewater.operators.upsert import merge_upsert
 from tidewater.plans import gold, silver
 from tidewater.plans.lake import Lake
-from tidewater.plans.loader import load_matches
+from tidewater.plans.loader import LOOK_BACK_DAYS, load_matches
+from tidewater.plans.suite import full_state, gold_parts, gold_state, latest_parts, latest_state, update_state
 from tidewater.session import configure
-from tidewater.sources.tables import Table, values_filter
+from tidewater.sources.tables import values_filter
+from tidewater.sources.versions import Draft, VersionedTable
+
 
+def upsert_keyed(table: VersionedTable, source: DataFrame, key: str) -> None:
+    """merge_upsert of ``source`` into a table without partitions (a dimension), written whole beside the old one."""
+    table.overwrite(merge_upsert(table.read(), source.select(*table.columns), key))
 
-def upsert_keyed(table: Table, source: DataFrame, key: str) -> None:
-    """merge_upsert of ``source`` into a table without partitions (a dimension), rewritten whole."""
-    table.overwrite(merge_upsert(table.read(), source.select(*table.columns), key), reads_self=True)
+
+def matches_latest_order() -> list[Column]:
+    """W1 order on matches_latest rows (no array position once merged)."""
+    return [F.col("loaded_at").desc_nulls_first(), F.col("last_updated").desc_nulls_first(),
+            F.col("file_key").desc_nulls_first()]
 
 
-def merge_latest(table: Table, batch_latest: DataFrame, key: str, order: Sequence[Column]) -> None:
-    """Merge with order comparison: per key keep the first of (target row, batch row)
-    in ``order``; on a full tie the batch row wins.  NULL keys never match.
+def merged_rows(target: DataFrame, batch: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
+    """Per key the first of (target row, batch row) in ``order``; on a full tie the batch row.
 
-    Reads and rewrites the partitions the batch's rows go to and those that
-    hold their keys now (a row may move to another partition).
+    NULL keys never match: rows without a key are all kept, and a load merged again brings equal ones.
     """
-    batch = batch_latest.select(*table.columns)
-    affected = sorted({*table.touched(batch), *table.places_of(batch, key)})
-    target = table.read_partitions(affected).withColumn("_from_batch", F.lit(0))
-    both = target.unionByName(batch.withColumn("_from_batch", F.lit(1)))
+    both = target.withColumn("_from_batch", F.lit(0)).unionByName(batch.withColumn("_from_batch", F.lit(1)))
     best = latest_by_key(both.where(F.col(key).isNotNull()), [key], [*order, F.col("_from_batch").desc()])
-    # rows without a key are all kept; a load merged again brings equal ones
     loose = both.where(F.col(key).isNull()).drop("_from_batch").distinct()
-    table.replace_partitions(best.drop("_from_batch").unionByName(loose), affected)
+    return best.drop("_from_batch").unionByName(loose)
 
 
-def matches_latest_order() -> list[Column]:
-    """W1 order on matches_latest rows (no array position once merged)."""
-    return [F.col("loaded_at").desc_nulls_first(), F.col("last_updated").desc_nulls_first(),
-            F.col("file_key").desc_nulls_first()]
+PLACE = ["competition_place", "season_place"]
+
 
+def _places(lake: Lake, latest: DataFrame) -> DataFrame:
+    """match_id and the group of each row."""
+    return lake.matches_latest.placed(latest).select(
+        "match_id", F.col("_competition").alias("competition_place"), F.col("_season").alias("season_place"))
 
-def pending_loads(lake: Lake) -> list[tuple]:
-    """(load time, landing day) pairs that are loaded but not published downstream yet."""
-    return [tuple(r) for r in lake.loads.read().subtract(lake.published_loads.read()).collect()]
+
+def _teams_of(latest: DataFrame) -> DataFrame:
+    return latest.select(F.explode(F.array("home_team_id", "away_team_id")).alias("team_id")).where(F.col("team_id").isNotNull()).distinct()
+
+
+def _team_places(latest: DataFrame) -> DataFrame:
+    both = F.explode(F.array("home_team_id", "away_team_id")).alias("team_id")
+    return latest.select("competition_code", "season_id", both).where(F.col("team_id").isNotNull()).distinct()
+
+
+@dataclass
+class Touched:
+    """What a merge has touched, before and after: groups, chunks of the place index, and teams."""
+
+    groups: list[tuple]
+    chunks: list[tuple]
+    teams: DataFrame
+
+
+def merge_into(draft: Draft, lake: Lake, batch_latest: DataFrame) -> Touched:
+    """Merge one row per match into matches_latest and its place indexes.
+
+    Reads and rewrites the groups the batch's rows go to and those that hold their matches now; of the
+    place index only the chunks of the batch's ids.
+    """
+    batch = batch_latest.select(*lake.matches_latest.columns).checkpoint(eager=True)
+    keys = batch.select("match_id").where(F.col("match_id").isNotNull()).distinct()
+    going = _places(lake, batch)
+    chunks = lake.match_places.touched(going)
+    index = draft.read_groups(lake.match_places, chunks).select(*lake.match_places.columns)
+    held = index.join(keys, "match_id", "left_semi").select(*PLACE)
+    # competitions and seasons of a batch: few
+    groups = sorted(tuple(r) for r in held.unionByName(going.select(*PLACE)).distinct().collect())
+    target = draft.read_groups(lake.matches_latest, groups).select(*lake.matches_latest.columns)
+    teams = _teams_of(target.join(keys, "match_id", "left_semi")).unionByName(_teams_of(batch)).distinct()
+    draft.replace(lake.matches_latest, merged_rows(target, batch, "match_id", matches_latest_order()), groups)
+    now = draft.read_groups(lake.matches_latest, groups)
+    places = _places(lake, now.join(keys, "match_id", "left_semi"))
+    draft.together(lambda: draft.replace(lake.team_places, _team_places(now), groups),
+                   lambda: draft.replace(lake.match_places, index.join(keys, "match_id", "left_anti").unionByName(places), chunks))
+    return Touched(groups, chunks, teams)
+
+
+def _note(draft: Draft, lake: Lake, touched: Touched) -> None:
+    """Add to the journal, and keep the test state of matches_latest with it."""
+    noted = lake.spark.createDataFrame(touched.groups, lake.touched_groups.schema)
+    draft.together(
+        lambda: draft.overwrite(lake.touched_teams, draft.read(lake.touched_teams).unionByName(touched.teams).distinct()),
+        lambda: draft.overwrite(lake.touched_groups, draft.read(lake.touched_groups).unionByName(noted).distinct().coalesce(1)),
+        lambda: update_state(draft, lake, latest_state(draft, lake, touched.groups, touched.chunks), latest_parts(touched.groups, touched.chunks)))
+
+
+def merge_latest(lake: Lake, batch_latest: DataFrame) -> None:
+    """``merge_into`` as a version of its own; gold follows at the next refresh, which finds the journal."""
+    draft = lake.versions.begin()
+    _note(draft, lake, merge_into(draft, lake, batch_latest))
+    draft.commit()
+
+
+def _done(draft: Draft, lake: Lake, loads: DataFrame, published: bool) -> None:
+    """Note that matches_latest, or gold as well, shows these loads."""
+    rows = draft.read(lake.done_loads).unionByName(loads.withColumn("published", F.lit(published)).select(*lake.done_loads.columns))
+    keys = [c for c in lake.done_loads.columns if c != "published"]
+    draft.overwrite(lake.done_loads, rows.groupBy(*keys).agg(F.max("published").alias("published")).coalesce(1))
+
+
+def _without(loads: DataFrame, done: DataFrame) -> DataFrame:
+    return loads.join(done.select("load_id").distinct(), "load_id", "left_anti")
+
+
+def unmerged_deltas(lake: Lake) -> DataFrame:
+    """Latest rows of streamed batches that no version has merged."""
+    deltas = lake.latest_deltas.read()
+    return _without(deltas, lake.done_loads.read()).drop("load_id")
+
+
+def latest_now(lake: Lake) -> DataFrame:
+    """matches_latest with the streamed batches that wait for their merge (W1 order; the merge gives the same)."""
+    base, deltas = lake.matches_latest.read(), unmerged_deltas(lake)
+    both = base.unionByName(deltas)
+    best = latest_by_key(both.where(F.col("match_id").isNotNull()), ["match_id"], matches_latest_order())
+    return best.unionByName(both.where(F.col("match_id").isNull()).distinct())
+
+
+def compact_latest(lake: Lake) -> bool:
+    """Merge the streamed batches that wait into matches_latest; whether there were any."""
+    draft = lake.versions.begin()
+    waiting = _without(lake.latest_deltas.read().select("load_id").distinct(), draft.read(lake.done_loads))
+    loads = lake.loads.read().distinct().join(waiting, "load_id", "left_semi").checkpoint(eager=True)
+    if loads.isEmpty():
+        return False
+    rows = lake.latest_deltas.read().join(loads.select("load_id").distinct(), "load_id", "left_semi").drop("load_id")
+    newest = latest_by_key(rows.where(F.col("match_id").isNotNull()), ["match_id"], matches_latest_order())
+    _note(draft, lake, merge_into(draft, lake, newest.unionByName(rows.where(F.col("match_id").isNull()).distinct())))
+    _done(draft, lake, loads, published=False)
+    draft.commit()
+    # merged batches are no longer read; a stop before this line leaves them to the next compaction
+    for (load,) in loads.select("load_id").distinct().collect():
+        lake.latest_deltas.drop_partition((load,))
+    return True
+
+
+def pending_loads(lake: Lake) -> DataFrame:
+    """Loads that gold does not show yet."""
+    return _without(lake.loads.read().distinct(), lake.done_loads.read().where("published"))
 
 
 def refresh_models(spark: SparkSession, lake: Lake, loaded_at: str | None = None) -> dict[str, DataFrame]:
-    """Silver merges and gold refresh of every load that is not published yet.
-
-    A load counts as published once its rows are in the last gold table, so a
-    run that was stopped anywhere is caught up by the next one, and so are rows
-    that another job loaded.  Raw rows are pruned by the landing days of those
-    loads.  Only what they can change is recomputed: teams seen in them, and the
-    competitions and seasons of their matches (before and after the merge).  If
-    any derived table is missing, all are built from all raw rows.
-    ``loaded_at`` publishes that one load, whether or not it is logged.
+    """Silver merges and gold refresh of every load that is not published yet, as one version.
+
+    Raw rows are pruned by the landing days of the loads that are not merged.  Only what they, and merges before them
+    that gold has not followed, can change is recomputed: the groups and teams of the journal.  If any derived table is
+    missing, all are built from all raw rows.  ``loaded_at`` merges the rows of that load time alone, whether or
+    not it is logged, and publishes the loads of that time alone.
     """
-    loads = pending_loads(lake)
+    draft = lake.versions.begin()
+    pending = pending_loads(lake).checkpoint(eager=True)
     raw = lake.raw_matches.read()
-    # incremental only when every derived table is complete; after an interrupted
-    # first run the missing ones are rebuilt in full
-    incremental = all(t.exists() for t in (lake.matches_latest, lake.teams,
-                                           lake.team_form_last5, lake.league_table_snapshot))
-    if not incremental:
-        latest = silver.matches_latest(silver.flatten_matches(raw, keep_pos=True))
-        lake.matches_latest.overwrite(latest)
-        latest = lake.matches_latest.read()
-        lake.teams.overwrite(silver.teams(latest))
-        lake.team_form_last5.overwrite(gold.team_form(latest, 5))
-        lake.league_table_snapshot.overwrite(gold.league_table(latest))
-        _publish(spark, lake, loads)
-        return models(lake)
-    if loaded_at is not None:
-        raw = raw.where(F.col("loaded_at") == F.lit(loaded_at).cast("timestamp"))
-    elif loads:
-        raw = raw.where(values_filter(["dt"], [(d,) for d in {d for _, d in loads}])
-                        & F.col("loaded_at").isin(*{t for t, _ in loads}))
+    if not all(t.name in draft.state.tables for t in lake.derived_tables()):
+        _build_all(draft, lake, raw)
     else:
-        return models(lake)
-    batch = silver.matches_latest(silver.flatten_matches(raw, keep_pos=True)).checkpoint(eager=True)
-    # the rows the batch may replace, looked up before the merge rewrites them
-    places = lake.matches_latest.places_of(batch, "match_id")
-    before = lake.matches_latest.read_partitions(places).join(batch.select("match_id"), "match_id", "left_semi")
-    sides = [d.select(F.explode(F.array("home_team_id", "away_team_id")).alias("team_id")) for d in (before, batch)]
-    touched = sides[0].unionByName(sides[1]).where(F.col("team_id").isNotNull()).distinct().checkpoint(eager=True)
-    groups = sorted({*places, *lake.matches_latest.touched(batch)})
-    merge_latest(lake.matches_latest, batch, "match_id", matches_latest_order())
-    latest = lake.matches_latest.read()
-    # teams: only the teams that appear in the batch (before or after) are re-derived
-    seen = silver.team_sides(latest).join(touched, "team_id", "left_semi")
-    upsert_keyed(lake.teams, silver.teams_from_sides(seen), "team_id")
-    if groups:
-        competitions = sorted({g[:1] for g in groups})
-        lake.league_table_snapshot.replace_partitions(gold.league_table(lake.matches_latest.read_partitions(groups)), groups)
-        # a team's form runs over all seasons of its competition
-        names = [c for (c,) in competitions]
-        form_in = lake.matches_latest.read_where("_competition", names)
-        lake.team_form_last5.replace_partitions(gold.team_form(form_in, 5), competitions)
-    _publish(spark, lake, loads)
+        if loaded_at is not None:
+            at = F.lit(loaded_at).cast("timestamp")
+            pending = pending.where(F.col("loaded_at") == at)
+            fresh = raw.where(F.col("loaded_at") == at)
+        else:
+            fresh = _raw_of(raw, _without(pending, draft.read(lake.done_loads)).select("loaded_at", "dt").distinct())
+        noted = sorted(tuple(r) for r in draft.read(lake.touched_groups).select(*PLACE).collect())
+        if loaded_at is None and not noted and pending.isEmpty():
+            return models(lake)
+        batch = silver.matches_latest(silver.flatten_matches(fresh, keep_pos=True)).checkpoint(eager=True)
+        # with the days of loads that a compaction has merged
+        days = [tuple(r) for r in fresh.select("dt").unionByName(pending.select("dt")).distinct().collect()]
+        touched = Touched([], [], draft.read(lake.touched_teams)) if batch.isEmpty() else merge_into(draft, lake, batch)
+        _refresh_gold(draft, lake, raw, days, touched, noted)
+    _done(draft, lake, pending, published=True)
+    draft.commit()
     return models(lake)
 
 
-def _publish(spark: SparkSession, lake: Lake, loads: list[tuple]) -> None:
-    if loads:
-        rows = spark.createDataFrame(loads, lake.published_loads.schema)
-        lake.published_loads.append(rows.coalesce(1))
+def _raw_of(raw: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Raw rows of these loads: landing days prune the scan, load times decide."""
+    days = [tuple(r) for r in wanted.select("dt").distinct().collect()]
+    there = raw.where(values_filter(["dt"], days)) if days else raw.limit(0)
+    on = there["loaded_at"].eqNullSafe(wanted["loaded_at"]) & there["dt"].eqNullSafe(wanted["dt"])
+    return there.join(wanted, on, "left_semi")
+
+
+def _store_latest(draft: Draft, lake: Lake, latest: DataFrame) -> DataFrame:
+    """matches_latest and its place indexes, whole."""
+    draft.overwrite(lake.matches_latest, latest)
+    stored = draft.read(lake.matches_latest)
+    draft.overwrite(lake.match_places, _places(lake, stored.where(F.col("match_id").isNotNull())))
+    draft.overwrite(lake.team_places, _team_places(stored))
+    return stored
+
+
+def store_latest(lake: Lake, latest: DataFrame) -> None:
+    """``latest`` as the whole of matches_latest, in a version of its own."""
+    draft = lake.versions.begin()
+    _store_latest(draft, lake, latest)
+    draft.commit()
+
+
+def _build_all(draft: Draft, lake: Lake, raw: DataFrame) -> None:
+    latest = _store_latest(draft, lake, silver.matches_latest(silver.flatten_matches(raw, keep_pos=True)))
+    draft.together(
+        lambda: draft.overwrite(lake.teams, silver.teams(latest)),
+        lambda: draft.overwrite(lake.team_form_last5, gold.team_form(latest, 5)),
+        lambda: draft.overwrite(lake.league_table_snapshot, gold.league_table(latest)))
+    for table in (lake.touched_groups, lake.touched_teams, lake.done_loads):
+        draft.clear(table)
+    draft.overwrite(lake.test_state, full_state(draft, lake, raw).coalesce(1))
+
+
+def _refresh_gold(draft: Draft, lake: Lake, raw: DataFrame, days: list[tuple], touched: Touched, noted: list[tuple]) -> None:
+    """Teams and marts of what a merge has touched and of everything in the journal, and the test state of what changed."""
+    groups = sorted({*touched.groups, *noted})
+    competitions = sorted({g[:1] for g in groups})
+    teams = touched.teams.unionByName(draft.read(lake.touched_teams)).distinct()
+    # a team is derived anew from the groups it plays in
+    plays = draft.read(lake.team_places).join(teams, "team_id", "left_semi")
+    grounds = [tuple(r) for r in plays.select("_competition", "_season").distinct().collect()]
+    seen = silver.team_sides(draft.read_groups(lake.matches_latest, grounds)).join(teams, "team_id", "left_semi")
+    derived = silver.teams_from_sides(seen).select(*lake.teams.columns)
+    # a team's form runs over all seasons of its competition
+    of = {lake.team_form_last5.group(c) for c in competitions}
+    seasons = {g for g in draft.state.groups(lake.matches_latest.name) if g.split("/")[0] in of}
+    draft.together(
+        lambda: draft.overwrite(lake.teams, merge_upsert(draft.read(lake.teams).select(*lake.teams.columns), derived, "team_id")),
+        lambda: draft.replace(lake.league_table_snapshot, gold.league_table(draft.read_groups(lake.matches_latest, groups)), groups),
+        lambda: draft.replace(lake.team_form_last5, gold.team_form(draft.read_named(lake.matches_latest, seasons), 5), competitions))
+    changed = latest_state(draft, lake, touched.groups, touched.chunks).unionByName(gold_state(draft, lake, raw, days, groups, competitions))
+    update_state(draft, lake, changed, latest_parts(touched.groups, touched.chunks) + gold_parts(days, groups, competitions))
+    for table in (lake.touched_groups, lake.touched_teams):
+        draft.clear(table)
 
 
 def models(lake: Lake, view_columns: list[str] | None = None) -> dict[str, DataFrame]:
@@ -155,6 +302,13 @@ def run_metrics_row(spark: SparkSession, dag_id: str, run_id: str, execution_dat
     )
 
 
+def suite_report(lake: Lake, full: bool = False) -> DataFrame:
+    """The data tests' report: from the state kept by part, or (``full``) by scanning every model."""
+    if not full and lake.test_state.exists():
+        return report_of(lake.test_state.read(), PROJECT_TESTS)
+    return run_tests(models(lake, [t.column for t in PROJECT_TESTS if t.model == "v_matches"]), PROJECT_TESTS)
+
+
 UPSTREAM_FAILED = "upstream_failed"
 
 
@@ -164,12 +318,15 @@ class SuiteFailed(RuntimeError):
 
 def run_daily(spark: SparkSession, landing: str, lake: Lake, endpoint: str = "matches",
               loaded_at: str | None = None, dag_id: str = "daily_pipeline", run_id: str | None = None,
-              execution_date: str | None = None, on_empty: str = "zeros", strict: bool = True) -> dict:
+              execution_date: str | None = None, on_empty: str = "zeros", strict: bool = True,
+              look_back: int | None = LOOK_BACK_DAYS, full_tests: bool = False) -> dict:
     """scan -> pending -> bronze upsert -> silver merges -> gold -> tests -> metrics row.
 
     The metrics row is appended in ``finally``, like an always-run task; the
     test state is ``upstream_failed`` where the tests were never reached.
     ``strict=False`` sets malformed documents aside instead of stopping the run.
+    ``look_back``: landing days listed before the last one seen (None: all).
+    The tests are read off the state kept by part, unless ``full_tests`` scans every model.
     """
     configure(spark)
     run_id = run_id or uuid.uuid4().hex
@@ -178,28 +335,28 @@ def run_daily(spark: SparkSession, landing: str, lake: Lake, endpoint: str = "ma
     loader = run_sec = test_sec = None
     test_state = UPSTREAM_FAILED
     try:
-        loader = load_matches(spark, landing, lake, endpoint, loaded_at=loaded_at, on_empty=on_empty, strict=strict)
+        loader = load_matches(spark, landing, lake, endpoint, loaded_at=loaded_at, on_empty=on_empty, strict=strict,
+                              look_back=look_back)
         t = time.time()
         refresh_models(spark, lake)
         run_sec = time.time() - t
         t = time.time()
         test_state = "failed"  # unless the suite says otherwise
-        view_cols = [t.column for t in PROJECT_TESTS if t.model == "v_matches"]
-        report = run_tests(models(lake, view_cols), PROJECT_TESTS)
-        test_state = suite_state(report)
+        test_state = suite_state(suite_report(lake, full_tests))
         test_sec = time.time() - t
     finally:
         lake.pipeline_run_metrics.append(
             run_metrics_row(spark, dag_id, run_id, execution_date, loader, run_sec, test_sec, test_state))
+    lake.versions.expire(lake.derived_tables())
     return {"loader": loader, "run_sec": run_sec, "test_sec": test_sec, "test_state": test_state, "run_id": run_id}
 
 
 def run_backfill(spark: SparkSession, landing: str, lake: Lake, loaded_at: str | None = None,
-                 run_id: str | None = None, strict: bool = True) -> dict:
+                 run_id: str | None = None, strict: bool = True, look_back: int | None = LOOK_BACK_DAYS) -> dict:
     """Backfill endpoint: the same job and metrics row; raises when nothing is landed, and
     when the data tests fail, since they are the run's last task."""
     out = run_daily(spark, landing, lake, "matches_backfill", loaded_at=loaded_at, dag_id="backfill_manual",
-                    run_id=run_id, on_empty="error", strict=strict)
+                    run_id=run_id, on_empty="error", strict=strict, look_back=look_back)
     if out["test_state"] == "failed":
         raise SuiteFailed(f"data tests failed in run {out['run_id']}")
     return out

@@ -7,6 +7,10 @@ writer.  No table data moves through this module.
 
 from __future__ import annotations
 
+import re
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -58,6 +62,51 @@ def write_text(spark: SparkSession, uri: str, text: str) -> None:
     out.close()
 
 
+def put_if_absent(spark: SparkSession, uri: str, text: str) -> bool:
+    """Put one small object in place whole, by a rename; False if there is one already."""
+    fs, path = _open(spark, uri)
+    if fs.exists(path):
+        return False
+    parent = path.getParent()
+    fs.mkdirs(parent)
+    aside = f"{parent.toString()}/.{path.getName()}-{uuid.uuid4().hex}"
+    write_text(spark, aside, text)
+    try:
+        done = fs.rename(spark._jvm.org.apache.hadoop.fs.Path(aside), path)
+    except Py4JJavaError:  # some file systems raise where others return false
+        done = False
+    if not done:
+        delete(spark, aside)
+        if not fs.exists(path):
+            raise OSError(f"cannot rename to {uri}")
+    return bool(done)
+
+
+def names(spark: SparkSession, uri: str) -> list[str]:
+    """Names in a folder, without those a reader ignores (none if it is absent)."""
+    fs, path = _open(spark, uri)
+    if not fs.exists(path):
+        return []
+    return sorted(n for n in (s.getPath().getName() for s in fs.listStatus(path)) if not _hidden(n))
+
+
+def folders(spark: SparkSession, uri: str) -> list[str]:
+    """Names of the folders in a folder."""
+    fs, path = _open(spark, uri)
+    return sorted(s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory() and not _hidden(s.getPath().getName()))
+
+
+def literal(path: str) -> str:
+    """The path for a reader that takes patterns."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
+def size(spark: SparkSession, uri: str) -> int:
+    """Bytes of the files below a folder or of a file (0 if it is absent)."""
+    fs, path = _open(spark, uri)
+    return fs.getContentSummary(path).getLength() if fs.exists(path) else 0
+
+
 def read_text(spark: SparkSession, uri: str) -> str:
     fs, path = _open(spark, uri)
     stream = fs.open(path)

@@ -67,7 +67,8 @@ class Table:
         df = df.select(*self.columns)
         return df.withColumns({c: f() for c, f in self.derived.items()}) if self.derived else df
 
-    def _writer(self, df: DataFrame):
+    def writer(self, df: DataFrame):
+        """A writer of ``df`` in the table's columns and partitions."""
         df = self.placed(df)
         if self.compact:
             # as many tasks as the data needs: a large partition is split, small ones share a task
@@ -78,7 +79,7 @@ class Table:
     def overwrite(self, df: DataFrame, reads_self: bool = False) -> "Table":
         """Replace the whole table; ``reads_self``: ``df`` reads it, so its rows are set down first."""
         if not reads_self:
-            self._writer(df).mode("overwrite").option("partitionOverwriteMode", "static").save(self.path)
+            self.writer(df).mode("overwrite").option("partitionOverwriteMode", "static").save(self.path)
             return self
         aside = f"{self.path}__aside/{uuid.uuid4().hex}"
         df.select(*self.columns).write.parquet(aside)
@@ -87,7 +88,7 @@ class Table:
         return self
 
     def append(self, df: DataFrame) -> "Table":
-        self._writer(df).mode("append").save(self.path)
+        self.writer(df).mode("append").save(self.path)
         return self
 
     def touched(self, df: DataFrame) -> list[tuple]:
@@ -122,14 +123,18 @@ class Table:
         if not self.partition_by:
             return self.overwrite(df, reads_self=True)
         before = {v: fs.data_files(self.spark, self._folder(v)) for v in expected or []}
-        self._writer(df).mode("overwrite").option("partitionOverwriteMode", "dynamic").save(self.path)
+        self.writer(df).mode("overwrite").option("partitionOverwriteMode", "dynamic").save(self.path)
         for values, files in before.items():
             if files and set(files) == set(fs.data_files(self.spark, self._folder(values))):
                 fs.delete(self.spark, self._folder(values))
         return self
 
+    def drop_partition(self, values: tuple) -> None:
+        """Remove one partition's folder."""
+        fs.delete(self.spark, self._folder(values))
+
     def _folder(self, values: tuple) -> str:
-        return "/".join([self.path, *(f"{c}={_escape(x)}" for c, x in zip(self.partition_by, values))])
+        return "/".join([self.path, *(f"{c}={escape(x)}" for c, x in zip(self.partition_by, values))])
 
 
 def values_filter(cols: list[str], values: list[tuple]) -> Column:
@@ -151,7 +156,7 @@ def values_filter(cols: list[str], values: list[tuple]) -> Column:
 _ESCAPED = set('"#%\'*/:=?\\\x7f{[]^')
 
 
-def _escape(value) -> str:
+def escape(value) -> str:
     if value is None:
         return "__HIVE_DEFAULT_PARTITION__"
     text = str(value)
