@@ -80,8 +80,31 @@ def test_backfill_chunks(spark):
     plan = planned_chunks(keys, "2024-01-01", "2024-01-10", 4)
     loaded = spark.createDataFrame([("PL", "2024-01-05", "2024-01-08")], "competition string, date_from string, date_to string") \
         .select("competition", F.col("date_from").cast("date"), F.col("date_to").cast("date"))
-    gaps = sorted(str(r.date_from) for r in coverage_gaps(plan, loaded, ["competition"]).collect())
-    assert gaps == ["2024-01-01", "2024-01-09"]
+    found = coverage_gaps(plan, loaded, ["competition"], "2024-01-01", "2024-01-10").collect()
+    assert sorted(str(r.date_from) for r in found) == ["2024-01-01", "2024-01-09"]
+    assert sorted((str(r.missing_from), str(r.missing_to)) for r in found) == [("2024-01-01", "2024-01-04"), ("2024-01-09", "2024-01-10")]
+
+
+def test_coverage_of_windows_of_any_length(spark):
+    """Overlapping, nested, adjacent, repeated and empty windows, against days held one by one."""
+    import random
+    from datetime import date, timedelta
+
+    from tidewater.operators.windows import coverage_islands, uncovered
+
+    rng, first = random.Random(5), date(2024, 1, 1)
+    day = lambda k: first + timedelta(days=k)
+    rows = [(rng.choice(["PL", "SA", "CL"]), day(a), day(a + rng.randint(-1, 6))) for a in (rng.randint(-9, 70) for _ in range(60))]
+    loaded = spark.createDataFrame(rows + rows[:5], "competition string, date_from date, date_to date")
+    keys = spark.createDataFrame([("PL",), ("SA",), ("XX",)], "competition string")
+    held = {(c, lo + timedelta(days=k)) for c, lo, hi in rows for k in range((hi - lo).days + 1)}
+    gaps = uncovered(keys, loaded, ["competition"], day(0), day(59)).collect()
+    missing = [(r.competition, r.date_from + timedelta(days=k)) for r in gaps for k in range((r.date_to - r.date_from).days + 1)]
+    assert sorted(missing) == sorted((c, day(k)) for c in ("PL", "SA", "XX") for k in range(60) if (c, day(k)) not in held)
+    assert [(r.date_from, r.date_to) for r in gaps if r.competition == "XX"] == [(day(0), day(59))]
+    for c, lo, hi in [tuple(r) for r in coverage_islands(loaded, ["competition"]).collect()]:
+        assert all((c, lo + timedelta(days=k)) in held for k in range((hi - lo).days + 1))  # whole
+        assert (c, lo - timedelta(days=1)) not in held and (c, hi + timedelta(days=1)) not in held  # and maximal
 
 
 def test_rolling_window(spark):

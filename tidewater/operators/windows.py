@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,7 +78,37 @@ def planned_chunks(keys: DataFrame, start: str | date, end: str | date, n: int =
     return planned.withColumn("date_to", F.least(F.date_add("date_from", n - 1), _d(end)))
 
 
-def coverage_gaps(planned: DataFrame, loaded: DataFrame, keys: list[str]) -> DataFrame:
-    """Planned chunks with no loaded window of the same key and bounds."""
-    on = [*keys, "date_from", "date_to"]
-    return planned.join(loaded.select(*on).dropDuplicates(on), on, "left_anti")
+def coverage_islands(loaded: DataFrame, keys: list[str]) -> DataFrame:
+    """Maximal islands of the loaded windows (date_from, date_to inclusive): overlapping and adjacent ones are one.
+
+    A sweep by key in the order of beginnings: a window that begins after all before it have ended, and not on
+    the next day, begins an island.  Windows of one beginning are one row before the shuffle's sort.
+    """
+    rows = loaded.where("date_from <= date_to").groupBy(*keys, "date_from").agg(F.max("date_to").alias("date_to"))
+    sweep = Window.partitionBy(*keys).orderBy("date_from")
+    reach = F.max("date_to").over(sweep.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(reach.isNull() | (F.col("date_from") > F.date_add(reach, 1)), 1).otherwise(0)
+    numbered = rows.withColumn("_begins", begins).withColumn("_island", F.sum("_begins").over(sweep))
+    return numbered.groupBy(*keys, "_island").agg(F.min("date_from").alias("date_from"), F.max("date_to").alias("date_to")).drop("_island")
+
+
+def uncovered(wanted: DataFrame, loaded: DataFrame, keys: list[str], start: str | date, end: str | date) -> DataFrame:
+    """Maximal gaps, within [start, end], of the loaded windows of each key of ``wanted``."""
+    lo, hi = _d(start), _d(end)
+    inside = loaded.where((F.col("date_to") >= lo) & (F.col("date_from") <= hi)).select(
+        *keys, F.greatest("date_from", lo).alias("date_from"), F.least("date_to", hi).alias("date_to"))
+    # a window just before and one just after bound every key's range
+    edges = F.array(*[F.struct(d.alias("date_from"), d.alias("date_to")) for d in (F.date_sub(lo, 1), F.date_add(hi, 1))])
+    bounds = wanted.select(*keys).distinct().select(*keys, F.inline(edges))
+    islands = coverage_islands(bounds.unionByName(inside.join(wanted.select(*keys).distinct(), keys, "left_semi")), keys)
+    following = F.lead("date_from").over(Window.partitionBy(*keys).orderBy("date_from"))
+    gaps = islands.select(*keys, F.date_add("date_to", 1).alias("date_from"), F.date_sub(following, 1).alias("date_to"))
+    return gaps.where("date_from <= date_to")
+
+
+def coverage_gaps(planned: DataFrame, loaded: DataFrame, keys: list[str], start: str | date, end: str | date) -> DataFrame:
+    """The parts of planned chunks that no loaded window covers, however the loaded windows were cut:
+    the chunk, and missing_from, missing_to (a chunk may miss several parts)."""
+    gaps = uncovered(planned, loaded, keys, start, end).withColumnsRenamed({"date_from": "gap_from", "date_to": "gap_to"})
+    both = planned.join(gaps, keys).where("gap_from <= date_to AND gap_to >= date_from")
+    return both.select(*planned.columns, F.greatest("date_from", "gap_from").alias("missing_from"), F.least("date_to", "gap_to").alias("missing_to"))

@@ -146,17 +146,21 @@ def upsert_by_key_partitions(table, batch: DataFrame, key: str = "file_key", par
     return counts["good"], counts["bad"]
 
 
-def append_new(table, batch: DataFrame, key: str = "file_key") -> None:
-    """Append the batch's rows whose key is not in the table yet.
+def append_new(table, batch: DataFrame, key: str = "file_key") -> bool:
+    """Append the batch's rows whose key is not in the table yet; whether it had rows in their partitions.
 
     Reads the key column of the touched partitions and rewrites nothing.  Right
     where a key's content never changes, as in a file stream: it makes a retried
     micro-batch add nothing.
     """
     batch = batch.cache()  # used twice: touched partitions, then the write
-    known = table.read_partitions(table.touched(batch)).select(key)
-    table.append(batch.join(known, key, "left_anti"))
+    touched = table.touched(batch)
+    met = table.any_partition_exists(touched)
+    if touched:
+        known = table.read_partitions(touched).select(key) if met else None
+        table.append(batch.join(known, key, "left_anti") if met else batch)
     batch.unpersist()
+    return met
 
 
 def log_load(lake: Lake, days: DataFrame, load_id: str, loaded_at: Column) -> None:

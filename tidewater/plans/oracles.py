@@ -416,19 +416,26 @@ FROM (
 ) e
 """
 
+# day by day: a day is covered if any loaded window holds it
 BACKFILL_COVERAGE_GAPS = """
-WITH users AS (SELECT DISTINCT user_id FROM events),
-planned AS (
-  SELECT user_id, CAST(d AS DATE) AS date_from, least(CAST(d AS DATE) + 1, DATE '2024-01-30') AS date_to
-  FROM users CROSS JOIN generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 2 DAY) AS g(d)
+WITH days AS (
+  SELECT user_id, CAST(d AS DATE) AS day FROM (SELECT DISTINCT user_id FROM events)
+  CROSS JOIN generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY) AS g(d)
 ),
 loaded AS (
-  SELECT DISTINCT user_id,
-         CAST(DATE '2024-01-01' + CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 2) AS INTEGER) * 2 AS DATE) AS date_from
-  FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'
+  SELECT DISTINCT user_id, n, CAST(DATE '2024-01-01' + CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / n) AS INTEGER) * n AS DATE) AS date_from
+  FROM (SELECT *, CASE WHEN event_id % 2 = 1 THEN 3 ELSE 2 END AS n FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-30')
+),
+missing AS (
+  SELECT user_id, day, CAST(DATE '2024-01-01' + CAST(floor(date_diff('day', DATE '2024-01-01', day) / 2) AS INTEGER) * 2 AS DATE) AS date_from
+  FROM days AS d
+  WHERE NOT EXISTS (SELECT 1 FROM loaded l WHERE l.user_id = d.user_id AND d.day BETWEEN l.date_from AND l.date_from + CAST(n - 1 AS INTEGER))
+),
+runs AS (
+  SELECT user_id, date_from, day, date_diff('day', DATE '2024-01-01', day) - row_number() OVER (PARTITION BY user_id, date_from ORDER BY day) AS r FROM missing
 )
-SELECT p.user_id, p.date_from, p.date_to FROM planned p
-WHERE NOT EXISTS (SELECT 1 FROM loaded l WHERE l.user_id = p.user_id AND l.date_from = p.date_from)
+SELECT user_id, date_from, CAST(least(date_from + 1, DATE '2024-01-30') AS DATE) AS date_to, min(day) AS missing_from, max(day) AS missing_to
+FROM runs GROUP BY user_id, date_from, r
 """
 
 LATEST_EVENT_PER_USER = """

@@ -298,14 +298,15 @@ _BACKFILLED: dict[str, Lake] = {}
 
 def _backfilled(spark, sf_dir) -> Lake:
     """A lake after one backfill run: every chunk landed under the backfill endpoint, then loaded and refreshed."""
-    if sf_dir not in _BACKFILLED:
+    built = _fx(spark, sf_dir).root  # this session's shared root and the content of the tables
+    if built not in _BACKFILLED:
         root, lake = _scratch_lake(spark, "backfill")
         chunks = documents(snapshots(spark.read.parquet(f"{sf_dir}/orders.parquet")), BACKFILL)
         write_objects(chunks, f"{root}/landing")
         load_matches(spark, f"{root}/landing", lake, BACKFILL, loaded_at=REPLAY_LOAD, on_empty="error")
         refresh_models(spark, lake)
-        _BACKFILLED[sf_dir] = lake
-    return _BACKFILLED[sf_dir]
+        _BACKFILLED[built] = lake
+    return _BACKFILLED[built]
 
 
 def q_backfill_load(spark, sf_dir):
@@ -421,11 +422,13 @@ def q_backfill_chunk_assign(spark, sf_dir):
 
 
 def q_backfill_coverage_gaps(spark, sf_dir):
-    """Planned 2-day chunks per user with no event (no loaded window)."""
-    ev = _events(spark, sf_dir).select("user_id", "ts")
-    loaded = assign_backfill_chunk(ev, "ts", GAPS_START, GAPS_END, GAPS_DAYS)
+    """Parts of planned 2-day chunks that no loaded window covers; windows of 2 and of 3 days are loaded."""
+    ev = _events(spark, sf_dir).select("event_id", "user_id", "ts")
+    odd = F.pmod(F.col("event_id"), F.lit(2)) == 1
+    loaded = assign_backfill_chunk(ev.where(~odd), "ts", GAPS_START, GAPS_END, GAPS_DAYS).unionByName(
+        assign_backfill_chunk(ev.where(odd), "ts", GAPS_START, GAPS_END, GAPS_DAYS + 1))
     planned = planned_chunks(ev.select("user_id").distinct(), GAPS_START, GAPS_END, GAPS_DAYS)
-    return coverage_gaps(planned, loaded, ["user_id"])
+    return coverage_gaps(planned, loaded, ["user_id"], GAPS_START, GAPS_END)
 
 
 def q_latest_event_per_user(spark, sf_dir):

@@ -91,10 +91,11 @@ def stream_bronze_ingest(spark: SparkSession, landing: str, lake: Lake, checkpoi
         ts = loaded_at if loaded_at is not None else F.lit(now).cast("timestamp")
         batch = batch.cache()
         rows = raw_matches_rows(batch.where(F.col("kind") == "data").drop("kind"), ts).cache()
-        append_new(lake.raw_matches, rows)
-        # the epoch's own rows, whichever attempt wrote them; not those of keys that another job had loaded
-        stored = lake.raw_matches.read_partitions(lake.raw_matches.touched(rows)).select("file_key", "loaded_at")
-        mine = rows.join(stored, ["file_key", "loaded_at"], "left_semi")
+        mine = rows
+        if append_new(lake.raw_matches, rows):
+            # the epoch's own rows, whichever attempt wrote them; not those of keys that another job had loaded
+            stored = lake.raw_matches.read_partitions(lake.raw_matches.touched(rows)).select("file_key", "loaded_at")
+            mine = rows.join(stored, ["file_key", "loaded_at"], "left_semi")
         append_new(lake.raw_manifests,
                    raw_manifest_rows(batch.where(F.col("kind") == "manifest").drop("kind"), endpoint))
         if latest:
