@@ -87,14 +87,15 @@ def test_logistic_separates_and_survives_one_class():
     assert logistic(np.zeros((0, 1)), np.zeros(0)).tolist() == [0.0, 0.0]
 
 
-@pytest.mark.filterwarnings("error:more than")
-def test_the_fit_says_when_its_terms_do_not_fit(spark, monkeypatch):
+def test_the_threshold_follows_from_learnable_rows(spark, monkeypatch):
+    """Chosen from the grid by folds of the sample, the same in every run; a grid of one threshold is that threshold."""
     small_batches(spark)
     docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
-    n = len(toxicity.fit(docs, labels).scores)
-    assert n > 3
-    monkeypatch.setattr(toxicity, "TERMS", n)
-    assert len(toxicity.fit(docs, labels).scores) == n
-    monkeypatch.setattr(toxicity, "TERMS", n - 1)
-    with pytest.warns(UserWarning, match="more than"):
-        assert len(toxicity.fit(docs, labels).scores) == n - 1
+    chosen = []
+    choose = toxicity._chosen_z
+    monkeypatch.setattr(toxicity, "_chosen_z", lambda *a: chosen.append(choose(*a)) or chosen[-1])
+    first = toxicity.fit(docs, labels)
+    again = toxicity.fit(docs.repartition(5), labels)
+    assert chosen[0] == chosen[1] and chosen[0] in toxicity.Z_GRID and first.scores.keys() == again.scores.keys()
+    monkeypatch.setattr(toxicity, "Z_GRID", (chosen[0],))
+    assert toxicity.fit(docs, labels).scores.keys() == first.scores.keys()

@@ -5,9 +5,10 @@
    one, since an insult's endings vary.  The log-odds of a term between the two
    kinds has an informative Dirichlet prior: ``PRIOR`` pseudo-counts shared out
    as the whole corpus uses the terms, so that rare terms stay near 0.
-2. Terms whose log-odds are at least ``ODDS`` and stand ``Z`` standard errors
+2. Terms whose log-odds are at least ``ODDS`` and stand enough standard errors
    above 0 score their log-odds, a token the most of its terms; every other token
-   costs a small step, so chance segments end.
+   costs a small step, so chance segments end.  How many are enough (``Z_GRID``) is
+   chosen by cross-validation among the rows that may be learnt from.
 3. One linear scan (Ruzzo and Tompa) finds every maximal segment of a text.
 4. Extreme-value calibration: segment scores of clean text follow
    P(best >= s) = 1 - exp(-K n e^(-L s)) in n tokens; L solves
@@ -19,24 +20,27 @@
 
 from __future__ import annotations
 
-import warnings
+import operator
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import scratch, text_of
 from tidewater.llm.fitting import labelled_sample, logistic, probability, remainder
 
-#: Bounds of the fit: labelled documents, and scored terms (those furthest above 0).
+#: Bound of the fit: labelled documents.  Terms that score come from them alone, so it bounds the terms, too.
 LABELLED_ROWS = 20_000
-TERMS = 50_000
 PRIOR = 5000.0
-Z = 2.3
+#: Standard errors above 0 at which a term may begin to score; the fit chooses by cross-validation.
+Z_GRID = (1.6, 2.0, 2.4, 2.8, 3.2, 3.6)
+FOLDS = 2
 ODDS = 2.0
 #: Letters of the stems counted beside whole tokens.
 STEMS = (4, 5, 6)
@@ -76,16 +80,19 @@ class TokenScores(dict):
         return value
 
 
+KINDS = [f"{kind}_{fold}" for fold in range(FOLDS) for kind in ("clean", "toxic")]
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """label (or null), text -> token, n, toxic, clean; combined in the task."""
-    every, kinds = Counter(), (Counter(), Counter())
+    """kind (label + 2 * fold, or null), text -> token, n, and the documents of each kind; combined in the task."""
+    every, kinds = Counter(), tuple(Counter() for _ in range(2 * FOLDS))
 
     def rows() -> pa.RecordBatch:
         names = list(every)
-        columns = [[c[t] for t in names] for c in (every, kinds[1], kinds[0])]
+        columns = [[c[t] for t in names] for c in (every, *kinds)]
         for c in (every, *kinds):
             c.clear()
-        return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), *(pa.array(c, pa.int64()) for c in columns)], ["token", "n", "toxic", "clean"])
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), *(pa.array(c, pa.int64()) for c in columns)], ["token", "n", *KINDS])
 
     known: dict[bytes, list[bytes]] = {}
     for batch in batches:
@@ -186,30 +193,76 @@ def _lambda(values: np.ndarray, shares: np.ndarray, step: float) -> float:
     return high
 
 
+def _judged(counted: DataFrame, sums: dict, folds: range | list[int]) -> pa.Table:
+    """token, odds, z, share of the terms that may score, by the labelled documents of these folds (and no other)."""
+    toxic, clean = (reduce(operator.add, [F.col(f"{kind}_{f}") for f in folds]) for kind in ("toxic", "clean"))
+    all_toxic, all_clean = (sum(sums[f"{kind}_{f}"] for f in folds) for kind in ("toxic", "clean"))
+    prior = F.col("n") * (PRIOR / max(sums["n"], 1))
+    t, c = toxic + prior, clean + prior
+    odds = F.log(t / (all_toxic + PRIOR - t)) - F.log(c / (all_clean + PRIOR - c))
+    judged = counted.where(toxic > 0).withColumn("odds", odds).withColumn("z", odds / F.sqrt(1 / t + 1 / c))
+    # the share of clean text a scoring token makes up, by the same prior
+    judged = judged.where((F.col("z") >= min(Z_GRID)) & (F.col("odds") >= ODDS)).withColumn("share", c / (all_clean + PRIOR))
+    return judged.select("token", "odds", "z", "share").toArrow().sort_by("token")
+
+
+def _scoring(judged: pa.Table, z: float) -> tuple[dict[bytes, float], float, np.ndarray, np.ndarray]:
+    """Scores of the terms from z on, the step down, and the terms' scores and shares."""
+    kept = judged.filter(pc.greater_equal(judged["z"], z))
+    values, shares = (kept[c].to_numpy() for c in ("odds", "share"))
+    step = max(STEP, 2.0 * float((shares * values).sum()) / max(1e-9, 1 - float(shares.sum())))
+    return dict(zip(kept["token"].to_pylist(), values.tolist(), strict=True)), step, values, shares
+
+
+def _totals(models):
+    """mapInArrow function: kind, text -> label, and for each threshold the segments' sum by the model of the other folds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [[(TokenScores(scores), step) for scores, step in of] for of in models.value]
+        for batch in batches:
+            kinds, sums = batch.column(0).to_pylist(), []
+            for kind, text in zip(kinds, batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                found = tokens(text)
+                sums.append([sum(s for _, _, s in segments(found, scores, step)) for scores, step in known[kind // 2]])
+            yield pa.RecordBatch.from_arrays([pa.array([k % 2 for k in kinds], pa.int32()), pa.array(sums, pa.list_(pa.float64()))], ["label", "sums"])
+
+    return run
+
+
+def _chosen_z(labelled: DataFrame, counted: DataFrame, sums: dict) -> float:
+    """The threshold whose sums, by terms learnt without the document's own fold, tell the labels apart best.
+
+    The measure is the log-loss of a logistic in the sum; of equal ones the highest threshold.
+    """
+    models = [[_scoring(judged, z)[:2] for z in Z_GRID] for judged in (_judged(counted, sums, [f for f in range(FOLDS) if f != own]) for own in range(FOLDS))]
+    sent = labelled.sparkSession.sparkContext.broadcast(models)
+    got = labelled.mapInArrow(_totals(sent), "label int, sums array<double>").toArrow()
+    y = got["label"].to_numpy().astype(float)
+    if not len(y) or y.min() == y.max():
+        return max(Z_GRID)
+    x = np.log1p(np.array(got["sums"].to_pylist(), float))
+    order = np.lexsort((*x.T, y))  # rows come in any order
+    losses = []
+    for k in range(len(Z_GRID)):
+        p = np.clip(probability(logistic(x[order, k : k + 1], y[order]), x[order, k : k + 1]), 1e-12, 1 - 1e-12)
+        losses.append(round(float(-(y[order] * np.log(p) + (1 - y[order]) * np.log(1 - p)).mean()), 9))
+    return max(z for z, loss in zip(Z_GRID, losses, strict=True) if loss == min(losses))
+
+
 def fit(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int] = HELD_OUT, rows: int = LABELLED_ROWS) -> Model:
     """Token scores from all documents and at most ``rows`` labelled ones outside the held-out fold."""
     spark = docs.sparkSession
     modulus, fold = held_out
     sample = labelled_sample(labels, "toxic", remainder("doc_id", modulus) != fold, rows)
+    kind = (F.col("__label") + 2 * (F.col("__rank") * FOLDS).cast("int")).alias("kind")
+    sample = sample.select("__id", "__label", kind)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("__id"), text_of().alias("text"))
-    marked = texts.join(F.broadcast(sample), "__id", "left").select("__label", "text")
-    counted = marked.mapInArrow(_counts, "token binary, n bigint, toxic bigint, clean bigint")
-    counted = scratch(counted.groupBy("token").agg(*[F.sum(c).alias(c) for c in ("n", "toxic", "clean")]), "token-counts")
-    sums = counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "toxic", "clean")]).first()
-
-    prior = F.col("n") * (PRIOR / max(sums["n"], 1))
-    t, c = F.col("toxic") + prior, F.col("clean") + prior
-    odds = F.log(t / (sums["toxic"] + PRIOR - t)) - F.log(c / (sums["clean"] + PRIOR - c))
-    judged = counted.where("toxic > 0").withColumn("odds", odds).withColumn("z", odds / F.sqrt(1 / t + 1 / c))
-    # the share of clean text a scoring token makes up, by the same prior
-    judged = judged.where((F.col("z") >= Z) & (F.col("odds") >= ODDS)).withColumn("share", c / (sums["clean"] + PRIOR))
-    best = judged.orderBy(F.desc("z"), "token").limit(TERMS + 1).select("token", "odds", "share").toArrow()
-    if best.num_rows > TERMS:
-        warnings.warn(f"more than {TERMS} terms qualify; the model scores the {TERMS} of largest z", stacklevel=2)
-        best = best.slice(0, TERMS)
-    values, shares = (best.column(k).to_numpy() for k in (1, 2))
-    scores = dict(zip(best.column(0).to_pylist(), values.tolist(), strict=True))
-    step = max(STEP, 2.0 * float((shares * values).sum()) / max(1e-9, 1 - float(shares.sum())))
+    marked = texts.join(F.broadcast(sample), "__id", "left").select("kind", "text")
+    counted = marked.mapInArrow(_counts, f"token binary, n bigint, {', '.join(f'{k} bigint' for k in KINDS)}")
+    counted = scratch(counted.groupBy("token").agg(*[F.sum(c).alias(c) for c in ("n", *KINDS)]), "token-counts")
+    sums = counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", *KINDS)]).first().asDict()
+    z = _chosen_z(texts.join(F.broadcast(sample), "__id").select("kind", "text"), counted, sums)
+    scores, step, values, shares = _scoring(_judged(counted, sums, range(FOLDS)), z)
     lam = _lambda(values, shares, step)
 
     sent = spark.sparkContext.broadcast(scores)
