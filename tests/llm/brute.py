@@ -111,7 +111,7 @@ def benchmark(rows, items):
     windows = defaultdict(set)
     for item, t in items:
         w = WORD8.findall(az(raw(t)).decode())
-        for k in range(max(1, len(w) - 12) if w and item is not None else 0):
+        for k in range(max(1, len(w) - 12) if w else 0):
             windows[tuple(w[k : k + 13])].add(item)
     lengths = {len(g) for g in windows}
     out = []
@@ -123,7 +123,7 @@ def benchmark(rows, items):
                 g = tuple(w[k : k + n])
                 if g in windows:
                     hit.update(range(k, k + n))
-                    found |= windows[g]
+                    found |= windows[g] - {None}
         ids = ",".join(sorted(map(str, found))).encode()
         out.append((i, len(w), len(hit), len(found), sha(ids), len(hit) > 0 and 20 * len(hit) >= len(w)))
     return out

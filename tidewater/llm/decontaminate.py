@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import id_order, scratch, text_of
+from tidewater.llm.common import free_name, id_order, scratch, text_of
 
 WINDOW = 13
 SHINGLE = 3
@@ -56,11 +56,11 @@ def count_words(parts: Column) -> Column:
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """(distinct windows: wid, content, words, len; items: wid, item).
 
-    Items without a word or without an id have no window; rows of one item_id
-    are one item.
+    Items without a word have no window; rows of one item_id are one item.  The windows of items
+    without an id hit like any other, and have no item.
     """
     words = F.filter(pieces(az_lower(text_of())), lambda x: x != "")
-    items = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("string").alias("item"), words.alias("words"))
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), words.alias("words"))
     items = items.where(F.size("words") > 0)
     last = F.greatest(F.size("words") - window, F.lit(0))
     cut = items.select("item", F.explode(F.transform(F.sequence(F.lit(0), last), lambda i: F.slice("words", i + 1, window))).alias("words"))
@@ -69,7 +69,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> tuple[DataF
     cut = cut.withColumn("wid", F.struct(F.xxhash64("content").alias("x"), F.xxhash64(F.lit(1), "content").alias("y")))
     windows = cut.groupBy("wid").agg(F.first("content").alias("content"), F.first("words").alias("words"))
     windows = windows.withColumn("len", F.size("words"))
-    return scratch(windows, "windows"), scratch(cut.select("wid", "item").distinct(), "items")
+    return scratch(windows, "windows"), scratch(cut.where("item IS NOT NULL").select("wid", "item").distinct(), "items")
 
 
 def _shingles(windows: DataFrame, width: int) -> DataFrame:
@@ -144,7 +144,8 @@ def hits(occ: DataFrame, items: DataFrame) -> DataFrame:
     words = spans.withColumn("new", new).groupBy("id", "key", "n_words").agg(F.sum("new").alias("n_hit"))
     which = occ.select("id", "key", "wid").distinct().join(items, "wid").select("id", "key", "item").distinct()
     which = which.groupBy("id", "key").agg(F.array_sort(F.collect_list("item")).alias("item_ids"))
-    return words.join(which, ["id", "key"]).withColumn("n_items", F.size("item_ids"))
+    found = words.join(which, ["id", "key"], "left").withColumn("item_ids", F.coalesce("item_ids", F.array().cast("array<string>")))
+    return found.withColumn("n_items", F.size("item_ids"))
 
 
 def contaminated(n_hit: Column, n_words: Column) -> Column:
@@ -156,8 +157,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
     Defined cases: a null or empty text has no words and is clean; an empty
     benchmark hits nothing; an item of fewer than ``window`` words is one
-    window; items without words or without item_id are left out; repeated
-    rows get a row each; rows under one doc_id (null included) with different
+    window; items without words are left out; windows of items without item_id
+    count for n_hit and contaminated, not for n_items; repeated rows get a row each; rows under one doc_id (null included) with different
     texts are judged apart; extra columns are ignored.
     """
     windows, items = benchmark_windows(benchmark, window)
@@ -182,8 +183,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     windows, items = benchmark_windows(benchmark, window)
     base = docs.select(id_order().alias("id"), text_of().alias("text"))
     found = hits(occurrences(base, windows), items).where(contaminated(F.col("n_hit"), F.col("n_words")))
-    bad = scratch(found.select(F.col("id").alias("__id"), F.col("key").alias("__key")), "contaminated")
-    same = (id_order() == F.col("__id")) & (F.xxhash64(text_of()) == F.col("__key"))
+    id_, key = free_name(docs, "bad_id"), free_name(docs, "bad_key")
+    bad = scratch(found.select(F.col("id").alias(id_), F.col("key").alias(key)), "contaminated")
+    same = (id_order() == F.col(id_)) & (F.xxhash64(text_of()) == F.col(key))
     return docs.join(bad, same, "left_anti")
 
 

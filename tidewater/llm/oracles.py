@@ -85,7 +85,7 @@ OP8 = f"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, {LOWER_WORDS} AS w FROM documents
 ), items AS (
-  SELECT item_id, {LOWER_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL
+  SELECT item_id, {LOWER_WORDS} AS w FROM benchmark
 ), windows AS (
   SELECT DISTINCT item_id, array_to_string(w[i:i + 12], ' ') AS g, least(len(w), 13) AS n
   FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM items WHERE len(w) > 0)
@@ -99,7 +99,7 @@ WITH d AS (
   SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM found) GROUP BY rid
 ), which AS (
   SELECT rid, count(DISTINCT item_id) AS n_items,
-    array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS ids FROM found GROUP BY rid
+    array_to_string(list_sort(list(DISTINCT item_id::VARCHAR) FILTER (WHERE item_id IS NOT NULL)), ',') AS ids FROM found GROUP BY rid
 )
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
