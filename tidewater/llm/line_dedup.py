@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import WHITE, id_order, scratch, text_of
+from tidewater.llm.common import WHITE, free_name, id_order, scratch, text_of
 from tidewater.llm.cuckoo import ABSENT, SHARED, SINGLE, SLOTS, Full, dump, empty, insert, load, probe, remove
 
 MIN_CODE_POINTS = 10
@@ -239,7 +239,7 @@ def _drop_lines(columns: list[str], text_at: int):
 
 
 def dedup_lines(docs: DataFrame, index: LineIndex | None = None) -> DataFrame:
-    """``docs`` without repeated lines, and __n_lines, __n_dropped.
+    """``docs`` without repeated lines, and __n_lines, __n_dropped (with underscores after them if docs has such columns).
 
     A line's key is the line stripped of ASCII white space at both ends with
     A-Z lower-cased.  A key of at least ``MIN_CODE_POINTS`` code points held by
@@ -252,12 +252,12 @@ def dedup_lines(docs: DataFrame, index: LineIndex | None = None) -> DataFrame:
     together the last document; a line repeated inside its document stays.
     """
     index = index or LineIndex.build(docs)
-    drops = index.decisions().groupBy("id").agg(F.collect_list(F.struct("x", "y")).alias("__drops")).withColumnRenamed("id", "__id")
-    joined = docs.join(drops, id_order() == F.col("__id"), "left").select(*[docs[c] for c in docs.columns], "__drops")
-    counts = [T.StructField(c, T.LongType()) for c in ("__n_lines", "__n_dropped")]
+    id_, gone = free_name(docs, "line_id"), free_name(docs, "line_drops")
+    drops = index.decisions().groupBy(F.col("id").alias(id_)).agg(F.collect_list(F.struct("x", "y")).alias(gone))
+    joined = docs.join(drops, id_order() == F.col(id_), "left").select(*docs.columns, gone)
+    counts = [T.StructField(free_name(docs, c), T.LongType()) for c in ("__n_lines", "__n_dropped")]
     schema = T.StructType([*docs.schema.fields, *counts])
-    names = [*docs.columns, "__n_lines", "__n_dropped"]
-    return joined.mapInArrow(_drop_lines(names, docs.columns.index("text")), schema)
+    return joined.mapInArrow(_drop_lines(schema.names, docs.columns.index("text")), schema)
 
 
 def op6_line_dedup(docs: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import scratch, text_of, words_of
+from tidewater.llm.common import free_name, scratch, text_of, words_of
 
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
@@ -159,17 +159,17 @@ def mix_sources(
 
 
 def draw_mix(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: every column of ``docs``, one row per copy, and copy_no (1, 2, ...).
+    """The mix itself: every column of ``docs``, one row per copy, and copy_no (1, 2, ...; copy_no_ if docs has that).
 
     Documents without a copy go.  The decisions come back to the texts by a
     join on the row key; identical rows share one decision.
     """
     seed = options.get("seed", SEED)
-    key = F.xxhash64(F.lit(seed), "doc_id", "source", text_of())
-    chosen = mix_sources(docs, **options).where("copies > 0").groupBy("row_key").agg(F.max("copies").alias("__copies"))
-    keyed = docs.withColumn("__key", key)
-    joined = keyed.join(chosen, keyed["__key"] == chosen["row_key"])
-    return joined.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("copy_no"))
+    key, copies, drawn = (free_name(docs, n) for n in ("mix_key", "mix_copies", "mix_drawn"))
+    chosen = mix_sources(docs, **options).where("copies > 0").groupBy(F.col("row_key").alias(drawn)).agg(F.max("copies").alias(copies))
+    keyed = docs.withColumn(key, F.xxhash64(F.lit(seed), "doc_id", "source", text_of()))
+    joined = keyed.join(chosen, F.col(key) == F.col(drawn))
+    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(free_name(docs, "copy_no")))
 
 
 def op10_source_mix(docs: DataFrame) -> DataFrame:

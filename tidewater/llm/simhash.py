@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import LAST_ID, id_order, scratch, text_of
+from tidewater.llm.common import LAST_ID, free_name, id_order, scratch, text_of
 from tidewater.llm.components import components
 
 SHINGLE = 3
@@ -76,8 +76,9 @@ def _fingerprints(width: int):
 
 
 def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the fingerprint's bits as a signed long)."""
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text")).mapInArrow(_fingerprints(width), "doc_id bigint, fp bigint")
+    """doc_id, key (a hash of the text), fp (the fingerprint's bits as a signed long)."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text_of()).alias("key"), text_of().alias("text"))
+    return rows.mapInArrow(_fingerprints(width), "doc_id bigint, key bigint, fp bigint")
 
 
 def _byte(fp: Column, k: int) -> Column:
@@ -132,32 +133,43 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     as the largest id, so a component has a null component_id only if all its
     ids are null; extra columns are ignored; an empty table gives no rows.
     """
+    prints, labelled = _labelled(docs, width)
+    smallest = labelled.groupBy("root").agg(F.min("first.id").alias("least"))
+    named = labelled.join(smallest, "root").select("fp", F.nullif(F.col("least"), F.lit(LAST_ID)).alias("component_id"))
+    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def _labelled(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """(fingerprints; per distinct one: fp, first (the smallest id and key that have it), root of its component)."""
     prints = scratch(fingerprints(docs, width), "fingerprints")
-    classes = scratch(prints.groupBy("fp").agg(F.min(id_order()).alias("first_id")), "classes")
+    classes = scratch(prints.groupBy("fp").agg(F.min(F.struct(id_order().alias("id"), "key")).alias("first")), "classes")
     roots = components(links(classes))
     labelled = classes.join(roots, classes["fp"] == roots["vertex"], "left")
-    labelled = scratch(labelled.select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "labelled")
-    smallest = labelled.groupBy("root").agg(F.min("first_id").alias("least"))
-    named = labelled.join(smallest, "root").select("fp", F.nullif(F.col("least"), F.lit(LAST_ID)).alias("component_id"))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return prints, scratch(labelled.select("fp", "first", F.coalesce("root", "fp").alias("root")), "labelled")
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """One document of each component, the one of smallest doc_id, with its own columns.
+    """One document of each component, the one of smallest doc_id (null last), with its own columns.
 
-    Only the ids that go are joined to the texts.  Repeated rows of a kept
-    doc_id come down to one; documents without a doc_id cannot be told apart
-    and stay.
+    A document is an id and a text: of texts under one id in a component the one with the smallest hash
+    stays, those in other components are not touched, and documents without an id are told apart by their texts.
+    Rows that agree in id and text come down to one.  Only the ids and hashes that go, or stand on several rows, are
+    joined to the texts.
     """
-    found = near_duplicates(docs, width).where("doc_id IS NOT NULL")
-    marks = found.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__rows"), F.min("component_id").alias("__least"))
-    marks = scratch(marks.where("__least < __id OR __rows > 1"), "marks")
-    same = F.col("doc_id") == F.col("__id")
-    kept = docs.join(marks.where("__least < __id").select("__id"), same, "left_anti")
-    twice = marks.where("__least = __id").select("__id")
+    prints, labelled = _labelled(docs, width)
+    kept = labelled.join(labelled.groupBy("root").agg(F.min("first").alias("kept")), "root").select("fp", "kept")
+    found = prints.join(kept, "fp").withColumn("own", F.struct(id_order().alias("id"), "key"))
+    id_, key = free_name(docs, "near_id"), free_name(docs, "near_key")
+    marks = found.groupBy("own").agg(F.count("*").alias("n"), F.first("kept").alias("kept"))
+    marks = scratch(marks.where("own <> kept OR n > 1").select(F.col("own.id").alias(id_), F.col("own.key").alias(key), (F.col("own") != F.col("kept")).alias("goes")), "marks")
+    same = (id_order() == F.col(id_)) & (F.xxhash64(text_of()) == F.col(key))
+    left = docs.join(marks.where("goes").select(id_, key), same, "left_anti")
+    twice = marks.where("NOT goes").select(id_, key)
     if not twice.limit(1).count():
-        return kept
-    return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates(["doc_id"]))
+        return left
+    # one row of each: the first of a task, then the first of those
+    one = left.withColumns({id_: id_order(), key: F.xxhash64(text_of())}).join(twice.withColumnsRenamed({id_: f"{id_}_", key: f"{key}_"}), (F.col(id_) == F.col(f"{id_}_")) & (F.col(key) == F.col(f"{key}_")), "left_semi")
+    return left.join(twice, same, "left_anti").unionByName(one.dropDuplicates([id_, key]).drop(id_, key))
 
 
 def op7_simhash_near_dedup(docs: DataFrame) -> DataFrame:

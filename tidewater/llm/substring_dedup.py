@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import scratch, text_of
+from tidewater.llm.common import free_name, scratch, text_of
 
 WINDOW = 50
 #: A perfect difference set: every shift modulo PERIOD is a difference of two of its places.
@@ -285,13 +285,15 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     shared = scratch(_per_document(_shared(rows.mapInArrow(_anchors, MEETING))), "shared")
     # the texts are dealt out once by id: both joins read the same exchange (the filter, always
     # true, is what Spark would add for one of them only)
-    dealt = docs.withColumn("__order", _order()).where("__order IS NOT NULL").repartition(parts, "__order")
-    near = dealt.join(shared, F.col("__order") == F.col("__id"))
-    near = near.select(*dealt.columns, "__places", "__runs")  # every column, or the exchanges differ
+    order, id_, places, runs = (free_name(docs, n) for n in ("window_order", "window_id", "window_places", "window_runs"))
+    names = {"__id": id_, "__places": places, "__runs": runs}
+    dealt = docs.withColumn(order, _order()).where(f"{order} IS NOT NULL").repartition(parts, order)
+    near = dealt.join(shared.withColumnsRenamed(names), F.col(order) == F.col(id_))
+    near = near.select(*dealt.columns, places, runs)  # every column, or the exchanges differ
     copies = shared.where(F.array_min("__places") < 0).select(F.col("__id").alias("id"), F.lit(-1).alias("place"), F.lit(0).alias("run"))
     gone = _per_document(_repeated(near.mapInArrow(_windows(docs.columns.index("text")), MEETING)).unionByName(copies))
-    joined = dealt.join(gone, F.col("__order") == F.col("__id"), "left").select(*docs.columns, "__places", "__runs")
-    counts = [T.StructField(c, T.LongType()) for c in ("__n_words", "__n_removed")]
+    joined = dealt.join(gone.withColumnsRenamed(names), F.col(order) == F.col(id_), "left").select(*docs.columns, places, runs)
+    counts = [T.StructField(free_name(docs, c), T.LongType()) for c in ("__n_words", "__n_removed")]
     schema = T.StructType([*docs.schema.fields, *counts])
     return joined.mapInArrow(_remove([f.name for f in schema], docs.columns.index("text")), schema)
 
