@@ -250,10 +250,16 @@ SELECT competition_code AS competition, strftime(date_from, {KEY_DATE}) AS date_
 FROM files GROUP BY ALL
 """
 
+# the JSON of a document's manifest
+MANIFEST_TEXT = f"""'{{"run_id":"' || run_id || '","endpoint":"matches","competition":"' || competition_code
+         || '","params":{{"dateFrom":"' || strftime(date_from, {KEY_DATE}) || '","dateTo":"' || strftime(date_to, {KEY_DATE})
+         || '"}},"dt_partition":"' || strftime(dt, {KEY_DATE}) || '","fetched_at_utc":"' || strftime(dt, {KEY_DATE})
+         || 'T01:00:00+00:00","record_count":' || n_matches || ',"bucket":"bronze","data_key":"' || file_key || '"}}'"""
+
 LANDING_PAIR_WRITE = FX + _FILES + f"""
-SELECT file_key, n_matches FROM files
+SELECT file_key, n_matches, NULL AS manifest FROM files
 UNION ALL
-SELECT {MANIFEST_OF}, n_matches FROM files
+SELECT {MANIFEST_OF}, n_matches, {MANIFEST_TEXT} FROM files
 """
 
 MANIFEST_BUILD = FX + _FILES + f"""
@@ -262,10 +268,7 @@ SELECT file_key AS data_key, run_id, 'matches' AS endpoint, competition_code AS
        strftime(dt, {KEY_DATE}) AS dt_partition, n_matches AS record_count, 'bronze' AS bucket,
        strftime(dt, {KEY_DATE}) || 'T01:00:00+00:00' AS fetched_at_utc,
        {MANIFEST_OF} AS manifest_key,
-       '{{"run_id":"' || run_id || '","endpoint":"matches","competition":"' || competition_code
-         || '","params":{{"dateFrom":"' || strftime(date_from, {KEY_DATE}) || '","dateTo":"' || strftime(date_to, {KEY_DATE})
-         || '"}},"dt_partition":"' || strftime(dt, {KEY_DATE}) || '","fetched_at_utc":"' || strftime(dt, {KEY_DATE})
-         || 'T01:00:00+00:00","record_count":' || n_matches || ',"bucket":"bronze","data_key":"' || file_key || '"}}' AS manifest
+       {MANIFEST_TEXT} AS manifest
 FROM files
 """
 
@@ -274,8 +277,9 @@ SELECT file_key AS data_key, {MANIFEST_OF} AS manifest_key, competition_code <>
 """
 
 MANIFEST_RECONCILE = FX + _FILES + f"""
-SELECT file_key AS data_key, {MANIFEST_OF} AS manifest_key, n_matches + 1 AS manifest_count, n_matches AS payload_count
-FROM files WHERE competition_code = 'PD' AND dt = DATE '2024-01-03'
+SELECT file_key AS data_key, {MANIFEST_OF} AS manifest_key,
+       CASE WHEN competition_code = 'FL1' THEN NULL ELSE n_matches + 1 END AS manifest_count, n_matches AS payload_count
+FROM files WHERE (competition_code = 'PD' AND dt = DATE '2024-01-03') OR competition_code = 'FL1'
 """
 
 RAW_MATCHES_UPSERT = FX + _FILES + """

@@ -39,6 +39,7 @@ from tidewater.plans.runs import latest_now, merge_latest, refresh_models, run_m
 from tidewater.session import configure, scratch_dir
 from tidewater.sources import landing as L
 from tidewater.sources.fixture import documents, landing_rows, snapshots, write_objects
+from tidewater.sources.versions import State, Versions
 from tidewater.streaming.ingest import stream_bronze_ingest
 
 MATCHES, BACKFILL = "matches", "matches_backfill"
@@ -148,14 +149,15 @@ def q_landing_write(spark, sf_dir):
 
 
 def q_landing_pair_write(spark, sf_dir):
-    """K1 K2: every document landed with its manifest, read back with what each says it holds."""
+    """K1 K2: every document landed with its manifest, read back with what each says it holds; manifests word for word."""
     root, _ = _scratch_lake(spark, "pairs")
     fetched = F.concat(F.col("dt").cast("string"), F.lit(FETCHED))
     write_objects(landing_pairs(_raw(spark, sf_dir), fetched_at=fetched), root)
     docs = L.read_tree(spark, root, prefix_of(MATCHES)).withColumn("v", F.parse_json("text"))
     counted = F.variant_get(F.col("v"), "$.record_count", "bigint")
-    n = F.when(X.is_manifest_key(F.col("file_key")), counted).otherwise(element_count(F.col("v")))
-    return docs.select("file_key", n.alias("n_matches"))
+    is_manifest = X.is_manifest_key(F.col("file_key"))
+    n = F.when(is_manifest, counted).otherwise(element_count(F.col("v")))
+    return docs.select("file_key", n.alias("n_matches"), F.when(is_manifest, F.col("text")).alias("manifest"))
 
 
 def q_manifest_build(spark, sf_dir):
@@ -172,9 +174,9 @@ def q_manifest_pairing(spark, sf_dir):
 
 
 def q_manifest_reconcile(spark, sf_dir):
-    """T4: documents whose manifest record_count disagrees with the payload."""
+    """T4: documents whose manifest record_count disagrees with the payload, or that have no manifest, and the reverse."""
     lake = _fx(spark, sf_dir).lake
-    return manifest_reconcile(lake.raw_matches.read(), lake.raw_manifests.read())
+    return manifest_reconcile(lake.raw_matches.read(), lake.raw_manifests.read(), unmatched=True)
 
 
 # ---------------------------------------------------------------- bronze upserts / ledger
@@ -268,22 +270,37 @@ def q_teams_merge(spark, sf_dir):
     return as_ntz(lake.teams.read().drop("updated_at"))
 
 
+class _Stopped(Versions):
+    """Versions of a run that is stopped when it has written everything but the switch."""
+
+    def put(self, state: State) -> None:
+        raise InterruptedError(state.number)
+
+
+class _StoppedLake(Lake):
+    @property
+    def versions(self) -> Versions:
+        return _Stopped(self.spark, super().versions.path)
+
+
 _REFRESHED: dict[str, Lake] = {}
 
 
 def _refreshed(spark, sf_dir) -> Lake:
     """A lake loaded and refreshed day by day by the production code.
 
-    Day 1's run stops after its load, before anything is published; day 2's run
-    has to catch up.
+    Day 1's run is stopped inside its refresh, with every table written and the switch
+    not made; day 2's run has to catch up.
     """
     fx = _fx(spark, sf_dir)
     if fx.root not in _REFRESHED:
         _, lake = _scratch_lake(spark, "days")
         for day, dt in enumerate((DAY0, DAY1, DAY2)):
             load_matches(spark, fx.landing, lake, MATCHES, loaded_at=load_time(day), until_dt=dt)
-            if day != 1:
-                refresh_models(spark, lake)
+            try:
+                refresh_models(spark, _StoppedLake(spark, lake.root) if day == 1 else lake)
+            except InterruptedError:
+                pass
         _REFRESHED[fx.root] = lake
     return _REFRESHED[fx.root]
 
