@@ -45,5 +45,5 @@ def test_stages_against_brute_force(spark):
 def test_registered():
     entry = importlib.import_module("__spark_entry__")
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{k}" for k in range(1, 14)}
     assert "pipeline" in names and set(entry.oracle_sql()) <= names
