@@ -44,6 +44,29 @@ def test_shards_and_the_report_do_not_change_counts(spark, sayings, monkeypatch)
     same(collocations.collocations(docs, 6, top=10), want, COLUMNS)
 
 
+def test_counts_by_slot(spark, sayings, monkeypatch):
+    """Many parts, many shards and slots that phrases share: a sum by slot may only keep too much."""
+    from tidewater.llm import collocations
+
+    monkeypatch.setattr(collocations, "SHARD_WORDS", 50)
+    monkeypatch.setattr(collocations, "PART_WORDS", 300)
+    docs = spark.createDataFrame(sayings, "doc_id int, text string, lang string").repartition(3)
+    want = brute.phrases([(lang, t) for _, t, lang in sayings], 6)
+    for bits in (24, 3):
+        monkeypatch.setattr(collocations, "SLOT_BITS", bits)
+        same(collocations.collocations(docs, 6), want, COLUMNS)
+
+
+def test_packed_counts():
+    import numpy as np
+
+    from tidewater.llm.collocations import _pack, _unpack
+
+    slots, n = np.array([0, 0, 7, 255, 256, (1 << 24) - 1]), np.array([1, 2, 300, 1, 1 << 20, 5])
+    got = _unpack(_pack(slots, n))
+    assert got[0].tolist() == slots.tolist() and got[1].tolist() == n.tolist()
+
+
 def test_products_past_64_bits(spark):
     from pyspark.sql import functions as F
 

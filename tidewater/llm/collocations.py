@@ -9,12 +9,15 @@ For each length, from words to ``MAX_WORDS``:
 
 1. Merge-join the relation with itself by piece and adjacent place: a phrase of k + 1 words starts where
    frequent phrases of k words start at neighbouring places.  Shards are sorted, so the join is a shift.
-2. Group-count: shards count their own phrases, one row per phrase and shard is shuffled and summed.
+2. Group-count, in two steps.  Shards count their own phrases and send the counts by slot of a hash, packed
+   (about two bytes a phrase); a slot's sum bounds the count of every phrase in it, so only phrases of slots that
+   reach ``MIN_COUNT`` can be frequent.  Those are then shuffled one row per phrase and shard, and summed exactly.
 3. Semi-join: phrases said ``MIN_COUNT`` times or more go back to the shards that hold them, the relation
    keeps only those, and is written for the next length.
 
-The relations are bucketed by shard, so that occurrences are never shuffled; what is shuffled is one row for
-each distinct phrase of a shard, however often the shard says it.  Each phrase knows the counts of its
+The relations are bucketed by shard, so that occurrences are never shuffled; what is shuffled is one entry for
+each distinct phrase of a shard, however often the shard says it.  Slots are dealt to parts of about
+``PART_WORDS`` occurrences, whose number follows the corpus.  Each phrase knows the counts of its
 beginnings and ends, since every part of a frequent phrase is frequent.
 """
 
@@ -27,6 +30,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +44,9 @@ TOP = 2000
 SHARD_WORDS = 2_000_000
 #: Shards of one task.
 SHARDS_PER_TASK = 1 << 11
+#: Occurrences of a part of the slots (on average), and the slots of a part, as bits: eight for each of them.
+PART_WORDS = 1 << 21
+SLOT_BITS = 24
 NO_LANG = "und"
 
 _ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -49,6 +56,8 @@ _TO_MARKS = bytes.maketrans(_ENDS, _MARK * len(_ENDS))
 
 SHARDS = "shard bigint, seq array<int>, words array<struct<lang: string, word: string, n: bigint>>"
 RELATION = "shard bigint, seq array<int>, ids array<bigint>"
+SKETCH = "part int, shard bigint, counts binary"
+MARKS = "part int, shard bigint, marks binary"
 PAIRS = "a bigint, b bigint, at bigint, n bigint"
 
 
@@ -120,17 +129,95 @@ def _adjacent(seq: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return at, seq[at] * (n + 1) + seq[at + 1]
 
 
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A relation -> a, b (ids of the two phrases that make the longer one), its place in the shard's list, count."""
-    for batch in batches:
-        for row, shard in enumerate(batch.column(0).to_pylist()):
-            ids = _numbers(batch, 2, row)
-            pairs, n = np.unique(_adjacent(_numbers(batch, 1, row), len(ids))[1], return_counts=True)
-            a, b = np.divmod(pairs, len(ids) + 1)
-            at = (shard << 32) | np.arange(len(pairs), dtype=np.int64)
-            for k in range(0, len(pairs), 1 << 16):
-                part = slice(k, k + (1 << 16))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (ids[a[part] - 1], ids[b[part] - 1], at[part], n[part])], ["a", "b", "at", "n"])
+def _slots(ids: np.ndarray, pairs: np.ndarray, parts: int) -> np.ndarray:
+    """(part, slot) of pairs as one number: a hash of the ids, the same in every shard."""
+    a, b = (ids[k - 1].astype(np.uint64) for k in np.divmod(pairs, len(ids) + 1))
+    h = a * np.uint64(0x9E3779B97F4A7C15) + b
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):  # every bit of a and b reaches every bit of h
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    h ^= h >> np.uint64(31)
+    part = (h >> np.uint64(SLOT_BITS)) % np.uint64(parts)
+    return ((part << np.uint64(SLOT_BITS)) | (h & np.uint64((1 << SLOT_BITS) - 1))).astype(np.int64)
+
+
+def _pack(slots: np.ndarray, n: np.ndarray) -> bytes:
+    """Ascending slots and their counts: steps and counts byte by byte, compressed."""
+    rows = np.concatenate([np.diff(slots, prepend=0), n]).astype("<u4")
+    return zstandard.compress(rows.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1)
+    steps, n = np.ascontiguousarray(planes.T).view("<u4").reshape(2, -1).astype(np.int64)
+    return np.cumsum(steps), n
+
+
+def _cuts(slots: np.ndarray) -> tuple[list[int], np.ndarray]:
+    """Parts of ascending (part, slot) numbers, and where each begins and the last ends."""
+    parts, first = np.unique(slots >> SLOT_BITS, return_index=True)
+    return parts.tolist(), np.append(first, len(slots))
+
+
+def _count_slots(parts: int):
+    """mapInArrow function: a relation -> for each part of the slots, the shard's counts in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, shard in enumerate(batch.column(0).to_pylist()):
+                ids = _numbers(batch, 2, row)
+                pairs, n = np.unique(_adjacent(_numbers(batch, 1, row), len(ids))[1], return_counts=True)
+                slots = _slots(ids, pairs, parts)
+                order = np.argsort(slots, kind="stable")
+                slots, n = slots[order], n[order]
+                held, cuts = _cuts(slots)
+                packed = [_pack(slots[i:j] & ((1 << SLOT_BITS) - 1), n[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array([shard] * len(held), pa.int64()), pa.array(packed, pa.binary())], ["part", "shard", "counts"])
+
+    return run
+
+
+def _mark_slots(least: int):
+    """applyInArrow function: the counts of a part, shard by shard -> for each shard, which of them are of slots with ``least``."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        lists = [_unpack(packed) for packed in rows.column("counts").to_pylist()]
+        _, slot = np.unique(np.concatenate([slots for slots, _ in lists]), return_inverse=True)
+        reach = np.bincount(slot, weights=np.concatenate([n for _, n in lists])) >= least
+        ends = np.cumsum([len(slots) for slots, _ in lists])
+        marks = [np.packbits(reach[slot[end - len(slots) : end]]).tobytes() for end, (slots, _) in zip(ends, lists, strict=True)]
+        return pa.table([rows.column("part"), rows.column("shard"), pa.array(marks, pa.binary())], ["part", "shard", "marks"])
+
+    return run
+
+
+def _count_pairs(parts: int):
+    """mapInArrow function: a relation and its marks -> a, b (ids of the two phrases that make the longer one), its place in the shard's list, count."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, shard in enumerate(batch.column(0).to_pylist()):
+                ids = _numbers(batch, 2, row)
+                pairs, n = np.unique(_adjacent(_numbers(batch, 1, row), len(ids))[1], return_counts=True)
+                slots = _slots(ids, pairs, parts)
+                order = np.argsort(slots, kind="stable")
+                held, cuts = _cuts(slots[order])
+                marks = {m["part"]: m["marks"] for m in batch.column(3)[row].as_py()}
+                reach = [np.unpackbits(np.frombuffer(marks[part], np.uint8), count=int(j - i)) for part, i, j in zip(held, cuts[:-1], cuts[1:], strict=True)]
+                kept = np.sort(order[np.concatenate(reach).astype(bool)]) if reach else order
+                a, b = np.divmod(pairs[kept], len(ids) + 1)
+                columns = ids[a - 1], ids[b - 1], (shard << 32) | kept, n[kept]
+                for k in range(0, len(kept), 1 << 16):
+                    yield pa.RecordBatch.from_arrays([pa.array(c[k : k + (1 << 16)]) for c in columns], ["a", "b", "at", "n"])
+
+    return run
+
+
+def _pairs(relation: DataFrame, occurrences: int, least: int) -> DataFrame:
+    """a, b, at, n of every pair that may be said ``least`` times, by shard; ``occurrences`` bounds the relation's."""
+    parts = 1 + occurrences // PART_WORDS
+    marks = relation.mapInArrow(_count_slots(parts), SKETCH).groupBy("part").applyInArrow(_mark_slots(least), MARKS)
+    marks = marks.groupBy("shard").agg(F.collect_list(F.struct("part", "marks")).alias("marked"))
+    return relation.join(marks, "shard").select("shard", "seq", "ids", "marked").mapInArrow(_count_pairs(parts), PAIRS)
 
 
 def _keep_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +264,8 @@ def frequent_phrases(docs: DataFrame, least: int = MIN_COUNT, longest: int = MAX
     found = [phrases.select("lang", "id", F.col("word").alias("phrase"), F.col("word").alias("tail"), "f", empty.alias("begins"), empty.alias("ends"))]
     relation = co_located(shards.join(_back(held), "shard").select("shard", "seq", "at", "id").mapInArrow(_keep_words, RELATION), "shard", "relation_1")
     for length in range(2, longest + 1):
-        phrases, held = _frequent(relation.mapInArrow(_count_pairs, PAIRS), ["a", "b"], least, f"frequent-{length}")
+        occurrences = phrases.agg(F.sum("f")).first()[0] or 0
+        phrases, held = _frequent(_pairs(relation, occurrences, least), ["a", "b"], least, f"frequent-{length}")
         found.append(scratch(_longer(phrases, found[-1]), f"phrases-{length}"))
         if length < longest:
             joined = relation.join(_back(held), "shard").select("shard", "seq", "ids", "at", "id")
