@@ -62,9 +62,39 @@ def test_packed_counts():
 
     from tidewater.llm.collocations import _pack, _unpack
 
-    slots, n = np.array([0, 0, 7, 255, 256, (1 << 24) - 1]), np.array([1, 2, 300, 1, 1 << 20, 5])
-    got = _unpack(_pack(slots, n))
-    assert got[0].tolist() == slots.tolist() and got[1].tolist() == n.tolist()
+    keys = np.array([-(1 << 63) + 1, -5, -5, 0, 7, 255, 256, 1 << 62])
+    n = np.array([1, 2, 300, 1, 1 << 40, 5, 0, 9])
+    got = _unpack(_pack(keys, n, -n), 3)
+    assert [c.tolist() for c in got] == [keys.tolist(), n.tolist(), (-n).tolist()]
+
+
+def test_answers_follow_the_order_sent():
+    import numpy as np
+    import pyarrow as pa
+
+    from tidewater.llm.collocations import _answered, _dealt, _meet, _send, _slots
+
+    rng = np.random.default_rng(3)
+    keys = [np.unique(rng.integers(-40, 40, (60, 2)), axis=0) for _ in range(5)]
+    said = [rng.integers(1, 9, len(k)) for k in keys]
+    want = {}
+    for k, n in zip(keys, said, strict=True):
+        for (x, y), m in zip(k.tolist(), n.tolist(), strict=True):
+            want[x, y] = want.get((x, y), 0) + m
+    sent = pa.Table.from_batches([_send(shard, k[:, 0], k[:, 1], n, 3) for shard, (k, n) in enumerate(zip(keys, said, strict=True))])
+    met = [_meet(6)(sent.filter(pa.compute.equal(sent["part"], part))).to_pylist() for part in range(3)]
+    met = [r for rows in met for r in rows]
+    ids = {(r["x"], r["y"]): r["id"] for r in met if r["shard"] is None}
+    assert {(r["x"], r["y"]): r["f"] for r in met if r["shard"] is None} == {k: f for k, f in want.items() if f >= 6}
+    assert len(set(ids.values())) == len(ids) > 5
+    owned = []
+    for shard, k in enumerate(keys):
+        order, cuts = _dealt(_slots(k[:, 0], k[:, 1], 3)[0], k[:, 0], k[:, 1])
+        at, got, first = _answered(cuts, {r["part"]: r["body"] for r in met if r["shard"] == shard})
+        held = [tuple(x) for x in k[order[at]].tolist()]
+        assert dict(zip(held, got.tolist(), strict=True)) == {key: ids[key] for key in map(tuple, k.tolist()) if key in ids}
+        owned += [key for key, mine in zip(held, first.tolist(), strict=True) if mine]
+    assert sorted(owned) == sorted(ids)
 
 
 def test_products_past_64_bits(spark):

@@ -9,15 +9,17 @@ For each length, from words to ``MAX_WORDS``:
 
 1. Merge-join the relation with itself by piece and adjacent place: a phrase of k + 1 words starts where
    frequent phrases of k words start at neighbouring places.  Shards are sorted, so the join is a shift.
-2. Group-count, in two steps.  Shards count their own phrases and send the counts by slot of a hash, packed
-   (about two bytes a phrase); a slot's sum bounds the count of every phrase in it, so only phrases of slots that
-   reach ``MIN_COUNT`` can be frequent.  Those are then shuffled one row per phrase and shard, and summed exactly.
-3. Semi-join: phrases said ``MIN_COUNT`` times or more go back to the shards that hold them, the relation
-   keeps only those, and is written for the next length.
+2. Group-count.  Shards count their own phrases.  Phrases of two words or more first go as counts by slot of a hash
+   (under two bytes each); a slot's sum bounds the count of every phrase in it, so only phrases of slots that reach
+   ``MIN_COUNT`` can be frequent.  Those, and all words, then go with their own keys and are summed exactly.
+3. Semi-join: shards get an answer for each phrase they sent, frequent or not and under which id; the relation keeps
+   the frequent ones and is written for the next length.
 
 The relations are bucketed by shard, so that occurrences are never shuffled; what is shuffled is one entry for
-each distinct phrase of a shard, however often the shard says it.  Slots are dealt to parts of about
-``PART_WORDS`` occurrences, whose number follows the corpus.  Each phrase knows the counts of its
+each distinct phrase of a shard, however often the shard says it.  Entries are dealt by hash to parts of about
+``PART_WORDS`` occurrences, whose number follows the corpus, and travel as one packed, sorted list for each shard and part;
+answers follow the same order, so they carry no keys.  A phrase's id is its part and its rank among the part's frequent
+phrases.  Words meet by a 128-bit hash of language and word.  Each phrase knows the counts of its
 beginnings and ends, since every part of a frequent phrase is frequent.
 """
 
@@ -30,11 +32,12 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import co_located, scratch, text_of
+from tidewater.llm.common import batches_of, co_located, scratch, text_of
 
 MIN_COUNT = 30
 MAX_WORDS = 4
@@ -45,8 +48,10 @@ SHARD_WORDS = 2_000_000
 #: Shards of one task.
 SHARDS_PER_TASK = 1 << 11
 #: Occurrences of a part of the slots (on average), and the slots of a part, as bits: eight for each of them.
-PART_WORDS = 1 << 21
-SLOT_BITS = 24
+PART_WORDS = 1 << 20
+SLOT_BITS = 23
+#: Bytes of shards that a Python worker holds at once, if not one shard has more.
+SHARD_BYTES = 8 << 20
 NO_LANG = "und"
 
 _ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -56,9 +61,10 @@ _TO_MARKS = bytes.maketrans(_ENDS, _MARK * len(_ENDS))
 
 SHARDS = "shard bigint, seq array<int>, words array<struct<lang: string, word: string, n: bigint>>"
 RELATION = "shard bigint, seq array<int>, ids array<bigint>"
-SKETCH = "part int, shard bigint, counts binary"
-MARKS = "part int, shard bigint, marks binary"
-PAIRS = "a bigint, b bigint, at bigint, n bigint"
+WORDS = RELATION + ", own array<struct<id: bigint, lang: string, word: string>>"
+SENT = "part int, shard bigint, body binary"
+#: An answer to a shard (shard, body), or a frequent phrase (id, x, y, f).
+MET = "part int, shard bigint, body binary, id bigint, x bigint, y bigint, f bigint"
 
 
 def _list_of(values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
@@ -104,74 +110,185 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield close(task)
 
 
-def _relation(shard: int, seq: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), _list_of(seq, pa.int32()), _list_of(ids, pa.int64())], ["shard", "seq", "ids"])
-
-
 def _numbers(batch: pa.RecordBatch, column: int, row: int) -> np.ndarray:
     return batch.column(column)[row].values.to_numpy(zero_copy_only=False)
 
 
-def _keep_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """shard, seq, its frequent words' places in its word list and ids -> the relation of single words."""
-    for batch in batches:
-        for row, shard in enumerate(batch.column(0).to_pylist()):
-            seq, at, ids = (_numbers(batch, c, row) for c in (1, 2, 3))
-            compact = np.zeros(int(seq.max(initial=0)) + 1, np.int32)
-            compact[at + 1] = np.arange(1, len(at) + 1)
-            yield _relation(shard, compact[seq], ids)
+def _by_part(batch: pa.RecordBatch, column: int, row: int) -> dict[int, bytes]:
+    return {m["part"]: m["body"] for m in batch.column(column)[row].as_py()}
 
 
-def _adjacent(seq: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(places, pairs) where phrases start at a place and at the next one."""
-    seq = seq.astype(np.int64)
-    at = np.flatnonzero((seq[:-1] > 0) & (seq[1:] > 0))
-    return at, seq[at] * (n + 1) + seq[at + 1]
+def _relation(shard: int, seq: np.ndarray, ids: np.ndarray, **more: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int64()), "seq": _list_of(seq, pa.int32()), "ids": _list_of(ids, pa.int64()), **more})
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Whole numbers, byte by byte and compressed; the first column, ascending, as steps."""
+    rows = np.concatenate([np.diff(columns[0], prepend=0), *columns[1:]]).astype("<i8")
+    return zstandard.compress(rows.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
 
+def _unpack(packed: bytes, columns: int) -> list[np.ndarray]:
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(8, -1)
+    first, *rest = np.ascontiguousarray(planes.T).view("<i8").reshape(columns, -1)
+    return [np.cumsum(first), *rest]
 
-def _slots(ids: np.ndarray, pairs: np.ndarray, parts: int) -> np.ndarray:
-    """(part, slot) of pairs as one number: a hash of the ids, the same in every shard."""
-    a, b = (ids[k - 1].astype(np.uint64) for k in np.divmod(pairs, len(ids) + 1))
-    h = a * np.uint64(0x9E3779B97F4A7C15) + b
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):  # every bit of a and b reaches every bit of h
+
+def _hash(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    h = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + y.astype(np.uint64)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):  # every bit of x and y reaches every bit of h
         h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
-    h ^= h >> np.uint64(31)
-    part = (h >> np.uint64(SLOT_BITS)) % np.uint64(parts)
-    return ((part << np.uint64(SLOT_BITS)) | (h & np.uint64((1 << SLOT_BITS) - 1))).astype(np.int64)
+    return h ^ (h >> np.uint64(31))
+
+
+def _dealt(part: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order by part and keys, and each part with its bounds in that order."""
+    order = np.lexsort((*reversed(keys), part))
+    parts, first = np.unique(part[order], return_index=True)
+    ends = np.append(first[1:], len(part))[: len(parts)]  # of no keys, no part
+    return order, list(zip(parts.tolist(), first.tolist(), ends.tolist(), strict=True))
+
 
+def _slots(x: np.ndarray, y: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(part, slot of the part) of keys, the same in every shard."""
+    h = _hash(x, y)
+    return ((h >> np.uint64(SLOT_BITS)) % np.uint64(parts)).astype(np.int64), (h & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
 
-def _pack(slots: np.ndarray, n: np.ndarray) -> bytes:
-    """Ascending slots and their counts: steps and counts byte by byte, compressed."""
-    rows = np.concatenate([np.diff(slots, prepend=0), n]).astype("<u4")
-    return zstandard.compress(rows.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
+def _sent(shard: int, bodies: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    parts, packed = zip(*bodies, strict=True) if bodies else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([shard] * len(parts), pa.int64()), pa.array(packed, pa.binary())], ["part", "shard", "body"])
 
-def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
-    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1)
-    steps, n = np.ascontiguousarray(planes.T).view("<u4").reshape(2, -1).astype(np.int64)
-    return np.cumsum(steps), n
 
+def _send(shard: int, x: np.ndarray, y: np.ndarray, n: np.ndarray, parts: int) -> pa.RecordBatch:
+    """The counts of a shard's keys for each part."""
+    order, cuts = _dealt(_slots(x, y, parts)[0], x, y)
+    x, y, n = x[order], y[order], n[order]
+    return _sent(shard, [(part, _pack(x[i:j], y[i:j], n[i:j])) for part, i, j in cuts])
 
-def _cuts(slots: np.ndarray) -> tuple[list[int], np.ndarray]:
-    """Parts of ascending (part, slot) numbers, and where each begins and the last ends."""
-    parts, first = np.unique(slots >> SLOT_BITS, return_index=True)
-    return parts.tolist(), np.append(first, len(slots))
+
+def _meet(least: int):
+    """applyInArrow function: the keys of a part, shard by shard -> the frequent ones, and the answer to every shard."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        part, shards = rows.column("part")[0].as_py(), rows.column("shard").to_numpy()
+        lists = [_unpack(body, 3) for body in rows.column("body").to_pylist()]
+        sizes = [len(x) for x, _, _ in lists]
+        x, y, n = (np.concatenate(c) for c in zip(*lists, strict=True))
+        order = np.lexsort((y, x))
+        x, y = x[order], y[order]
+        new = np.ones(len(x), bool)
+        new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+        first = np.flatnonzero(new)
+        f = np.add.reduceat(n[order], first)
+        owner = np.minimum.reduceat(np.repeat(shards, sizes)[order], first)
+        frequent = np.flatnonzero(f >= least)
+        rank = np.full(len(first), -1, np.int64)
+        rank[frequent] = np.arange(len(frequent))
+        group = np.empty(len(x), np.int64)
+        group[order] = np.cumsum(new) - 1
+        answers, end = [], 0
+        for shard, size in zip(shards.tolist(), sizes, strict=True):
+            own = group[end : end + size]
+            ranks, end = rank[own], end + size
+            hit = ranks >= 0
+            answers.append(_answer(hit, owner[own[hit]] == shard, ranks[hit]))
+        k, m = len(answers), len(frequent)
+        columns = [
+            pa.array([part] * (k + m), pa.int32()),
+            pa.array([*shards.tolist(), *[None] * m], pa.int64()),
+            pa.array([*answers, *[None] * m], pa.binary()),
+            *(pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(c, pa.int64())]) for c in ((part << 32) | rank[frequent], x[first[frequent]], y[first[frequent]], f[frequent])),
+        ]
+        return pa.table(columns, ["part", "shard", "body", "id", "x", "y", "f"])
+
+    return run
+
+
+def _answer(hit: np.ndarray, own: np.ndarray, ranks: np.ndarray) -> bytes:
+    """Which of a shard's keys are frequent; of those, which the shard is the first to hold, and their ranks."""
+    return zstandard.compress(np.packbits(hit).tobytes() + np.packbits(own).tobytes() + np.diff(ranks, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _answered(cuts: list[tuple[int, int, int]], answers: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places in the order sent, ids, whether the shard is the first) of a shard's frequent keys."""
+    at, ids, first = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+    for part, i, j in cuts:
+        raw = np.frombuffer(zstandard.decompress(answers[part]), np.uint8)
+        bits = (j - i + 7) // 8
+        hit = np.flatnonzero(np.unpackbits(raw[:bits], count=j - i))
+        own = bits + (len(hit) + 7) // 8
+        first.append(np.unpackbits(raw[bits:own], count=len(hit)).astype(bool))
+        steps = np.ascontiguousarray(raw[own:].reshape(4, -1).T).view("<u4").reshape(-1)
+        ids.append((part << 32) | np.cumsum(steps, dtype=np.int64))
+        at.append(i + hit)
+    return np.concatenate(at), np.concatenate(ids), np.concatenate(first)
+
+
+def _word_keys(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The 128-bit hash of every (lang, word) of a shard."""
+    langs, said = words.field(0).cast(pa.binary()).to_pylist(), words.field(1).cast(pa.binary()).to_pylist()
+    raw = b"".join(xxhash.xxh3_128_digest(lang + _MARK + word) for lang, word in zip(langs, said, strict=True))
+    pair = np.frombuffer(raw, np.int64).reshape(-1, 2)
+    return pair[:, 0], pair[:, 1]
+
+
+def _send_words(parts: int):
+    """mapInArrow function: shard, words -> its words' counts for each part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, shard in enumerate(batch.column(0).to_pylist()):
+                words = batch.column(1)[row].values
+                yield _send(shard, *_word_keys(words), words.field(2).to_numpy(zero_copy_only=False), parts)
+
+    return run
+
+
+def _keep_words(parts: int):
+    """mapInArrow function: shard, seq, words and the answers -> the relation of single words, and those it is the first to hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, shard in enumerate(batch.column(0).to_pylist()):
+                seq, words = _numbers(batch, 1, row), batch.column(2)[row].values
+                x, y = _word_keys(words)
+                order, cuts = _dealt(_slots(x, y, parts)[0], x, y)
+                place, ids, first = _answered(cuts, _by_part(batch, 3, row))
+                place = order[place]
+                compact = np.zeros(len(x) + 1, np.int32)
+                compact[place + 1] = np.arange(1, len(place) + 1)
+                mine = words.take(pa.array(place[first]))
+                own = pa.StructArray.from_arrays([pa.array(ids[first]), mine.field(0), mine.field(1)], ["id", "lang", "word"])
+                yield _relation(shard, compact[seq], ids, own=pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own))
+
+    return run
+
+
+def _adjacent(seq: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, pairs) where phrases start at a place and at the next one."""
+    at = np.flatnonzero((seq[:-1] > 0) & (seq[1:] > 0))
+    return at, seq[at].astype(np.int64) * (n + 1) + seq[at + 1]
+
+
+def _parted(pairs: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the two phrases of pairs."""
+    a, b = np.divmod(pairs, len(ids) + 1)
+    return ids[a - 1], ids[b - 1]
 
 
 def _count_slots(parts: int):
-    """mapInArrow function: a relation -> for each part of the slots, the shard's counts in it."""
+    """mapInArrow function: a relation -> for each part, the counts of its slots in the shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, shard in enumerate(batch.column(0).to_pylist()):
                 ids = _numbers(batch, 2, row)
                 pairs, n = np.unique(_adjacent(_numbers(batch, 1, row), len(ids))[1], return_counts=True)
-                slots = _slots(ids, pairs, parts)
-                order = np.argsort(slots, kind="stable")
-                slots, n = slots[order], n[order]
-                held, cuts = _cuts(slots)
-                packed = [_pack(slots[i:j] & ((1 << SLOT_BITS) - 1), n[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array([shard] * len(held), pa.int64()), pa.array(packed, pa.binary())], ["part", "shard", "counts"])
+                part, slot = _slots(*_parted(pairs, ids), parts)
+                order, cuts = _dealt(part, slot)
+                slot, n = slot[order], n[order]
+                yield _sent(shard, [(part, _pack(slot[i:j], n[i:j])) for part, i, j in cuts])
 
     return run
 
@@ -180,71 +297,77 @@ def _mark_slots(least: int):
     """applyInArrow function: the counts of a part, shard by shard -> for each shard, which of them are of slots with ``least``."""
 
     def run(rows: pa.Table) -> pa.Table:
-        lists = [_unpack(packed) for packed in rows.column("counts").to_pylist()]
+        lists = [_unpack(body, 2) for body in rows.column("body").to_pylist()]
         _, slot = np.unique(np.concatenate([slots for slots, _ in lists]), return_inverse=True)
         reach = np.bincount(slot, weights=np.concatenate([n for _, n in lists])) >= least
         ends = np.cumsum([len(slots) for slots, _ in lists])
         marks = [np.packbits(reach[slot[end - len(slots) : end]]).tobytes() for end, (slots, _) in zip(ends, lists, strict=True)]
-        return pa.table([rows.column("part"), rows.column("shard"), pa.array(marks, pa.binary())], ["part", "shard", "marks"])
+        return pa.table([rows.column("part"), rows.column("shard"), pa.array(marks, pa.binary())], ["part", "shard", "body"])
 
     return run
 
 
-def _count_pairs(parts: int):
-    """mapInArrow function: a relation and its marks -> a, b (ids of the two phrases that make the longer one), its place in the shard's list, count."""
+def _possible(pairs: np.ndarray, ids: np.ndarray, parts: int, marks: dict[int, bytes]) -> np.ndarray:
+    """Places of the pairs whose slots reach the count, ascending."""
+    part, slot = _slots(*_parted(pairs, ids), parts)
+    order, cuts = _dealt(part, slot)
+    reach = [np.unpackbits(np.frombuffer(marks[part], np.uint8), count=j - i) for part, i, j in cuts]
+    return np.sort(order[np.concatenate(reach).astype(bool)]) if reach else order
+
+
+def _send_pairs(parts: int):
+    """mapInArrow function: a relation and its marks -> its possible pairs' counts for each part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, shard in enumerate(batch.column(0).to_pylist()):
                 ids = _numbers(batch, 2, row)
                 pairs, n = np.unique(_adjacent(_numbers(batch, 1, row), len(ids))[1], return_counts=True)
-                slots = _slots(ids, pairs, parts)
-                order = np.argsort(slots, kind="stable")
-                held, cuts = _cuts(slots[order])
-                marks = {m["part"]: m["marks"] for m in batch.column(3)[row].as_py()}
-                reach = [np.unpackbits(np.frombuffer(marks[part], np.uint8), count=int(j - i)) for part, i, j in zip(held, cuts[:-1], cuts[1:], strict=True)]
-                kept = np.sort(order[np.concatenate(reach).astype(bool)]) if reach else order
-                a, b = np.divmod(pairs[kept], len(ids) + 1)
-                columns = ids[a - 1], ids[b - 1], (shard << 32) | kept, n[kept]
-                for k in range(0, len(kept), 1 << 16):
-                    yield pa.RecordBatch.from_arrays([pa.array(c[k : k + (1 << 16)]) for c in columns], ["a", "b", "at", "n"])
+                kept = _possible(pairs, ids, parts, _by_part(batch, 3, row))
+                yield _send(shard, *_parted(pairs[kept], ids), n[kept], parts)
 
     return run
 
 
-def _pairs(relation: DataFrame, occurrences: int, least: int) -> DataFrame:
-    """a, b, at, n of every pair that may be said ``least`` times, by shard; ``occurrences`` bounds the relation's."""
-    parts = 1 + occurrences // PART_WORDS
-    marks = relation.mapInArrow(_count_slots(parts), SKETCH).groupBy("part").applyInArrow(_mark_slots(least), MARKS)
-    marks = marks.groupBy("shard").agg(F.collect_list(F.struct("part", "marks")).alias("marked"))
-    return relation.join(marks, "shard").select("shard", "seq", "ids", "marked").mapInArrow(_count_pairs(parts), PAIRS)
+def _keep_pairs(parts: int):
+    """mapInArrow function: a relation, its marks and the answers -> the relation of the longer phrases."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, shard in enumerate(batch.column(0).to_pylist()):
+                seq, ids = _numbers(batch, 1, row), _numbers(batch, 2, row)
+                at, said = _adjacent(seq, len(ids))
+                pairs = np.unique(said)
+                pairs = pairs[_possible(pairs, ids, parts, _by_part(batch, 3, row))]
+                a, b = _parted(pairs, ids)
+                order, cuts = _dealt(_slots(a, b, parts)[0], a, b)
+                place, new, _ = _answered(cuts, _by_part(batch, 4, row))
+                place = order[place]
+                up = np.argsort(place)
+                kept, new = pairs[place[up]], new[up]
+                longer = np.zeros(len(seq), np.int32)
+                if len(kept):
+                    number = np.minimum(np.searchsorted(kept, said), len(kept) - 1)
+                    same = kept[number] == said
+                    longer[at[same]] = number[same] + 1
+                yield _relation(shard, longer, new)
 
-def _keep_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """shard, seq, ids, its frequent pairs' places in its list and ids -> the relation of the longer phrases."""
-    for batch in batches:
-        for row, shard in enumerate(batch.column(0).to_pylist()):
-            seq, ids, kept, new = (_numbers(batch, c, row) for c in range(1, 5))
-            at, pairs = _adjacent(seq, len(ids))
-            listed, number = np.unique(pairs, return_inverse=True)
-            compact = np.zeros(len(listed), np.int32)
-            compact[kept] = np.arange(1, len(kept) + 1)
-            longer = np.zeros(len(seq), np.int32)
-            longer[at] = compact[number]
-            yield _relation(shard, longer, new)
-
-
-def _frequent(rows: DataFrame, keys: list[str], least: int, label: str) -> tuple[DataFrame, DataFrame]:
-    """(the phrases said ``least`` times or more, with id and f; where shards hold them: at, id).
-
-    A group has one row per shard; ``at`` is the shard and the phrase's place in its list, so the least of a
-    phrase is an id that no other phrase has, and its row stands for the phrase.
-    """
-    same = Window.partitionBy(*keys)
-    met = rows.withColumn("f", F.sum("n").over(same)).withColumn("id", F.min("at").over(same)).where(F.col("f") >= least)
-    first = F.col("at") == F.col("id")
-    kept = scratch(met.select("at", "id", *[F.when(first, F.col(c)).alias(c) for c in (*keys, "f")]), label)
-    return kept.where(first).drop("at"), kept.select("at", "id")
+    return run
+
+
+def _by_shard(rows: DataFrame, name: str) -> DataFrame:
+    """shard, ``name``: what every part has for the shard."""
+    return rows.groupBy("shard").agg(F.collect_list(F.struct("part", "body")).alias(name))
+
+
+def _met(sent: DataFrame, least: int, label: str) -> tuple[DataFrame, DataFrame]:
+    """(frequent phrases: id, x, y, f; answers by shard)."""
+    met = scratch(sent.groupBy("part").applyInArrow(_meet(least), MET), label)
+    return met.where("shard IS NULL").select("id", "x", "y", "f"), _by_shard(met.where("shard IS NOT NULL"), "answers")
+
+
+def _parts(occurrences: int | None) -> int:
+    return 1 + (occurrences or 0) // PART_WORDS
 
 
 def frequent_phrases(docs: DataFrame, least: int = MIN_COUNT, longest: int = MAX_WORDS) -> tuple[list[DataFrame], DataFrame]:
@@ -255,31 +378,29 @@ def frequent_phrases(docs: DataFrame, least: int = MIN_COUNT, longest: int = MAX
     without the last and the first word.  Ids are of one length.  The second has (lang, n).
     """
     texts = docs.select(F.spark_partition_id().alias("task"), F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), text_of().alias("text"))
-    shards = co_located(texts.mapInArrow(_shards, SHARDS), "shard", "words")
-    said = shards.select("shard", F.posexplode("words").alias("at", "w"))
-    said = said.select(F.shiftleft("shard", 32).bitwiseOR(F.col("at").cast("bigint")).alias("at"), "w.lang", "w.word", "w.n")
-    words = said.groupBy("lang").agg(F.sum("n").alias("n"))
-    phrases, held = _frequent(said, ["lang", "word"], least, "frequent-1")
-    empty = F.array().cast("array<bigint>")
-    found = [phrases.select("lang", "id", F.col("word").alias("phrase"), F.col("word").alias("tail"), "f", empty.alias("begins"), empty.alias("ends"))]
-    relation = co_located(shards.join(_back(held), "shard").select("shard", "seq", "at", "id").mapInArrow(_keep_words, RELATION), "shard", "relation_1")
-    for length in range(2, longest + 1):
-        occurrences = phrases.agg(F.sum("f")).first()[0] or 0
-        phrases, held = _frequent(_pairs(relation, occurrences, least), ["a", "b"], least, f"frequent-{length}")
-        found.append(scratch(_longer(phrases, found[-1]), f"phrases-{length}"))
-        if length < longest:
-            joined = relation.join(_back(held), "shard").select("shard", "seq", "ids", "at", "id")
-            relation = co_located(joined.mapInArrow(_keep_pairs, RELATION), "shard", f"relation_{length}")
+    shards = co_located(texts.mapInArrow(_shards, SHARDS), "shard", "words", "zstd")
+    words = shards.select(F.explode("words").alias("w")).groupBy("w.lang").agg(F.sum("w.n").alias("n"))
+    words = scratch(words, "words")
+    with batches_of(docs.sparkSession, SHARD_BYTES):
+        parts = _parts(words.agg(F.sum("n")).first()[0])
+        phrases, answers = _met(shards.select("shard", "words").mapInArrow(_send_words(parts), SENT), least, "frequent-1")
+        kept = shards.join(answers, "shard").select("shard", "seq", "words", "answers").mapInArrow(_keep_words(parts), WORDS)
+        relation = co_located(kept, "shard", "relation_1", "zstd")
+        empty = F.array().cast("array<bigint>")
+        own = relation.select(F.explode("own").alias("w")).select("w.id", "w.lang", F.col("w.word").alias("phrase"))
+        found = [scratch(own.join(phrases, "id").select("lang", "id", "phrase", F.col("phrase").alias("tail"), "f", empty.alias("begins"), empty.alias("ends")), "phrases-1")]
+        for length in range(2, longest + 1):
+            parts = _parts(phrases.agg(F.sum("f")).first()[0])
+            marks = relation.select("shard", "seq", "ids").mapInArrow(_count_slots(parts), SENT).groupBy("part").applyInArrow(_mark_slots(least), SENT)
+            marked = relation.select("shard", "seq", "ids").join(scratch(_by_shard(marks, "marks"), f"marks-{length}"), "shard")
+            phrases, answers = _met(marked.mapInArrow(_send_pairs(parts), SENT), least, f"frequent-{length}")
+            pairs = phrases.withColumnsRenamed({"x": "a", "y": "b"})
+            found.append(scratch(_longer(pairs, found[-1]), f"phrases-{length}"))
+            if length < longest:
+                relation = co_located(marked.join(answers, "shard").mapInArrow(_keep_pairs(parts), RELATION), "shard", f"relation_{length}", "zstd")
     return found, words
 
 
-def _back(held: DataFrame) -> DataFrame:
-    """One row per shard: places in its list and ids of its frequent phrases."""
-    place = F.col("at").bitwiseAND(F.lit((1 << 32) - 1))
-    listed = held.groupBy(F.shiftrightunsigned("at", 32).alias("shard")).agg(F.collect_list(F.struct(place.alias("at"), "id")).alias("rows"))
-    return listed.select("shard", F.col("rows.at").alias("at"), F.col("rows.id").alias("id"))
-
-
 def _longer(pairs: DataFrame, shorter: DataFrame) -> DataFrame:
     """Phrases put together from their parts without the last and without the first word."""
     first = shorter.select(F.col("id").alias("a"), "lang", F.col("phrase").alias("head"), F.concat("begins", F.array("f")).alias("begins"))
