@@ -61,7 +61,7 @@ def test_insert_and_delete_are_reversible(docs):
     some, more = one.where("doc_id % 3 <> 0"), one.where("doc_id % 3 = 0")
     first = LineIndex.build(some, keys_per_shard=20)
     assert first.shards > 3
-    both = first.insert(more)
+    both = first.insert(more).insert(more)
     whole = LineIndex.build(one, keys_per_shard=20)
     assert state(both)[:2] == state(whole)[:2]
     assert rows(both.decisions(), "id", "x", "y") == rows(whole.decisions(), "id", "x", "y") != []
@@ -72,6 +72,49 @@ def test_insert_and_delete_are_reversible(docs):
     assert rows(late.decisions(), "id", "x", "y") == rows(LineIndex.build(more).decisions(), "id", "x", "y")
 
 
+def test_a_document_counts_once(spark):
+    """Rows of one id, and a document that is inserted twice, are one holder."""
+    line, other = "a line that is long enough", "another line that is long enough"
+    docs = spark.createDataFrame([(1, line), (1, f"{line}\n{other}"), (2, f"{line}\n{line}"), (None, other), (None, other)], "doc_id bigint, text string")
+    index = LineIndex.build(docs, parts=4)
+    assert sorted(r["n"] for r in index.refs.collect()) == [2, 2]
+    assert index.postings.count() == 4
+    again = index.insert(docs.where("doc_id = 1"))
+    assert state(again) == state(index)
+    more = again.insert(spark.createDataFrame([(1, "a third line, long enough"), (3, line), (3, line)], docs.schema))
+    assert sorted(r["n"] for r in more.refs.collect()) == [1, 2, 3]
+    assert state(more.delete(spark.createDataFrame([(3,)], "doc_id bigint")))[1] != state(index)[1]
+    assert rows(more.delete(spark.createDataFrame([(1,), (2,), (3,), (None,)], "doc_id bigint")).refs, "n") == []
+
+
+def test_a_change_writes_the_parts_it_touches(spark, monkeypatch):
+    from tidewater.llm import line_dedup
+
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat('line number ', id % 150, '\nshared by all of them') AS text")
+    index = LineIndex.build(docs, keys_per_shard=10, parts=8)
+    one = spark.createDataFrame([(1000, "line number 7\nwritten only here")], "doc_id bigint, text string")
+    changed = index.insert(one)
+    (old, stays), (_, written) = changed.posting_parts.pieces
+    assert old is index.posting_parts.pieces[0][0] and len(stays) == 7 and len(written) == 1
+    assert changed.ref_parts.pieces[0][0] is index.ref_parts.pieces[0][0] and len(changed.ref_parts.pieces[0][1]) >= 6
+    assert changed.filter_parts.pieces[0][1] == changed.ref_parts.pieces[0][1]
+    fresh = LineIndex.build(docs.unionByName(one), keys_per_shard=10)
+    assert state(changed)[:2] == state(fresh)[:2]
+    assert rows(changed.decisions(), "id", "x", "y") == rows(fresh.decisions(), "id", "x", "y")
+    monkeypatch.setattr(line_dedup, "PIECES", 1)  # a change after which the parts are written together again
+    back = changed.delete(one.select("doc_id"))
+    assert len(back.posting_parts.pieces) == 1 and state(back) == state(index)
+
+
+def test_a_shard_is_probed_in_as_many_tasks_as_it_needs(spark, monkeypatch):
+    from tidewater.llm import line_dedup
+
+    monkeypatch.setattr(line_dedup, "PROBE_ROWS", 50)
+    docs = spark.range(900).selectExpr("id AS doc_id", "concat('line number ', id % 150, '\nshared by all of them') AS text")
+    index = LineIndex.build(docs, keys_per_shard=40)
+    assert index.decisions().count() == 899 + 750
+
+
 def test_columns_stay(docs):
     done = dedup_lines(docs)
     assert done.columns == [*docs.columns, "__n_lines", "__n_dropped"]

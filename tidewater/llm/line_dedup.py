@@ -7,7 +7,9 @@ State (``LineIndex``):
 * ``filters``   shard, filter: a cuckoo filter of every shard's keys, each
   entry marked if more than one document holds the key.
 
-(x, y) is the 128-bit hash of a key.  ``insert`` asks the filters which of a
+(x, y) is the 128-bit hash of a key.  Rows of one doc_id are one document: it has one posting for a key and counts
+once.  The tables are kept in ``parts``, postings by id, references and filters by shard; a change reads and writes
+only the parts it touches.  ``insert`` asks the filters which of a
 batch's keys may be known; only those meet the reference counts.  ``delete``
 counts the touched keys anew from the postings that stay.  Both bring the
 filters up to date entry by entry, so inserting documents and deleting them
@@ -16,13 +18,16 @@ shared, and decides those by the exact counts.
 
 A shard holds about ``KEYS_PER_SHARD`` keys, so the number of shards follows the
 data and a filter has a fixed size.  A key held by very many documents is
-combined before its count is shuffled; its lines are probed in ``SALTS`` tasks;
-the join that decides them can be split.
+combined before its count is shuffled; a shard's lines are probed in as many
+tasks as their measured number asks for (``PROBE_ROWS`` each); the join that
+decides them can be split.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -34,10 +39,15 @@ from pyspark.sql import types as T
 
 from tidewater.llm.common import WHITE, free_name, id_order, scratch, text_of
 from tidewater.llm.cuckoo import ABSENT, SHARED, SINGLE, SLOTS, Full, dump, empty, insert, load, probe, remove
+from tidewater.session import scratch_dir
 
 MIN_CODE_POINTS = 10
 KEYS_PER_SHARD = 250_000
-SALTS = 8
+#: Lines of a shard that a task probes (on average).
+PROBE_ROWS = 200_000
+#: Parts of an index that is meant to be changed, and changes after which its parts are written together again.
+PARTS = 64
+PIECES = 16
 _WHITE = WHITE.encode()
 
 
@@ -66,9 +76,13 @@ def _keys(batches):
 
 
 def line_keys(docs: DataFrame) -> DataFrame:
-    """id, x, y: the distinct line keys of every document."""
+    """id, x, y: the distinct line keys of every document; rows of one id are one document."""
     rows = docs.select(id_order().alias("id"), text_of().alias("text"))
-    return rows.mapInArrow(_keys, "id bigint, x bigint, y bigint")
+    keys = scratch(rows.mapInArrow(_keys, "id bigint, x bigint, y bigint"), "line-keys")
+    several = scratch(rows.groupBy("id").count().where("count > 1").select("id"), "line-several")
+    if several.isEmpty():
+        return keys
+    return keys.join(several, "id", "left_anti").unionByName(keys.join(several, "id", "left_semi").distinct())
 
 
 def _count(postings: DataFrame) -> DataFrame:
@@ -111,7 +125,56 @@ def _change_filter(key, old: pd.DataFrame, changes: pd.DataFrame) -> pd.DataFram
 
 def _filters(refs: DataFrame, shards: int) -> DataFrame:
     rows = refs.select(_shard(shards).alias("shard"), "x", "y", (F.col("first_id") != F.col("last_id")).alias("shared"))
-    return scratch(rows.groupBy("shard").applyInPandas(_build_filter, "shard int, filter binary"), "filters")
+    return rows.groupBy("shard").applyInPandas(_build_filter, "shard int, filter binary")
+
+
+@dataclass(frozen=True)
+class Parts:
+    """A table in ``n`` parts by the column expression ``by``.
+
+    It is held in pieces, each a written table (with its column ``part``, which is a folder) and the parts of it that
+    still hold.  A change adds a piece with the parts it touches; the others stay where they are.
+    """
+
+    by: Column
+    n: int
+    pieces: tuple[tuple[DataFrame, frozenset[int]], ...]
+
+    @staticmethod
+    def of(df: DataFrame, by: Column, n: int, label: str) -> Parts:
+        """``df`` in ``n`` parts; one part is taken as it is."""
+        whole = frozenset(range(n))
+        return Parts(by, n, ((df if n == 1 else _in_parts(df, by, n, label), whole),))
+
+    def touched(self, rows: DataFrame) -> frozenset[int]:
+        """The parts that these rows are in: ``n`` numbers at most."""
+        if self.n == 1:
+            return frozenset([0])
+        return frozenset(r[0] for r in rows.select(F.pmod(self.by, F.lit(self.n)).cast("int")).distinct().collect())
+
+    def read(self, parts: frozenset[int] | None = None) -> DataFrame:
+        out = []
+        for table, holds in self.pieces:
+            wanted = holds if parts is None else holds & parts
+            held = table.where(F.col("part").isin(sorted(wanted))).drop("part") if "part" in table.columns else table if wanted else table.limit(0)
+            out.append(held)
+        return reduce(DataFrame.unionByName, out)
+
+    def replace(self, parts: frozenset[int], rows: DataFrame, label: str) -> Parts:
+        """The table with ``rows`` as the content of ``parts``."""
+        new = scratch(rows, label) if self.n == 1 else _in_parts(rows, self.by, self.n, label)
+        held = tuple((table, holds - parts) for table, holds in self.pieces if holds - parts)
+        out = Parts(self.by, self.n, (*held, (new, parts)))
+        return Parts.of(out.read(), self.by, self.n, label) if len(out.pieces) > PIECES else out
+
+
+def _in_parts(df: DataFrame, by: Column, n: int, label: str) -> DataFrame:
+    """``df`` written in folders by part."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, "llm", f"{label}-{uuid.uuid4().hex}")
+    rows = df.withColumn("part", F.pmod(by, F.lit(n)).cast("int"))
+    rows.repartition("part").write.partitionBy("part").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def _probe(batches):
@@ -138,27 +201,52 @@ def _probe(batches):
 
 @dataclass(frozen=True)
 class LineIndex:
-    postings: DataFrame
-    refs: DataFrame
-    filters: DataFrame
+    posting_parts: Parts
+    ref_parts: Parts
+    filter_parts: Parts
     shards: int
     keys_per_shard: int = KEYS_PER_SHARD
 
     @staticmethod
-    def build(docs: DataFrame, keys_per_shard: int = KEYS_PER_SHARD) -> LineIndex:
-        postings = scratch(line_keys(docs), "line-postings")
+    def build(docs: DataFrame, keys_per_shard: int = KEYS_PER_SHARD, parts: int = 1) -> LineIndex:
+        """The index of ``docs``, in ``parts`` parts (``PARTS`` for one that is meant to be changed)."""
+        postings = line_keys(docs)
         refs = scratch(_count(postings), "line-refs")
+        return LineIndex._of(Parts.of(postings, F.xxhash64("id"), parts, "line-postings"), refs, keys_per_shard, parts)
+
+    @staticmethod
+    def _of(postings: Parts, refs: DataFrame, keys_per_shard: int, parts: int) -> LineIndex:
         shards = max(1, -(-refs.count() // keys_per_shard))
-        return LineIndex(postings, refs, _filters(refs, shards), shards, keys_per_shard)
+        filters = scratch(_filters(refs, shards), "filters")
+        return LineIndex(
+            postings, Parts.of(refs, _shard(shards), parts, "line-refs"), Parts.of(filters, F.col("shard"), parts, "filters"), shards, keys_per_shard
+        )
+
+    @property
+    def postings(self) -> DataFrame:
+        return self.posting_parts.read()
 
-    def probe(self, keys: DataFrame) -> DataFrame:
+    @property
+    def refs(self) -> DataFrame:
+        return self.ref_parts.read()
+
+    @property
+    def filters(self) -> DataFrame:
+        return self.filter_parts.read()
+
+    def probe(self, keys: DataFrame, filters: DataFrame | None = None) -> DataFrame:
         """Rows of ``keys`` (id, x, y) that may be in the index, with state SINGLE or SHARED."""
-        salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        filters = self.filters.select(
-            "shard", F.lit(0).alias("tag"), "filter", F.lit(None).cast("bigint").alias("id"), F.lit(0).cast("bigint").alias("x"), F.lit(0).cast("bigint").alias("y"), salt.alias("salt")
+        filters = self.filters if filters is None else filters
+        dealt = keys.select(_shard(self.shards).alias("shard"), "id", "x", "y")
+        many = dealt.groupBy("shard").count().select("shard", F.ceil(F.col("count") / PROBE_ROWS).cast("int").alias("salts"))
+        many = scratch(many.where("salts > 1"), "line-salts")  # only shards that take more than one task
+        salts = F.coalesce("salts", F.lit(1))
+        filters = filters.join(many, "shard", "left").select(
+            "shard", F.lit(0).alias("tag"), "filter", F.lit(None).cast("bigint").alias("id"), F.lit(0).cast("bigint").alias("x"), F.lit(0).cast("bigint").alias("y"),
+            F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"),
         )
-        rows = keys.select(
-            _shard(self.shards).alias("shard"), F.lit(1).alias("tag"), F.lit(None).cast("binary").alias("filter"), "id", "x", "y", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt")
+        rows = dealt.join(many, "shard", "left").select(
+            "shard", F.lit(1).alias("tag"), F.lit(None).cast("binary").alias("filter"), "id", "x", "y", F.pmod(F.xxhash64("id", "y"), salts).cast("int").alias("salt")
         )
         dealt = filters.unionByName(rows).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "tag")
         return dealt.mapInArrow(_probe, "id bigint, x bigint, y bigint, state int")
@@ -169,44 +257,58 @@ class LineIndex:
         held = self.refs.where("first_id < last_id").select("x", "y", "first_id")
         return may.join(held, ["x", "y"]).where("id > first_id").select("id", "x", "y")
 
-    def _changed(self, postings: DataFrame, refs: DataFrame, before: DataFrame, after: DataFrame) -> LineIndex:
-        """Index with new tables; before, after: the touched keys' counts."""
+    def _changed(self, postings: Parts, parts: frozenset[int], before: DataFrame, after: DataFrame) -> LineIndex:
+        """Index with new postings; before, after: the touched keys' counts, all of these parts of the references."""
+        kept = self.ref_parts.read(parts).join(before.select("x", "y"), ["x", "y"], "left_anti")
+        refs = self.ref_parts.replace(parts, kept.unionByName(after), "line-refs")
         b = before.select("x", "y", _state(F.col("n"), F.col("first_id"), F.col("last_id")).alias("was"))
         a = after.select("x", "y", _state(F.col("n"), F.col("first_id"), F.col("last_id")).alias("now"))
         moved = b.join(a, ["x", "y"], "full").select(
             _shard(self.shards).alias("shard"), "x", "y", F.coalesce("was", F.lit(ABSENT)).alias("was"), F.coalesce("now", F.lit(ABSENT)).alias("now")
         )
         moved = moved.where("was <> now")
-        changed = self.filters.groupBy("shard").cogroup(moved.groupBy("shard")).applyInPandas(_change_filter, "shard int, filter binary")
-        filters = scratch(changed, "filters")
-        if filters.where("filter IS NULL").limit(1).count():
+        # a part of the references is the same part of the filters: both follow the shard
+        old = self.filter_parts.read(parts).groupBy("shard")
+        changed = scratch(old.cogroup(moved.groupBy("shard")).applyInPandas(_change_filter, "shard int, filter binary"), "filters")
+        if not changed.where("filter IS NULL").isEmpty():
             # a filter has no place left: deal the keys to more shards
-            shards = max(1, -(-refs.count() // self.keys_per_shard))
-            return LineIndex(postings, refs, _filters(refs, shards), shards, self.keys_per_shard)
-        return LineIndex(postings, refs, filters, self.shards, self.keys_per_shard)
+            return LineIndex._of(postings, scratch(refs.read(), "line-refs"), self.keys_per_shard, self.ref_parts.n)
+        return LineIndex(postings, refs, self.filter_parts.replace(parts, changed, "filters"), self.shards, self.keys_per_shard)
 
     def insert(self, docs: DataFrame) -> LineIndex:
-        """The index with these documents added."""
-        new = scratch(line_keys(docs), "line-postings")
+        """The index with these documents added.
+
+        A document that the index has already gains the keys it had not; inserting it again changes nothing.
+        """
+        keys = scratch(line_keys(docs), "line-new")
+        homes = self.posting_parts.touched(keys)
+        held = self.posting_parts.read(homes)
+        new = scratch(keys.join(held, ["id", "x", "y"], "left_anti"), "line-new")
+        postings = self.posting_parts.replace(homes, held.unionByName(new), "line-postings")
         batch = scratch(_count(new), "line-batch")
-        known = scratch(self.probe(batch.select(F.lit(0).cast("bigint").alias("id"), "x", "y")).select("x", "y"), "line-known")
+        parts = self.ref_parts.touched(batch)
+        known = self.probe(batch.select(F.lit(0).cast("bigint").alias("id"), "x", "y"), self.filter_parts.read(parts))
+        known = scratch(known.select("x", "y"), "line-known")
         fresh = batch.join(known, ["x", "y"], "left_anti")
-        before = scratch(self.refs.join(known, ["x", "y"], "left_semi"), "line-before")
+        before = scratch(self.ref_parts.read(parts).join(known, ["x", "y"], "left_semi"), "line-before")
         both = before.unionByName(batch.join(known, ["x", "y"], "left_semi"))
         merged = both.groupBy("x", "y").agg(F.sum("n").alias("n"), F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id"))
-        after = scratch(merged.unionByName(fresh), "line-after")
-        refs = scratch(self.refs.join(known, ["x", "y"], "left_anti").unionByName(after), "line-refs")
-        return self._changed(scratch(self.postings.unionByName(new), "line-postings"), refs, before, after)
+        return self._changed(postings, parts, before, scratch(merged.unionByName(fresh), "line-after"))
 
     def delete(self, ids: DataFrame) -> LineIndex:
-        """The index without the documents of these ids (column doc_id)."""
+        """The index without the documents of these ids (column doc_id).
+
+        Counts of the touched keys are made anew from the postings that stay, since a first or last holder may go.
+        """
         gone = scratch(ids.select(id_order().alias("id")).distinct(), "line-gone")
-        touched = scratch(self.postings.join(gone, "id", "left_semi").select("x", "y").distinct(), "line-touched")
-        postings = scratch(self.postings.join(gone, "id", "left_anti"), "line-postings")
-        before = scratch(self.refs.join(touched, ["x", "y"], "left_semi"), "line-before")
-        after = scratch(_count(postings.join(touched, ["x", "y"], "left_semi")), "line-after")
-        refs = scratch(self.refs.join(touched, ["x", "y"], "left_anti").unionByName(after), "line-refs")
-        return self._changed(postings, refs, before, after)
+        homes = self.posting_parts.touched(gone)
+        held = self.posting_parts.read(homes)
+        keys = scratch(held.join(gone, "id", "left_semi").select("x", "y").distinct(), "line-touched")
+        postings = self.posting_parts.replace(homes, held.join(gone, "id", "left_anti"), "line-postings")
+        parts = self.ref_parts.touched(keys)
+        before = scratch(self.ref_parts.read(parts).join(keys, ["x", "y"], "left_semi"), "line-before")
+        after = scratch(_count(postings.read().join(keys, ["x", "y"], "left_semi")), "line-after")
+        return self._changed(postings, parts, before, after)
 
 
 def _drop_lines(columns: list[str], text_at: int):
