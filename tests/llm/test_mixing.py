@@ -55,6 +55,24 @@ def test_stops_are_shared_again(spark):
     assert all(r["taken"] == 0 for r in got if r["size"] == 0)
 
 
+def test_inclusion_follows_the_size(spark):
+    """Chances of short and long documents: their odds differ by the root of their sizes' ratio, over many draws."""
+    docs = spark.range(3000).selectExpr("id AS doc_id", "trim(repeat('w ', CASE WHEN id % 3 = 0 THEN 36 ELSE 4 END)) AS text", "CASE WHEN id % 10 < 5 THEN 'a' ELSE 'b' END AS source")
+    said = {r["doc_id"]: r["size"] for r in mixing.mix_sources(docs, weights=(1, 3)).collect()}
+    taken, met = defaultdict(int), defaultdict(int)
+    for seed in (1, 2, 3):
+        rows = mixing.mix_sources(docs, weights=(1, 3), seed=seed).where("source = 'a'").collect()
+        assert abs(sum(r["taken"] for r in rows) - rows[0]["target"]) <= 4.5
+        for r in rows:
+            met[said[r["doc_id"]]] += 1
+            taken[said[r["doc_id"]]] += r["copies"]
+    odds = {size: (taken[size] / met[size]) / (1 - taken[size] / met[size]) for size in (4, 36)}
+    assert 2.4 < odds[36] / odds[4] < 3.75  # (36 / 4) ** 0.5 = 3
+    alike = mixing.mix_sources(docs, weights=(1, 3), power=0.0).where("source = 'a'").collect()
+    shares = {size: sum(r["copies"] for r in alike if r["size"] == size) / sum(1 for r in alike if r["size"] == size) for size in (4, 36)}
+    assert 0.8 < shares[36] / shares[4] < 1.25
+
+
 def test_unequal_odds(spark):
     docs = spark.range(4000).selectExpr("id AS doc_id", "'a b c d' AS text", "concat('s', id % 3) AS source", "CASE WHEN id % 2 = 0 THEN 8.0 ELSE 1.0 END AS o")
     got = mixing.mix_sources(docs, weights=(3, 1, 1), odds=F.col("o")).collect()

@@ -9,8 +9,10 @@ documents in the order of
 
 with u a keyed hash of the document, until the words asked for are taken.
 The sample size is thus fixed (in words), the inclusion unequal: it follows
-the odds p / (1 - p) of the source's share p still to be taken, times the
-document's own ``odds`` if a column is given.
+the odds p / (1 - p) of the source's share p still to be taken, times
+(size / mean size of the source) ** ``POWER``, times the document's own
+``odds`` if a column is given.  With a power of one half a source's sample is
+neither mostly its fragments nor decided by its few longest texts.
 
 Skew: no step gathers a source in one task.  Words are summed per source
 (partial sums first) and per (source, slice of the order); whole slices are
@@ -28,6 +30,8 @@ from tidewater.llm.common import free_name, scratch, text_of, words_of
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 SEED = 20_240_501
+#: Odds of inclusion grow with this power of a document's size in words (0: all alike).
+POWER = 0.5
 #: Slices of a source's order; a slice holds a source's rows / SLICES.
 SLICES = 4096
 #: Passes: the sample, then documents small enough for what is left.
@@ -35,7 +39,7 @@ PASSES = 3
 
 
 def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
-    """One row per source: source, source_size, target.
+    """One row per source: source, source_size, n_texts (documents with words), target.
 
     Sources in code point order, null last, take ``weights`` in turn and
     share all words by weight.  A target stops at ``max_copies`` times the
@@ -45,7 +49,7 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_cop
     source that stays below its stop when all before it are at theirs.
     The windows run over one row per source.
     """
-    per = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    per = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count_if(F.col("size") > 0).alias("n_texts"))
     turn = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
     weight = F.get(F.array(*[F.lit(w) for w in weights]), ((turn - 1) % len(weights)).cast("int"))
     per = per.withColumn("turn", turn).withColumn("w", weight.cast("bigint"))
@@ -60,7 +64,7 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_cop
     first = F.first(below, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     share = first["level"] * F.col("w")
     return per.select(
-        "source", "source_size", F.least(F.col("stop").cast("double"), share).alias("target")
+        "source", "source_size", "n_texts", F.least(F.col("stop").cast("double"), share).alias("target")
     )
 
 
@@ -92,6 +96,7 @@ def mix_sources(
     max_copies: int = MAX_COPIES,
     seed: int = SEED,
     odds: Column | None = None,
+    power: float = POWER,
 ) -> DataFrame:
     """Copies of every document for a mix with the targets of ``source_targets``.
 
@@ -105,7 +110,8 @@ def mix_sources(
     rows that agree in doc_id, source and text share one draw, so they are
     taken together or not at all, each counted; a null doc_id is drawn by
     its text.  ``odds`` are positive relative odds of a document in its
-    source (null or none: 1).
+    source (null or none: 1), on top of those by size.  Which copies are sampled is a
+    draw: a document's chance p has the odds p / (1 - p) that its size and ``odds`` ask for.
 
     After the sample, what is left of a target is below the next document's
     size; two more passes take, in the same order, documents that still fit.
@@ -121,10 +127,12 @@ def mix_sources(
     plan = plan.withColumn("need", F.floor(F.col("target") - F.col("whole") * F.col("source_size") + 0.5).cast("bigint"))
     # inclusion probability of the sampled copy; odds are kept finite for p = 0 and 1
     p = F.greatest(F.lit(1e-9), F.least(F.lit(1 - 1e-9), F.col("need") / nonzero))
-    plan = plan.withColumn("odds", p / (1 - p)).select(F.col("source").alias("psource"), "source_size", "target", "whole", "need", "odds")
+    mean = F.col("source_size") / F.nullif(F.col("n_texts"), F.lit(0))
+    plan = plan.withColumn("odds", p / (1 - p) / F.pow(mean, F.lit(power)))
+    plan = plan.select(F.col("source").alias("psource"), "source_size", "target", "whole", "need", "odds")
 
     # one row per draw: identical rows count as one document of their summed size
-    draws = sized.where("size > 0").groupBy("k", "source").agg(F.sum("size").alias("size"), F.max("own").alias("own"))
+    draws = sized.where("size > 0").groupBy("k", "source").agg(F.sum("size").alias("size"), F.max(F.col("own") * F.pow("size", F.lit(power))).alias("own"))
     u = (F.pmod(F.xxhash64(F.lit(seed + 1), "k"), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
     draws = draws.join(plan, draws["source"].eqNullSafe(plan["psource"])).where("need > 0")
     draws = scratch(draws.select("k", "source", "size", (u / (1 - u) / (F.col("odds") * F.col("own"))).alias("q")), "draws")
