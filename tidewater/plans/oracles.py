@@ -243,11 +243,22 @@ FROM {_COMP_DAYS}
 CROSS JOIN (SELECT r_regionkey // 2000 AS shard, CAST(count(*) AS BIGINT) AS n_competitions FROM region GROUP BY 1) s
 """
 
-LANDING_WRITE = FX + _FILES + f"""
+# what a document says of its matches, by id
+_DIGESTS = """, digests AS (
+  SELECT file_key, md5(string_agg(
+      match_id || '|' || coalesce(strftime(utc_date, '%Y-%m-%dT%H:%M:%SZ'), '-') || '|' || coalesce(status, '-') || '|'
+      || strftime(last_updated, '%Y-%m-%dT%H:%M:%SZ') || '|' || coalesce(CAST(home_team_id AS VARCHAR), '-') || '|'
+      || coalesce(CAST(away_team_id AS VARCHAR), '-') || '|' || coalesce(winner, '-') || '|'
+      || coalesce(CAST(ft_home_goals AS VARCHAR), '-') || '|' || coalesce(CAST(ft_away_goals AS VARCHAR), '-'),
+      chr(10) ORDER BY match_id)) AS digest
+  FROM v_matches GROUP BY file_key
+)"""
+
+LANDING_WRITE = FX + _FILES + _DIGESTS + f"""
 SELECT competition_code AS competition, strftime(date_from, {KEY_DATE}) AS date_from,
        strftime(date_to, {KEY_DATE}) AS date_to, strftime(dt, {KEY_DATE}) AS dt, run_id,
-       CAST(count(*) AS BIGINT) AS n_documents, CAST(sum(n_matches) AS BIGINT) AS n_matches
-FROM files GROUP BY ALL
+       CAST(count(*) AS BIGINT) AS n_documents, CAST(sum(n_matches) AS BIGINT) AS n_matches, min(digest) AS digest
+FROM files JOIN digests USING (file_key) GROUP BY ALL
 """
 
 # the JSON of a document's manifest
@@ -256,10 +267,10 @@ MANIFEST_TEXT = f"""'{{"run_id":"' || run_id || '","endpoint":"matches","competi
          || '"}},"dt_partition":"' || strftime(dt, {KEY_DATE}) || '","fetched_at_utc":"' || strftime(dt, {KEY_DATE})
          || 'T01:00:00+00:00","record_count":' || n_matches || ',"bucket":"bronze","data_key":"' || file_key || '"}}'"""
 
-LANDING_PAIR_WRITE = FX + _FILES + f"""
-SELECT file_key, n_matches, NULL AS manifest FROM files
+LANDING_PAIR_WRITE = FX + _FILES + _DIGESTS + f"""
+SELECT file_key, n_matches, NULL AS manifest, digest FROM files JOIN digests USING (file_key)
 UNION ALL
-SELECT {MANIFEST_OF}, n_matches, {MANIFEST_TEXT} FROM files
+SELECT {MANIFEST_OF}, n_matches, {MANIFEST_TEXT}, NULL FROM files
 """
 
 MANIFEST_BUILD = FX + _FILES + f"""

@@ -135,21 +135,37 @@ def q_competitions_flatten(spark, sf_dir):
     return competitions_flatten(_fx(spark, sf_dir).lake.raw_competitions.read())
 
 
+# what a landed document says of each match
+_SAID = ("id bigint, utcDate string, status string, lastUpdated string, homeTeam struct<id bigint>, awayTeam struct<id bigint>, "
+         "score struct<winner string, fullTime struct<home bigint, away bigint>>")
+
+
+def _digest(matches):
+    """md5 of a document's matches by id: time, state, teams and score, one line each."""
+    def line(m):
+        said = (m["id"], m["utcDate"], m["status"], m["lastUpdated"], m["homeTeam"]["id"], m["awayTeam"]["id"],
+                m["score"]["winner"], m["score"]["fullTime"]["home"], m["score"]["fullTime"]["away"])
+        return F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("-")) for c in said])
+
+    return F.md5(F.array_join(F.transform(F.array_sort(matches), line), "\n"))
+
+
 def q_landing_write(spark, sf_dir):
-    """Partitioned landing writer, read back per landing folder."""
+    """Partitioned landing writer, read back per landing folder, what the documents say included."""
     root, _ = _scratch_lake(spark, "landing")
     docs = landing_rows(snapshots(spark.read.parquet(f"{sf_dir}/orders.parquet")))
     landing_write(docs, root)
-    back = (spark.read.schema("matches array<string>, endpoint string, competition string, dateFrom string, "
+    back = (spark.read.schema(f"matches array<struct<{_SAID}>>, endpoint string, competition string, dateFrom string, "
                               "dateTo string, dt string, run_id string")
             .json(root))
     return back.groupBy(F.col("competition"), F.col("dateFrom").alias("date_from"), F.col("dateTo").alias("date_to"),
                         "dt", "run_id").agg(
-        F.count(F.lit(1)).alias("n_documents"), F.sum(F.size("matches")).cast("bigint").alias("n_matches"))
+        F.count(F.lit(1)).alias("n_documents"), F.sum(F.size("matches")).cast("bigint").alias("n_matches"),
+        F.min(_digest(F.col("matches"))).alias("digest"))
 
 
 def q_landing_pair_write(spark, sf_dir):
-    """K1 K2: every document landed with its manifest, read back with what each says it holds; manifests word for word."""
+    """K1 K2: every document landed with its manifest, read back with what each says it holds; documents by digest, manifests word for word."""
     root, _ = _scratch_lake(spark, "pairs")
     fetched = F.concat(F.col("dt").cast("string"), F.lit(FETCHED))
     write_objects(landing_pairs(_raw(spark, sf_dir), fetched_at=fetched), root)
@@ -157,7 +173,8 @@ def q_landing_pair_write(spark, sf_dir):
     counted = F.variant_get(F.col("v"), "$.record_count", "bigint")
     is_manifest = X.is_manifest_key(F.col("file_key"))
     n = F.when(is_manifest, counted).otherwise(element_count(F.col("v")))
-    return docs.select("file_key", n.alias("n_matches"), F.when(is_manifest, F.col("text")).alias("manifest"))
+    return docs.select("file_key", n.alias("n_matches"), F.when(is_manifest, F.col("text")).alias("manifest"),
+                       F.when(~is_manifest, _digest(F.variant_get(F.col("v"), "$.matches", f"array<struct<{_SAID}>>"))).alias("digest"))
 
 
 def q_manifest_build(spark, sf_dir):
