@@ -142,8 +142,8 @@ def _hash(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _dealt(part: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """The order by part and keys, and each part with its bounds in that order."""
-    order = np.lexsort((*reversed(keys), part))
+    """The order by part and keys (one: slots, of which equal ones may come in any order), and each part with its bounds in that order."""
+    order = np.lexsort((*reversed(keys), part)) if len(keys) > 1 else np.argsort((part << SLOT_BITS) | keys[0])
     parts, first = np.unique(part[order], return_index=True)
     ends = np.append(first[1:], len(part))[: len(parts)]  # of no keys, no part
     return order, list(zip(parts.tolist(), first.tolist(), ends.tolist(), strict=True))
@@ -298,10 +298,11 @@ def _mark_slots(least: int):
 
     def run(rows: pa.Table) -> pa.Table:
         lists = [_unpack(body, 2) for body in rows.column("body").to_pylist()]
-        _, slot = np.unique(np.concatenate([slots for slots, _ in lists]), return_inverse=True)
-        reach = np.bincount(slot, weights=np.concatenate([n for _, n in lists])) >= least
-        ends = np.cumsum([len(slots) for slots, _ in lists])
-        marks = [np.packbits(reach[slot[end - len(slots) : end]]).tobytes() for end, (slots, _) in zip(ends, lists, strict=True)]
+        counts = np.zeros(1 << SLOT_BITS, np.int64)
+        for slots, n in lists:
+            np.add.at(counts, slots, n)
+        reach = counts >= least
+        marks = [np.packbits(reach[slots]).tobytes() for slots, _ in lists]
         return pa.table([rows.column("part"), rows.column("shard"), pa.array(marks, pa.binary())], ["part", "shard", "body"])
 
     return run
