@@ -3,11 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import data_key, match, put
+from helpers import SF_SMALL, data_key, match, put
+from tidewater.functions import exprs as X
 from tidewater.plans.lake import Lake
-from tidewater.plans.loader import load_matches
-from tidewater.plans.manifests import manifest_reconcile
+from tidewater.plans.loader import append_new, load_matches, raw_matches_rows
+from tidewater.plans.manifests import landing_pairs, manifest_reconcile
 from tidewater.sources import landing as L
+from tidewater.sources.fixture import documents, snapshots
 
 
 def _lake(spark, tmp_path):
@@ -131,3 +133,82 @@ def test_falsy_manifest_fields_fall_back_to_the_key(spark, tmp_path):
     key = lambda k: ("matches", f"0{k}", "2024-01-02")
     assert got == {"00": key(0), "01": key(1), "02": ("own", "77", "2024-03-04"), "03": key(3)}
     assert manifest_reconcile(lake.raw_matches.read(), lake.raw_manifests.read(), unmatched=True).count() == 0
+
+
+def _pairs(land, n):
+    for k in range(n):
+        put(land, data_key(run=f"0{k:03d}"), {"matches": [match(k)]})
+        put(land, data_key(run=f"0{k:03d}").replace(".json", ".manifest.json"), {"record_count": 1})
+
+
+def test_documents_and_manifests_are_opened_apart(spark, tmp_path, monkeypatch):
+    """They lie side by side: reading one kind leaves the files of the other closed, in every range."""
+    land, lake = _lake(spark, tmp_path)
+    _pairs(land, 12)
+    objects = L.object_classify(L.list_objects(spark, land, "endpoint=matches/")).cache()
+    manifests, data = objects.where("kind = 'manifest'"), objects.where("kind = 'data'")
+    for wanted, kind in ((manifests, X.is_manifest_key), (data, X.is_data_key)):
+        for listing in (None, wanted):
+            docs = L.read_documents(spark, wanted, listing, kind)
+            assert docs.count() == 12 and opened(docs) == 12
+            assert listing is None or len(L.name_ranges(wanted, listing)) == 1
+    # neither does a load
+    read, scans = L.read_documents, []
+    monkeypatch.setattr(L, "read_documents", lambda *how: scans.append(read(*how)) or scans[-1])
+    load_matches(spark, land, lake)
+    assert [opened(s) for s in scans] == [12, 12]
+
+
+def test_a_load_parses_a_document_once(spark, tmp_path, monkeypatch):
+    """Its rows go from the landing to the table in the job that writes them; nothing of them is kept in between."""
+    land, lake = _lake(spark, tmp_path)
+    _pairs(land, 4)
+    kept, table = spark.sparkContext._jsc.sc().getPersistentRDDs, type(lake.raw_matches)
+    before, append, seen = kept().size(), table.append, []
+
+    def watched(self, df):
+        if self.path.endswith("raw_matches"):
+            seen.append((kept().size() - before, opened(df.select("file_key", "payload"))))
+        return append(self, df)
+
+    monkeypatch.setattr(table, "append", watched)
+    load_matches(spark, land, lake)
+    assert seen == [(2, 4)]  # the listing and its flags
+    assert lake.raw_matches.read().count() == 4
+
+
+def test_raw_documents_are_stored_whole(spark, tmp_path):
+    """The payload is one value, not a column for each of its fields."""
+    import pyarrow.parquet as pq
+
+    land, lake = _lake(spark, tmp_path)
+    _pairs(land, 2)
+    load_matches(spark, land, lake)
+    for path in (tmp_path / "lake" / "bronze" / "raw_matches").rglob("*.parquet"):
+        fields = [f for f in pq.ParquetFile(path).schema.to_arrow_schema() if f.name == "payload"]
+        assert sorted(c.name for c in fields[0].type) == ["metadata", "value"]
+
+
+def test_append_new_leaves_the_callers_cache(spark, tmp_path):
+    land, lake = _lake(spark, tmp_path)
+    rows = raw_matches_rows(spark.createDataFrame([(data_key(), '{"matches": []}')], "file_key string, text string"), F.current_timestamp()).cache()
+    assert not append_new(lake.raw_matches, rows) and rows.storageLevel.useMemory
+    rows.unpersist()
+    rows = rows.select("*")
+    assert append_new(lake.raw_matches, rows) and not rows.storageLevel.useMemory
+    assert lake.raw_matches.read().count() == 1
+
+
+def test_document_and_manifest_come_from_one_grouping_and_one_read(spark, tmp_path):
+    land, lake = _lake(spark, tmp_path)
+    _pairs(land, 3)
+    load_matches(spark, land, lake)
+    pairs = landing_pairs(lake.raw_matches.read())
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert pairs.count() == 6 and plan.count("Scan parquet") == 1
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    docs = documents(snapshots(orders))
+    assert docs._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
+    keys = [r.key for r in docs.select("key").collect()]
+    data = {k for k in keys if not k.endswith(".manifest.json")}
+    assert len(keys) == len({*keys}) and {k for k in keys} - data == {k.replace(".json", ".manifest.json") for k in data if "=FL1/" not in k}

@@ -118,17 +118,22 @@ def raw_competitions_rows(docs: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def upsert_by_key_partitions(table, batch: DataFrame, key: str = "file_key", parsed: str | None = None) -> tuple[int, int]:
+def upsert_by_key_partitions(table, batch: DataFrame, key: str = "file_key", parsed: str | None = None,
+                             keys: DataFrame | None = None, touched: list[tuple] | None = None) -> tuple[int, int]:
     """replace_by_key restricted to the partitions the batch touches; (rows written, rows with NULL in ``parsed``).
 
-    The counts are observed on the batch's rows by the job that writes them.
+    The counts are observed on the batch's rows by the job that writes them.  Where the batch's ``keys`` and
+    ``touched`` partitions are known without its rows, these are computed once, by that job; else they are
+    kept in between.
 
     Every table it is used on is partitioned by something a key determines (the
     landing day inside the key), so replacing inside touched partitions equals
     replacing in the whole table.
     """
-    batch = batch.cache()  # used twice: touched partitions, then the write
-    touched = table.touched(batch)
+    known = keys is not None and touched is not None
+    if not known:
+        batch = batch.cache()  # used twice: touched partitions, then the write
+        keys, touched = batch.select(key), table.touched(batch)
     if not touched:
         batch.unpersist()
         return 0, 0
@@ -139,10 +144,11 @@ def upsert_by_key_partitions(table, batch: DataFrame, key: str = "file_key", par
         table.append(rows)  # the usual daily case: a new landing day, nothing to replace
     else:
         target = table.read_partitions(touched)  # only the batch's partitions are read and rewritten
-        kept = target.join(batch.select(key).distinct(), key, "left_anti")
+        kept = target.join(keys.select(key).distinct(), key, "left_anti")
         table.replace_partitions(kept.unionByName(rows.select(*target.columns)))
     counts = seen.get
-    batch.unpersist()
+    if not known:
+        batch.unpersist()
     return counts["good"], counts["bad"]
 
 
@@ -153,13 +159,15 @@ def append_new(table, batch: DataFrame, key: str = "file_key") -> bool:
     where a key's content never changes, as in a file stream: it makes a retried
     micro-batch add nothing.
     """
+    kept = batch.is_cached  # by the caller, who uses it afterwards
     batch = batch.cache()  # used twice: touched partitions, then the write
     touched = table.touched(batch)
     met = table.any_partition_exists(touched)
     if touched:
         known = table.read_partitions(touched).select(key) if met else None
         table.append(batch.join(known, key, "left_anti") if met else batch)
-    batch.unpersist()
+    if not kept:
+        batch.unpersist()
     return met
 
 
@@ -229,12 +237,17 @@ def load_matches(spark: SparkSession, landing: str, lake: Lake, endpoint: str =
         # one load time for the whole batch, fixed on the driver (a recomputed task sees the same value)
         loaded_at = loaded_at or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
         ts = F.lit(loaded_at).cast("timestamp")
-        matched = paired.where("manifest_found").select(
+        with_manifest = paired.where("manifest_found")
+        matched = with_manifest.select(
             F.col("manifest_key").alias("file_key"), F.col("manifest_path").alias("path"), F.col("manifest_uri").alias("uri"))
-        data_rows = raw_matches_rows(L.read_documents(spark, paired, objects), ts, strict)
-        man_rows = raw_manifest_rows(L.read_documents(spark, matched, objects), endpoint, strict)
-        metrics["data_files_loaded"], bad_data = upsert_by_key_partitions(lake.raw_matches, data_rows, parsed="payload")
-        metrics["manifests_loaded"], bad_manifests = upsert_by_key_partitions(lake.raw_manifests, man_rows, parsed="manifest")
+        data_rows = raw_matches_rows(L.read_documents(spark, paired, data, X.is_data_key), ts, strict)
+        man_rows = raw_manifest_rows(L.read_documents(spark, matched, manifests, X.is_manifest_key), endpoint, strict)
+        # both tables are partitioned by the landing day in the key: no document is opened to learn it
+        metrics["data_files_loaded"], bad_data = upsert_by_key_partitions(
+            lake.raw_matches, data_rows, parsed="payload", keys=paired, touched=_days(paired))
+        metrics["manifests_loaded"], bad_manifests = upsert_by_key_partitions(
+            lake.raw_manifests, man_rows, parsed="manifest", keys=matched,
+            touched=lake.raw_manifests.touched(_manifest_shape(lake, with_manifest)))
         if not strict:
             # tolerant mode: unparsable documents are loaded with a NULL payload, set aside by key and counted
             metrics["quarantined"] = bad_data + bad_manifests

@@ -148,10 +148,11 @@ def documents(snaps: DataFrame, endpoint: str = "matches") -> DataFrame:
         key.alias("data_key"),
     ))
     body = F.to_json(F.struct(F.transform("ms", lambda x: x["m"]).alias("matches")))
-    data = docs.select("snap_no", key.alias("key"), body.alias("body"))
-    man = docs.where(code != NO_MANIFEST_COMPETITION).select(
-        "snap_no", F.regexp_replace(key, r"\.json$", ".manifest.json").alias("key"), manifest.alias("body"))
-    return data.unionByName(man)
+    data = F.struct(key.alias("key"), body.alias("body"))
+    man = F.struct(F.regexp_replace(key, r"\.json$", ".manifest.json").alias("key"), manifest.alias("body"))
+    # both from one grouping of the snapshots
+    pair = F.when(code != NO_MANIFEST_COMPETITION, F.array(data, man)).otherwise(F.array(data))
+    return docs.select("snap_no", F.inline(pair))
 
 
 def landing_rows(snaps: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ ledger anti-join runs before any document is opened.
 from __future__ import annotations
 
 import operator
+from collections.abc import Callable
 from datetime import date, timedelta
 from functools import reduce
 
@@ -98,15 +99,18 @@ def latest_object(listing: DataFrame, key: str = "file_key") -> DataFrame:
     return data.agg(F.max(key).alias("latest_key")).where(F.col("latest_key").isNotNull())
 
 
-def read_documents(spark: SparkSession, objects: DataFrame, listing: DataFrame | None = None) -> DataFrame:
+def read_documents(spark: SparkSession, objects: DataFrame, listing: DataFrame | None = None,
+                   kind: Callable[[Column], Column] | None = None) -> DataFrame:
     """Whole-text read of the listed objects (columns file_key, path, uri): (file_key, text).
 
     The driver learns the distinct landing-day folders (competitions x days of a batch) and ranges of names
     between objects of ``listing`` that are not wanted, however many objects they hold.  A predicate on the file's
     path keeps files outside the ranges closed; the objects wanted are picked by key from what is left.
+    ``kind``: what the names of all these objects (and of ``listing``) have in common, such as ``is_manifest_key``;
+    documents and manifests lie side by side, and files of the other kind stay closed as well.
     """
     ranges = name_ranges(objects, listing)
-    docs = _whole_texts(spark, [fs.literal(f) for f in sorted({f for f, _, _ in ranges})], [(lo, hi) for _, lo, hi in ranges])
+    docs = _whole_texts(spark, [fs.literal(f) for f in sorted({f for f, _, _ in ranges})], [(lo, hi) for _, lo, hi in ranges], kind)
     return docs.join(objects.select("file_key").distinct(), "file_key", "left_semi")
 
 
@@ -131,7 +135,8 @@ def read_tree(spark: SparkSession, landing: str, prefix: str) -> DataFrame:
     return _whole_texts(spark, [root] if fs.exists(spark, root) else [])
 
 
-def _whole_texts(spark: SparkSession, folders: list[str], ranges: list[tuple[str, str]] | None = None) -> DataFrame:
+def _whole_texts(spark: SparkSession, folders: list[str], ranges: list[tuple[str, str]] | None = None,
+                 kind: Callable[[Column], Column] | None = None) -> DataFrame:
     if not folders:
         return spark.createDataFrame([], "file_key string, text string")
     docs = (spark.read.option("wholetext", True).option("recursiveFileLookup", "true")
@@ -139,6 +144,8 @@ def _whole_texts(spark: SparkSession, folders: list[str], ranges: list[tuple[str
     uri = F.col("_metadata.file_path")
     if ranges:
         docs = docs.where(_any_of([uri.between(lo, hi) for lo, hi in ranges]))
+    if kind is not None:
+        docs = docs.where(kind(uri))
     return docs.select(X.file_key(uri).alias("file_key"), F.col("value").alias("text"))
 
 
