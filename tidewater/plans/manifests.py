@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +35,8 @@ def element_count(v: Column, path: str = "$.matches") -> Column:
 
 
 def manifest_build(raw: DataFrame, endpoint: str = "matches", bucket: str = "bronze",
-                   fetched_at: Column | None = None) -> DataFrame:
-    """Manifest record of each raw data document (no shuffle: one row in, one out)."""
+                   fetched_at: Column | None = None, carry: Sequence[Column] = ()) -> DataFrame:
+    """Manifest record of each raw data document (no shuffle: one row in, one out); ``carry``: columns of ``raw`` that go along."""
     fetched = fetched_at if fetched_at is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
     out = raw.select(
         F.col("file_key").alias("data_key"),
@@ -47,6 +49,7 @@ def manifest_build(raw: DataFrame, endpoint: str = "matches", bucket: str = "bro
         element_count(F.col("payload")).alias("record_count"),
         F.lit(bucket).alias("bucket"),
         fetched.alias("fetched_at_utc"),
+        *carry,
     )
     manifest = F.to_json(F.struct(
         "run_id", "endpoint", "competition",
@@ -58,9 +61,10 @@ def manifest_build(raw: DataFrame, endpoint: str = "matches", bucket: str = "bro
 
 def landing_pairs(raw: DataFrame, endpoint: str = "matches", fetched_at: Column | None = None) -> DataFrame:
     """key, body of every document and of its manifest, in the object layout (one row each)."""
-    data = raw.select(F.col("file_key").alias("key"), F.to_json("payload").alias("body"))
-    m = manifest_build(raw, endpoint, fetched_at=fetched_at)
-    return data.unionByName(m.select(F.col("manifest_key").alias("key"), F.col("manifest").alias("body")))
+    m = manifest_build(raw, endpoint, fetched_at=fetched_at, carry=[F.to_json("payload").alias("document")])
+    # both from one read of the document
+    data = F.struct(F.col("data_key").alias("key"), F.col("document").alias("body"))
+    return m.select(F.inline(F.array(data, F.struct(F.col("manifest_key").alias("key"), F.col("manifest").alias("body")))))
 
 
 def manifest_reconcile(raw_matches: DataFrame, raw_manifests: DataFrame, unmatched: bool = False) -> DataFrame:
