@@ -113,3 +113,30 @@ def test_rolling_window(spark):
     out = rolling_window_filter(df, "ts", "2024-01-15", codes="PL, SA,", code_col="code")
     days = sorted({r.ts.day for r in out.collect()})
     assert days == list(range(14, 23)) and {r.code for r in out.collect()} == {"PL", "SA"}
+
+
+def test_dimension_source_is_computed_once(spark, tmp_path):
+    """A merge uses its source for the keys and for the rows; each row of it is computed once."""
+    from tidewater.plans.lake import Lake
+    from tidewater.plans.runs import upsert_keyed
+
+    lake = Lake(spark, str(tmp_path / "lake"))
+    times = spark.sparkContext.accumulator(0)
+
+    def team(k):
+        times.add(1)
+        return (k, f"T{k}", None, None, None, "PL", 1, None, None)
+
+    for _ in range(2):
+        source = spark.createDataFrame(spark.sparkContext.range(0, 5, numSlices=1).map(team), lake.teams.schema)
+        upsert_keyed(lake.teams, source, "team_id")
+    assert times.value == 10
+    assert sorted(r.team_id for r in lake.teams.read().collect()) == [0, 1, 2, 3, 4]
+
+
+def test_teams_merge_decodes_what_teams_need(spark):
+    from helpers import SF_SMALL
+    from tidewater.plans import registry, silver
+
+    for part in registry._merge_scenario(spark, SF_SMALL, silver.TEAMS_NEEDS):
+        assert "home_team_crest" in part.columns and not {"winner", "ft_home_goals", "stage"} & {*part.columns}

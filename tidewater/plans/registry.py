@@ -258,11 +258,11 @@ def q_matches_latest(spark, sf_dir):
     return as_ntz(_latest(spark, sf_dir))
 
 
-def _merge_scenario(spark, sf_dir):
-    """Latest snapshots of days 0-1 and of day 2; matches without a day-2 snapshot stay target-only."""
+def _merge_scenario(spark, sf_dir, needs: list[str] | None = None):
+    """Latest snapshots of days 0-1 and of day 2; matches without a day-2 snapshot stay target-only.  ``needs``: as for ``_latest_of``."""
     raw = _raw(spark, sf_dir)
-    before = _latest_of(raw.where(F.col("loaded_at") < F.lit(load_time(2)).cast("timestamp")))
-    return before, _latest_of(raw.where(F.col("loaded_at") == F.lit(load_time(2)).cast("timestamp")))
+    before = _latest_of(raw.where(F.col("loaded_at") < F.lit(load_time(2)).cast("timestamp")), needs)
+    return before, _latest_of(raw.where(F.col("loaded_at") == F.lit(load_time(2)).cast("timestamp")), needs)
 
 
 def q_matches_latest_merge(spark, sf_dir):
@@ -280,7 +280,7 @@ def q_teams_dim(spark, sf_dir):
 
 def q_teams_merge(spark, sf_dir):
     """K7 on teams: teams of days 0-1, then the teams seen in day 2."""
-    target, source = _merge_scenario(spark, sf_dir)
+    target, source = _merge_scenario(spark, sf_dir, silver.TEAMS_NEEDS)
     _, lake = _scratch_lake(spark, "teams")
     upsert_keyed(lake.teams, silver.teams(target), "team_id")
     upsert_keyed(lake.teams, silver.teams(source), "team_id")

@@ -43,7 +43,8 @@ from tidewater.sources.versions import Draft, VersionedTable
 
 def upsert_keyed(table: VersionedTable, source: DataFrame, key: str) -> None:
     """merge_upsert of ``source`` into a table without partitions (a dimension), written whole beside the old one."""
-    table.overwrite(merge_upsert(table.read(), source.select(*table.columns), key))
+    # set down first: the merge uses it for its keys and for its rows
+    table.overwrite(merge_upsert(table.read(), source.select(*table.columns).checkpoint(eager=True), key))
 
 
 def matches_latest_order() -> list[Column]:
@@ -90,13 +91,17 @@ class Touched:
     teams: DataFrame
 
 
-def merge_into(draft: Draft, lake: Lake, batch_latest: DataFrame) -> Touched:
-    """Merge one row per match into matches_latest and its place indexes.
+def _set_down(lake: Lake, latest: DataFrame) -> DataFrame:
+    """A batch in the columns of matches_latest, computed once."""
+    return latest.select(*lake.matches_latest.columns).checkpoint(eager=True)
+
+
+def merge_into(draft: Draft, lake: Lake, batch: DataFrame) -> Touched:
+    """Merge one row per match, set down, into matches_latest and its place indexes.
 
     Reads and rewrites the groups the batch's rows go to and those that hold their matches now; of the
     place index only the chunks of the batch's ids.
     """
-    batch = batch_latest.select(*lake.matches_latest.columns).checkpoint(eager=True)
     keys = batch.select("match_id").where(F.col("match_id").isNotNull()).distinct()
     going = _places(lake, batch)
     chunks = lake.match_places.touched(going)
@@ -126,7 +131,7 @@ def _note(draft: Draft, lake: Lake, touched: Touched) -> None:
 def merge_latest(lake: Lake, batch_latest: DataFrame) -> None:
     """``merge_into`` as a version of its own; gold follows at the next refresh, which finds the journal."""
     draft = lake.versions.begin()
-    _note(draft, lake, merge_into(draft, lake, batch_latest))
+    _note(draft, lake, merge_into(draft, lake, _set_down(lake, batch_latest)))
     draft.commit()
 
 
@@ -164,7 +169,7 @@ def compact_latest(lake: Lake) -> bool:
         return False
     rows = lake.latest_deltas.read().join(loads.select("load_id").distinct(), "load_id", "left_semi").drop("load_id")
     newest = latest_by_key(rows.where(F.col("match_id").isNotNull()), ["match_id"], matches_latest_order())
-    _note(draft, lake, merge_into(draft, lake, newest.unionByName(rows.where(F.col("match_id").isNull()).distinct())))
+    _note(draft, lake, merge_into(draft, lake, _set_down(lake, newest.unionByName(rows.where(F.col("match_id").isNull()).distinct()))))
     _done(draft, lake, loads, published=False)
     draft.commit()
     # merged batches are no longer read; a stop before this line leaves them to the next compaction
@@ -201,7 +206,7 @@ def refresh_models(spark: SparkSession, lake: Lake, loaded_at: str | None = None
         noted = sorted(tuple(r) for r in draft.read(lake.touched_groups).select(*PLACE).collect())
         if loaded_at is None and not noted and pending.isEmpty():
             return models(lake)
-        batch = silver.matches_latest(silver.flatten_matches(fresh, keep_pos=True)).checkpoint(eager=True)
+        batch = _set_down(lake, silver.matches_latest(silver.flatten_matches(fresh, keep_pos=True)))
         # with the days of loads that a compaction has merged
         days = [tuple(r) for r in fresh.select("dt").unionByName(pending.select("dt")).distinct().collect()]
         touched = Touched([], [], draft.read(lake.touched_teams)) if batch.isEmpty() else merge_into(draft, lake, batch)
@@ -255,7 +260,7 @@ def _refresh_gold(draft: Draft, lake: Lake, raw: DataFrame, days: list[tuple], t
     plays = draft.read(lake.team_places).join(teams, "team_id", "left_semi")
     grounds = [tuple(r) for r in plays.select("_competition", "_season").distinct().collect()]
     seen = silver.team_sides(draft.read_groups(lake.matches_latest, grounds)).join(teams, "team_id", "left_semi")
-    derived = silver.teams_from_sides(seen).select(*lake.teams.columns)
+    derived = silver.teams_from_sides(seen).select(*lake.teams.columns).checkpoint(eager=True)  # for its keys and its rows
     # a team's form runs over all seasons of its competition
     of = {lake.team_form_last5.group(c) for c in competitions}
     seasons = {g for g in draft.state.groups(lake.matches_latest.name) if g.split("/")[0] in of}
