@@ -212,3 +212,29 @@ def test_document_and_manifest_come_from_one_grouping_and_one_read(spark, tmp_pa
     keys = [r.key for r in docs.select("key").collect()]
     data = {k for k in keys if not k.endswith(".manifest.json")}
     assert len(keys) == len({*keys}) and {k for k in keys} - data == {k.replace(".json", ".manifest.json") for k in data if "=FL1/" not in k}
+
+
+def test_landing_writer_takes_documents_a_few_at_a_time(spark, tmp_path):
+    """The first documents of a task are landed before its last one is made."""
+    from tidewater.sources.fixture import write_objects
+
+    body = F.when(F.col("id") < 59, F.repeat(F.lit("x"), 1 << 20)).otherwise(F.raise_error(F.lit("the last")))
+    docs = spark.range(0, 60, 1, 1).select(F.format_string("endpoint=matches/%02d.json", "id").alias("key"), body.alias("body"))
+    with pytest.raises(Exception, match="the last"):
+        write_objects(docs, str(tmp_path))
+    assert len(list((tmp_path / "endpoint=matches").glob("*.json"))) > 10
+    done = write_objects(docs.where("id < 7"), str(tmp_path / "more"))
+    assert done == {"objects": 7, "bytes": 7 << 20}
+
+
+def test_snapshots_travel_narrow_and_tasks_follow_the_orders(spark, monkeypatch):
+    from tidewater.sources import fixture
+
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    monkeypatch.setattr(fixture, "TASK_MATCHES", 100)
+    docs = documents(snapshots(orders))
+    plan = docs._jdf.queryExecution().sparkPlan().toString()
+    dealt = plan[plan.index("REPARTITION_BY_NUM"):]
+    # the struct of a match is made after the one exchange
+    assert docs.rdd.getNumPartitions() == orders.count() // 100 and plan.count("hashpartitioning") == 1
+    assert "REGULAR_SEASON" in plan and "REGULAR_SEASON" not in dealt

@@ -45,3 +45,27 @@ def test_stream_loads_manifests_and_marks_ledger(spark):
     # the batch loader sees everything as already loaded
     m = load_matches(spark, fx.landing, lake)
     assert m["files_to_load"] == 0 and m["files_discovered"] > 0
+
+
+def test_nothing_of_a_micro_batch_is_kept_in_executors(spark, tmp_path, monkeypatch):
+    """Documents are parsed once, into a folder of the epoch that goes with it; no step's rows wait in memory for the next."""
+    fx = fixture_lake(spark, SF_SMALL)
+    lake = Lake(spark, str(tmp_path / "lake"))
+    kept, table, seen = spark.sparkContext._jsc.sc().getPersistentRDDs, type(lake.raw_matches), {}
+    before, append, replace = kept().size(), table.append, table.replace_partitions
+
+    def watched(write):
+        def run(self, df):
+            texts = [f for f in df.inputFiles() if f.endswith(".json")]
+            seen.setdefault(self.path.rsplit("/", 1)[1], []).append((kept().size() - before, len(texts)))
+            return write(self, df)
+        return run
+
+    monkeypatch.setattr(table, "append", watched(append))
+    monkeypatch.setattr(table, "replace_partitions", watched(replace))
+    stream_bronze_ingest(spark, fx.landing, lake, str(tmp_path / "ckpt"), max_files_per_trigger=9, latest=True)
+    assert {*seen} == {"raw_matches", "raw_manifests", "latest_deltas", "loads", "load_state"}
+    assert {s for steps in seen.values() for s in steps} == {(0, 0)}
+    assert not [p for p in (tmp_path / "lake" / "bronze" / "staged_documents").rglob("*.parquet")]
+    n = fx.lake.raw_matches.read()
+    assert lake.raw_matches.read().count() == n.count() == n.select("file_key").distinct().count()

@@ -17,6 +17,7 @@ RAW_MATCHES = ("file_key string, competition_code string, date_from date, date_t
 RAW_MANIFESTS = "file_key string, endpoint string, run_id string, dt date, manifest variant"
 RAW_COMPETITIONS = "file_key string, run_id string, dt date, payload variant"
 LOAD_STATE = "file_key string, endpoint string"
+STAGED = "file_key string, kind string, document variant"
 QUARANTINE = "file_key string, kind string, loaded_at timestamp"
 LOADS = "load_id string, loaded_at timestamp, dt date"
 FRONTIER = "endpoint string, dt date, loaded_at timestamp"
@@ -69,8 +70,8 @@ class Lake:
     spark: SparkSession
     root: str
 
-    def _t(self, rel: str, schema: str, partition_by=None, derived=None, compact=False) -> Table:
-        return Table(self.spark, f"{self.root.rstrip('/')}/{rel}", schema, partition_by, derived, compact)
+    def _t(self, rel: str, schema: str, partition_by=None, derived=None, compact=False, documents=False) -> Table:
+        return Table(self.spark, f"{self.root.rstrip('/')}/{rel}", schema, partition_by, derived, compact, documents)
 
     # bronze: raw documents keyed by file_key, partitioned by landing day
     @property
@@ -85,6 +86,10 @@ class Lake:
     def raw_competitions(self) -> Table:
         return self._t("bronze/raw_competitions", RAW_COMPETITIONS, ["dt"])
 
+    def staged_documents(self, load_id: str) -> Table:
+        """Parsed documents and manifests of a stream's epoch, until its rows are in their tables."""
+        return self._t(f"bronze/staged_documents/{load_id}", STAGED, ["kind"], documents=True)
+
     @property
     def quarantine(self) -> Table:
         """Keys of documents that failed to parse in tolerant mode (payload kept NULL)."""

@@ -77,10 +77,16 @@ def loader_metrics(prefix: str, flagged: DataFrame) -> DataFrame:
     )
 
 
+def _parsed(docs: DataFrame, strict: bool) -> Column:
+    """Each document's value: as it was parsed before (column document), or from its text."""
+    if "document" in docs.columns:
+        return F.col("document")
+    return F.parse_json("text") if strict else F.try_parse_json("text")
+
+
 def raw_matches_rows(docs: DataFrame, loaded_at: Column, strict: bool = True) -> DataFrame:
     """RAW_MATCHES rows of data documents (key fields parsed from the key)."""
     parsed = L.key_parse(docs)
-    payload = F.parse_json("text") if strict else F.try_parse_json("text")
     return parsed.select(
         "file_key",
         F.col("competition").alias("competition_code"),
@@ -88,7 +94,7 @@ def raw_matches_rows(docs: DataFrame, loaded_at: Column, strict: bool = True) ->
         F.col("date_to").cast("date").alias("date_to"),
         "run_id",
         F.col("dt").cast("date").alias("dt"),
-        payload.alias("payload"),
+        _parsed(docs, strict).alias("payload"),
         loaded_at.cast("timestamp").alias("loaded_at"),
     )
 
@@ -98,7 +104,7 @@ def raw_manifest_rows(docs: DataFrame, default_endpoint: str, strict: bool = Tru
 
     ``fill=False`` (the one-off load of the latest object) takes the manifest's own values as they are.
     """
-    parsed = L.key_parse(docs).withColumn("manifest", F.parse_json("text") if strict else F.try_parse_json("text"))
+    parsed = L.key_parse(docs).withColumn("manifest", _parsed(docs, strict))
     field = lambda name: F.try_variant_get(F.col("manifest"), f"$.{name}", "string")
     own = (lambda name, other: X.falsy_or(field(name), other)) if fill else (lambda name, other: field(name))
     return parsed.select(
@@ -153,22 +159,21 @@ def upsert_by_key_partitions(table, batch: DataFrame, key: str = "file_key", par
 
 
 def append_new(table, batch: DataFrame, key: str = "file_key") -> bool:
-    """Append the batch's rows whose key is not in the table yet; whether it had rows in their partitions.
+    """Append the batch's rows whose key is not in the table yet; whether it had any of them.
 
     Reads the key column of the touched partitions and rewrites nothing.  Right
     where a key's content never changes, as in a file stream: it makes a retried
-    micro-batch add nothing.
+    micro-batch add nothing.  The batch is read for its keys and then for its rows, so
+    it is one that can be read twice; rows are joined only where some of them are there already.
     """
-    kept = batch.is_cached  # by the caller, who uses it afterwards
-    batch = batch.cache()  # used twice: touched partitions, then the write
     touched = table.touched(batch)
-    met = table.any_partition_exists(touched)
+    held = None
+    if table.any_partition_exists(touched):
+        held = table.read_partitions(touched).select(key).join(batch.select(key), key, "left_semi")
+        held = None if held.isEmpty() else held
     if touched:
-        known = table.read_partitions(touched).select(key) if met else None
-        table.append(batch.join(known, key, "left_anti") if met else batch)
-    if not kept:
-        batch.unpersist()
-    return met
+        table.append(batch if held is None else batch.join(held, key, "left_anti"))
+    return held is not None
 
 
 def log_load(lake: Lake, days: DataFrame, load_id: str, loaded_at: Column) -> None:

@@ -13,7 +13,6 @@ task rewrites identical objects.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +34,9 @@ NO_HOME_MOD, NO_HOME_REM = 331, 29        # match without homeTeam
 NO_WINNER_MOD, NO_WINNER_REM = 50, 7      # finished match without winner
 # --- end fixed values ---
 
+# matches of one task that builds documents (one order is one of them)
+TASK_MATCHES = 32 * DOC_MAX_MATCHES
+
 
 def _code(comp: Column) -> Column:
     return F.element_at(F.array(*[F.lit(c) for c in COMPETITION_CODES]), (comp + 1).cast("int"))
@@ -51,7 +53,12 @@ def _team(team_id: Column) -> Column:
 
 
 def snapshots(orders: DataFrame) -> DataFrame:
-    """One row per match snapshot with the API-shaped ``m`` struct."""
+    """One row per match snapshot with the API-shaped ``m`` struct, those of a document in one task.
+
+    An order's few columns travel, not the struct made of them, and the number of tasks follows the orders: it
+    is given, since what a task makes of its rows is many times their size.
+    """
+    tasks = max(-(-orders.count() // TASK_MATCHES), orders.sparkSession.sparkContext.defaultParallelism)
     k = F.col("o_orderkey")
     o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     o = (
@@ -73,6 +80,7 @@ def snapshots(orders: DataFrame) -> DataFrame:
         .withColumn("ag", F.when(F.col("finished"), F.floor(F.col("o_totalprice")) % 4))
         .withColumn("dt", F.date_add(F.lit(FIXTURE_EPOCH).cast("date"), F.col("snap_no")))
         .withColumn("shard", F.floor(F.floor(F.col("match_id") / 5) / DOC_MAX_MATCHES))
+        .repartition(tasks, "comp", "snap_no", "dt", "shard")
     )
     utc = F.timestamp_add("SECOND", k % 86400, F.col("o_orderdate").cast("timestamp_ntz"))
     last_upd = F.timestamp_add("SECOND", k, F.lit(FIXTURE_EPOCH).cast("timestamp_ntz"))
@@ -194,12 +202,13 @@ def competitions_documents(region: DataFrame, days: int = SNAPSHOTS_PER_MATCH) -
 def write_objects(docs: DataFrame, root: str) -> dict:
     """Each task writes its own documents as whole objects ``root/key``.
 
-    The task function is self-contained (pyarrow only), so executors need
-    nothing but pyspark's own dependencies to run it.
+    Documents reach a task's Python side a few at a time: an Arrow batch of them is many megabytes, and is held there
+    several times over.  The task function is self-contained (pyarrow only), so executors need nothing but
+    pyspark's own dependencies to run it.
     """
     root = fs.qualify(docs.sparkSession, root)  # the same folder for Spark and for the tasks
 
-    def put(batches):
+    def put(rows):
         from pyarrow import fs as pafs
 
         if root.startswith("file:"):
@@ -209,20 +218,19 @@ def write_objects(docs: DataFrame, root: str) -> dict:
             filesystem = pafs.LocalFileSystem()
         else:
             filesystem, base = pafs.FileSystem.from_uri(root)
-        for pdf in batches:
-            sizes = []
-            for key, body in zip(pdf["key"], pdf["body"]):
-                data = body.encode("utf-8")
-                path = f"{base}/{key}"
-                filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
-                with filesystem.open_output_stream(path) as out:  # a retried task rewrites the same bytes
-                    out.write(data)
-                sizes.append(len(data))
-            yield pd.DataFrame({"n": [len(sizes)], "bytes": [sum(sizes)]})
-
-    out = docs.select("key", "body").mapInPandas(put, "n long, bytes long")
-    r = out.agg(F.sum("n").alias("objects"), F.sum("bytes").alias("bytes")).collect()[0]
-    return {"objects": int(r["objects"] or 0), "bytes": int(r["bytes"] or 0)}
+        objects = size = 0
+        for key, body in rows:
+            data = body.encode("utf-8")
+            path = f"{base}/{key}"
+            filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            with filesystem.open_output_stream(path) as out:  # a retried task rewrites the same bytes
+                out.write(data)
+            objects, size = objects + 1, size + len(data)
+        yield objects, size
+
+    done = docs.select("key", "body").rdd.mapPartitions(put)
+    objects, size = done.fold((0, 0), lambda a, b: (a[0] + b[0], a[1] + b[1]))
+    return {"objects": objects, "bytes": size}
 
 
 def land_day(spark: SparkSession, sf_dir: str, landing: str, day: int) -> dict:

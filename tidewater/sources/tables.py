@@ -33,15 +33,21 @@ def partition_value(value: Column) -> Column:
     return F.when(value.isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), value.cast("string")))
 
 
+# A parquet writer measures pages and row groups first after 100 rows: of documents, these may be 100 MB.  A reader
+# takes up to a row group of them at once, and they are several times larger there than in the file.
+DOCUMENT_FILES = {"parquet.page.size.row.check.min": 1, "parquet.block.size": 4 << 20}
+
+
 class Table:
     def __init__(self, spark: SparkSession, path: str, schema: str, partition_by: list[str] | None = None,
-                 derived: dict[str, Callable[[], Column]] | None = None, compact: bool = False):
+                 derived: dict[str, Callable[[], Column]] | None = None, compact: bool = False, documents: bool = False):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = T.StructType.fromDDL(schema)
         self.derived = derived or {}
         self.partition_by = [*(partition_by or []), *self.derived]
         self.compact = compact  # shuffle a write by partition, so that it leaves few files
+        self.documents = documents  # its rows are whole documents: a writer looks at its bytes after each
 
     @property
     def columns(self) -> list[str]:
@@ -74,6 +80,8 @@ class Table:
             # as many tasks as the data needs: a large partition is split, small ones share a task
             df = df.hint("rebalance", *self.partition_by)
         w = df.write.format("parquet")
+        if self.documents:
+            w = w.options(**DOCUMENT_FILES)
         return w.partitionBy(*self.partition_by) if self.partition_by else w
 
     def overwrite(self, df: DataFrame, reads_self: bool = False) -> "Table":

@@ -10,7 +10,9 @@ once, in the *epoch journal* inside the checkpoint, before anything is written;
 a retry reads them again, so its rows, its load log entry and its delta are the
 same as those of the attempt that was stopped, wherever it was stopped.  Every
 sink step is idempotent by key: bronze appends the keys it does not have (it
-never rewrites a day), the delta's folder is the load's own.
+never rewrites a day), the delta's folder is the load's own.  So is the folder
+that the batch's documents are set down in, parsed, while the epoch lasts: nothing
+of a micro-batch is kept in executors.
 
 With ``latest`` a micro-batch adds its latest snapshots as a delta, so its cost
 follows the batch.  ``runs.latest_now`` reads base and deltas in the order of
@@ -89,23 +91,23 @@ def stream_bronze_ingest(spark: SparkSession, landing: str, lake: Lake, checkpoi
             return
         load_id, now = epoch_load(spark, checkpoint, epoch)
         ts = loaded_at if loaded_at is not None else F.lit(now).cast("timestamp")
-        batch = batch.cache()
-        rows = raw_matches_rows(batch.where(F.col("kind") == "data").drop("kind"), ts).cache()
+        # a landed file is opened and parsed once, whatever is made of it; what is set down is a small part of its text
+        staged = lake.staged_documents(load_id)
+        staged.overwrite(batch.select("file_key", "kind", F.parse_json("text").alias("document")))
+        rows = raw_matches_rows(staged.read_where("kind", ["data"]), ts)
         mine = rows
         if append_new(lake.raw_matches, rows):
             # the epoch's own rows, whichever attempt wrote them; not those of keys that another job had loaded
             stored = lake.raw_matches.read_partitions(lake.raw_matches.touched(rows)).select("file_key", "loaded_at")
             mine = rows.join(stored, ["file_key", "loaded_at"], "left_semi")
-        append_new(lake.raw_manifests,
-                   raw_manifest_rows(batch.where(F.col("kind") == "manifest").drop("kind"), endpoint))
+        append_new(lake.raw_manifests, raw_manifest_rows(staged.read_where("kind", ["manifest"]), endpoint))
         if latest:
             newest = silver.matches_latest(silver.flatten_matches(mine, keep_pos=True))
             lake.latest_deltas.replace_partitions(newest.withColumn("load_id", F.lit(load_id)))
         log_load(lake, mine.select("dt", "loaded_at"), load_id, F.col("loaded_at"))
-        marks = batch.select("file_key", F.when(F.col("kind") == "data", data_ep).otherwise(manifest_ep).alias("endpoint"))
-        mark(lake, marks, [data_ep, manifest_ep])
-        rows.unpersist()
-        batch.unpersist()
+        keys = staged.read().select("file_key", F.when(F.col("kind") == "data", data_ep).otherwise(manifest_ep).alias("endpoint"))
+        mark(lake, keys, [data_ep, manifest_ep])
+        fs.delete(spark, staged.path)  # a stop before this line leaves it to the epoch's retry
         if latest:
             waiting = fs.size(spark, lake.latest_deltas.path)
             if waiting >= compact_bytes and waiting >= compact_part * fs.size(spark, lake.matches_latest.path):
