@@ -238,3 +238,22 @@ def test_snapshots_travel_narrow_and_tasks_follow_the_orders(spark, monkeypatch)
     # the struct of a match is made after the one exchange
     assert docs.rdd.getNumPartitions() == orders.count() // 100 and plan.count("hashpartitioning") == 1
     assert "REGULAR_SEASON" in plan and "REGULAR_SEASON" not in dealt
+
+
+def test_raw_documents_are_read_a_few_at_a_time(spark, tmp_path):
+    """A row group, which a reader may take at once, is bounded by its bytes however few documents these are."""
+    import hashlib
+
+    import pyarrow.parquet as pq
+
+    _, lake = _lake(spark, tmp_path)
+    name = lambda k, i: "".join(hashlib.sha256(f"{k}-{i}-{j}".encode()).hexdigest() for j in range(64))
+    for k in range(60):
+        put(str(tmp_path / "texts"), data_key(run=f"0{k:02d}"), {"matches": [match(k * 100 + i, home_name=name(k, i)) for i in range(100)]})
+    docs = L.read_tree(spark, str(tmp_path / "texts"), "endpoint=matches/")
+    lake.raw_matches.append(raw_matches_rows(docs, F.current_timestamp()).coalesce(1))
+    (path,) = (tmp_path / "lake" / "bronze" / "raw_matches").rglob("*.parquet")
+    stored = pq.ParquetFile(path).metadata
+    groups = [stored.row_group(k) for k in range(stored.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 60 and max(g.total_byte_size for g in groups) < 16 << 20
+    assert lake.raw_matches.read().select("file_key").distinct().count() == 60

@@ -76,7 +76,7 @@ class Lake:
     # bronze: raw documents keyed by file_key, partitioned by landing day
     @property
     def raw_matches(self) -> Table:
-        return self._t("bronze/raw_matches", RAW_MATCHES, ["dt"])
+        return self._t("bronze/raw_matches", RAW_MATCHES, ["dt"], documents=True)
 
     @property
     def raw_manifests(self) -> Table:
