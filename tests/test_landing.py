@@ -257,3 +257,18 @@ def test_raw_documents_are_read_a_few_at_a_time(spark, tmp_path):
     groups = [stored.row_group(k) for k in range(stored.num_row_groups)]
     assert sum(g.num_rows for g in groups) == 60 and max(g.total_byte_size for g in groups) < 16 << 20
     assert lake.raw_matches.read().select("file_key").distinct().count() == 60
+
+
+def test_backfill_builds_nothing_it_does_not_read(spark, tmp_path, monkeypatch):
+    """Its chunks are landed and loaded; the lake of the daily loads is another one."""
+    import shutil
+
+    from tidewater.plans import fixture_lake
+    from tidewater.plans.registry import queries
+
+    for table in ("orders", "region"):
+        shutil.copy(f"{SF_SMALL}/{table}.parquet", tmp_path)
+    monkeypatch.setattr(fixture_lake, "_build", None)
+    got = queries()["backfill_load"](spark, str(tmp_path)).collect()
+    assert got and {r.endpoint for r in got} == {"matches_backfill"}
+    assert sum(r.n_matches for r in got) == spark.read.parquet(f"{SF_SMALL}/orders.parquet").count()

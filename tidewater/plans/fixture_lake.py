@@ -40,7 +40,8 @@ def load_time(day: int) -> str:
     return f"{d.isoformat()} {LOAD_HOUR}"
 
 
-def _root(spark: SparkSession, sf_dir: str, tag: str) -> str:
+def fixture_root(spark: SparkSession, sf_dir: str, tag: str = "fx") -> str:
+    """The fixture's folder, built or not: it names the session's shared root and the tables' content."""
     # TIDEWATER_FIXTURE_TAG forces a fresh build (the bench times the build itself)
     generation = os.environ.get("TIDEWATER_FIXTURE_TAG", "")
     return scratch_dir(spark, tag, digest(_content(spark, sf_dir) + _code() + FIXTURE_VERSION + generation))
@@ -79,7 +80,7 @@ def fixture_lake(spark: SparkSession, sf_dir: str, tag: str = "fx") -> FixtureLa
     it, so an interrupted build is never resumed half-way.
     """
     configure(spark)
-    root = _root(spark, sf_dir, tag)
+    root = fixture_root(spark, sf_dir, tag)
     fx = _built(spark, root)
     if fx is not None:
         return fx

@@ -26,7 +26,7 @@ from tidewater.operators.quality import PROJECT_TESTS, run_tests
 from tidewater.operators.upsert import insert_if_absent, replace_by_key
 from tidewater.operators.windows import assign_backfill_chunk, coverage_gaps, planned_chunks, rolling_window_filter
 from tidewater.plans import gold, silver
-from tidewater.plans.fixture_lake import FixtureLake, fixture_lake, load_time
+from tidewater.plans.fixture_lake import FixtureLake, fixture_lake, fixture_root, load_time
 from tidewater.plans.lake import Lake
 from tidewater.plans.loader import (
     ENDPOINTS, flag_pending, load_matches, load_state_pending, loader_metrics, manifest_pairing, prefix_of,
@@ -332,7 +332,7 @@ _BACKFILLED: dict[str, Lake] = {}
 
 def _backfilled(spark, sf_dir) -> Lake:
     """A lake after one backfill run: every chunk landed under the backfill endpoint, then loaded and refreshed."""
-    built = _fx(spark, sf_dir).root  # this session's shared root and the content of the tables
+    built = fixture_root(spark, sf_dir)  # this session's shared root and the content of the tables; its landing is not read here
     if built not in _BACKFILLED:
         root, lake = _scratch_lake(spark, "backfill")
         chunks = documents(snapshots(spark.read.parquet(f"{sf_dir}/orders.parquet")), BACKFILL)
