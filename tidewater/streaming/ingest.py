@@ -91,7 +91,7 @@ def stream_bronze_ingest(spark: SparkSession, landing: str, lake: Lake, checkpoi
             return
         load_id, now = epoch_load(spark, checkpoint, epoch)
         ts = loaded_at if loaded_at is not None else F.lit(now).cast("timestamp")
-        # a landed file is opened and parsed once, whatever is made of it; what is set down is a small part of its text
+        # a landed document is parsed once, whatever is made of it; what is set down is a small part of its text
         staged = lake.staged_documents(load_id)
         staged.overwrite(batch.select("file_key", "kind", F.parse_json("text").alias("document")))
         rows = raw_matches_rows(staged.read_where("kind", ["data"]), ts)
